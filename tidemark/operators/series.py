@@ -117,10 +117,15 @@ def lags(df: DataFrame, key, ts: str, c: str, ks: Sequence[int], order: Sequence
 def rolling_mean(df: DataFrame, key, ts: str, cols: Sequence[str] | str, n: int,
                  min_rows: int | None = None, include_current: bool = True,
                  suffix: str | None = None, order: Sequence[str] = (),
-                 seg_rows: int = SEG_ROWS, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                 seg_rows: int = SEG_ROWS, bucket_seconds: int = BUCKET_SECONDS,
+                 scale: int | None = None) -> DataFrame:
     """Mean of the last ``n`` rows (this row included unless
     ``include_current`` is false); null unless the frame has at least
-    ``min_rows`` (default ``n``) non-null values."""
+    ``min_rows`` (default ``n``) non-null values.
+
+    With ``scale`` (values known to have at most that many decimals) the sum
+    is taken exactly over integers ``round(x * 10^scale)``, so the mean does
+    not depend on summation order (stable across plans and engines)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     min_rows = n if min_rows is None else min_rows
     suffix = suffix or f"_ma{n}"
@@ -128,8 +133,13 @@ def rolling_mean(df: DataFrame, key, ts: str, cols: Sequence[str] | str, n: int,
     rows, spec = segmented(df, key, ts, order, halo, seg_rows, bucket_seconds)
     frame = spec.rowsBetween(-(n - 1), 0) if include_current else spec.rowsBetween(-n, -1)
     for c in cols:
-        rows = rows.withColumn(
-            c + suffix, F.when(F.count(F.col(c)).over(frame) >= min_rows, F.avg(F.col(c)).over(frame)))
+        cnt = F.count(F.col(c)).over(frame)
+        if scale is None:
+            mean = F.avg(F.col(c)).over(frame)
+        else:
+            units = F.round(F.col(c) * F.lit(10.0 ** scale)).cast("long")
+            mean = F.sum(units).over(frame).cast("double") / cnt.cast("double") / F.lit(10.0 ** scale)
+        rows = rows.withColumn(c + suffix, F.when(cnt >= min_rows, mean))
     return own_rows(rows)
 
 

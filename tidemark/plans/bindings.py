@@ -91,9 +91,9 @@ def pred(spark, sf_dir) -> DataFrame:
     from ..operators.series import lags, rolling_mean
     m = mkt(spark, sf_dir).select("token", "ts", "price")
     a = lags(m, "token", "ts", "price", [1], prefix="_a")
-    b = rolling_mean(a, "token", "ts", ["price"], 24, include_current=False, suffix="_b")
+    b = rolling_mean(a, "token", "ts", ["price"], 24, include_current=False, suffix="_b", scale=6)
     wide = b.select("token", "ts", F.col("price").alias("actual"),
-                    F.round("_a1", 6).alias("model_a"), F.round("price_b", 6).alias("model_b"))
+                    F.col("_a1").alias("model_a"), F.col("price_b").alias("model_b"))
     return wide.select("token", "ts", "actual", F.expr(
         "stack(2, 'model_a', model_a, 'model_b', model_b) AS (model, prediction)"))
 
@@ -154,8 +154,10 @@ CTES = {
     "kw": (f"SELECT * FROM (VALUES {KW_SQL_ROWS}) AS t(tag, keyword)", []),
     "lex": (f"SELECT * FROM (VALUES {LEX_SQL_ROWS}) AS t(word, weight)", []),
     "pred_wide": ("""SELECT token, ts, price AS actual,
-        round(lag(price, 1) OVER w, 6) AS model_a,
-        round(CASE WHEN count(price) OVER w24 >= 24 THEN avg(price) OVER w24 END, 6) AS model_b
+        lag(price, 1) OVER w AS model_a,
+        CASE WHEN count(price) OVER w24 >= 24 THEN
+          CAST(sum(CAST(round(price * 1000000.0) AS BIGINT)) OVER w24 AS DOUBLE)
+          / CAST(count(price) OVER w24 AS DOUBLE) / 1000000.0 END AS model_b
         FROM mkt WINDOW w AS (PARTITION BY token ORDER BY ts),
         w24 AS (PARTITION BY token ORDER BY ts ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)""", ["mkt"]),
     "pred": ("""SELECT token, ts, actual, 'model_a' AS model, model_a AS prediction FROM pred_wide

@@ -38,6 +38,8 @@ def feature_table(market: DataFrame, daily: DataFrame | None, hourly_sent: DataF
     if daily is not None and daily_cols:
         dh = daily_to_hourly(daily, key, day_col, list(daily_cols), ts)
         base = base.join(dh.drop(*[c for c in dh.columns if c in mcols]), [key, ts], "left")
+    if "count_total" in hourly_sent.columns:
+        hourly_sent = hourly_sent.withColumnRenamed("count_total", "total_count")
     hs = hourly_sent.select(key, ts, *SENT_COLS)
     out = left_fill(base, hs, [key, ts], SENT_COLS)
     ds = daily_sent.select(key, "date", *SENT_COLS)

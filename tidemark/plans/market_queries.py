@@ -173,18 +173,18 @@ def _day_holes(spark, sf):
     return B.day(spark, sf).filter(F.dayofmonth("d") % 3 != 1)
 
 
-@register("interpolate", with_ctes(["day_hourly"], "SELECT token, ts, round(metric, 6) AS metric FROM day_hourly"))
+@register("interpolate", with_ctes(["day_hourly"], "SELECT token, ts, metric FROM day_hourly"))
 def q_interpolate(spark, sf):
     dh = daily_to_hourly(_day_holes(spark, sf), "token", "d", ["metric"])
-    return dh.select("token", "ts", _r("metric").alias("metric"))
+    return dh.select("token", "ts", "metric")
 
 
 @register("hour_day_join", with_ctes(["mkt", "day_hourly"], """SELECT m.token, m.ts, m.price, m.volume, m.n,
-    round(h.metric, 6) AS metric FROM mkt m LEFT JOIN day_hourly h ON m.token = h.token AND m.ts = h.ts
+    h.metric FROM mkt m LEFT JOIN day_hourly h ON m.token = h.token AND m.ts = h.ts
     WHERE m.price IS NOT NULL"""))
 def q_hour_day_join(spark, sf):
     out = hour_day_table(B.mkt(spark, sf), _day_holes(spark, sf), "token", "d", ["metric"])
-    return out.select("token", "ts", "price", "volume", "n", _r("metric").alias("metric"))
+    return out.select("token", "ts", "price", "volume", "n", "metric")
 
 
 # ------------------------------------------------------------- row windows
@@ -212,7 +212,7 @@ N_LAGS = 500
 
 
 @register("lag_features", with_ctes(["mkt"], f"""SELECT token, ts, price, {N_LAGS} AS n_lags,
-    array_to_string(list_transform(list_reverse(lg), x -> CAST(CAST(x AS DECIMAL(18, 6)) AS VARCHAR)), ',') AS lags
+    array_to_string(list_transform(list_reverse(lg), lambda x: CAST(CAST(x AS DECIMAL(18, 6)) AS VARCHAR)), ',') AS lags
     FROM (SELECT token, ts, price, count(*) OVER w AS c, count(price) OVER w AS cn, list(price) OVER w AS lg
           FROM mkt WINDOW w AS (PARTITION BY token ORDER BY ts ROWS BETWEEN {N_LAGS} PRECEDING AND 1 PRECEDING))
     WHERE c = {N_LAGS} AND cn = {N_LAGS}"""))
@@ -280,13 +280,16 @@ def q_corr_base(spark, sf):
     return out.select("token", "base", _r("r").alias("r"), "best")
 
 
-@register("base_price", with_ctes(["mkt"], """WITH c AS (
-    SELECT o.token, bs.token AS base, corr(o.price, bs.price) AS r FROM mkt o JOIN mkt bs ON o.ts = bs.ts
-    WHERE o.token NOT IN ('T0', 'T1') AND bs.token IN ('T0', 'T1') GROUP BY 1, 2),
-  best AS (SELECT token, arg_max(base, (r IS NOT NULL, coalesce(r, 0.0), -(CASE base WHEN 'T0' THEN 0 ELSE 1 END)))
-           AS base FROM c GROUP BY token)
-  SELECT m.token, m.ts, m.price, b.base, bp.price AS base_price FROM mkt m
-  LEFT JOIN best b ON m.token = b.token
+B.add_cte("base_corr", """SELECT o.token, bs.token AS base, corr(o.price, bs.price) AS r
+    FROM mkt o JOIN mkt bs ON o.ts = bs.ts
+    WHERE o.token NOT IN ('T0', 'T1') AND bs.token IN ('T0', 'T1') GROUP BY 1, 2""", ["mkt"])
+B.add_cte("base_best", """SELECT token, arg_max(base, (r IS NOT NULL, coalesce(r, 0.0),
+    -(CASE base WHEN 'T0' THEN 0 ELSE 1 END))) AS base FROM base_corr GROUP BY token""", ["base_corr"])
+
+
+@register("base_price", with_ctes(["mkt", "base_best"], """SELECT m.token, m.ts, m.price, b.base,
+    bp.price AS base_price FROM mkt m
+  LEFT JOIN base_best b ON m.token = b.token
   LEFT JOIN mkt bp ON bp.token = b.base AND bp.ts = m.ts
   WHERE b.base IS NULL OR bp.price IS NOT NULL"""))
 def q_base_price(spark, sf):
@@ -327,11 +330,11 @@ def q_label_pivot(spark, sf):
 B.add_cte("sent_hourly", """SELECT ts, upper(token) AS token,
     count(*) FILTER (WHERE label = -1) AS count_negative, count(*) FILTER (WHERE label = 1) AS count_positive,
     count(*) AS count_total,
-    count(*) FILTER (WHERE label = 1) * 100.0 / count(*) AS percentage_positive
+    CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS percentage_positive
     FROM sent WHERE label IN (-1, 1) AND token IS NOT NULL GROUP BY ts, upper(token)""", ["sent"])
 B.add_cte("sent_daily", """SELECT CAST(ts AS DATE) AS date, upper(token) AS token,
     count(*) FILTER (WHERE label = 1) AS count_positive, count(*) FILTER (WHERE label = -1) AS count_negative,
-    count(*) AS total_count, count(*) FILTER (WHERE label = 1) * 100.0 / count(*) AS percentage_positive
+    count(*) AS total_count, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS percentage_positive
     FROM sent WHERE label IN (-1, 1) AND token IS NOT NULL GROUP BY 1, 2""", ["sent"])
 
 
@@ -437,15 +440,14 @@ def q_outer_metrics(spark, sf):
 def q_day_windows(spark, sf):
     s = B.sent(spark, sf).withColumn("d", F.to_date("ts"))
     b = s.groupBy("token").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    w = b.select("token", F.inline(day_windows("lo", "hi", window_days=1, step_days=2)))
-    # each item falls in at most one window (window 1 day, step 2): equi-join on the window start
-    items = (s.filter(F.col("label").isNotNull())
-             .withColumn("win_start", F.date_sub("d", F.datediff("d", F.lit("1970-01-01")) % 2))
-             .groupBy("token", "win_start").agg(F.count(F.lit(1)).alias("n_items")))
-    # window starts are aligned on the token's first day: shift per token
-    w = w.withColumn("_par", F.datediff("win_start", F.lit("1970-01-01")) % 2)
-    out = w.join(items.withColumn("_par", F.datediff("win_start", F.lit("1970-01-01")) % 2),
-                 ["token", "win_start", "_par"], "left")
+    w = b.select("token", "lo", F.inline(day_windows("lo", "hi", window_days=1, step_days=2)))
+    # window k covers day lo + 2k only (1 day long, every 2 days): an item maps to
+    # at most one window by arithmetic, so the count is an equi-join on the start
+    items = (s.filter(F.col("label").isNotNull()).join(b.select("token", "lo"), ["token"])
+             .withColumn("_off", F.datediff("d", "lo"))
+             .filter(F.col("_off") % 2 == 0)
+             .groupBy("token", F.col("d").alias("win_start")).agg(F.count(F.lit(1)).alias("n_items")))
+    out = w.join(items, ["token", "win_start"], "left")
     return out.select("token", "win_start", "win_end",
                       F.coalesce(F.col("n_items"), F.lit(0)).cast("long").alias("n_items"))
 
@@ -487,11 +489,10 @@ B.add_cte("ens", """SELECT token, ts, actual, model_a, model_b, (model_a + model
     FROM pred_wide""", ["pred_wide"])
 
 
-@register("ensemble", with_ctes(["ens"], """SELECT token, ts, actual, model_a, model_b,
-    round(ensemble, 6) AS ensemble FROM ens"""))
+@register("ensemble", with_ctes(["ens"], """SELECT token, ts, actual, model_a, model_b, ensemble FROM ens"""))
 def q_ensemble(spark, sf):
     out = ensemble(B.pred(spark, sf), ["model_a", "model_b"])
-    return out.select("token", "ts", "actual", "model_a", "model_b", _r("ensemble").alias("ensemble"))
+    return out.select("token", "ts", "actual", "model_a", "model_b", "ensemble")
 
 
 @register("error_metrics", with_ctes(["ens"], """SELECT token, model, count(*) AS n,
@@ -517,9 +518,9 @@ def q_coalesce(spark, sf):
     from ..operators.series import lags, rolling_mean
     m = B.mkt(spark, sf).select("token", "ts", "price")
     w = rolling_mean(lags(m, "token", "ts", "price", [1], prefix="_a"), "token", "ts", ["price"], 24,
-                     include_current=False, suffix="_b")
+                     include_current=False, suffix="_b", scale=6)
     p = w.select(F.lit("pred").alias("src"), F.col("token").alias("id"), "ts",
-                 coalesce_cols(F.round("price_b", 6), F.round("_a1", 6)).alias("value"),
+                 coalesce_cols("price_b", "_a1").alias("value"),
                  F.lit(None).cast("string").alias("author"))
     t = B.thr(spark, sf).select(F.lit("thr").alias("src"),
                                 F.concat_ws(":", F.col("submission_id").cast("string"),
@@ -530,7 +531,7 @@ def q_coalesce(spark, sf):
 
 
 # ------------------------------------------------------------- E7 flagship
-B.add_cte("ft_base", """SELECT g.token, g.ts, g.price, g.volume, g.n, round(dh.metric, 6) AS metric,
+B.add_cte("ft_base", """SELECT g.token, g.ts, g.price, g.volume, g.n, dh.metric AS metric,
     coalesce(sh.count_positive, 0) AS count_positive, coalesce(sh.count_negative, 0) AS count_negative,
     coalesce(sh.percentage_positive, 0) AS percentage_positive, coalesce(sh.count_total, 0) AS total_count,
     coalesce(sd.count_positive, 0) AS count_positive_news, coalesce(sd.count_negative, 0) AS count_negative_news,
@@ -567,7 +568,7 @@ def build_feature_table(spark, sf):
     ft = feature_table(B.mkt(spark, sf), _day_holes(spark, sf).select("token", "d", "metric"),
                        sentiment_hourly(sent), sentiment_daily(sent),
                        daily_cols=["metric"])
-    return ft.select("token", "ts", "price", "volume", "n", _r("metric").alias("metric"),
+    return ft.select("token", "ts", "price", "volume", "n", "metric",
                      "count_positive", "count_negative", _r("percentage_positive").alias("percentage_positive"),
                      "total_count", "count_positive_news", "count_negative_news",
                      _r("percentage_positive_news").alias("percentage_positive_news"), "total_count_news")
