@@ -85,3 +85,7 @@ WORD_CLASS = r"\p{L}\p{N}_"
 URL_PATTERN = r"http\S+"
 SYMBOL_PATTERN = "[^" + WORD_CLASS + WS_CLASS + "]"
 SPLIT_PATTERN = "[" + WS_CLASS + "]+"
+
+# --- fixed values: test search list (single and multi-word) ---------------------
+TEST_SEARCH_KEYWORDS = ["ing", "ther", "ble", "tion", "thon", "thth", "thre",
+                        "eriner thanea", "attion to", "de la"]

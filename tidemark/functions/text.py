@@ -45,30 +45,26 @@ def text_pieces(c) -> Column:
     dropped). Used for word-bounded keyword search."""
     pieces = F.regexp_extract_all(F.lower(_col(c)),
                                   F.lit(f"[{WORD_CLASS}]+|[^{WORD_CLASS}]+"), 0)
-    first_is_sep = F.element_at(pieces, 1).rlike(f"^[^{WORD_CLASS}]")
+    first_is_sep = F.try_element_at(pieces, F.lit(1)).rlike(f"^[^{WORD_CLASS}]")
     return F.when(F.size(pieces) == 0, pieces).when(
         first_is_sep, F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
     ).otherwise(pieces)
 
 
-def _ngram_filter(pieces: Column, span: int):
-    return lambda i: i + (span - 1) <= F.size(pieces)
-
-
-def _ngram_join(pieces: Column, span: int):
-    return lambda i: F.array_join(F.slice(pieces, i, span), "")
-
-
-def word_ngrams(pieces: Column, max_n: int = 4) -> Column:
-    """All word n-grams (1..max_n words) of a piece array from :func:`text_pieces`,
-    each n-gram keeping the exact separators between its words. A keyword
-    ``k`` occurs in the text with word bounds on both sides iff ``k`` is one of
-    these strings."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1)), F.lit(2))
-    per_n = [F.transform(F.filter(starts, _ngram_filter(pieces, 2 * n - 1)),
-                         _ngram_join(pieces, 2 * n - 1))
-             for n in range(1, max_n + 1)]
-    return F.flatten(F.array(*per_n))
+def word_ngrams(c, max_n: int = 4) -> Column:
+    """All word n-grams (1..max_n words) of the lower-cased text, each keeping
+    the exact separators between its words. A keyword ``k`` occurs in the text
+    with word bounds on both sides iff ``k`` is one of these strings.
+
+    One regex scan per n: a capturing lookahead anchored at each word start
+    yields overlapping matches; no per-element lambda over the text."""
+    low = F.lower(_col(c))
+    w, nw = f"[{WORD_CLASS}]", f"[^{WORD_CLASS}]"
+    parts = [F.regexp_extract_all(low, F.lit(f"{w}+"), 0)]
+    for n in range(2, max_n + 1):
+        pat = f"(?<!{w})(?=((?:{w}+{nw}+){{{n - 1}}}{w}+))"
+        parts.append(F.regexp_extract_all(low, F.lit(pat), 1))
+    return F.concat(*parts)
 
 
 def concat_text(*cols) -> Column:
