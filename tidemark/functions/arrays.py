@@ -24,8 +24,8 @@ def union_tokens(a, b) -> Column:
 
 def generalise_tokens(c, general: Iterable[str], tag: str = "general") -> Column:
     """Every token in ``general`` becomes ``tag``; dedupe, drop empties, sort."""
-    g = F.array(*[F.lit(w) for w in sorted(set(general))])
-    mapped = F.transform(_col(c), lambda t: F.when(F.array_contains(g, t), F.lit(tag)).otherwise(t))
+    g = sorted(set(general))
+    mapped = F.transform(_col(c), lambda t: F.when(t.isin(g), F.lit(tag)).otherwise(t))
     return F.array_sort(F.array_distinct(F.filter(mapped, lambda x: x.isNotNull() & (x != F.lit("")))))
 
 

@@ -29,8 +29,9 @@ def words(c, stopwords: Iterable[str] | None = STOPWORDS_EN) -> Column:
     s = F.regexp_replace(s, SYMBOL_PATTERN, "")
     parts = F.split(F.lower(s), SPLIT_PATTERN)
     if stopwords:
-        sw = _lit_array(sorted(set(stopwords)))
-        return F.filter(parts, lambda w: (w != F.lit("")) & ~F.array_contains(sw, w))
+        # many literals -> Catalyst plans a hash-set lookup (InSet), not a scan
+        sw = sorted(set(stopwords))
+        return F.filter(parts, lambda w: (w != F.lit("")) & ~w.isin(sw))
     return F.filter(parts, lambda w: w != F.lit(""))
 
 
@@ -51,18 +52,27 @@ def text_pieces(c) -> Column:
     ).otherwise(pieces)
 
 
-def word_ngrams(c, max_n: int = 4) -> Column:
-    """All word n-grams (1..max_n words) of the lower-cased text, each keeping
-    the exact separators between its words. A keyword ``k`` occurs in the text
+def _word_count(k: str) -> int:
+    import re
+    return max(1, len(re.findall(r"\w+", k)))
+
+
+def word_ngrams(c, max_n: int = 4, first_words: Iterable[str] | None = None) -> Column:
+    """Word n-grams (1..max_n words) of the lower-cased text, each keeping the
+    exact separators between its words. A keyword ``k`` occurs in the text
     with word bounds on both sides iff ``k`` is one of these strings.
 
     One regex scan per n: a capturing lookahead anchored at each word start
-    yields overlapping matches; no per-element lambda over the text."""
+    yields overlapping matches; no per-element lambda over the text. With
+    ``first_words`` the n >= 2 scans only start at those words."""
     low = F.lower(_col(c))
     w, nw = f"[{WORD_CLASS}]", f"[^{WORD_CLASS}]"
     parts = [F.regexp_extract_all(low, F.lit(f"{w}+"), 0)]
+    start = w + "+"
+    if first_words:
+        start = "(?:" + "|".join("\\Q" + x + "\\E" for x in sorted(set(first_words), key=lambda x: -len(x))) + ")"
     for n in range(2, max_n + 1):
-        pat = f"(?<!{w})(?=((?:{w}+{nw}+){{{n - 1}}}{w}+))"
+        pat = f"(?<!{w})(?=({start}(?:{nw}+{w}+){{{n - 1}}}))"
         parts.append(F.regexp_extract_all(low, F.lit(pat), 1))
     return F.concat(*parts)
 

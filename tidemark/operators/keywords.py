@@ -11,7 +11,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import word_ngrams, words as clean_words
+import re
+
+from ..functions.text import _word_count, word_ngrams, words as clean_words
 
 # Dictionaries up to this many entries become plan constants.
 MAX_LITERAL_ENTRIES = 5000
@@ -66,9 +68,11 @@ def _join_path(df: DataFrame, id_col: str, items: Column, table: DataFrame, out:
 
 
 def tags_of_words(word_array: Column, rows) -> Column:
-    """Sorted distinct tags of the words that are dictionary keywords."""
+    """Sorted distinct tags of the words that are dictionary keywords. The
+    membership test is a hash-set lookup (InSet); only hits read the map."""
     m = _tag_map(rows)
-    hit = F.filter(word_array, lambda w: F.map_contains_key(m, w))
+    keys = sorted({k for _, k in rows})
+    hit = F.filter(word_array, lambda w: w.isin(keys))
     return F.array_sort(F.array_distinct(F.flatten(F.transform(hit, lambda w: F.try_element_at(m, w)))))
 
 
@@ -95,13 +99,16 @@ def find_keywords(df: DataFrame, c: str, keywords, out: str = "words_found",
     bounds on both sides, case ignored, separators inside a keyword must
     match exactly). ``out`` = sorted array of the keywords found, ``one`` =
     the first of them (null when none)."""
-    grams = word_ngrams(F.col(c), max_words)
     rows, table = _as_rows(keywords)
     if rows is not None:
         kws = sorted({k for _, k in rows})
-        found = F.array_sort(F.array_intersect(grams, F.array(*[F.lit(k) for k in kws])))
+        n_max = min(max_words, max(_word_count(k) for k in kws))
+        firsts = {re.findall(r"\w+", k)[0] for k in kws if _word_count(k) > 1}
+        grams = word_ngrams(F.col(c), n_max, firsts if 0 < len(firsts) <= 200 else None)
+        found = F.array_sort(F.array_distinct(F.filter(grams, lambda g: g.isin(kws))))
         out_df = df.withColumn(out, F.when(F.col(c).isNotNull(), found))
     else:
+        grams = word_ngrams(F.col(c), max_words)
         if id_col is None:
             raise ValueError("a large dictionary needs id_col for the join path")
         t = table.select(F.lower("keyword").alias("keyword")).distinct().withColumn("tag", F.col("keyword"))
@@ -111,9 +118,16 @@ def find_keywords(df: DataFrame, c: str, keywords, out: str = "words_found",
 
 def kw_filter(df: DataFrame, c: str, keywords, id_col: str | None = None,
               max_words: int = 4) -> DataFrame:
-    """rows whose text has at least one keyword as whole words."""
-    return find_keywords(df, c, keywords, id_col=id_col, max_words=max_words).filter(
-        F.size("words_found") > 0)
+    """rows whose text has at least one keyword as whole words.
+
+    The search result is produced through a one-row ``inline`` (a Generate):
+    a filter on a generated column is not pushed below it, so the search runs
+    once per row instead of once for the filter and once for the output."""
+    found = find_keywords(df, c, keywords, id_col=id_col, max_words=max_words)
+    cols = [x for x in found.columns if x not in ("words_found", "word_found")]
+    g = found.select(*cols, F.inline(F.array(F.struct(F.col("words_found").alias("words_found"),
+                                                      F.col("word_found").alias("word_found")))))
+    return g.filter(F.size("words_found") > 0)
 
 
 def lexicon_score(word_array: Column, lexicon: Mapping[str, float]) -> Column:
@@ -121,7 +135,7 @@ def lexicon_score(word_array: Column, lexicon: Mapping[str, float]) -> Column:
     keys = sorted(lexicon)
     m = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
                           F.array(*[F.lit(float(lexicon[k])) for k in keys]))
-    weights = F.transform(F.filter(word_array, lambda w: F.map_contains_key(m, w)),
+    weights = F.transform(F.filter(word_array, lambda w: w.isin(keys)),
                           lambda w: F.try_element_at(m, w))
     return F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
 

@@ -24,24 +24,51 @@ def _token_of_user() -> F.Column:
     return F.concat(F.lit("T"), (F.col("user_id") % N_TOKENS).cast("string"))
 
 
-# ---------------------------------------------------------------- MKT ---------
-def mkt(spark, sf_dir) -> DataFrame:
-    """Hourly market series per token: price, volume, n."""
+# ---------------------------------------------------------------- base --------
+def events_base(spark, sf_dir) -> DataFrame:
+    """The one pass over the raw events every market-side binding derives from:
+    per (token, hour, label) the exact sum of values in cents and the count.
+    A hot token costs one partial row per task (map-side aggregation)."""
     ev = read(spark, sf_dir, "events")
-    return (ev.select(_token_of_user().alias("token"), F.date_trunc("hour", "ts").alias("ts"), "value")
-            .groupBy("token", "ts")
-            .agg(F.round(F.avg("value"), 6).alias("price"),
-                 F.round(F.sum("value"), 6).alias("volume"),
-                 F.count(F.lit(1)).alias("n")))
+    return (ev.select(_token_of_user().alias("token"), F.date_trunc("hour", "ts").alias("ts"),
+                      _label().alias("label"),
+                      F.round(F.col("value") * F.lit(100.0)).cast("long").alias("_c"))
+            .groupBy("token", "ts", "label")
+            .agg(F.sum("_c").alias("cents"), F.count(F.lit(1)).alias("n")))
+
+
+def _label() -> F.Column:
+    return (F.when(F.col("event_type").isin("purchase", "signup"), F.lit(1))
+            .when(F.col("event_type") == "error", F.lit(-1)))
+
+
+def micro_mean(cents: str, n: str) -> F.Column:
+    """cents / n / 100 rounded half-up to 6 places, in exact integer arithmetic
+    (same value on any engine and plan), returned as a double."""
+    return F.expr(f"CAST(((2 * {cents} * 10000 + {n}) div (2 * {n})) AS DOUBLE) / 1000000.0")
+
+
+# ---------------------------------------------------------------- MKT ---------
+def mkt(spark, sf_dir, base: DataFrame | None = None) -> DataFrame:
+    """Hourly market series per token: price (mean value), volume (sum), n."""
+    b = base if base is not None else events_base(spark, sf_dir)
+    g = b.groupBy("token", "ts").agg(F.sum("cents").alias("_c"), F.sum("n").alias("n"))
+    return g.select("token", "ts", micro_mean("_c", "n").alias("price"),
+                    (F.col("_c").cast("double") / F.lit(100.0)).alias("volume"), "n")
 
 
 # ---------------------------------------------------------------- DAY ---------
-def day(spark, sf_dir) -> DataFrame:
+def day(spark, sf_dir, base: DataFrame | None = None) -> DataFrame:
     """Daily series per token: d, metric (mean value), n_day."""
-    ev = read(spark, sf_dir, "events")
-    return (ev.select(_token_of_user().alias("token"), F.to_date("ts").alias("d"), "value")
-            .groupBy("token", "d")
-            .agg(F.round(F.avg("value"), 6).alias("metric"), F.count(F.lit(1)).alias("n_day")))
+    b = base if base is not None else events_base(spark, sf_dir)
+    g = (b.groupBy("token", F.to_date("ts").alias("d"))
+         .agg(F.sum("cents").alias("_c"), F.sum("n").alias("n_day")))
+    return g.select("token", "d", micro_mean("_c", "n_day").alias("metric"), "n_day")
+
+
+def sent_counts(base: DataFrame) -> DataFrame:
+    """Labelled counts per (ts, token, label) from the base rollup."""
+    return base.filter(F.col("label").isNotNull()).select("ts", "token", "label", "n")
 
 
 def day_metric_long(spark, sf_dir) -> DataFrame:
@@ -57,11 +84,9 @@ def day_metric_long(spark, sf_dir) -> DataFrame:
 def sent(spark, sf_dir) -> DataFrame:
     """Labelled items: purchase/signup = 1, error = -1, view/click unlabelled."""
     ev = read(spark, sf_dir, "events")
-    label = (F.when(F.col("event_type").isin("purchase", "signup"), F.lit(1))
-             .when(F.col("event_type") == "error", F.lit(-1)))
     return ev.select("event_id", _token_of_user().alias("token"),
                      F.date_trunc("hour", "ts").alias("ts"), F.col("ts").alias("event_ts"),
-                     label.alias("label"))
+                     _label().alias("label"))
 
 
 # ---------------------------------------------------------------- THR ---------
@@ -134,11 +159,15 @@ KW_SQL_ROWS = ", ".join(
 LEX_SQL_ROWS = ", ".join(f"('{w}', {v})" for w, v in TEST_LEXICON.items())
 
 CTES = {
-    "mkt": ("""SELECT 'T' || CAST(user_id % 8 AS VARCHAR) AS token, date_trunc('hour', ts) AS ts,
-        round(avg(value), 6) AS price, round(sum(value), 6) AS volume, count(*) AS n
-        FROM events GROUP BY 1, 2""", []),
-    "day": ("""SELECT 'T' || CAST(user_id % 8 AS VARCHAR) AS token, CAST(ts AS DATE) AS d,
-        round(avg(value), 6) AS metric, count(*) AS n_day FROM events GROUP BY 1, 2""", []),
+    "mkt": ("""SELECT token, ts, CAST((2 * c * 10000 + n) // (2 * n) AS DOUBLE) / 1000000.0 AS price,
+        CAST(c AS DOUBLE) / 100.0 AS volume, n FROM (
+        SELECT 'T' || CAST(user_id % 8 AS VARCHAR) AS token, date_trunc('hour', ts) AS ts,
+        CAST(sum(CAST(round(value * 100.0) AS BIGINT)) AS BIGINT) AS c, count(*) AS n
+        FROM events GROUP BY 1, 2)""", []),
+    "day": ("""SELECT token, d, CAST((2 * c * 10000 + n_day) // (2 * n_day) AS DOUBLE) / 1000000.0 AS metric,
+        n_day FROM (SELECT 'T' || CAST(user_id % 8 AS VARCHAR) AS token, CAST(ts AS DATE) AS d,
+        CAST(sum(CAST(round(value * 100.0) AS BIGINT)) AS BIGINT) AS c, count(*) AS n_day
+        FROM events GROUP BY 1, 2)""", []),
     "metric_long": ("""SELECT CAST(ts AS DATE) AS d, 'T' || CAST(user_id % 8 AS VARCHAR) AS token,
         event_type AS metric, round(avg(value), 6) AS value FROM events GROUP BY 1, 2, 3""", []),
     "sent": ("""SELECT event_id, 'T' || CAST(user_id % 8 AS VARCHAR) AS token,

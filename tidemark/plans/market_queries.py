@@ -564,9 +564,12 @@ FT_SQL = with_ctes(["ft_masked"], """SELECT token, ts,
 
 
 def build_feature_table(spark, sf):
-    sent = B.sent(spark, sf)
-    ft = feature_table(B.mkt(spark, sf), _day_holes(spark, sf).select("token", "d", "metric"),
-                       sentiment_hourly(sent), sentiment_daily(sent),
+    # one pass over the raw events; every input below derives from it
+    base = B.events_base(spark, sf)
+    sc = B.sent_counts(base)
+    holes = B.day(spark, sf, base).filter(F.dayofmonth("d") % 3 != 1)
+    ft = feature_table(B.mkt(spark, sf, base), holes.select("token", "d", "metric"),
+                       sentiment_hourly(sc, count_col="n"), sentiment_daily(sc, count_col="n"),
                        daily_cols=["metric"])
     return ft.select("token", "ts", "price", "volume", "n", "metric",
                      "count_positive", "count_negative", _r("percentage_positive").alias("percentage_positive"),
