@@ -70,14 +70,16 @@ def test_ar_recursion_fixture(spark):
 
 
 def test_ar_fit_recovers_ar1(spark):
+    import random
+    rnd = random.Random(7)
     vals, x = [], 10.0
-    for i in range(300):
-        x = 2.0 + 0.8 * x + (0.01 if i % 2 else -0.01)
+    for _ in range(400):
+        x = 2.0 + 0.8 * x + rnd.gauss(0.0, 1.0)
         vals.append(x)
     rows = [("A", T0 + dt.timedelta(hours=i), v) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "token string, ts timestamp, price double")
     coef = ar_fit(df, "token", "ts", "price", 1).first()["coef"]
-    assert coef[1] == pytest.approx(0.8, abs=0.02) and coef[0] == pytest.approx(2.0, abs=0.3)
+    assert coef[1] == pytest.approx(0.8, abs=0.06) and coef[0] == pytest.approx(2.0, abs=0.6)
     fc = ar_forecast(df, "token", "ts", "price", 1, 5).orderBy("step").collect()
     assert len(fc) == 5 and fc[0]["ts"] == rows[-1][1] + dt.timedelta(hours=1)
     assert fc[0]["prediction"] == pytest.approx(coef[0] + coef[1] * vals[-1])

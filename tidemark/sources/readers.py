@@ -50,7 +50,10 @@ def read_tweets(spark: SparkSession, path: str, recursive: bool = True,
     # a corrupt-record column must be materialised before it is filtered on
     raw = raw.select("data", "id", "created_at", "text", "user", "_corrupt_record", "source_file")
     bad = F.col("_corrupt_record").isNotNull()
-    rejects = raw.filter(bad).select(F.col("_corrupt_record").alias("line"), "source_file")
+    # a broken line has every data field null; testing one keeps the scan from
+    # asking for the corrupt-record column alone (which Spark refuses)
+    rejects = raw.filter(bad & F.col("id").isNull()).select(F.col("_corrupt_record").alias("line"),
+                                                            "source_file")
     good = raw.filter(~bad).select(
         F.coalesce(F.col("data.id"), F.col("id")).alias("tweet_id"),
         F.coalesce(F.col("data.author_id"), F.col("user.id")).alias("author_id"),
