@@ -160,3 +160,9 @@ def test_plan_has_no_python_udf(spark):
     df = frame(spark, hours([1.0, None, 3.0]))
     plan = S.fill_both(df, "token", "ts", ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_future_from_last(spark):
+    df = frame(spark, hours([1.0, 2.0, 3.0, 4.0]))
+    out = S.future_from_last(df, "token", "ts", 2).orderBy("ts").collect()
+    assert [(r["ts"], r["v"]) for r in out] == [(T0 + dt.timedelta(hours=4), 3.0), (T0 + dt.timedelta(hours=5), 4.0)]

@@ -39,3 +39,12 @@ def mean_of(*cols) -> Column:
 def percentage(part, total) -> Column:
     """M1: part / total * 100; null (no error) when total is 0 or null."""
     return F.try_divide(_col(part).cast("double"), _col(total).cast("double")) * F.lit(100.0)
+
+
+def noise_factor(key_col, scales: dict, default_scale: float, seed: int = 42) -> Column:
+    """M4: multiplicative noise 1 + s * N(0, 1), ``s`` per key (e.g. 0.025 for
+    one token, 0.05 for the rest). Seeded; callers leave it off by default."""
+    s = F.lit(float(default_scale))
+    for k, v in scales.items():
+        s = F.when(_col(key_col) == F.lit(k), F.lit(float(v))).otherwise(s)
+    return F.lit(1.0) + s * F.randn(seed)

@@ -38,6 +38,24 @@ def null_profile(df: DataFrame, key, cols: Sequence[str], max_null: float = 0.3)
             .withColumn("keep", F.col("null_fraction") <= F.lit(max_null)))
 
 
+def null_mask(df: DataFrame, key, cols: Sequence[str], max_null: float = 0.3) -> DataFrame:
+    """A12 in one aggregate: per key, column ``_k_{c}`` = null fraction of ``c``
+    <= max_null. Wide form, ready to join (one row per key)."""
+    keys = _keys(key)
+    n = F.count(F.lit(1))
+    return df.groupBy(*keys).agg(*[
+        ((n - F.count(F.col(c))) / n <= F.lit(max_null)).alias(f"_k_{c}") for c in cols])
+
+
+def apply_wide_mask(df: DataFrame, wide: DataFrame, key, cols: Sequence[str]) -> DataFrame:
+    """Null every (key, column) whose ``_k_{column}`` flag is false."""
+    keys = _keys(key)
+    out = df.join(wide, keys, "left")
+    for c in cols:
+        out = out.withColumn(c, F.when(F.coalesce(F.col(f"_k_{c}"), F.lit(True)), F.col(c)))
+    return out.drop(*[f"_k_{c}" for c in cols])
+
+
 def apply_mask(df: DataFrame, mask: DataFrame, key, cols: Sequence[str]) -> DataFrame:
     """Null every (key, column) the mask does not keep. The mask is one row per
     key and column; it is pivoted to one row per key and joined."""

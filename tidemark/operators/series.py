@@ -361,6 +361,15 @@ def last_n(df: DataFrame, key, ts: str, n: int, order: Sequence[str] = ()) -> Da
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def future_from_last(df: DataFrame, key, ts: str, n: int, step: str = "1 hour",
+                     order: Sequence[str] = ()) -> DataFrame:
+    """the last ``n`` rows of each key moved ``n`` steps ahead, as stand-in
+    feature rows for the next ``n`` steps of the grid (row i of the tail gives
+    step i). Built on L3's bounded top-n."""
+    tail = last_n(df, key, ts, n, order)
+    return tail.withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {step}") * F.lit(n))
+
+
 # ----------------------------------------------------------------- scaling ---
 
 def minmax_scale(df: DataFrame, key, cols: Sequence[str] | str, suffix: str = "_scaled",

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import hour_day_join, left_fill, mixed_grain_join
-from ..operators.profile import apply_mask, null_profile
+from ..operators.profile import apply_wide_mask, null_mask
+from ..session import materialize
 from ..operators.series import fill_both, interpolate, resample_hourly
 
 SENT_COLS = ["count_positive", "count_negative", "percentage_positive", "total_count"]
@@ -25,7 +26,7 @@ def feature_table(market: DataFrame, daily: DataFrame | None, hourly_sent: DataF
                   daily_sent: DataFrame, key: str = "token", ts: str = "ts",
                   day_col: str = "d", daily_cols: Sequence[str] = (),
                   max_null: float = 0.3, fill_mode: str = "bfill_ffill",
-                  regular: bool = True) -> DataFrame:
+                  regular: bool = True, cut_lineage: bool = True) -> DataFrame:
     """One feature table per (token, hour).
 
     market (hourly) on a regular hourly grid (W6) <- daily metrics resampled and
@@ -45,8 +46,12 @@ def feature_table(market: DataFrame, daily: DataFrame | None, hourly_sent: DataF
     ds = daily_sent.select(key, "date", *SENT_COLS)
     out = mixed_grain_join(out, ds, key, ts, "date", "_news")
     value_cols = [c for c in out.columns if c not in (key, ts)]
-    mask = null_profile(out, key, value_cols, max_null)
-    out = apply_mask(out, mask, key, value_cols)
+    out = apply_wide_mask(out, null_mask(out, key, value_cols, max_null), key, value_cols)
+    if cut_lineage:
+        # the fill reads its input twice (segment counts, then rows): write the
+        # joined hourly table once to the shared checkpoint folder instead of
+        # recomputing grid, interpolation and joins
+        out = materialize(out, "feature_base")
     return fill_both(out, key, ts, mcols + list(daily_cols), fill_mode)
 
 
