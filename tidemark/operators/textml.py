@@ -26,7 +26,9 @@ def tfidf(df: DataFrame, id_col: str, c: str) -> DataFrame:
 
     Term counts are a grouped aggregate (partial aggregation first); document
     frequencies another; the (term) join of the two is skewed on common terms
-    and is left to AQE's skew-join split; the norm is a window per document."""
+    and is left to AQE (broadcast when the vocabulary is small, else a
+    skew-split join). The L2 norm is a per-document sum (map-side partial
+    sums) joined back, so the (doc, term) rows are not sorted by document."""
     t = df.select(id_col, F.explode(terms(c)).alias("term"))
     tf = t.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     n_docs = df.select(id_col).distinct().agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
@@ -34,8 +36,9 @@ def tfidf(df: DataFrame, id_col: str, c: str) -> DataFrame:
              .join(F.broadcast(n_docs), "_k").drop("_k"))
     idf = F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     w = tf.join(dfreq.withColumn("idf", idf), "term").withColumn("_raw", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(id_col)))
-    return w.withColumn("tfidf", F.col("_raw") / norm).select(id_col, "term", "tf", "df", "tfidf")
+    norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_norm"))
+    return (w.join(norms, id_col).withColumn("tfidf", F.col("_raw") / F.col("_norm"))
+            .select(id_col, "term", "tf", "df", "tfidf"))
 
 
 def hash_split(df: DataFrame, id_col: str, seed: int = 42, train_tenths: int = 8,
