@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..constants import TEST_KEYWORDS, TEST_GENERAL, TEST_LEXICON, STOPWORDS_EN
-from ..session import configure
+from ..session import configure, stored
 
 N_TOKENS = 8
 VOL_LO, VOL_HI = 225_000.0, 50_000_000.0
@@ -57,6 +57,16 @@ def mkt(spark, sf_dir, base: DataFrame | None = None) -> DataFrame:
                     (F.col("_c").cast("double") / F.lit(100.0)).alias("volume"), "n")
 
 
+def base_table(spark, sf_dir) -> DataFrame:
+    """The events rollup as a stored table: the only pass over raw events."""
+    return stored(spark, "events_base", sf_dir, lambda: events_base(spark, sf_dir))
+
+
+def mkt_table(spark, sf_dir) -> DataFrame:
+    """MKT as a stored table (built from the stored rollup; see session.stored)."""
+    return stored(spark, "mkt", sf_dir, lambda: mkt(spark, sf_dir, base_table(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------- DAY ---------
 def day(spark, sf_dir, base: DataFrame | None = None) -> DataFrame:
     """Daily series per token: d, metric (mean value), n_day."""
@@ -66,6 +76,11 @@ def day(spark, sf_dir, base: DataFrame | None = None) -> DataFrame:
     return g.select("token", "d", micro_mean("_c", "n_day").alias("metric"), "n_day")
 
 
+def day_table(spark, sf_dir) -> DataFrame:
+    """DAY as a stored table."""
+    return stored(spark, "day", sf_dir, lambda: day(spark, sf_dir, base_table(spark, sf_dir)))
+
+
 def sent_counts(base: DataFrame) -> DataFrame:
     """Labelled counts per (ts, token, label) from the base rollup."""
     return base.filter(F.col("label").isNotNull()).select("ts", "token", "label", "n")
@@ -114,7 +129,7 @@ def pred(spark, sf_dir) -> DataFrame:
     """Two naive models over MKT in long form (token, ts, model, prediction, actual):
     A = previous hour's price, B = mean of the 24 previous prices."""
     from ..operators.series import lags, rolling_mean
-    m = mkt(spark, sf_dir).select("token", "ts", "price")
+    m = mkt_table(spark, sf_dir).select("token", "ts", "price")
     a = lags(m, "token", "ts", "price", [1], prefix="_a")
     b = rolling_mean(a, "token", "ts", ["price"], 24, include_current=False, suffix="_b", scale=6)
     wide = b.select("token", "ts", F.col("price").alias("actual"),

@@ -37,7 +37,7 @@ B.add_cte("grid", """SELECT g.token, g.ts, m.price, m.volume, m.n FROM
 
 
 def _grid(spark, sf):
-    m = B.mkt(spark, sf)
+    m = B.mkt_table(spark, sf)
     return S.resample_hourly(m, "token", "ts", ["price", "volume", "n"])
 
 
@@ -49,13 +49,13 @@ def q_floor_hour(spark, sf):
 
 @register("filter_eq", with_ctes(["mkt"], "SELECT token, ts, price FROM mkt WHERE token = 'T3'"))
 def q_filter_eq(spark, sf):
-    return B.mkt(spark, sf).filter(F.col("token") == "T3").select("token", "ts", "price")
+    return B.mkt_table(spark, sf).filter(F.col("token") == "T3").select("token", "ts", "price")
 
 
 @register("filter_time", with_ctes(["mkt"],
           "SELECT token, ts, price FROM mkt WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'"))
 def q_filter_time(spark, sf):
-    return (B.mkt(spark, sf).filter(F.col("ts") >= F.lit("2024-01-15 00:00:00").cast("timestamp"))
+    return (B.mkt_table(spark, sf).filter(F.col("ts") >= F.lit("2024-01-15 00:00:00").cast("timestamp"))
             .select("token", "ts", "price"))
 
 
@@ -63,7 +63,7 @@ def q_filter_time(spark, sf):
     THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows, round(avg(price), 6) AS avg_price
     FROM mkt GROUP BY 1, 2"""))
 def q_time_split(spark, sf):
-    m = B.mkt(spark, sf)
+    m = B.mkt_table(spark, sf)
     part = F.when(F.col("ts") < F.lit("2024-01-24 00:00:00").cast("timestamp"), "train").otherwise("test")
     return (m.withColumn("part", part).groupBy("token", "part")
             .agg(F.count(F.lit(1)).alias("n_rows"), _r(F.avg("price")).alias("avg_price")))
@@ -75,7 +75,7 @@ WANTED = ["price", "active_addresses", "volume", "mvrv"]
 @register("project_existing", with_ctes(["mkt"], """SELECT token, ts, price, volume,
     CAST(NULL AS DOUBLE) AS active_addresses, CAST(NULL AS DOUBLE) AS mvrv FROM mkt"""))
 def q_project_existing(spark, sf):
-    m = B.mkt(spark, sf)
+    m = B.mkt_table(spark, sf)
     have = [c for c in WANTED if c in m.columns]
     missing = [c for c in WANTED if c not in m.columns]
     return m.select("token", "ts", *have, *[F.lit(None).cast("double").alias(c) for c in missing])
@@ -113,7 +113,7 @@ def q_null_profile(spark, sf):
     CAST(epoch(ts) - epoch(lag(ts) OVER (PARTITION BY token ORDER BY ts)) AS BIGINT) AS gap_seconds
     FROM mkt) WHERE gap_seconds > 3600"""))
 def q_gaps(spark, sf):
-    return S.gaps(B.mkt(spark, sf), "token", "ts", 3600)
+    return S.gaps(B.mkt_table(spark, sf), "token", "ts", 3600)
 
 
 @register("ffill", with_ctes(["grid"], """SELECT token, ts,
@@ -170,7 +170,7 @@ B.add_cte("day_hourly", """SELECT token, ts, CASE
 
 
 def _day_holes(spark, sf):
-    return B.day(spark, sf).filter(F.dayofmonth("d") % 3 != 1)
+    return B.day_table(spark, sf).filter(F.dayofmonth("d") % 3 != 1)
 
 
 @register("interpolate", with_ctes(["day_hourly"], "SELECT token, ts, metric FROM day_hourly"))
@@ -183,7 +183,7 @@ def q_interpolate(spark, sf):
     h.metric FROM mkt m LEFT JOIN day_hourly h ON m.token = h.token AND m.ts = h.ts
     WHERE m.price IS NOT NULL"""))
 def q_hour_day_join(spark, sf):
-    out = hour_day_table(B.mkt(spark, sf), _day_holes(spark, sf), "token", "d", ["metric"])
+    out = hour_day_table(B.mkt_table(spark, sf), _day_holes(spark, sf), "token", "d", ["metric"])
     return out.select("token", "ts", "price", "volume", "n", "metric")
 
 
@@ -192,7 +192,7 @@ def q_hour_day_join(spark, sf):
     round(CASE WHEN count(price) OVER w >= 336 THEN avg(price) OVER w END, 4) AS price_ma336
     FROM mkt WINDOW w AS (PARTITION BY token ORDER BY ts ROWS BETWEEN 335 PRECEDING AND CURRENT ROW)"""))
 def q_rolling336(spark, sf):
-    out = S.rolling_mean(B.mkt(spark, sf).select("token", "ts", "price"), "token", "ts", ["price"], 336)
+    out = S.rolling_mean(B.mkt_table(spark, sf).select("token", "ts", "price"), "token", "ts", ["price"], 336)
     return out.withColumn("price_ma336", _r("price_ma336", 4))
 
 
@@ -203,7 +203,7 @@ def q_rolling336(spark, sf):
     FROM mkt WINDOW w AS (PARTITION BY token ORDER BY ts),
     w7 AS (PARTITION BY token ORDER BY ts ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""))
 def q_rolling7(spark, sf):
-    out = S.rolling_diff(B.mkt(spark, sf).select("token", "ts", "price"), "token", "ts", "price", 7)
+    out = S.rolling_diff(B.mkt_table(spark, sf).select("token", "ts", "price"), "token", "ts", "price", 7)
     return out.select("token", "ts", "price", _r("price_ma7", 4).alias("price_ma7"),
                       _r("price_diff").alias("price_diff"))
 
@@ -217,7 +217,7 @@ N_LAGS = 500
           FROM mkt WINDOW w AS (PARTITION BY token ORDER BY ts ROWS BETWEEN {N_LAGS} PRECEDING AND 1 PRECEDING))
     WHERE c = {N_LAGS} AND cn = {N_LAGS}"""))
 def q_lag_features(spark, sf):
-    out = S.lag_array(B.mkt(spark, sf).select("token", "ts", "price"), "token", "ts", "price", N_LAGS)
+    out = S.lag_array(B.mkt_table(spark, sf).select("token", "ts", "price"), "token", "ts", "price", N_LAGS)
     out = out.filter(F.col("lags").isNotNull())
     txt = F.array_join(F.transform("lags", lambda x: x.cast("decimal(18,6)").cast("string")), ",")
     return out.select("token", "ts", "price", F.lit(N_LAGS).alias("n_lags"), txt.alias("lags"))
@@ -227,7 +227,7 @@ def q_lag_features(spark, sf):
     SELECT token, ts, price, row_number() OVER (PARTITION BY token ORDER BY ts DESC) AS rn FROM mkt)
     WHERE rn <= 31"""))
 def q_last_n(spark, sf):
-    return S.last_n(B.mkt(spark, sf).select("token", "ts", "price"), "token", "ts", 31)
+    return S.last_n(B.mkt_table(spark, sf).select("token", "ts", "price"), "token", "ts", 31)
 
 
 @register("minmax_scale", with_ctes(["mkt"], """SELECT token, ts, price,
@@ -238,7 +238,7 @@ def q_last_n(spark, sf):
           * (max(price) OVER t - min(price) OVER t) + min(price) OVER t, 6) AS price_back
     FROM mkt WINDOW t AS (PARTITION BY token)"""))
 def q_minmax(spark, sf):
-    out = S.minmax_scale(B.mkt(spark, sf).select("token", "ts", "price"), "token", ["price"])
+    out = S.minmax_scale(B.mkt_table(spark, sf).select("token", "ts", "price"), "token", ["price"])
     back = S.inverse_minmax("price_scaled", "price_min", "price_max")
     return out.select("token", "ts", "price", _r("price_scaled").alias("price_scaled"),
                       _r(back).alias("price_back"))
@@ -248,7 +248,7 @@ def q_minmax(spark, sf):
     last_ts + INTERVAL 1 HOUR, last_ts + INTERVAL 744 HOUR, INTERVAL 1 HOUR)) AS ts
     FROM (SELECT token, max(ts) AS last_ts FROM mkt GROUP BY token)"""))
 def q_future_grid(spark, sf):
-    last = B.mkt(spark, sf).groupBy("token").agg(F.max("ts").alias("_last"))
+    last = B.mkt_table(spark, sf).groupBy("token").agg(F.max("ts").alias("_last"))
     b = last.select("token", (F.col("_last") + F.expr("INTERVAL 1 HOUR")).alias("start"),
                     (F.col("_last") + F.expr("INTERVAL 744 HOURS")).alias("end"))
     return S.hourly_grid(b, "token", "start", "end", "ts")
@@ -256,7 +256,7 @@ def q_future_grid(spark, sf):
 
 @register("sequences")
 def q_sequences(spark, sf):
-    m = B.mkt(spark, sf).select("token", "ts", "price", "volume", "n")
+    m = B.mkt_table(spark, sf).select("token", "ts", "price", "volume", "n")
     lengths = spark.createDataFrame([(f"T{i}", L) for i, L in enumerate([24, 48, 72, 24, 48, 72, 24, 48])],
                                     "token string, seq_len int")
     out = S.sequences(m, "token", "ts", ["price", "volume", "n"], "price", "seq_len",
@@ -276,7 +276,7 @@ def q_sequences(spark, sf):
                  WHERE o.token NOT IN ('T0', 'T1') AND bs.token IN ('T0', 'T1') GROUP BY 1, 2) c
       ON c.token = k.token AND c.base = b.base))"""))
 def q_corr_base(spark, sf):
-    out = corr_base(B.mkt(spark, sf), "token", "ts", "price", ["T0", "T1"], "time")
+    out = corr_base(B.mkt_table(spark, sf), "token", "ts", "price", ["T0", "T1"], "time")
     return out.select("token", "base", _r("r").alias("r"), "best")
 
 
@@ -293,7 +293,7 @@ B.add_cte("base_best", """SELECT token, arg_max(base, (r IS NOT NULL, coalesce(r
   LEFT JOIN mkt bp ON bp.token = b.base AND bp.ts = m.ts
   WHERE b.base IS NULL OR bp.price IS NOT NULL"""))
 def q_base_price(spark, sf):
-    out = base_price(B.mkt(spark, sf).select("token", "ts", "price"), "token", "ts", "price", ["T0", "T1"])
+    out = base_price(B.mkt_table(spark, sf).select("token", "ts", "price"), "token", "ts", "price", ["T0", "T1"])
     return out.select("token", "ts", "price", "base", "base_price")
 
 
@@ -301,7 +301,7 @@ def q_base_price(spark, sf):
     SELECT token, corr(price, volume) AS rv, corr(price, n) AS rn FROM mkt GROUP BY token) t,
     LATERAL (VALUES ('volume', rv), ('n', rn)) AS v(feature, r)"""))
 def q_corr_vector(spark, sf):
-    out = corr_vector(B.mkt(spark, sf), "token", "price", ["volume", "n"])
+    out = corr_vector(B.mkt_table(spark, sf), "token", "price", ["volume", "n"])
     return out.withColumn("r", _r("r"))
 
 
@@ -310,13 +310,13 @@ def q_corr_vector(spark, sf):
     LATERAL (VALUES ('volume', rv), ('n', rn)) AS v(feature, r) WHERE abs(r) >= 0.4
     UNION ALL SELECT DISTINCT token, 'price' AS feature FROM mkt"""))
 def q_feature_select(spark, sf):
-    cv = corr_vector(B.mkt(spark, sf), "token", "price", ["volume", "n"])
+    cv = corr_vector(B.mkt_table(spark, sf), "token", "price", ["volume", "n"])
     return feature_select(cv, "token", "price", 0.4).select("token", "feature")
 
 
 @register("distinct_tokens", with_ctes(["mkt"], "SELECT DISTINCT token FROM mkt"))
 def q_distinct_tokens(spark, sf):
-    return distinct_values(B.mkt(spark, sf), "token")
+    return distinct_values(B.mkt_table(spark, sf), "token")
 
 
 # ------------------------------------------------------------- sentiment
@@ -375,7 +375,7 @@ def q_token_upper(spark, sf):
     FROM mkt m LEFT JOIN sent_hourly s ON m.token = s.token AND m.ts = s.ts"""))
 def q_feat_join_hour(spark, sf):
     sh = sentiment_hourly(B.sent(spark, sf))
-    out = left_fill(B.mkt(spark, sf).select("token", "ts", "price"), sh, ["token", "ts"])
+    out = left_fill(B.mkt_table(spark, sf).select("token", "ts", "price"), sh, ["token", "ts"])
     return out.withColumn("percentage_positive", _r("percentage_positive"))
 
 
@@ -386,7 +386,7 @@ def q_feat_join_hour(spark, sf):
     FROM mkt m LEFT JOIN sent_daily s ON m.token = s.token AND CAST(m.ts AS DATE) = s.date"""))
 def q_mixed_grain(spark, sf):
     sd = sentiment_daily(B.sent(spark, sf))
-    out = mixed_grain_join(B.mkt(spark, sf).select("token", "ts", "price"), sd, "token", "ts", "date", "_news")
+    out = mixed_grain_join(B.mkt_table(spark, sf).select("token", "ts", "price"), sd, "token", "ts", "date", "_news")
     return out.withColumn("percentage_positive_news", _r("percentage_positive_news"))
 
 
@@ -401,7 +401,7 @@ def q_ctx_join(spark, sf):
     sh = sentiment_hourly(B.sent(spark, sf))
     general = (sh.filter(F.col("token").isin("T0", "T1")).groupBy("ts")
                .agg(F.sum("count_total").alias("general_total")))
-    m = B.mkt(spark, sf).select("token", "ts", "price")
+    m = B.mkt_table(spark, sf).select("token", "ts", "price")
     j = (m.join(sh.select("token", "ts", "count_total"), ["token", "ts"], "left")
          .join(general, ["ts"], "left"))
     return S.ffill(j, "token", "ts", ["general_total"]).select(
@@ -516,7 +516,7 @@ def q_error_metrics(spark, sf):
     coalesce(distinguished, '[deleted]') FROM thr"""))
 def q_coalesce(spark, sf):
     from ..operators.series import lags, rolling_mean
-    m = B.mkt(spark, sf).select("token", "ts", "price")
+    m = B.mkt_table(spark, sf).select("token", "ts", "price")
     w = rolling_mean(lags(m, "token", "ts", "price", [1], prefix="_a"), "token", "ts", ["price"], 24,
                      include_current=False, suffix="_b", scale=6)
     p = w.select(F.lit("pred").alias("src"), F.col("token").alias("id"), "ts",
@@ -565,7 +565,7 @@ FT_SQL = with_ctes(["ft_masked"], """SELECT token, ts,
 
 def build_feature_table(spark, sf):
     # one pass over the raw events; every input below derives from it
-    base = B.events_base(spark, sf)
+    base = B.base_table(spark, sf)
     sc = B.sent_counts(base)
     holes = B.day(spark, sf, base).filter(F.dayofmonth("d") % 3 != 1)
     ft = feature_table(B.mkt(spark, sf, base), holes.select("token", "d", "metric"),

@@ -49,7 +49,7 @@ def q_sentiment_score(spark, sf):
 
 @register("assemble")
 def q_assemble(spark, sf):
-    m = B.mkt(spark, sf)
+    m = B.mkt_table(spark, sf)
     lagged = S.lag_array(m, "token", "ts", "price", 24, out="lags")
     out = assemble(lagged, "lags", ["volume", "n", "active_addresses"], n_lags=24)
     from pyspark.ml.functions import vector_to_array
@@ -58,7 +58,7 @@ def q_assemble(spark, sf):
 
 @register("gbt_forecast")
 def q_gbt(spark, sf):
-    m = B.mkt(spark, sf)
+    m = B.mkt_table(spark, sf)
     return gbt_forecast(m, "token", "ts", "price", 24, exog=["volume", "n"], horizons=[1, 24],
                         split_ts="2024-01-24 00:00:00",
                         params={"max_depth": 4, "n_estimators": 10, "learning_rate": 0.1, "subsample": 0.8})
@@ -66,5 +66,5 @@ def q_gbt(spark, sf):
 
 @register("ar_forecast")
 def q_ar(spark, sf):
-    m = B.mkt(spark, sf).select("token", "ts", "price")
+    m = B.mkt_table(spark, sf).select("token", "ts", "price")
     return ar_forecast(m, "token", "ts", "price", 24, 744)

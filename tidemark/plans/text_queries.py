@@ -317,3 +317,30 @@ def q_pick_better(spark, sf):
                  sign_label(lh).alias("hl"), (F.abs(lh) / F.greatest(F.size(wh), F.lit(1)).cast("double")).alias("hs"))
     best = pick_better("tl", "ts_", "hl", "hs")
     return s.select("submission_id", best["label"].alias("label"), best["score"].alias("score"))
+
+
+# --------------------------------------------------------------- large dictionary
+def benchmark_dictionary(spark, sf) -> DataFrame:
+    """A dictionary built from data by a rule: the distinct words of seven or
+    more characters in the ``benchmark`` texts (1,608 at sf0.1)."""
+    from ..operators.textml import terms
+    bm = B.read(spark, sf, "benchmark")
+    w = bm.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("keyword"))
+    return w.filter(F.length("keyword") >= 7).distinct().select(F.col("keyword").alias("tag"), "keyword")
+
+
+KW_DICT_SQL = r"""WITH dict AS (SELECT DISTINCT w AS keyword FROM (
+      SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS w FROM benchmark) WHERE length(w) >= 7),
+  hits AS (SELECT doc_id, w FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS w
+           FROM documents) WHERE w IN (SELECT keyword FROM dict)),
+  f AS (SELECT doc_id, list_sort(list(DISTINCT w)) AS f FROM hits GROUP BY doc_id)
+  SELECT doc_id, array_to_string(f, ',') AS words_found, f[1] AS word_found FROM f"""
+
+
+@register("kw_filter_dict", KW_DICT_SQL)
+def q_kw_filter_dict(spark, sf):
+    """F6/T6 with a dictionary of data-derived size (size-checked: a plan
+    constant up to MAX_LITERAL_ENTRIES, else the join path)."""
+    docs = _docs(spark, sf).select("doc_id", "text")
+    out = kw_filter(docs, "text", benchmark_dictionary(spark, sf), id_col="doc_id")
+    return out.select("doc_id", F.array_join("words_found", ",").alias("words_found"), "word_found")

@@ -72,3 +72,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, name: str, source: str, build) -> DataFrame:
+    """A derived table written once per session to the shared checkpoint folder
+    and read back by every later caller (keyed by name and source location).
+
+    Series operators read their input twice (a small count pass and the row
+    pass); reading a stored hourly table twice is cheap, recomputing it from
+    raw data twice is not. Also a recovery point if executors are lost."""
+    k = (name, source, spark.sparkContext.applicationId)
+    path = _STORED.get(k)
+    if path is None:
+        base = ensure_checkpoint_dir(spark).rstrip("/")
+        path = f"{base}/stored/{name}-{uuid.uuid4().hex[:12]}"
+        build().write.mode("overwrite").parquet(path)
+        _STORED[k] = path
+    return spark.read.parquet(path)
