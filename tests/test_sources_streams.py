@@ -91,3 +91,18 @@ def test_stream_dedup_and_keyword_filter(spark, tmpdir_fresh):
     out = os.path.join(tmpdir_fresh, "out")
     run_available_now(q.select("id", "word_found"), out, "x1")
     assert sorted((r["id"], r["word_found"]) for r in spark.read.parquet(out).collect()) == [(1, "btc"), (3, "eth")]
+
+
+def test_read_metrics_long_table(spark, tmpdir_fresh):
+    from tidemark.sources import read_metrics
+    for tok, met, rows in [("BTC", "mvrv", [("2024-01-01T00:00:00Z", 1.5)]),
+                           ("ETH", "sopr", [("2024-01-01T00:00:00Z", 0.9), ("2024-01-01T01:00:00Z", 1.1)])]:
+        d = os.path.join(tmpdir_fresh, f"token={tok}", f"metric={met}")
+        os.makedirs(d)
+        with open(os.path.join(d, "part.csv"), "w") as f:
+            f.write("t,value\n" + "".join(f"{t},{v}\n" for t, v in rows))
+    for _ in range(2):  # a second call must see the same schema
+        out = read_metrics(spark, tmpdir_fresh, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        assert out.columns == ["ts", "token", "metric", "value"]
+        assert sorted((r["token"], r["metric"], r["value"]) for r in out.collect()) == [
+            ("BTC", "mvrv", 1.5), ("ETH", "sopr", 0.9), ("ETH", "sopr", 1.1)]

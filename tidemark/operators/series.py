@@ -50,7 +50,12 @@ def segmented(df: DataFrame, key, ts: str, order: Sequence[str] = (), halo: int
     """Return ``(rows, spec)``: ``rows`` has every input row once as an own row
     (``_halo`` false) plus copies as context rows of later segments; ``spec`` is
     the window partitioned by (key, segment) and ordered by (ts, order...).
-    Also adds ``_pos``, the 0-based row position of the row within its key."""
+    Also adds ``_pos``, the 0-based row position of the row within its key.
+
+    (ts, order...) must be a total order within a key, so that a recomputed
+    task (e.g. after an executor is lost) numbers rows the same way. The input
+    is read twice (count pass, row pass): give it a stored table when it is
+    expensive to recompute."""
     keys = _keys(key)
     b = df.withColumn("_b", _bucket(ts, bucket_seconds))
     counts = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))

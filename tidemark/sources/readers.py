@@ -67,8 +67,9 @@ def read_metrics(spark: SparkSession, path: str, ts_format: str | None = None) -
     """One two-column CSV (time, value) per metric and coin, laid out as
     ``.../token=<T>/metric=<m>/*.csv`` -> one long table (ts, token, metric,
     value). Token and metric come from the partition directories."""
-    df = (spark.read.schema(METRIC_FILE.add("token", T.StringType()).add("metric", T.StringType()))
-          .option("header", True).csv(path))
+    schema = T.StructType(METRIC_FILE.fields + [T.StructField("token", T.StringType()),
+                                                T.StructField("metric", T.StringType())])
+    df = spark.read.schema(schema).option("header", True).csv(path)
     ts = F.try_to_timestamp(F.col("t"), F.lit(ts_format)) if ts_format else F.try_to_timestamp(F.col("t"))
     return df.select(ts.alias("ts"), "token", "metric", "value")
 
