@@ -83,3 +83,16 @@ def test_ar_fit_recovers_ar1(spark):
     fc = ar_forecast(df, "token", "ts", "price", 1, 5).orderBy("step").collect()
     assert len(fc) == 5 and fc[0]["ts"] == rows[-1][1] + dt.timedelta(hours=1)
     assert fc[0]["prediction"] == pytest.approx(coef[0] + coef[1] * vals[-1])
+
+
+def test_unique_by_first_last_and_nulls(spark):
+    from tidemark.operators.joins import unique_by
+    df = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("a", None, "z"), ("b", 2, "w")],
+                               "k string, o int, v string")
+    first = {r["k"]: r["v"] for r in unique_by(df, ["k"], ["o"]).collect()}
+    assert first == {"a": "z", "b": "w"}            # ascending, nulls first
+    first_nl = {r["k"]: r["v"] for r in unique_by(df, ["k"], ["o"], nulls_last=True).collect()}
+    assert first_nl == {"a": "y", "b": "w"}
+    last = {r["k"]: r["v"] for r in unique_by(df, ["k"], ["o"], keep="last").collect()}
+    assert last == {"a": "x", "b": "w"}
+    assert unique_by(df, ["k"], ["o"]).columns == ["k", "o", "v"]

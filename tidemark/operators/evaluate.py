@@ -21,7 +21,7 @@ def ensemble(preds: DataFrame, models: Sequence[str], key: str = "token", ts: st
     for m in models:
         side = (preds.filter(F.col("model") == m)
                 .select(key, ts, "actual", F.col("prediction").alias(m)))
-        side = unique_by(side, cols, order or [F.col(m).asc_nulls_last()])
+        side = unique_by(side, cols, order or [m], nulls_last=True)
         wide = side if wide is None else wide.join(side.drop("actual"), cols, "inner")
     return wide.withColumn(out, mean_of(*models))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .series import _keys
 
@@ -62,14 +62,25 @@ def left_fill(left: DataFrame, right: DataFrame, on: Sequence[str],
     return out.na.fill(0, subset=rc)
 
 
-def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence, keep: str = "first") -> DataFrame:
-    """One row per key; ``order`` decides which (first in that order is
-    kept, or last with ``keep='last'``). Deterministic unlike dropDuplicates."""
-    cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    if keep == "last":
-        cols = [c.desc() for c in cols]
-    w = Window.partitionBy(*keys).orderBy(*cols)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence, keep: str = "first",
+              nulls_last: bool = False) -> DataFrame:
+    """One row per key; the first row in ``order`` (ascending) is kept, or
+    the last with ``keep='last'``. Deterministic unlike dropDuplicates.
+
+    Written as a grouped ``min_by``/``max_by`` over the whole row, so Spark
+    pre-aggregates per task: a key repeated a billion times costs one row per
+    task, not one task holding all its rows (as a row_number window would)."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    parts = []
+    for o in order:
+        c = F.col(o) if isinstance(o, str) else o
+        flag = c.isNull() if nulls_last else c.isNotNull()
+        parts.append(F.struct(flag.alias("f"), c.alias("v")))
+    rank = F.struct(*parts) if parts else F.lit(0)
+    row = F.struct(*[F.col(c) for c in rest])
+    pick = F.max_by(row, rank) if keep == "last" else F.min_by(row, rank)
+    return df.groupBy(*keys).agg(pick.alias("_r")).select(*keys, *[F.col("_r")[c].alias(c) for c in rest])
 
 
 def unique_parent(df: DataFrame, key: str, order: Sequence) -> DataFrame:
@@ -81,13 +92,14 @@ def lookup_by_time(df: DataFrame, lookup: DataFrame, key: str = "token", ts: str
                    lookup_key: str = "base", value: str = "price", out: str = "base_price",
                    order: Sequence | None = None) -> DataFrame:
     """Value of another series (``lookup_key`` of each row) at the same
-    time. Duplicate (series, time) keys in ``lookup``: the last row wins."""
+    time. Duplicate (series, time) keys in ``lookup``: the last row in
+    ``order`` wins (without an order, the largest value: deterministic)."""
     lk = lookup.select(F.col(key).alias(lookup_key), F.col(ts), F.col(value).alias(out),
                        *([o for o in order] if order else []))
     if order:
         lk = unique_by(lk, [lookup_key, ts], order, keep="last").select(lookup_key, ts, out)
     else:
-        lk = lk.groupBy(lookup_key, ts).agg(F.last(out).alias(out))
+        lk = lk.groupBy(lookup_key, ts).agg(F.max(out).alias(out))
     return df.join(lk, [lookup_key, ts], "left")
 
 
