@@ -166,3 +166,11 @@ def test_future_from_last(spark):
     df = frame(spark, hours([1.0, 2.0, 3.0, 4.0]))
     out = S.future_from_last(df, "token", "ts", 2).orderBy("ts").collect()
     assert [(r["ts"], r["v"]) for r in out] == [(T0 + dt.timedelta(hours=4), 3.0), (T0 + dt.timedelta(hours=5), 4.0)]
+
+
+@pytest.mark.parametrize("seg_rows", [2, 1 << 16])
+def test_leads_equal_shift(spark, seg_rows):
+    df = frame(spark, hours([1.0, 2.0, 3.0, 4.0, 5.0]))
+    out = S.leads(df, "token", "ts", "v", [1, 2], seg_rows=seg_rows).orderBy("ts").collect()
+    assert [r["v_lead1"] for r in out] == [2.0, 3.0, 4.0, 5.0, None]
+    assert [r["v_lead2"] for r in out] == [3.0, 4.0, 5.0, None, None]

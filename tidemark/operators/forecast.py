@@ -11,9 +11,9 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .series import lag_array, last_n, _keys
+from .series import lag_array, last_n, leads
 
 
 def assemble(df: DataFrame, lags: str | None, cols: Sequence[str], out: str = "features",
@@ -67,12 +67,12 @@ def gbt_forecast(df: DataFrame, key: str, ts: str, target: str, n_lags: int,
     (key, ts, horizon, actual, prediction) for rows at or after it."""
     from pyspark.ml.feature import StringIndexer
     from pyspark.ml.regression import GBTRegressor
-    w = Window.partitionBy(key).orderBy(ts)
     base = lag_array(df, key, ts, target, n_lags, out="_lags")
+    base = leads(base, key, ts, target, list(horizons), prefix="_lead")
     base = StringIndexer(inputCol=key, outputCol="_tok").fit(base.select(key)).transform(base)
     outs = []
     for h in horizons:
-        d = base.withColumn("_label", F.lead(F.col(target), h).over(w))
+        d = base.withColumn("_label", F.col(f"_lead{h}"))
         d = assemble(d, "_lags", list(exog) + ["_tok"], n_lags=n_lags)
         train = d.filter(F.col("_label").isNotNull())
         test = d

@@ -119,6 +119,17 @@ def lags(df: DataFrame, key, ts: str, c: str, ks: Sequence[int], order: Sequence
     return own_rows(rows)
 
 
+def leads(df: DataFrame, key, ts: str, c: str, ks: Sequence[int], prefix: str | None = None,
+          seg_rows: int = SEG_ROWS, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Values ``k`` rows ahead (``{prefix}{k}``): a lag in reversed time, so it
+    runs on the same bounded segments (the halo is taken from later rows)."""
+    prefix = prefix or f"{c}_lead"
+    rts = "_rts"
+    rev = df.withColumn(rts, F.timestamp_micros(-F.unix_micros(F.col(ts).cast("timestamp"))))
+    out = lags(rev, key, rts, c, ks, prefix=prefix, seg_rows=seg_rows, bucket_seconds=bucket_seconds)
+    return out.drop(rts)
+
+
 def rolling_mean(df: DataFrame, key, ts: str, cols: Sequence[str] | str, n: int,
                  min_rows: int | None = None, include_current: bool = True,
                  suffix: str | None = None, order: Sequence[str] = (),
@@ -189,7 +200,8 @@ def sequences(df: DataFrame, key, ts: str, cols: Sequence[str], target: str, len
     given); then ``max_length`` bounds the frame and each row keeps its last L."""
     keys = _keys(key)
     if lengths is not None:
-        df = df.join(F.broadcast(lengths), keys, "left")
+        # one row per key; AQE broadcasts it when its runtime size is small
+        df = df.join(lengths, keys, "left")
     if isinstance(length, int):
         lmax, lcol = length, F.lit(length)
     else:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import WORD_CLASS
 
@@ -31,10 +31,10 @@ def tfidf(df: DataFrame, id_col: str, c: str) -> DataFrame:
     sums) joined back, so the (doc, term) rows are not sorted by document."""
     t = df.select(id_col, F.explode(terms(c)).alias("term"))
     tf = t.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    n_docs = df.select(id_col).distinct().agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
-    dfreq = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("_k", F.lit(1))
-             .join(F.broadcast(n_docs), "_k").drop("_k"))
-    idf = F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    # N as a scalar subquery: evaluated once, no join
+    n_docs = df.select(F.count_distinct(id_col)).scalar()
+    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     w = tf.join(dfreq.withColumn("idf", idf), "term").withColumn("_raw", F.col("tf") * F.col("idf"))
     norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_norm"))
     return (w.join(norms, id_col).withColumn("tfidf", F.col("_raw") / F.col("_norm"))
