@@ -106,3 +106,20 @@ def test_read_metrics_long_table(spark, tmpdir_fresh):
         assert out.columns == ["ts", "token", "metric", "value"]
         assert sorted((r["token"], r["metric"], r["value"]) for r in out.collect()) == [
             ("BTC", "mvrv", 1.5), ("ETH", "sopr", 0.9), ("ETH", "sopr", 1.1)]
+
+
+def test_read_price_history_and_write_by_token(spark, tmpdir_fresh):
+    from tidemark.sources import read_price_history, write_by_token
+    src = os.path.join(tmpdir_fresh, "hist")
+    os.makedirs(src)
+    for sym, vols in [("BTC", [1.0, 2.0]), ("ETH", [3.0])]:
+        doc = {"Data": {"Data": [{"time": 1704067200 + 86400 * i, "volumeto": v, "close": 10.0 + i}
+                                 for i, v in enumerate(vols)]}}
+        with open(os.path.join(src, f"{sym}.json"), "w") as f:
+            json.dump(doc, f, indent=2)
+    h = read_price_history(spark, src)
+    assert sorted((r["symbol"], r["volume"]) for r in h.collect()) == [("BTC", 1.0), ("BTC", 2.0), ("ETH", 3.0)]
+    out = os.path.join(tmpdir_fresh, "by_token")
+    write_by_token(h.withColumnRenamed("symbol", "token"), out)
+    assert sorted(os.listdir(out))[:2] == ["_SUCCESS", "token=BTC"] or "token=BTC" in os.listdir(out)
+    assert spark.read.parquet(out).filter("token = 'ETH'").count() == 1

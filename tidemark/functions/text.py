@@ -25,8 +25,10 @@ def words(c, stopwords: Iterable[str] | None = STOPWORDS_EN) -> Column:
 
     Order of steps matters: symbols go before the stopword test, so ``don't``
     becomes ``dont`` and survives."""
-    s = F.regexp_replace(_col(c), URL_PATTERN, "")
-    s = F.regexp_replace(s, SYMBOL_PATTERN, "")
+    # one pass for both removals: a URL starts with word characters, which the
+    # symbol class never takes, so leftmost matching removes the same text as
+    # removing URLs first and symbols after
+    s = F.regexp_replace(_col(c), URL_PATTERN + "|" + SYMBOL_PATTERN + "+", "")
     parts = F.split(F.lower(s), SPLIT_PATTERN)
     if stopwords:
         # many literals -> Catalyst plans a hash-set lookup (InSet), not a scan

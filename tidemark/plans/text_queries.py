@@ -52,6 +52,12 @@ def _docs(spark, sf):
     return B.read(spark, sf, "documents")
 
 
+def _docs_text(spark, sf):
+    """(doc_id, text) spread over the cores for the regex-heavy text work."""
+    from ..sources.readers import spread
+    return spread(_docs(spark, sf).select("doc_id", "text"))
+
+
 # --------------------------------------------------------------- scans/filters
 @register("scan_pruned", "SELECT doc_id, lang, source FROM documents")
 def q_scan_pruned(spark, sf):
@@ -67,13 +73,13 @@ def q_filter_isin(spark, sf):
 # --------------------------------------------------------------- T1-T7
 @register("clean_text", f"SELECT doc_id, {B.sql_clean('text')} AS clean FROM documents")
 def q_clean_text(spark, sf):
-    return _docs(spark, sf).select("doc_id", clean_text("text").alias("clean"))
+    return _docs_text(spark, sf).select("doc_id", clean_text("text").alias("clean"))
 
 
 @register("extract_tokens", f"SELECT doc_id, array_to_string({sql_tokens(sql_words('text'))}, ',') AS tokens "
           "FROM documents")
 def q_extract_tokens(spark, sf):
-    d = _docs(spark, sf).select("doc_id", clean_text("text").alias("clean"))
+    d = _docs_text(spark, sf).select("doc_id", clean_text("text").alias("clean"))
     out = extract_tokens(d, "clean", KW_ROWS_DICT, "tokens")
     return out.select("doc_id", F.array_join("tokens", ",").alias("tokens"))
 
@@ -84,7 +90,7 @@ KW_ROWS_DICT = {**TEST_KEYWORDS, **{w: [w] for w in TEST_GENERAL}}
 @register("generalise_tokens", f"SELECT doc_id, array_to_string("
           f"{sql_generalise(sql_tokens(sql_words('text')))}, ',') AS tokens FROM documents")
 def q_generalise(spark, sf):
-    d = _docs(spark, sf).select("doc_id", words("text").alias("w"))
+    d = _docs_text(spark, sf).select("doc_id", words("text").alias("w"))
     tok = tags_of_words(F.col("w"), KW_ROWS)
     return d.select("doc_id", F.array_join(generalise_tokens(tok, TEST_GENERAL), ",").alias("tokens"))
 
@@ -110,20 +116,20 @@ KW_FOUND_SQL = f"""WITH p AS (SELECT doc_id, unnest(pc) AS piece, unnest(range(1
 
 @register("kw_filter", f"SELECT * FROM ({KW_FOUND_SQL}) WHERE words_found <> ''")
 def q_kw_filter(spark, sf):
-    out = kw_filter(_docs(spark, sf).select("doc_id", "text"), "text", TEST_SEARCH_KEYWORDS)
+    out = kw_filter(_docs_text(spark, sf), "text", TEST_SEARCH_KEYWORDS)
     return out.select("doc_id", F.array_join("words_found", ",").alias("words_found"), "word_found")
 
 
 @register("find_keywords", KW_FOUND_SQL)
 def q_find_keywords(spark, sf):
-    out = find_keywords(_docs(spark, sf).select("doc_id", "text"), "text", TEST_SEARCH_KEYWORDS)
+    out = find_keywords(_docs_text(spark, sf), "text", TEST_SEARCH_KEYWORDS)
     return out.select("doc_id", F.array_join("words_found", ",").alias("words_found"), "word_found")
 
 
 @register("lexicon_score", f"""SELECT doc_id, s AS score, CASE WHEN s > 0 THEN 1 WHEN s < 0 THEN -1 END AS label
     FROM (SELECT doc_id, {sql_lex(sql_words('text'))} AS s FROM documents)""")
 def q_lexicon(spark, sf):
-    d = _docs(spark, sf).select("doc_id", lexicon_score(words("text"), TEST_LEXICON).alias("score"))
+    d = _docs_text(spark, sf).select("doc_id", lexicon_score(words("text"), TEST_LEXICON).alias("score"))
     return d.withColumn("label", sign_label(F.col("score")))
 
 
@@ -138,7 +144,7 @@ TFIDF_SQL = r"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text),
 
 @register("tfidf", TFIDF_SQL)
 def q_tfidf(spark, sf):
-    out = tfidf(_docs(spark, sf).select("doc_id", "text"), "doc_id", "text")
+    out = tfidf(_docs_text(spark, sf), "doc_id", "text")
     return out.withColumn("tfidf", F.round("tfidf", 6))
 
 
@@ -176,7 +182,7 @@ B.add_cte("cr_f", """SELECT *, coalesce(2 * precision * recall / nullif(precisio
   UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
     round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM cr_f"""))
 def q_class_report(spark, sf):
-    d = _docs(spark, sf).select("doc_id", "text")
+    d = _docs_text(spark, sf)
     lb = B.read(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     p = lb.join(d, "doc_id").select(
         "doc_id", "label",
@@ -341,6 +347,6 @@ KW_DICT_SQL = r"""WITH dict AS (SELECT DISTINCT w AS keyword FROM (
 def q_kw_filter_dict(spark, sf):
     """F6/T6 with a dictionary of data-derived size (size-checked: a plan
     constant up to MAX_LITERAL_ENTRIES, else the join path)."""
-    docs = _docs(spark, sf).select("doc_id", "text")
+    docs = _docs_text(spark, sf)
     out = kw_filter(docs, "text", benchmark_dictionary(spark, sf), id_col="doc_id")
     return out.select("doc_id", F.array_join("words_found", ",").alias("words_found"), "word_found")

@@ -10,6 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..schemas import TWEET_ANY, METRIC_FILE, PRICE_HISTORY
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy row work over the cluster when the scan yields fewer
+    partitions than there are cores (a non-splittable file: gz, or parquet
+    with one row group). Large inputs already have more splits than cores and
+    pass through without a shuffle. Round-robin repartitioning sorts first,
+    so a retried task sees the same rows."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
              cols: Sequence[str] | None = None, multiline: bool = True) -> DataFrame:
     """Header CSV with a declared schema; quoted fields may hold
