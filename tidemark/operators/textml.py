@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import WORD_CLASS
 
@@ -25,20 +25,21 @@ def tfidf(df: DataFrame, id_col: str, c: str) -> DataFrame:
     """H4: long (id, term, tf, df, tfidf) with the L2 norm per id.
 
     Term counts are a grouped aggregate (partial aggregation first); document
-    frequencies another; the (term) join of the two is skewed on common terms
-    and is left to AQE (broadcast when the vocabulary is small, else a
-    skew-split join). The L2 norm is a per-document sum (map-side partial
-    sums) joined back, so the (doc, term) rows are not sorted by document."""
+    frequencies another over the same counts (it also reads ``tf``, for the
+    collection frequency, so both branches share one exchange instead of
+    recomputing the counts); the (term) join of the two is skewed on common
+    terms and is left to AQE (broadcast when the vocabulary is small, else a
+    skew-split join). The L2 norm is a window per document: a document is
+    bounded, and the joined rows are read once."""
     t = df.select(id_col, F.explode(terms(c)).alias("term"))
     tf = t.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     # N as a scalar subquery: evaluated once, no join
     n_docs = df.select(F.count_distinct(id_col)).scalar()
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     w = tf.join(dfreq.withColumn("idf", idf), "term").withColumn("_raw", F.col("tf") * F.col("idf"))
-    norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_norm"))
-    return (w.join(norms, id_col).withColumn("tfidf", F.col("_raw") / F.col("_norm"))
-            .select(id_col, "term", "tf", "df", "tfidf"))
+    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(id_col)))
+    return w.withColumn("tfidf", F.col("_raw") / norm).select(id_col, "term", "tf", "df", "tfidf")
 
 
 def hash_split(df: DataFrame, id_col: str, seed: int = 42, train_tenths: int = 8,

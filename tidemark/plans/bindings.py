@@ -107,7 +107,8 @@ def sent(spark, sf_dir) -> DataFrame:
 # ---------------------------------------------------------------- THR ---------
 def thr(spark, sf_dir) -> DataFrame:
     """Threads: conv_id = submission, turn 0 its text, turns > 0 comments."""
-    cv = read(spark, sf_dir, "conversations")
+    from ..sources.readers import spread
+    cv = spread(read(spark, sf_dir, "conversations"))
     dist = (F.when(F.col("role") == "system", F.lit("moderator"))
             .when(F.col("role") == "assistant", F.lit("special")))
     ts = (F.to_timestamp(F.lit("2024-01-01 00:00:00"))
