@@ -174,3 +174,19 @@ def test_leads_equal_shift(spark, seg_rows):
     out = S.leads(df, "token", "ts", "v", [1, 2], seg_rows=seg_rows).orderBy("ts").collect()
     assert [r["v_lead1"] for r in out] == [2.0, 3.0, 4.0, 5.0, None]
     assert [r["v_lead2"] for r in out] == [3.0, 4.0, 5.0, None, None]
+
+
+def test_hot_key_segments_are_bounded(spark):
+    """One key holds most rows: every (key, segment) window partition stays
+    within seg_rows + halo rows (+ one hour bucket), and results still match."""
+    rows = [("HOT", T0 + dt.timedelta(hours=i), float(i)) for i in range(300)]
+    rows += [("COLD", T0 + dt.timedelta(hours=i), float(i)) for i in range(10)]
+    df = frame(spark, rows)
+    seg_rows, halo = 32, 5
+    seg, _ = S.segmented(df, "token", "ts", halo=halo, seg_rows=seg_rows)
+    sizes = [r["c"] for r in seg.groupBy("token", "_tseg").agg(F.count(F.lit(1)).alias("c")).collect()]
+    assert max(sizes) <= seg_rows + halo + 1 and len(sizes) >= 300 // seg_rows
+    own = seg.filter(~F.col("_halo")).count()
+    assert own == len(rows)
+    lagged = S.lags(df, "token", "ts", "v", [5], seg_rows=seg_rows).filter("token = 'HOT'").orderBy("ts").collect()
+    assert [r["v_lag5"] for r in lagged] == [None] * 5 + [float(i) for i in range(295)]

@@ -117,3 +117,17 @@ def test_lexicon(spark):
     w = F.split("t", " ")
     s = df.select(K.lexicon_score(w, {"good": 1.0, "bad": -2.0}).alias("s")).first()["s"]
     assert s == 0.0
+
+
+def test_large_dictionary_join_path_broadcasts(spark, monkeypatch):
+    table = spark.createDataFrame([("T", "btc"), ("T", "eth")], "tag string, keyword string")
+    df = spark.createDataFrame([(1, "btc and eth")], "id int, t string")
+    monkeypatch.setattr(K, "MAX_LITERAL_ENTRIES", 1)
+    out = K.find_keywords(df, "t", table, id_col="id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in plan and "BatchEvalPython" not in plan
+    assert out.first()["words_found"] == ["btc", "eth"]
