@@ -190,3 +190,17 @@ def test_hot_key_segments_are_bounded(spark):
     assert own == len(rows)
     lagged = S.lags(df, "token", "ts", "v", [5], seg_rows=seg_rows).filter("token = 'HOT'").orderBy("ts").collect()
     assert [r["v_lag5"] for r in lagged] == [None] * 5 + [float(i) for i in range(295)]
+
+
+def test_upsample_interpolate_equals_grid_then_fill(spark):
+    days = [("A", T0 + dt.timedelta(days=i), v) for i, v in enumerate([None, 1.0, None, 4.0, None, 2.0, None])]
+    days += [("B", T0 + dt.timedelta(days=i), None) for i in range(2)]
+    days += [("C", T0 + dt.timedelta(days=0), 5.0)]
+    df = frame(spark, days)
+    a = S.upsample_interpolate(df, "token", "ts", "v")
+    b = S.interpolate(S.resample_hourly(df, "token", "ts", ["v"]), "token", "ts", ["v"])
+    ra = sorted((r["token"], r["ts"], r["v"]) for r in a.collect())
+    rb = sorted((r["token"], r["ts"], r["v"]) for r in b.collect())
+    assert len(ra) == len(rb) == 145 + 25 + 1
+    for x, y in zip(ra, rb):
+        assert x[:2] == y[:2] and ((x[2] is None and y[2] is None) or x[2] == pytest.approx(y[2]))

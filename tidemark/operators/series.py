@@ -369,6 +369,38 @@ def resample_hourly(df: DataFrame, key, ts: str, cols: Sequence[str] | None = No
     return grid.join(src, keys + [ts], "left")
 
 
+def upsample_interpolate(df: DataFrame, key, ts: str, c: str, step: str = "1 hour") -> DataFrame:
+    """W6 + W7 in one pass for one column: the hourly grid from each key's first
+    to last row, with ``c`` interpolated linearly in time between known values,
+    null before the first known value and equal to the last known value after
+    it. Each known point emits its own hours up to the next known point (a
+    lead on bounded segments), so no grid is joined and no fill is run."""
+    keys = _keys(key)
+    tcol = F.col(ts).cast("timestamp")
+    d = df.select(*keys, tcol.alias(ts), F.col(c))
+    bounds = d.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"),
+                                  F.min(F.when(F.col(c).isNotNull(), F.col(ts))).alias("_k0"))
+    known = d.filter(F.col(c).isNotNull()).withColumn(
+        "_pt", F.struct(F.unix_micros(F.col(ts)).alias("t"), F.col(c).alias("v")))
+    nxt = leads(known, key, ts, "_pt", [1], prefix="_n").join(bounds.select(*keys, "_hi"), keys)
+    one = F.expr(f"INTERVAL {step}")
+    last_hour = F.when(F.col("_n1").isNull(), F.col("_hi")).otherwise(
+        F.timestamp_micros(F.col("_n1")["t"]) - one)
+    seg = nxt.select(*keys, F.col(ts).alias("_t0"), "_pt", "_n1",
+                     F.explode(F.sequence(F.col(ts), last_hour, one)).alias(ts))
+    frac = ((F.unix_micros(F.col(ts)) - F.col("_pt")["t"]).cast("double")
+            / (F.col("_n1")["t"] - F.col("_pt")["t"]).cast("double"))
+    val = (F.when(F.col(ts) == F.col("_t0"), F.col("_pt")["v"])
+           .when(F.col("_n1").isNull(), F.col("_pt")["v"])
+           .otherwise(F.col("_pt")["v"] + (F.col("_n1")["v"] - F.col("_pt")["v"]) * frac))
+    body = seg.select(*keys, ts, val.alias(c))
+    lead_end = F.coalesce(F.col("_k0") - one, F.col("_hi"))
+    leading = (bounds.filter(F.col("_k0").isNull() | (F.col("_k0") > F.col("_lo")))
+               .select(*keys, F.explode(F.sequence(F.col("_lo"), lead_end, one)).alias(ts))
+               .withColumn(c, F.lit(None).cast(df.schema[c].dataType)))
+    return body.unionByName(leading)
+
+
 def last_n(df: DataFrame, key, ts: str, n: int, order: Sequence[str] = ()) -> DataFrame:
     """L3: the last ``n`` rows of each key. ``row_number <= n`` lets Spark plan a
     WindowGroupLimit, which keeps only n rows per key in each map task before

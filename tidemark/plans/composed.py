@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.joins import hour_day_join, left_fill, mixed_grain_join
 from ..operators.profile import apply_wide_mask, null_mask
 from ..session import materialize
-from ..operators.series import fill_both, interpolate, resample_hourly
+from ..operators.series import fill_both, interpolate, resample_hourly, upsample_interpolate
 
 SENT_COLS = ["count_positive", "count_negative", "percentage_positive", "total_count"]
 
@@ -19,6 +19,8 @@ def daily_to_hourly(daily: DataFrame, key: str, day_col: str, cols: Sequence[str
     """W6 + W7: daily rows on an hourly grid (value at midnight), interpolated
     linearly in time between known days."""
     d = daily.select(key, F.col(day_col).cast("timestamp").alias(ts), *cols)
+    if len(cols) == 1:
+        return upsample_interpolate(d, key, ts, cols[0])
     return interpolate(resample_hourly(d, key, ts, cols), key, ts, cols)
 
 
