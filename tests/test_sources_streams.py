@@ -123,3 +123,15 @@ def test_read_price_history_and_write_by_token(spark, tmpdir_fresh):
     write_by_token(h.withColumnRenamed("symbol", "token"), out)
     assert sorted(os.listdir(out))[:2] == ["_SUCCESS", "token=BTC"] or "token=BTC" in os.listdir(out)
     assert spark.read.parquet(out).filter("token = 'ETH'").count() == 1
+
+
+def test_write_predictions_rerun_safe(spark, tmpdir_fresh):
+    import datetime as dt
+    from tidemark.sources import write_predictions
+    out = os.path.join(tmpdir_fresh, "preds")
+    p = spark.createDataFrame([("BTC", dt.datetime(2024, 1, 1), 1.0)], "token string, ts timestamp, prediction double")
+    write_predictions(p, out, "gbt")
+    write_predictions(p, out, "gbt")
+    write_predictions(p, out, "ar")
+    got = spark.read.parquet(out)
+    assert got.count() == 2 and sorted(r["model"] for r in got.collect()) == ["ar", "gbt"]

@@ -131,3 +131,14 @@ def test_large_dictionary_join_path_broadcasts(spark, monkeypatch):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "BroadcastHashJoin" in plan and "BatchEvalPython" not in plan
     assert out.first()["words_found"] == ["btc", "eth"]
+
+
+def test_label_articles_dedupes_repeats(spark):
+    import datetime as dt
+    from tidemark.plans.composed import label_articles
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(t, "BTC up", "great gain"), (t, "BTC up", "great gain"), (t, "ETH", None)],
+                               "ts timestamp, title string, description string")
+    out = label_articles(df, "ts", "title", "description", CRYPTO_KEYWORDS, lexicon={"great": 1.0})
+    rows = sorted((r["token"], r["clean_text"], r["label"], r["label_word"]) for r in out.collect())
+    assert rows == [("BTC", "btc great gain", 1, "positive"), ("ETH", "eth", None, "unknown")]

@@ -111,3 +111,10 @@ def semi(df: DataFrame, listed: DataFrame, on: Sequence[str] | str) -> DataFrame
 def anti(df: DataFrame, other: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """Rows of ``df`` whose key is absent from ``other``."""
     return df.join(other, _keys(on), "left_anti")
+
+
+def any_in_range(df: DataFrame, key, c: str, lo: float, hi: float) -> DataFrame:
+    """F7 + A6: per entity, the total of ``c``, the number of rows and whether
+    any value lies in [lo, hi] (one grouped aggregate)."""
+    return df.groupBy(*_keys(key)).agg(F.sum(c).alias(f"total_{c}"), F.count(F.lit(1)).alias("n_rows"),
+                                       F.max(F.col(c).between(lo, hi)).alias("in_range"))

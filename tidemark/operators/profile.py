@@ -106,3 +106,8 @@ def feature_select(corr_long: DataFrame, key, target: str, threshold: float = 0.
 def distinct_values(df: DataFrame, c: str) -> DataFrame:
     """A18."""
     return df.select(c).distinct()
+
+
+def null_counts(df: DataFrame, key, cols: Sequence[str]) -> DataFrame:
+    """Per key and column, the number of nulls (long form)."""
+    return null_profile(df, key, cols).select(*_keys(key), "column", "null_count")

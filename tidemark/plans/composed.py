@@ -64,3 +64,26 @@ def hour_day_table(market: DataFrame, daily: DataFrame, key: str, day_col: str,
     ``need`` dropped."""
     dh = daily_to_hourly(daily, key, day_col, list(daily_cols), ts)
     return hour_day_join(market, dh, key, ts, need)
+
+
+def label_articles(df: DataFrame, ts: str, title: str, description: str, dictionary,
+                   lexicon=None, scorer=None, id_cols=None) -> DataFrame:
+    """News path (T9, T4, H1/H2, T12) -> (ts, token, clean_text, label, label_word):
+    title and description joined, cleaned, tagged with tokens (one row per
+    token), scored (a fitted model via ``scorer``, else the ``lexicon``), and
+    the same item (token, time, clean text) kept once (repeated searches
+    store it several times)."""
+    from ..functions.text import clean_text, label_word, concat_text
+    from ..operators.keywords import extract_tokens, lexicon_score, sign_label
+    from ..operators.joins import unique_by
+    d = df.withColumn("clean_text", clean_text(concat_text(title, description)))
+    d = extract_tokens(d, "clean_text", dictionary, "_tokens")
+    if scorer is not None:
+        from ..operators.textml import score_text
+        d = score_text(d, "clean_text", scorer, "label", "_score").drop("_score")
+    else:
+        w = F.filter(F.split("clean_text", " "), lambda x: x != "")
+        d = d.withColumn("label", sign_label(lexicon_score(w, lexicon or {})))
+    d = d.select(F.col(ts).alias("ts"), F.explode("_tokens").alias("token"), "clean_text", "label")
+    d = unique_by(d, ["token", "ts", "clean_text"], ["label"])
+    return d.withColumn("label_word", label_word("label"))

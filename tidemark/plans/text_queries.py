@@ -350,3 +350,32 @@ def q_kw_filter_dict(spark, sf):
     docs = _docs_text(spark, sf)
     out = kw_filter(docs, "text", benchmark_dictionary(spark, sf), id_col="doc_id")
     return out.select("doc_id", F.array_join("words_found", ",").alias("words_found"), "word_found")
+
+
+# --------------------------------------------------------------- news path
+B.add_cte("articles", f"""SELECT DISTINCT ts, token, clean_text, label FROM (
+    SELECT ts, unnest({sql_tokens("string_split(clean_text, ' ')")}) AS token, clean_text,
+      CASE WHEN {sql_lex("list_filter(string_split(clean_text, ' '), lambda x: x <> '')")} > 0 THEN 1
+           WHEN {sql_lex("list_filter(string_split(clean_text, ' '), lambda x: x <> '')")} < 0 THEN -1 END AS label
+    FROM (SELECT ts, {B.sql_clean("concat_ws(' ', coalesce(split_part(text, chr(10), 1), ''), "
+                                  "coalesce(substr(text, length(split_part(text, chr(10), 1)) + 2), ''))")} AS clean_text
+          FROM thr WHERE turn = 0))""", ["thr"])
+
+
+@register("news_daily", with_ctes(["articles"], """SELECT CAST(ts AS DATE) AS date, upper(token) AS token,
+    count(*) FILTER (WHERE label = 1) AS count_positive, count(*) FILTER (WHERE label = -1) AS count_negative,
+    count(*) FILTER (WHERE label IN (-1, 1)) AS total_count,
+    round(CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) / CAST(count(*) FILTER (WHERE label IN (-1, 1)) AS DOUBLE) * 100.0, 6)
+      AS percentage_positive
+    FROM articles WHERE label IN (-1, 1) GROUP BY 1, 2"""))
+def q_news_daily(spark, sf):
+    """A4 fed by the news path: first line = title, the rest = description."""
+    from .composed import label_articles
+    from ..operators.rollup import sentiment_daily
+    t = B.thr(spark, sf).filter("turn = 0")
+    first = F.split(F.col("text"), "\n").getItem(0)
+    rest = F.substring(F.col("text"), F.length(first) + 2, 1 << 30)
+    arts = label_articles(t.select("ts", first.alias("title"), rest.alias("description")), "ts",
+                          "title", "description", KW_ROWS_DICT, lexicon=TEST_LEXICON)
+    out = sentiment_daily(arts, "ts", "token", "label")
+    return out.withColumn("percentage_positive", F.round("percentage_positive", 6))

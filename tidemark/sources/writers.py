@@ -44,3 +44,12 @@ def append_new(df: DataFrame, path: str, id_cols: Sequence[str] | str, fmt: str
         new = new.join(existing, ids, "left_anti")
     new.write.mode("append").format(fmt).save(path)
     return n_before
+
+
+def write_predictions(df: DataFrame, path: str, model: str | None = None,
+                      keys: Sequence[str] = ("model", "token")) -> None:
+    """K4 + P6 + U1: predictions of any model into one table partitioned by
+    model and token; rerunning a model replaces only its partitions."""
+    if model is not None:
+        df = df.withColumn("model", F.lit(model))
+    write_partitions(df, path, list(keys))
