@@ -54,17 +54,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the local-test case.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext          # absent on Spark Connect sessions
+    except Exception:
+        sc = None
+    if not d and sc is not None:
+        cd = sc._jsc.sc().getCheckpointDir()
+        d = cd.get() if cd.isDefined() else None
     if not d:
-        d = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
-    if not d:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (every executor and the "
                                "driver must reach it); a machine-local folder does not survive on a cluster")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -88,7 +93,11 @@ def stored(spark: SparkSession, name: str, source: str, build) -> DataFrame:
     Series operators read their input twice (a small count pass and the row
     pass); reading a stored hourly table twice is cheap, recomputing it from
     raw data twice is not. Also a recovery point if executors are lost."""
-    k = (name, source, spark.sparkContext.applicationId)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:
+        app = spark.conf.get("spark.app.id", "") or id(spark)
+    k = (name, source, app)
     path = _STORED.get(k)
     if path is None:
         base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -16,10 +16,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     with one row group). Large inputs already have more splits than cores and
     pass through without a shuffle. Round-robin repartitioning sorts first,
     so a retried task sees the same rows."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the layout to the server
+        return df
+    return df.repartition(target) if n < target else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
