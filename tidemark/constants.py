@@ -74,7 +74,7 @@ TEST_LEXICON = {
     "les": -1.0, "sch": -1.0, "den": -1.0, "von": -1.0, "thea": -1.0,
 }
 
-# --- fixed values: subreddit-like source list for membership filters -----------
+# --- fixed values: forum-like source list for membership filters --------------
 TEST_SOURCES = ["src1", "src3", "src5", "src7", "src11", "src13"]
 
 # Regex classes (Java and RE2 accept both). Word characters follow the Unicode
