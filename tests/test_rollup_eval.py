@@ -96,3 +96,11 @@ def test_unique_by_first_last_and_nulls(spark):
     last = {r["k"]: r["v"] for r in unique_by(df, ["k"], ["o"], keep="last").collect()}
     assert last == {"a": "x", "b": "w"}
     assert unique_by(df, ["k"], ["o"]).columns == ["k", "o", "v"]
+
+
+def test_pearson_constant_series_is_null_not_error(spark):
+    from tidemark.operators.profile import corr_vector
+    df = spark.createDataFrame([("A", float(i), 1.0, float(2 * i)) for i in range(5)],
+                               "token string, price double, n double, v double")
+    r = {x["feature"]: x["r"] for x in corr_vector(df, "token", "price", ["n", "v"]).collect()}
+    assert r["n"] is None and r["v"] == pytest.approx(1.0)

@@ -48,3 +48,12 @@ def noise_factor(key_col, scales: dict, default_scale: float, seed: int = 42) ->
     for k, v in scales.items():
         s = F.when(_col(key_col) == F.lit(k), F.lit(float(v))).otherwise(s)
     return F.lit(1.0) + s * F.randn(seed)
+
+
+def pearson(x, y) -> Column:
+    """Pearson r over rows where both values exist, as an aggregate; null (not
+    an error under ANSI mode) when a side is constant or has under 2 pairs."""
+    xc, yc = _col(x), _col(y)
+    both = xc.isNotNull() & yc.isNotNull()
+    xs, ys = F.when(both, xc), F.when(both, yc)
+    return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.conditional import pearson
 from .joins import lookup_by_time
 from .series import with_position
 
@@ -28,7 +29,7 @@ def corr_base(df: DataFrame, key: str = "token", ts: str = "ts", c: str = "price
         F.col(key).alias("base"), F.col(on), F.col(c).alias("_bc"))
     other = df.filter(~F.col(key).isin(bases)).select(key, on, c)
     pairs = other.join(base, [on], "inner")
-    r = pairs.groupBy(key, "base").agg(F.corr(c, "_bc").alias("r"))
+    r = pairs.groupBy(key, "base").agg(pearson(c, "_bc").alias("r"))
     # keys with no pair at all still get one row per base (r null)
     base_list = F.array(*[F.struct(F.lit(b).alias("base"), F.lit(i).alias("_bi"))
                           for i, b in enumerate(bases)])

@@ -76,13 +76,13 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "prediction",
     summ = per.agg(
         F.sum("tp").alias("tp_all"), F.first("total").alias("total"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"),
+        F.try_divide(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("wp"),
+        F.try_divide(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("wr"),
+        F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("wf"),
         F.sum("support").alias("sup"))
     acc = summ.select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
                       F.lit(None).cast("double").alias("recall"),
-                      (F.col("tp_all") / F.col("total")).alias("f1"), F.col("sup").alias("support"))
+                      F.try_divide(F.col("tp_all"), F.col("total")).alias("f1"), F.col("sup").alias("support"))
     macro = summ.select(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"),
                         F.col("mr").alias("recall"), F.col("mf").alias("f1"), F.col("sup").alias("support"))
     weighted = summ.select(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.conditional import pearson
 from .series import _keys
 
 
@@ -88,7 +89,7 @@ def corr_vector(df: DataFrame, key, target: str, cols: Sequence[str],
     (key, feature, r). Rows with a null in any used column are left out first."""
     keys = _keys(key)
     d = df.na.drop(subset=[target, *cols]) if drop_null_rows else df
-    wide = d.groupBy(*keys).agg(*[F.corr(target, c).alias(f"_r{i}") for i, c in enumerate(cols)])
+    wide = d.groupBy(*keys).agg(*[pearson(target, c).alias(f"_r{i}") for i, c in enumerate(cols)])
     stack = ", ".join(f"'{c}', _r{i}" for i, c in enumerate(cols))
     return wide.select(*keys, F.expr(f"stack({len(cols)}, {stack}) AS (feature, r)"))
 

@@ -154,7 +154,7 @@ def rolling_mean(df: DataFrame, key, ts: str, cols: Sequence[str] | str, n: int,
             mean = F.avg(F.col(c)).over(frame)
         else:
             units = F.round(F.col(c) * F.lit(10.0 ** scale)).cast("long")
-            mean = F.sum(units).over(frame).cast("double") / cnt.cast("double") / F.lit(10.0 ** scale)
+            mean = F.try_divide(F.sum(units).over(frame).cast("double"), cnt.cast("double")) / F.lit(10.0 ** scale)
         rows = rows.withColumn(c + suffix, F.when(cnt >= min_rows, mean))
     return own_rows(rows)
 
