@@ -135,3 +135,23 @@ def test_write_predictions_rerun_safe(spark, tmpdir_fresh):
     write_predictions(p, out, "ar")
     got = spark.read.parquet(out)
     assert got.count() == 2 and sorted(r["model"] for r in got.collect()) == ["ar", "gbt"]
+
+
+def test_tweet_stream_new_files_only(spark, tmpdir_fresh):
+    from tidemark.streaming import keyword_filter_stream, tweet_stream
+    src = os.path.join(tmpdir_fresh, "in")
+    os.makedirs(src)
+
+    def land(name, lines):
+        with open(os.path.join(src, name), "w") as f:
+            f.write("\n".join(json.dumps(x) for x in lines) + "\n")
+    land("a.json", [{"data": {"id": "1", "author_id": "a", "created_at": "t", "text": "BTC to the moon"}},
+                    {"id": "2", "created_at": "t", "text": "nothing here", "user": {"id": "u"}}])
+    out, ck = os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "ck")
+    q = keyword_filter_stream(tweet_stream(spark, src), "text", ["btc", "eth"]).select("tweet_id", "word_found")
+    run_available_now(q, out, "x1", checkpoint=ck)
+    land("b.json", [{"id": "3", "created_at": "t", "text": "ETH!", "user": {"id": "v"}}])
+    q2 = keyword_filter_stream(tweet_stream(spark, src), "text", ["btc", "eth"]).select("tweet_id", "word_found")
+    run_available_now(q2, out, "x1", checkpoint=ck)
+    got = sorted((r["tweet_id"], r["word_found"]) for r in spark.read.parquet(out).collect())
+    assert got == [("1", "btc"), ("3", "eth")]

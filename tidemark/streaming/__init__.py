@@ -1,4 +1,4 @@
 """Structured Streaming forms of the incremental steps."""
 
 from .streams import (keyword_filter_stream, dedup_stream, hourly_label_counts,  # noqa: F401
-                      run_available_now)
+                      run_available_now, tweet_stream)

@@ -27,6 +27,23 @@ def _ckpt(df: DataFrame, name: str, checkpoint: str | None) -> str:
     return f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
 
 
+def tweet_stream(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """X1 source: new JSON-lines tweet files (either layout, compressed or not)
+    under ``path`` (a directory or glob) as a stream of (tweet_id, author_id,
+    created_at, text); lines without an id or not JSON are left out."""
+    from ..schemas import TWEET_ANY
+    r = (spark.readStream.schema(TWEET_ANY).option("mode", "PERMISSIVE")
+         .option("columnNameOfCorruptRecord", "_corrupt_record"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    raw = r.json(path)
+    return raw.select(
+        F.coalesce(F.col("data.id"), F.col("id")).alias("tweet_id"),
+        F.coalesce(F.col("data.author_id"), F.col("user.id")).alias("author_id"),
+        F.coalesce(F.col("data.created_at"), F.col("created_at")).alias("created_at"),
+        F.coalesce(F.col("data.text"), F.col("text")).alias("text")).filter(F.col("tweet_id").isNotNull())
+
+
 def keyword_filter_stream(stream: DataFrame, text: str, keywords, max_words: int = 4) -> DataFrame:
     """X1 transform: rows of a stream whose text has a keyword (T6 rules)."""
     return find_keywords(stream, text, keywords, max_words=max_words).filter(F.size("words_found") > 0)
