@@ -42,18 +42,6 @@ def clean_text(c, stopwords: Iterable[str] | None = STOPWORDS_EN) -> Column:
     return F.array_join(words(c, stopwords), " ")
 
 
-def text_pieces(c) -> Column:
-    """Lower-cased text cut into alternating maximal runs of word characters and
-    of other characters, starting with a word run (a leading separator run is
-    dropped). Used for word-bounded keyword search."""
-    pieces = F.regexp_extract_all(F.lower(_col(c)),
-                                  F.lit(f"[{WORD_CLASS}]+|[^{WORD_CLASS}]+"), 0)
-    first_is_sep = F.try_element_at(pieces, F.lit(1)).rlike(f"^[^{WORD_CLASS}]")
-    return F.when(F.size(pieces) == 0, pieces).when(
-        first_is_sep, F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    ).otherwise(pieces)
-
-
 def _word_count(k: str) -> int:
     import re
     return max(1, len(re.findall(r"\w+", k)))

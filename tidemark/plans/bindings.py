@@ -6,7 +6,7 @@ it, the same construction as a DuckDB CTE so oracle SQL can reuse it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import TEST_KEYWORDS, TEST_GENERAL, TEST_LEXICON, STOPWORDS_EN
 from ..session import configure, stored

@@ -17,7 +17,7 @@ from ..functions.text import map_label, label_word, token_upper
 from ..operators import series as S
 from ..operators.correlate import base_price, corr_base
 from ..operators.evaluate import ensemble, error_metrics, to_long
-from ..operators.joins import left_fill, metrics_wide, mixed_grain_join, semi, anti, lookup_by_time
+from ..operators.joins import left_fill, metrics_wide, mixed_grain_join, semi, anti
 from ..operators.profile import (corr_vector, feature_select, null_profile, rows_with_null,
                                  distinct_values)
 from ..operators.rollup import label_pivot, sentiment_daily, sentiment_hourly

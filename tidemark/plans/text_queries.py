@@ -329,7 +329,6 @@ def q_pick_better(spark, sf):
 def benchmark_dictionary(spark, sf) -> DataFrame:
     """A dictionary built from data by a rule: the distinct words of seven or
     more characters in the ``benchmark`` texts (1,608 at sf0.1)."""
-    from ..operators.textml import terms
     bm = B.read(spark, sf, "benchmark")
     w = bm.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("keyword"))
     return w.filter(F.length("keyword") >= 7).distinct().select(F.col("keyword").alias("tag"), "keyword")
