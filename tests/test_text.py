@@ -142,3 +142,52 @@ def test_label_articles_dedupes_repeats(spark):
     out = label_articles(df, "ts", "title", "description", CRYPTO_KEYWORDS, lexicon={"great": 1.0})
     rows = sorted((r["token"], r["clean_text"], r["label"], r["label_word"]) for r in out.collect())
     assert rows == [("BTC", "btc great gain", 1, "positive"), ("ETH", "eth", None, "unknown")]
+
+
+def test_find_keywords_equals_python_word_bound_regex(spark):
+    """Brute force: for random texts, the n-gram search returns exactly the
+    keywords that Python's ``\\bkeyword\\b`` (case ignored) finds."""
+    import random
+    import re
+    rnd = random.Random(11)
+    vocab = ["btc", "bitcoin", "smart", "contract", "contracts", "eth", "ether", "moon", "to", "the",
+             "de", "la", "café", "Über", "x1", "proof", "of", "stake", "sub", "subtc", "BTC"]
+    seps = [" ", "  ", "-", ", ", "! ", ".", "_", "\n", "/", "'"]
+    kws = ["btc", "smart contracts", "smart contract", "proof-of-stake", "de la", "café", "über",
+           "to the moon", "eth", "x1"]
+    texts = []
+    for i in range(300):
+        n = rnd.randint(0, 12)
+        t = "".join(rnd.choice(vocab) + rnd.choice(seps) for _ in range(n))
+        texts.append((i, t if rnd.random() > 0.05 else None))
+    df = spark.createDataFrame(texts, "id int, t string")
+    got = {r["id"]: r["words_found"] for r in K.find_keywords(df, "t", kws).collect()}
+    for i, t in texts:
+        if t is None:
+            assert got[i] is None
+            continue
+        exp = sorted(k for k in kws if re.search(r"\b" + re.escape(k) + r"\b", t, re.IGNORECASE))
+        assert got[i] == exp, (t, got[i], exp)
+
+
+def test_clean_text_equals_python_pipeline(spark):
+    """Brute force: the JVM cleaning equals the Python steps it re-expresses
+    (URL strip, Unicode \\w/\\s symbol strip, lower, split, stopwords)."""
+    import random
+    import re
+    rnd = random.Random(5)
+    pieces = ["Don't", "BUY", "the", "dip!", "http://x.y/z?a=1", "https://t.co/ab", "₿", "Ξ", "é", "²",
+              "naïve", "Ünïcode", "x_y", "__", "3.14", "(ok)", "🚀", "中文", "İstanbul", "ß", "it's", "was",
+              " ", " ", "\t", "\x0b", "\x1c", "\x85", "-", "—", "#tag", "@user"]
+    texts = [(i, "".join(rnd.choice(pieces) + rnd.choice([" ", "", "  ", "\n"]) for _ in range(rnd.randint(0, 10))))
+             for i in range(300)]
+    df = spark.createDataFrame(texts, "id int, t string")
+    got = {r["id"]: r["c"] for r in df.select("id", clean_text("t").alias("c")).collect()}
+    sw = set(STOPWORDS_EN)
+
+    def py_clean(t):
+        t = re.sub(r"http\S+", "", t)
+        t = re.sub(r"[^\w\s]", "", t)
+        return " ".join(w for w in t.lower().split() if w not in sw)
+    bad = [(t, got[i], py_clean(t)) for i, t in texts if got[i] != py_clean(t)]
+    assert not bad, bad[:3]
