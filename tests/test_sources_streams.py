@@ -155,3 +155,32 @@ def test_tweet_stream_new_files_only(spark, tmpdir_fresh):
     run_available_now(q2, out, "x1", checkpoint=ck)
     got = sorted((r["tweet_id"], r["word_found"]) for r in spark.read.parquet(out).collect())
     assert got == [("1", "btc"), ("3", "eth")]
+
+
+def test_stream_update_mode_and_late_rows(spark, tmpdir_fresh):
+    src = os.path.join(tmpdir_fresh, "src")
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "ts timestamp, token string, label int, id long"
+    rows = [(t0 + dt.timedelta(hours=h, minutes=10), tok, 1 if h % 2 else -1, h)
+            for h in range(6) for tok in ("A", "B")]
+    _write_events(spark, src, rows)
+    batch = label_pivot(spark.read.parquet(src).withColumn("ts", F.date_trunc("hour", "ts")))
+    # update mode: every window so far, equal to the batch pivot
+    seen = []
+    q = (hourly_label_counts(spark.readStream.schema(schema).parquet(src), delay="1 hour")
+         .writeStream.outputMode("update")
+         .foreachBatch(lambda b, _: seen.extend(map(tuple, b.select(*batch.columns).collect())))
+         .option("checkpointLocation", os.path.join(tmpdir_fresh, "ck_u"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(seen) == sorted(map(tuple, batch.collect()))
+    # append mode, then a row for hour 0 arrives after the watermark passed it
+    out, ck = os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "ck_a")
+    run_available_now(hourly_label_counts(spark.readStream.schema(schema).parquet(src), delay="1 hour"),
+                      out, "x3late", checkpoint=ck)
+    before = spark.read.parquet(out).count()
+    _write_events(spark, src, [(t0 + dt.timedelta(minutes=20), "A", 1, 999)])
+    run_available_now(hourly_label_counts(spark.readStream.schema(schema).parquet(src), delay="1 hour"),
+                      out, "x3late", checkpoint=ck)
+    got = {(r["ts"], r["token"]): r["count_total"] for r in spark.read.parquet(out).collect()}
+    assert len(got) == before and got[(t0, "A")] == 1     # the late row was dropped
