@@ -45,3 +45,17 @@ def test_sample_matches_oracle(spark, con, key):
     a = sorted(tuple(repr(r[c]) for c in order) for r in sdf.collect())
     b = sorted(tuple(repr(dict(zip(dcols, r))[c]) for c in order) for r in res.fetchall())
     assert a == b
+
+
+@pytest.mark.parametrize("key", ["fill_both", "thread_sentiment", "lag_features", "tfidf", "ensemble"])
+def test_results_independent_of_partitioning(spark, key):
+    def run(parts):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            df = E.queries()[key](spark, SF)
+            return sorted(tuple(repr(v) for v in r) for r in df.collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert run(1) == run(13)
