@@ -104,3 +104,18 @@ def test_pearson_constant_series_is_null_not_error(spark):
                                "token string, price double, n double, v double")
     r = {x["feature"]: x["r"] for x in corr_vector(df, "token", "price", ["n", "v"]).collect()}
     assert r["n"] is None and r["v"] == pytest.approx(1.0)
+
+
+def test_ar_forecast_scaled_matches_unscaled_linear_series(spark):
+    """On an exact AR(1) series the scaled path recovers the same forecast as
+    the direct one (scaling is affine, AR with intercept absorbs it)."""
+    from tidemark.operators.forecast import ar_forecast_scaled
+    vals, x = [], 50.0
+    for _ in range(200):
+        x = 5.0 + 0.9 * x
+        vals.append(x + (0.5 if len(vals) % 3 == 0 else -0.25))
+    rows = [("A", T0 + dt.timedelta(hours=i), v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "token string, ts timestamp, price double")
+    a = [r["prediction"] for r in ar_forecast(df, "token", "ts", "price", 3, 6).orderBy("step").collect()]
+    b = [r["prediction"] for r in ar_forecast_scaled(df, "token", "ts", "price", 3, 6).orderBy("step").collect()]
+    assert len(b) == 6 and b == pytest.approx(a, rel=1e-3)

@@ -149,3 +149,17 @@ def ar_forecast(df: DataFrame, key: str, ts: str, c: str, p: int, steps: int,
     return fc.select(key, (F.col("_i") + 1).alias("step"),
                      (F.col("_origin") + F.expr(f"INTERVAL {step_interval}") * (F.col("_i") + 1)).alias(ts),
                      "prediction")
+
+
+def ar_forecast_scaled(df: DataFrame, key: str, ts: str, c: str, p: int, steps: int,
+                       step_interval: str = "1 hour") -> DataFrame:
+    """The sequence-model forecast path: ``c`` min-max scaled per key (W12),
+    AR(p) recursion on the scaled series for ``steps`` steps, predictions
+    mapped back with the inverse scale. Returns (key, step, ts, prediction)."""
+    from .series import minmax_scale, inverse_minmax
+    scaled = minmax_scale(df.select(key, ts, c), key, [c], suffix="_s")
+    params = scaled.select(key, f"{c}_min", f"{c}_max").distinct()
+    fc = ar_forecast(scaled.select(key, ts, F.col(f"{c}_s").alias(c)), key, ts, c, p, steps, step_interval)
+    return (fc.join(params, key)
+            .withColumn("prediction", inverse_minmax("prediction", f"{c}_min", f"{c}_max"))
+            .drop(f"{c}_min", f"{c}_max"))

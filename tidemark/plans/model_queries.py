@@ -68,3 +68,10 @@ def q_gbt(spark, sf):
 def q_ar(spark, sf):
     m = B.mkt_table(spark, sf).select("token", "ts", "price")
     return ar_forecast(m, "token", "ts", "price", 24, 744)
+
+
+@register("ar_forecast_scaled")
+def q_ar_scaled(spark, sf):
+    from ..operators.forecast import ar_forecast_scaled
+    m = B.mkt_table(spark, sf).select("token", "ts", "price")
+    return ar_forecast_scaled(m, "token", "ts", "price", 24, 720)
