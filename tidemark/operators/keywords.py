@@ -32,10 +32,11 @@ def _as_rows(dictionary, lower: bool = True):
     """Return (rows or None, DataFrame or None): rows when the dictionary is a
     Python constant or a DataFrame whose size was checked to be small."""
     if isinstance(dictionary, DataFrame):
-        n = dictionary.count()
-        if n > MAX_LITERAL_ENTRIES:
+        # one job, at most MAX_LITERAL_ENTRIES + 1 rows reach the driver
+        got = dictionary.select("tag", "keyword").limit(MAX_LITERAL_ENTRIES + 1).collect()
+        if len(got) > MAX_LITERAL_ENTRIES:
             return None, dictionary
-        rows = [(r[0], r[1]) for r in dictionary.select("tag", "keyword").collect()]
+        rows = [(r[0], r[1]) for r in got]
     else:
         rows = dictionary_rows(dictionary)
     if lower:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +85,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 _STORED: dict[tuple, str] = {}
+_STORED_LOCK = threading.RLock()  # builders may call stored() again
 
 
 def stored(spark: SparkSession, name: str, source: str, build) -> DataFrame:
@@ -98,10 +100,11 @@ def stored(spark: SparkSession, name: str, source: str, build) -> DataFrame:
     except Exception:
         app = spark.conf.get("spark.app.id", "") or id(spark)
     k = (name, source, app)
-    path = _STORED.get(k)
-    if path is None:
-        base = ensure_checkpoint_dir(spark).rstrip("/")
-        path = f"{base}/stored/{name}-{uuid.uuid4().hex[:12]}"
-        build().write.mode("overwrite").parquet(path)
-        _STORED[k] = path
+    with _STORED_LOCK:
+        path = _STORED.get(k)
+        if path is None:
+            base = ensure_checkpoint_dir(spark).rstrip("/")
+            path = f"{base}/stored/{name}-{uuid.uuid4().hex[:12]}"
+            build().write.mode("overwrite").parquet(path)
+            _STORED[k] = path
     return spark.read.parquet(path)
