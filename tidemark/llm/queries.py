@@ -8,15 +8,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors once per application (as ``--py-files`` would), so
+    that tasks can import it wherever the driver found it."""
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    import tidemark
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(tidemark.__file__).parent
+        if root.is_dir():
+            archive = shutil.make_archive(f"{tempfile.mkdtemp()}/tidemark-package", "zip", root.parent, root.name)
+            sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import quality_classifier
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = lambda d: F.coalesce(F.crc32(d["doc_id"].cast("string")) % 4 == 2, F.lit(False))
+    model = quality_classifier.fit(docs, labels.where(~held_out(labels)))
+    out = quality_classifier.score(docs.select("doc_id", held_out(docs).alias("held_out"), "text"), model)
+    return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import quality_rules
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import jaccard_join
+    return jaccard_join.report(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import url_filters
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -24,14 +59,44 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, model).drop("url")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: n_pieces, a digest of the ids, and whether decoding gives the text back."""
+    import public_tokenizers
+    from tidemark.llm import unigram
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = unigram.decode(unigram.encode(docs, path), path)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import mixing
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_sizes(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    import public_tokenizers
+    from tidemark.llm import token_store
+    from tidemark.session import ensure_checkpoint_dir
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-store-{uuid.uuid4().hex[:12]}"
+    token_store.write(docs, folder, public_tokenizers.path("word_bpe_49k.json"))
+    return token_store.read(spark, folder, docs)
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import substring_dedup
+    return substring_dedup.report(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op6_url_filters, op8_mixing)
+    f.__name__: f for f in (op2_quality_classifier, op3_quality_rules, op4_ngram_jaccard_join, op6_url_filters, op7_sentencepiece,
+                            op8_mixing, op9_token_store, op10_substring_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {}
