@@ -33,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import line_dedup
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import quality_classifier
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -52,6 +57,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf_dir, "documents"))
 
 
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import vector_dedup
+    return vector_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import url_filters
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -95,7 +105,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op3_quality_rules, op4_ngram_jaccard_join, op6_url_filters, op7_sentencepiece,
+    f.__name__: f for f in (op1_line_dedup, op2_quality_classifier, op3_quality_rules, op4_ngram_jaccard_join, op5_vector_dedup,
+                            op6_url_filters, op7_sentencepiece,
                             op8_mixing, op9_token_store, op10_substring_dedup)
 }
 

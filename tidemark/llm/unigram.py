@@ -33,6 +33,7 @@ class DoubleArray:
         used = np.zeros(size, bool)
         used[0], check[0] = True, -2
         todo, low = [(0, 0, len(order), 0)], 1
+        # depth first; a node takes the first free place that holds all its children
         while todo:
             state, a, z, depth = todo.pop()
             if a < z and len(keys[order[a]]) == depth:
@@ -47,18 +48,20 @@ class DoubleArray:
                     at += 1
                 edges.append((c, first, at))
             codes = np.array([c for c, _, _ in edges])
-            while low < size and used[low]:
-                low += 1
-            b = max(1, low - int(codes[0]))
-            while True:
-                if b + 256 >= size:
-                    grow = size
-                    base, value = (np.concatenate([x, np.full(grow, f, np.int32)]) for x, f in ((base, 0), (value, -1)))
-                    check, used = np.concatenate([check, np.full(grow, -1, np.int32)]), np.concatenate([used, np.zeros(grow, bool)])
-                    size += grow
-                if not used[b + codes].any():
-                    break
-                b += 1
+            b, at, span = -1, low, 512
+            while b < 0:               # first free place where all codes fit, some candidates at a time
+                while at + span + 512 >= size:
+                    base, value = (np.concatenate([x, np.full(size, f, np.int32)]) for x, f in ((base, 0), (value, -1)))
+                    check, used = np.concatenate([check, np.full(size, -1, np.int32)]), np.concatenate([used, np.zeros(size, bool)])
+                    size *= 2
+                first = at + np.flatnonzero(~used[at: at + span]) - codes[0]
+                first = first[first > 0]
+                fits = first[~used[first[:, None] + codes].any(1)] if len(first) else first
+                if len(fits):
+                    b = int(fits[0])
+                elif len(first) * 20 < span:
+                    low = at + span    # nearly full: later nodes start behind it
+                at, span = at + span, min(span * 2, 1 << 14)
             base[state] = b
             used[b + codes] = True
             check[b + codes] = state
