@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.oracles import ORACLE_SQL  # noqa: F401
+
 
 _shipped: set[str] = set()
 
@@ -110,4 +112,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op8_mixing, op9_token_store, op10_substring_dedup)
 }
 
-ORACLE_SQL: dict[str, str] = {}

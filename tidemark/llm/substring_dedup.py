@@ -134,7 +134,7 @@ def _remove(window: int):
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
          gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(profile, removed), both stored.
+    """(profile, removed).
 
     profile: one row per row of ``docs``: __id, __row (hash of id and text), n_words,
     kept_sha256 of the untouched words. removed: one row per row that loses words: __id,
@@ -147,7 +147,13 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     d = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__t"))
     d = d.withColumn("__row", F.xxhash64("__id", "__t"))
     profile = store(d.mapInArrow(_profile(window, gram), "__id long, __row long, n_words long, kept_sha256 string, anchors array<long>"), "profile")
-    anchors = profile.where(F.col("__id").isNotNull()).select("__id", "__row", F.explode("anchors").alias("anchor"))
+    # a document equal word for word to one with a smaller id loses every word, and whatever it
+    # could remove, that one removes: such copies are settled before any window is counted
+    long_enough = profile.where(F.col("__id").isNotNull() & (F.col("n_words") >= window))
+    firsts = long_enough.groupBy(F.col("kept_sha256").alias("sha")).agg(F.min("__id").alias("lo"))
+    placed = long_enough.join(firsts, F.col("kept_sha256") == F.col("sha"))
+    copies = placed.where("__id > lo").select("__row", "__id", "n_words").distinct()
+    anchors = placed.where("__id = lo").select("__id", "__row", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("__id").alias("lo"), F.max("__id").alias("hi")).where("lo < hi").select("anchor")
     hit = store(anchors.join(shared, "anchor").groupBy("__row", "__id").agg(F.collect_set("anchor").alias("anchors")), "shared")
     texts = maybe_in(d, hit, "__row").dropDuplicates(["__row", "__id"])
@@ -158,7 +164,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     at = again.groupBy("__row", "__id").agg(F.collect_list("at").alias("at"))
     removed = store(texts.drop("anchors").join(at, ["__row", "__id"]).select("__id", "__row", "__t", "at")
                     .mapInArrow(_remove(window), "__id long, __row long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string"), "removed")
-    return profile.drop("anchors"), removed
+    whole = copies.select("__id", "__row", F.col("n_words").alias("n_removed"),
+                          F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"))).alias("spans"), F.lit("").alias("kept_text"))
+    return profile.drop("anchors"), removed.union(whole)
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
