@@ -204,3 +204,59 @@ def test_upsample_interpolate_equals_grid_then_fill(spark):
     assert len(ra) == len(rb) == 145 + 25 + 1
     for x, y in zip(ra, rb):
         assert x[:2] == y[:2] and ((x[2] is None and y[2] is None) or x[2] == pytest.approx(y[2]))
+
+
+def test_null_keys_and_times_are_kept(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators import series as S
+    rows = [("a", "2024-01-01 00:00:00", 1.0), ("a", None, 2.0), (None, "2024-01-01 01:00:00", 3.0), (None, None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, t string, v double").withColumn("t", F.to_timestamp("t"))
+    assert S.ffill(df, "k", "t", "v").count() == 4
+    assert S.fill_both(df, "k", "t", "v").count() == 4
+    assert S.rolling_mean(df, "k", "t", "v", 2).count() == 4
+    assert S.with_position(df, "k", "t", seg_rows=1).count() == 4
+    assert S.minmax_scale(df, "k", "v").where("v_scaled is not null").count() == 4
+
+
+def test_dense_and_sparse_stretches_match_one_segment(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators import series as S
+    dense = spark.range(300).select(F.timestamp_seconds(F.col("id")).alias("t"), F.col("id"))
+    sparse = spark.range(300, 340).select(F.timestamp_seconds(F.col("id") * 100_000).alias("t"), F.col("id"))
+    df = dense.union(sparse).select(F.lit("a").alias("k"), "t", F.when(F.col("id") % 7 == 3, F.col("id") * 1.0).alias("v"))
+    whole = S.fill_both(df, "k", "t", "v", "nearest").orderBy("t").collect()
+    assert S.fill_both(df, "k", "t", "v", "nearest", seg_rows=20).orderBy("t").collect() == whole
+
+
+def test_upsample_leaves_out_points_off_the_grid(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators import series as S
+    rows = [("a", "2024-01-01 00:00:00", 1.0), ("a", "2024-01-01 00:30:00", 9.0), ("a", "2024-01-01 02:00:00", 3.0)]
+    df = spark.createDataFrame(rows, "k string, t string, v double").withColumn("t", F.to_timestamp("t"))
+    fast = S.upsample_interpolate(df, "k", "t", "v").orderBy("t").collect()
+    slow = S.interpolate(S.resample_hourly(df, "k", "t", ["v"]), "k", "t", ["v"]).orderBy("t").select("k", "t", "v").collect()
+    assert fast == slow and [r["v"] for r in fast] == [1.0, 2.0, 3.0]
+
+
+def test_long_gap_is_filled_in_runs(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators import series as S
+    n = 3 * S.RUN_STEPS + 5
+    df = spark.createDataFrame([("a", 0, 0.0), ("a", n * 3600, float(n))], "k string, s long, v double")
+    out = S.upsample_interpolate(df.select("k", F.timestamp_seconds("s").alias("t"), "v"), "k", "t", "v")
+    got = [r["v"] for r in out.orderBy("t").collect()]
+    assert len(got) == n + 1 and all(abs(x - i) < 1e-6 for i, x in enumerate(got))
+
+
+def test_backward_fill_is_linear(spark):
+    import time
+    from pyspark.sql import functions as F
+    from tidemark.operators import series as S
+    df = spark.range(40_000).select(F.lit("a").alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("t"),
+                                    F.when(F.col("id") % 50 == 0, F.col("id") * 1.0).alias("v"))
+    def timed(f):
+        t = time.time()
+        f(df, "k", "t", "v").write.format("noop").mode("overwrite").save()
+        return time.time() - t
+    timed(S.ffill)
+    assert timed(S.bfill) < 3 * timed(S.ffill) + 3

@@ -142,9 +142,8 @@ B.add_cte("grid_pos", """SELECT *, row_number() OVER (PARTITION BY token ORDER B
     wn AS (PARTITION BY token ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""))
 def q_fill_both(spark, sf):
     g = _grid(spark, sf).select("token", "ts", "price")
-    a = S.fill_both(g, "token", "ts", ["price"], "bfill_ffill").withColumnRenamed("price", "price_bf")
-    b = S.fill_both(g, "token", "ts", ["price"], "nearest").withColumnRenamed("price", "price_near")
-    return a.join(b, ["token", "ts"], "inner")
+    out = S.fill_modes(g, "token", "ts", "price", {"price_bf": "bfill_ffill", "price_near": "nearest"})
+    return out.select("token", "ts", "price_bf", "price_near")
 
 
 # daily series with every third day of the month removed, so interpolation has work
@@ -179,6 +178,27 @@ def q_interpolate(spark, sf):
     return dh.select("token", "ts", "metric")
 
 
+@register("interpolate_general", with_ctes(["day_hourly"], "SELECT token, ts, metric FROM day_hourly"))
+def q_interpolate_general(spark, sf):
+    """W6 then W7 as two operators, with segments small enough that every token has several."""
+    d = _day_holes(spark, sf).select("token", F.col("d").cast("timestamp").alias("ts"), "metric")
+    grid = S.resample_hourly(d, "token", "ts", ["metric"])
+    return S.interpolate(grid, "token", "ts", ["metric"], seg_rows=100)
+
+
+@register("fill_segments", with_ctes(["grid"], """SELECT token, ts,
+    last_value(price IGNORE NULLS) OVER wp AS price_f, first_value(price IGNORE NULLS) OVER wn AS price_b,
+    count(*) OVER wp - 1 AS pos FROM grid WINDOW
+    wp AS (PARTITION BY token ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    wn AS (PARTITION BY token ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""))
+def q_fill_segments(spark, sf):
+    """Fills and positions over series of many segments (the carry between them is what it checks)."""
+    g = _grid(spark, sf).select("token", "ts", "price")
+    out = S.known_neighbours(g, "token", "ts", {"price": F.col("price")}, seg_rows=50)
+    return out.select("token", "ts", F.col("price_prev").alias("price_f"), F.col("price_next").alias("price_b"),
+                      F.col("_pos").alias("pos"))
+
+
 @register("hour_day_join", with_ctes(["mkt", "day_hourly"], """SELECT m.token, m.ts, m.price, m.volume, m.n,
     h.metric FROM mkt m LEFT JOIN day_hourly h ON m.token = h.token AND m.ts = h.ts
     WHERE m.price IS NOT NULL"""))
