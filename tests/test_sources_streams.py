@@ -184,3 +184,45 @@ def test_stream_update_mode_and_late_rows(spark, tmpdir_fresh):
                       out, "x3late", checkpoint=ck)
     got = {(r["ts"], r["token"]): r["count_total"] for r in spark.read.parquet(out).collect()}
     assert len(got) == before and got[(t0, "A")] == 1     # the late row was dropped
+
+
+def test_rerun_with_defaults_stores_only_new_files(spark, tmpdir_fresh):
+    from tidemark.streaming import keyword_filter_stream, run_available_now
+    src, out = tmpdir_fresh + "/in", tmpdir_fresh + "/out"
+    for i in (1, 2):
+        spark.createDataFrame([(i, "btc")], "id int, t string").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema("id int, t string").parquet(src)
+        run_available_now(keyword_filter_stream(stream, "t", ["btc"]).select("id"), out)
+        assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(1, i + 1))
+
+
+def test_stream_rejects(spark, tmpdir_fresh):
+    import os
+    from tidemark.streaming import run_available_now
+    from tidemark.streaming.streams import reject_stream
+    src, out = tmpdir_fresh + "/in", tmpdir_fresh + "/out"
+    os.makedirs(src)
+    with open(src + "/a.json", "w") as f:
+        f.write('{"id": "1", "text": "x"}\nnot json\n')
+    run_available_now(reject_stream(spark, src), out)
+    assert [r["line"] for r in spark.read.parquet(out).collect()] == ["not json"]
+
+
+def test_append_new_null_ids_and_real_errors(spark, tmpdir_fresh):
+    import pytest
+    from tidemark.sources.writers import append_new
+    path = tmpdir_fresh + "/t"
+    df = spark.createDataFrame([(None, "n"), (1, "b"), (1, "a")], "id int, v string")
+    for _ in range(3):
+        append_new(df, path, "id")
+    assert sorted(map(str, spark.read.parquet(path).collect())) == ["Row(id=1, v='a')", "Row(id=None, v='n')"]
+    with pytest.raises(Exception):
+        append_new(df, path, "id", fmt="no_such_format")
+
+
+def test_write_by_token_splits_a_hot_token(spark, tmpdir_fresh):
+    from pyspark.sql import functions as F
+    from tidemark.sources.writers import write_by_token
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 5)).alias("token"), "id")
+    write_by_token(df, tmpdir_fresh + "/w")
+    assert spark.read.parquet(tmpdir_fresh + "/w").groupBy("token").count().count() == 3

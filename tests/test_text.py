@@ -191,3 +191,18 @@ def test_clean_text_equals_python_pipeline(spark):
         return " ".join(w for w in t.lower().split() if w not in sw)
     bad = [(t, got[i], py_clean(t)) for i, t in texts if got[i] != py_clean(t)]
     assert not bad, bad[:3]
+
+
+def test_large_dictionary_gives_what_a_small_one_gives(spark, monkeypatch):
+    from tidemark.operators import keywords as K
+    rows = [(1, "btc up"), (1, "eth up"), (1, "eth up"), (2, None), (3, ""), (3, "buy the very big red dip now")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    words = ["btc", "eth", "dip", "buy the very big red"]
+    key = lambda r: (r["id"], r["t"] or "", r["words_found"])
+    small = sorted((key(r) for r in K.find_keywords(df, "t", words).collect()), key=str)
+    tags = sorted((str((r["id"], r["t"], r["tokens"])) for r in K.extract_tokens(df, "t", words).collect()))
+    monkeypatch.setattr(K, "MAX_LITERAL_ENTRIES", 1)
+    assert sorted((key(r) for r in K.find_keywords(df, "t", words).collect()), key=str) == small
+    assert sorted((str((r["id"], r["t"], r["tokens"])) for r in K.extract_tokens(df, "t", words).collect())) == tags
+    assert (3, "buy the very big red dip now", ["buy the very big red", "dip"]) in small
+    assert (1, "btc up", ["btc"]) in small

@@ -8,21 +8,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.conditional import mean_of
-from .joins import unique_by
 
 
 def ensemble(preds: DataFrame, models: Sequence[str], key: str = "token", ts: str = "ts",
-             out: str = "ensemble", order: Sequence | None = None) -> DataFrame:
-    """E5 = J7 + M2 + A19: predictions of several models side by side (inner
-    join on key and time), their mean, one row per (key, time). ``preds`` is
-    long: key, ts, model, prediction, actual."""
-    cols = [key, ts]
-    wide = None
-    for m in models:
-        side = (preds.filter(F.col("model") == m)
-                .select(key, ts, "actual", F.col("prediction").alias(m)))
-        side = unique_by(side, cols, order or [m], nulls_last=True)
-        wide = side if wide is None else wide.join(side.drop("actual"), cols, "inner")
+             out: str = "ensemble", order: Sequence[str] | None = None) -> DataFrame:
+    """E5 = J7 + M2 + A19: predictions of several models side by side (only
+    where every model has a row), their mean, one row per (key, time).
+    ``preds`` is long: key, ts, model, prediction, actual.
+
+    One grouped pass for all models: of a model's rows at one time the first in
+    ``order`` (default: its smallest known prediction) counts, ties decided by
+    prediction and actual; ``actual`` is the first model's."""
+    by = list(order or []) + ["prediction", "actual"]
+    rank = F.struct(*[F.struct(F.col(c).isNull().alias("f"), F.col(c).alias("v")).alias(f"o{i}") for i, c in enumerate(by)])
+    row = F.struct("prediction", "actual")
+    aggs = [F.min_by(row, F.when(F.col("model") == m, rank)).alias(f"_m{i}") for i, m in enumerate(models)]
+    wide = preds.filter(F.col("model").isin(list(models))).groupBy(key, ts).agg(*aggs)
+    for i in range(len(models)):
+        wide = wide.filter(F.col(f"_m{i}").isNotNull())
+    wide = wide.select(key, ts, F.col("_m0.actual").alias("actual"),
+                       *[F.col(f"_m{i}.prediction").alias(m) for i, m in enumerate(models)])
     return wide.withColumn(out, mean_of(*models))
 
 
@@ -53,40 +58,41 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "prediction",
                  classes: Sequence = (0, 1)) -> DataFrame:
     """Precision, recall, F1 and support per class, plus ``accuracy``,
     ``macro avg`` and ``weighted avg`` rows; an undefined ratio is 0. Built
-    from the confusion counts of one grouped aggregate."""
+    from the confusion counts of one grouped aggregate, gathered into one row
+    (at most classes x classes entries) and unfolded with array functions."""
     conf = df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("c"))
-    rows = []
-    for k in classes:
-        rows.append(conf.agg(
-            F.lit(str(k)).alias("class"),
-            F.sum(F.when((F.col(label) == k) & (F.col(pred) == k), F.col("c")).otherwise(0)).alias("tp"),
-            F.sum(F.when((F.col(label) != k) & (F.col(pred) == k), F.col("c")).otherwise(0)).alias("fp"),
-            F.sum(F.when((F.col(label) == k) & (F.col(pred) != k), F.col("c")).otherwise(0)).alias("fn"),
-            F.sum("c").alias("total")))
-    per = rows[0]
-    for r in rows[1:]:
-        per = per.unionByName(r)
-    z = F.lit(0.0)
-    prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double")), z)
-    rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fn")).cast("double")), z)
-    per = (per.withColumn("precision", prec).withColumn("recall", rec)
-           .withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
-                                                     F.col("precision") + F.col("recall")), z))
-           .withColumn("support", (F.col("tp") + F.col("fn")).cast("long")))
-    summ = per.agg(
-        F.sum("tp").alias("tp_all"), F.first("total").alias("total"),
-        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        F.try_divide(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("wp"),
-        F.try_divide(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("wr"),
-        F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("wf"),
-        F.sum("support").alias("sup"))
-    acc = summ.select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
-                      F.lit(None).cast("double").alias("recall"),
-                      F.try_divide(F.col("tp_all"), F.col("total")).alias("f1"), F.col("sup").alias("support"))
-    macro = summ.select(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"),
-                        F.col("mr").alias("recall"), F.col("mf").alias("f1"), F.col("sup").alias("support"))
-    weighted = summ.select(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),
-                           F.col("wr").alias("recall"), F.col("wf").alias("f1"),
-                           F.col("sup").alias("support"))
-    return (per.select("class", "precision", "recall", "f1", "support")
-            .unionByName(acc).unionByName(macro).unionByName(weighted))
+    cells = conf.agg(F.collect_list(F.struct(F.col(label).alias("l"), F.col(pred).alias("p"), "c")).alias("cells"))
+
+    def total(test):
+        return F.aggregate(F.filter("cells", test), F.lit(0).cast("long"), lambda a, x: a + x["c"])
+
+    def ratio(a, b):
+        return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+
+    def entry(k):
+        return F.struct(F.lit(str(k)).alias("class"), total(lambda x: (x["l"] == k) & (x["p"] == k)).alias("tp"),
+                        total(lambda x: (x["l"] != k) & (x["p"] == k)).alias("fp"),
+                        total(lambda x: (x["l"] == k) & (x["p"] != k)).alias("fn"))
+
+    counted = cells.select(F.array(*[entry(k) for k in classes]).alias("k"),
+        total(lambda x: F.lit(True)).alias("total"))
+    rated = counted.select("total", F.transform("k", lambda x: F.struct(
+        x["class"].alias("class"), ratio(x["tp"], x["tp"] + x["fp"]).alias("precision"),
+        ratio(x["tp"], x["tp"] + x["fn"]).alias("recall"),
+        ratio(2 * x["tp"], 2 * x["tp"] + x["fp"] + x["fn"]).alias("f1"),
+        (x["tp"] + x["fn"]).cast("long").alias("support"), x["tp"].alias("tp"))).alias("r"))
+
+    def added(name, weight=None):
+        term = (lambda x: x[name].cast("double")) if weight is None else (lambda x: x[name] * x[weight])
+        return F.aggregate("r", F.lit(0.0), lambda a, x: a + term(x))
+    n, support = F.lit(float(len(classes))), F.aggregate("r", F.lit(0).cast("long"), lambda a, x: a + x["support"])
+    summary = F.array(
+        F.struct(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
+                 F.lit(None).cast("double").alias("recall"),
+                 F.try_divide(added("tp"), F.col("total").cast("double")).alias("f1"), support.alias("support")),
+        F.struct(F.lit("macro avg").alias("class"), *[(added(m) / n).alias(m) for m in ("precision", "recall", "f1")], support.alias("support")),
+        F.struct(F.lit("weighted avg").alias("class"),
+                 *[F.try_divide(added(m, "support"), support.cast("double")).alias(m) for m in ("precision", "recall", "f1")],
+                 support.alias("support")))
+    per = F.transform("r", lambda x: F.struct(*[x[c].alias(c) for c in ("class", "precision", "recall", "f1", "support")]))
+    return rated.select(F.explode(F.concat(per, summary)).alias("o")).select("o.*")

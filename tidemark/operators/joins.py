@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import AtomicType
 
 from .series import _keys
 
@@ -20,15 +21,6 @@ def metrics_wide(long_df: DataFrame, keys: Sequence[str], metric: str = "metric"
     return g.agg(F.first(value, ignorenulls=True))
 
 
-def outer_join_all(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """J1 as written in the reference: pairwise full outer joins (kept for
-    comparison; prefer :func:`metrics_wide`)."""
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.join(t, list(keys), "full")
-    return out
-
-
 def hour_day_join(hourly: DataFrame, daily_hourly: DataFrame, key: str = "token", ts: str = "ts",
                   need: str = "price") -> DataFrame:
     """J2 + P4: hourly rows with daily-derived (already resampled) columns.
@@ -65,7 +57,8 @@ def left_fill(left: DataFrame, right: DataFrame, on: Sequence[str],
 def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence, keep: str = "first",
               nulls_last: bool = False) -> DataFrame:
     """One row per key; the first row in ``order`` (ascending) is kept, or
-    the last with ``keep='last'``. Deterministic unlike dropDuplicates.
+    the last with ``keep='last'``; equal order values are decided by the other
+    atomic columns, so the result is the same on every run.
 
     Written as a grouped ``min_by``/``max_by`` over the whole row, so Spark
     pre-aggregates per task: a key repeated a billion times costs one row per
@@ -77,8 +70,11 @@ def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence, keep: str = "
         c = F.col(o) if isinstance(o, str) else o
         flag = c.isNull() if nulls_last else c.isNotNull()
         parts.append(F.struct(flag.alias("f"), c.alias("v")))
-    rank = F.struct(*parts) if parts else F.lit(0)
+    # remaining columns break ties, so equal order values still pick one row for good
     row = F.struct(*[F.col(c) for c in rest])
+    ties = [F.col(c) for c in rest if isinstance(df.schema[c].dataType, AtomicType)]
+    parts += [F.struct(c.isNull().alias("f"), c.alias("v")) for c in ties]
+    rank = F.struct(*parts) if parts else F.lit(0)
     pick = F.max_by(row, rank) if keep == "last" else F.min_by(row, rank)
     return df.groupBy(*keys).agg(pick.alias("_r")).select(*keys, *[F.col("_r")[c].alias(c) for c in rest])
 

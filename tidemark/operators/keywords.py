@@ -1,9 +1,11 @@
 """Keyword tagging and search.
 
-A dictionary small enough to be a constant of the plan (size checked) is
-inlined as a literal map/array and applied with higher-order functions:
-no shuffle, no Python. A larger one is joined instead: exploded words (or
-word n-grams) ⨝ dictionary table, grouped back by the row id."""
+The result depends on the text alone, so a row's tags never depend on other
+rows or on ids. A dictionary that is small enough is a constant of the plan,
+applied with higher-order functions: no shuffle, no Python. A larger one is
+joined: the words (or word n-grams) of each distinct text with the dictionary,
+the hits grouped by the text's 128-bit hash and joined back. Both ways give the
+same result; the number of words in a keyword is taken from the dictionary."""
 
 from __future__ import annotations
 
@@ -13,12 +15,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 import re
 
+from ..constants import WORD_CLASS
 from ..functions.text import _word_count, word_ngrams, words as clean_words
 
 # Dictionaries up to this many entries become plan constants.
 MAX_LITERAL_ENTRIES = 5000
-# A dictionary table up to this many rows is broadcast on the join path.
-MAX_BROADCAST_ROWS = 2_000_000
+# A dictionary table up to this many bytes is broadcast on the join path.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def dictionary_rows(d) -> list[tuple[str, str]]:
@@ -28,19 +31,21 @@ def dictionary_rows(d) -> list[tuple[str, str]]:
     return [(w, w) for w in d]
 
 
-def _as_rows(dictionary, lower: bool = True):
-    """Return (rows or None, DataFrame or None): rows when the dictionary is a
-    Python constant or a DataFrame whose size was checked to be small."""
+def _as_rows(dictionary, df: DataFrame):
+    """(rows, None) for a dictionary that becomes a plan constant, else (None, table),
+    keywords lower-cased. A stream cannot be grouped and joined back, so its
+    dictionary is a constant whatever its size."""
+    any_size = df.isStreaming
     if isinstance(dictionary, DataFrame):
-        # one job, at most MAX_LITERAL_ENTRIES + 1 rows reach the driver
-        got = dictionary.select("tag", "keyword").limit(MAX_LITERAL_ENTRIES + 1).collect()
-        if len(got) > MAX_LITERAL_ENTRIES:
-            return None, dictionary
-        rows = [(r[0], r[1]) for r in got]
-    else:
-        rows = dictionary_rows(dictionary)
-    if lower:
-        rows = [(t, k.lower()) for t, k in rows]
+        table = dictionary.select("tag", F.lower("keyword").alias("keyword")).where(F.col("keyword").isNotNull())
+        # one job, at most MAX_LITERAL_ENTRIES + 1 rows reach the driver (for a stream: all)
+        got = (table if any_size else table.limit(MAX_LITERAL_ENTRIES + 1)).collect()
+        if len(got) > MAX_LITERAL_ENTRIES and not any_size:
+            return None, table
+        return [(r[0], r[1]) for r in got], None
+    rows = [(t, k.lower()) for t, k in dictionary_rows(dictionary)]
+    if len(rows) > MAX_LITERAL_ENTRIES and not any_size:
+        return None, df.sparkSession.createDataFrame(rows, "tag string, keyword string")
     return rows, None
 
 
@@ -55,17 +60,20 @@ def _tag_map(rows) -> Column:
                              F.array(*[F.array(*[F.lit(t) for t in by_kw[k]]) for k in keys]))
 
 
-def _join_path(df: DataFrame, id_col: str, items: Column, table: DataFrame, out: str) -> DataFrame:
-    """Explode ``items`` per row, join the (tag, keyword) table, collect tags."""
-    ex = df.select(id_col, F.explode(items).alias("_item")).distinct()
-    n = table.count()
-    tb = table.select(F.col("keyword").alias("_item"), "tag")
-    tb = F.broadcast(tb) if n <= MAX_BROADCAST_ROWS else tb
-    tags = (ex.join(tb, "_item").groupBy(id_col)
-            .agg(F.array_sort(F.collect_set("tag")).alias(out)))
+def _join_path(df: DataFrame, c: str, items: Column, table: DataFrame, out: str) -> DataFrame:
+    """Explode ``items`` per row, keep those in the (tag, keyword) table, collect
+    the tags per text. Only hits are grouped. The table is broadcast where its
+    bytes, summed first, allow; beyond that both sides are shuffled."""
+    h1, h2 = F.xxhash64(F.col(c)), F.xxhash64(F.lit(1), F.col(c))
+    ex = df.select(h1.alias("_h1"), h2.alias("_h2"), F.explode(items).alias("_item"))
+    tb = table.select(F.col("keyword").alias("_item"), "tag").distinct()
+    size = table.agg(F.sum(F.octet_length("keyword") + F.octet_length("tag") + F.lit(64))).first()[0] or 0
+    tb = F.broadcast(tb) if size <= MAX_BROADCAST_BYTES else tb
+    tags = ex.join(tb, "_item").groupBy("_h1", "_h2").agg(F.array_sort(F.collect_set("tag")).alias("_tags"))
     empty = F.array().cast("array<string>")
-    return (df.join(tags, id_col, "left")
-            .withColumn(out, F.when(items.isNull(), F.lit(None)).otherwise(F.coalesce(F.col(out), empty))))
+    return (df.withColumns({"_h1": h1, "_h2": h2}).join(tags, ["_h1", "_h2"], "left")
+            .withColumn(out, F.when(F.col(c).isNotNull(), F.coalesce("_tags", empty)))
+            .drop("_h1", "_h2", "_tags"))
 
 
 def tags_of_words(word_array: Column, rows) -> Column:
@@ -83,48 +91,46 @@ def extract_tokens(df: DataFrame, c: str, dictionary, out: str = "tokens",
     """T5: for each word of the text (already cleaned when ``cleaned``, else
     cleaned here): the tags of the dictionary entries equal to it. A
     dictionary {symbol: words} tags with the symbol; a plain list of words
-    tags with the word itself. Result: sorted distinct array."""
+    tags with the word itself. Result: sorted distinct array. ``id_col`` is
+    accepted for older callers; the result does not depend on ids."""
     wa = (F.filter(F.split(F.col(c), " "), lambda w: w != "") if cleaned
           else clean_words(F.col(c), stopwords) if stopwords is not None else clean_words(F.col(c)))
-    rows, table = _as_rows(dictionary)
+    rows, table = _as_rows(dictionary, df)
     if rows is not None:
         return df.withColumn(out, tags_of_words(wa, rows))
-    if id_col is None:
-        raise ValueError("a large dictionary needs id_col for the join path")
-    return _join_path(df, id_col, wa, table.withColumn("keyword", F.lower("keyword")), out)
+    return _join_path(df, c, wa, table, out)
 
 
 def find_keywords(df: DataFrame, c: str, keywords, out: str = "words_found",
-                  one: str = "word_found", id_col: str | None = None, max_words: int = 4) -> DataFrame:
+                  one: str = "word_found", id_col: str | None = None) -> DataFrame:
     """Every keyword that occurs in the raw text as whole words (word
     bounds on both sides, case ignored, separators inside a keyword must
-    match exactly). ``out`` = sorted array of the keywords found, ``one`` =
-    the first of them (null when none)."""
-    rows, table = _as_rows(keywords)
+    match exactly), however many words it has. ``out`` = sorted array of the
+    keywords found, ``one`` = the first of them (null when none). ``id_col`` is
+    accepted for older callers; the result does not depend on ids."""
+    rows, table = _as_rows(keywords, df)
     if rows is not None:
-        kws = sorted({k for _, k in rows})
-        n_max = min(max_words, max(_word_count(k) for k in kws))
+        kws = sorted({k for _, k in rows if re.search(r"\w", k)})
+        n_max = max((_word_count(k) for k in kws), default=1)
         firsts = {re.findall(r"\w+", k)[0] for k in kws if _word_count(k) > 1}
         grams = word_ngrams(F.col(c), n_max, firsts if 0 < len(firsts) <= 200 else None)
         found = F.array_sort(F.array_distinct(F.filter(grams, lambda g: g.isin(kws))))
         out_df = df.withColumn(out, F.when(F.col(c).isNotNull(), found))
     else:
-        grams = word_ngrams(F.col(c), max_words)
-        if id_col is None:
-            raise ValueError("a large dictionary needs id_col for the join path")
-        t = table.select(F.lower("keyword").alias("keyword")).distinct().withColumn("tag", F.col("keyword"))
-        out_df = _join_path(df, id_col, F.when(F.col(c).isNotNull(), grams), t, out)
+        t = table.select("keyword").distinct().withColumn("tag", F.col("keyword"))
+        # words of the longest keyword: one row reaches the driver
+        n_max = t.agg(F.max(F.regexp_count("keyword", F.lit(f"[{WORD_CLASS}]+")))).first()[0] or 1
+        out_df = _join_path(df, c, word_ngrams(F.col(c), n_max), t, out)
     return out_df.withColumn(one, F.try_element_at(F.col(out), F.lit(1)))
 
 
-def kw_filter(df: DataFrame, c: str, keywords, id_col: str | None = None,
-              max_words: int = 4) -> DataFrame:
+def kw_filter(df: DataFrame, c: str, keywords) -> DataFrame:
     """rows whose text has at least one keyword as whole words.
 
     The search result is produced through a one-row ``inline`` (a Generate):
     a filter on a generated column is not pushed below it, so the search runs
     once per row instead of once for the filter and once for the output."""
-    found = find_keywords(df, c, keywords, id_col=id_col, max_words=max_words)
+    found = find_keywords(df, c, keywords)
     cols = [x for x in found.columns if x not in ("words_found", "word_found")]
     g = found.select(*cols, F.inline(F.array(F.struct(F.col("words_found").alias("words_found"),
                                                       F.col("word_found").alias("word_found")))))

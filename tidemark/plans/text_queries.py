@@ -229,7 +229,8 @@ B.add_cte("thr_union", """SELECT submission_id, turn, ts, label,
 def _thread_join(spark, sf):
     it = thr_items(spark, sf)
     comments = it.filter("turn > 0").select("submission_id", "turn", "ts", "label", F.col("tokens").alias("c_tokens"))
-    subs = unique_parent(it.filter("turn = 0"), "submission_id", ["turn"]).select(
+    # only what the child needs of its parent goes through the shuffle
+    subs = unique_parent(it.filter("turn = 0").select("submission_id", "turn", "tokens"), "submission_id", ["turn"]).select(
         "submission_id", F.col("tokens").alias("s_tokens"))
     return comments.join(subs, "submission_id", "left")
 
@@ -347,10 +348,39 @@ def q_kw_filter_dict(spark, sf):
     """F6/T6 with a dictionary of data-derived size (size-checked: a plan
     constant up to MAX_LITERAL_ENTRIES, else the join path)."""
     docs = _docs_text(spark, sf)
-    out = kw_filter(docs, "text", benchmark_dictionary(spark, sf), id_col="doc_id")
+    out = kw_filter(docs, "text", benchmark_dictionary(spark, sf))
     return out.select("doc_id", F.array_join("words_found", ",").alias("words_found"), "word_found")
 
 
+@register("kw_filter_long", r"""WITH dict AS (SELECT DISTINCT regexp_extract(lower(text), '^[\p{L}\p{N}_]+([^\p{L}\p{N}_]+[\p{L}\p{N}_]+){4}') AS keyword
+    FROM benchmark), f AS (SELECT doc_id, list_sort(list(keyword)) AS f FROM documents JOIN dict ON keyword <> '' AND
+    regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])' || regexp_escape(keyword) || '($|[^\p{L}\p{N}_])') GROUP BY doc_id)
+    SELECT doc_id, array_to_string(f, '|') AS words_found, f[1] AS word_found FROM f""")
+def q_kw_filter_long(spark, sf):
+    """T6 with keywords of five words (the opening words of the benchmark texts)."""
+    five = F.regexp_extract(F.lower("text"), r"^[\p{L}\p{N}_]+([^\p{L}\p{N}_]+[\p{L}\p{N}_]+){4}", 0).alias("keyword")
+    words_5 = B.read(spark, sf, "benchmark").select(five).filter("keyword <> ''").distinct()
+    out = kw_filter(_docs_text(spark, sf), "text", words_5.withColumn("tag", F.col("keyword")))
+    return out.select("doc_id", F.array_join("words_found", "|").alias("words_found"), "word_found")
+
+
+@register("kw_dict_large", r"""WITH dict AS (SELECT DISTINCT w FROM (
+      SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS w FROM conversations) WHERE length(w) >= 3),
+  d AS (SELECT doc_id % 50 AS id, row_number() OVER () AS r, text FROM documents),
+  hits AS (SELECT DISTINCT r, w FROM (SELECT r, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS w FROM d)
+           WHERE w IN (SELECT w FROM dict)),
+  f AS (SELECT r, list_sort(list(w)) AS f FROM hits GROUP BY r)
+  SELECT id, md5(text) AS text_md5, coalesce(array_to_string(f, ','), '') AS words_found FROM d LEFT JOIN f USING (r)""")
+def q_kw_dict_large(spark, sf):
+    """T6 with a dictionary too large for the plan (every longer word of the conversations) over rows
+    that share ids: a row's keywords come from its own text."""
+    w = B.read(spark, sf, "conversations").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("keyword"))
+    table = w.filter(F.length("keyword") >= 3).distinct().withColumn("tag", F.col("keyword"))
+    docs = B.read(spark, sf, "documents").select((F.col("doc_id") % 50).alias("id"), "text")
+    out = find_keywords(docs, "text", table)
+    return out.select("id", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.array_join("words_found", ",").alias("words_found"))
+
+
 # --------------------------------------------------------------- news path
 B.add_cte("articles", f"""SELECT DISTINCT ts, token, clean_text, label FROM (
     SELECT ts, unnest({sql_tokens("string_split(clean_text, ' ')")}) AS token, clean_text,

@@ -7,36 +7,34 @@
 * X3: hourly label counts per token in event-time windows; append mode emits
   a window once the watermark passes its end; later rows are dropped.
 
-Checkpoints go under the shared ``spark.checkpoint.dir`` unless given.
+A run's checkpoint lives inside its sink unless given, so the two always agree
+on what has been stored.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.keywords import find_keywords
-from ..session import ensure_checkpoint_dir
 
 
-def _ckpt(df: DataFrame, name: str, checkpoint: str | None) -> str:
-    if checkpoint:
-        return checkpoint
-    return f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
-
-
-def tweet_stream(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """X1 source: new JSON-lines tweet files (either layout, compressed or not)
-    under ``path`` (a directory or glob) as a stream of (tweet_id, author_id,
-    created_at, text); lines without an id or not JSON are left out."""
+def _raw_tweets(spark, path: str, max_files_per_trigger: int | None) -> DataFrame:
     from ..schemas import TWEET_ANY
     r = (spark.readStream.schema(TWEET_ANY).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    raw = r.json(path)
+    return r.json(path)
+
+
+def tweet_stream(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """X1 source: new JSON-lines tweet files (either layout, compressed or not)
+    under ``path`` (a directory or glob) as a stream of (tweet_id, author_id,
+    created_at, text); lines without an id are left out, lines that are not
+    JSON go to :func:`reject_stream`."""
+    raw = _raw_tweets(spark, path, max_files_per_trigger)
     return raw.select(
         F.coalesce(F.col("data.id"), F.col("id")).alias("tweet_id"),
         F.coalesce(F.col("data.author_id"), F.col("user.id")).alias("author_id"),
@@ -44,9 +42,16 @@ def tweet_stream(spark, path: str, max_files_per_trigger: int | None = None) ->
         F.coalesce(F.col("data.text"), F.col("text")).alias("text")).filter(F.col("tweet_id").isNotNull())
 
 
-def keyword_filter_stream(stream: DataFrame, text: str, keywords, max_words: int = 4) -> DataFrame:
+def reject_stream(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """X1 rejects (S6): the lines of new files that are not JSON, as (line, source_file)."""
+    raw = _raw_tweets(spark, path, max_files_per_trigger)
+    return raw.select("id", F.col("_corrupt_record").alias("line"), F.col("_metadata.file_path").alias("source_file")).filter(
+        F.col("line").isNotNull() & F.col("id").isNull()).select("line", "source_file")
+
+
+def keyword_filter_stream(stream: DataFrame, text: str, keywords) -> DataFrame:
     """X1 transform: rows of a stream whose text has a keyword (T6 rules)."""
-    return find_keywords(stream, text, keywords, max_words=max_words).filter(F.size("words_found") > 0)
+    return find_keywords(stream, text, keywords).filter(F.size("words_found") > 0)
 
 
 def dedup_stream(stream: DataFrame, id_cols: Sequence[str] | str, ts: str, delay: str) -> DataFrame:
@@ -67,12 +72,15 @@ def hourly_label_counts(stream: DataFrame, ts: str = "ts", key: str = "token", l
                     (F.col("count_negative") + F.col("count_positive")).alias("count_total")))
 
 
-def run_available_now(df: DataFrame, path: str, name: str, mode: str = "append",
+def run_available_now(df: DataFrame, path: str, name: str = "", mode: str = "append",
                       checkpoint: str | None = None, fmt: str = "parquet") -> str:
     """Run a streaming DataFrame over everything available now into ``path``
-    and stop; returns the checkpoint used (rerun = only new input)."""
-    ck = _ckpt(df, name, checkpoint)
-    q = (df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", ck)
+    and stop; returns the checkpoint used. The default checkpoint is the folder
+    ``_checkpoint`` of the sink (readers skip it), so a rerun, also by another
+    session, stores only new input and never skips a batch. ``name`` names the query."""
+    ck = checkpoint or f"{path.rstrip('/')}/_checkpoint"
+    w = df.writeStream.queryName(name) if name else df.writeStream
+    q = (w.format(fmt).outputMode(mode).option("checkpointLocation", ck)
          .trigger(availableNow=True).start(path))
     q.awaitTermination()
     return ck
