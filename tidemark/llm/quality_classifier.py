@@ -29,6 +29,8 @@ class Options:
     dim: int = 8
     char_ngrams: tuple[int, ...] = (3, 4)
     epochs: int = 6
+    #: A small sample is gone over more often, until so many documents have been seen.
+    least_steps: int = 6000
     rate: float = 0.5
     seed: int = 11
     #: Bound on the labelled sample a fit reads, and on the length of a text in it.
@@ -104,8 +106,9 @@ def train(texts: list[str], labels: np.ndarray, o: Options = Options()) -> Model
     vectors = rng.uniform(-1 / o.dim, 1 / o.dim, (o.buckets, o.dim)).astype(np.float32)
     output = np.zeros((o.dim, 2), np.float32)
     y = np.asarray(labels, int)
-    steps, done = o.epochs * len(rows), 0
-    for _ in range(o.epochs):
+    epochs = max(o.epochs, -(-o.least_steps // len(rows)))
+    steps, done = epochs * len(rows), 0
+    for _ in range(epochs):
         for i in rng.permutation(len(rows)):
             rate = o.rate * (1 - done / steps)
             done += 1

@@ -178,24 +178,30 @@ def _shard_search(beam: int, least: float):
 def audit(classes: DataFrame, found: DataFrame, least: float, queries: int) -> float:
     """Recall: of the links of at most ``queries`` vectors (those with the smallest hash), by
     brute force against all rows in blocks, the share that the search counted."""
-    picked = classes.orderBy(F.xxhash64("id"), "id").limit(queries).select("id", "v").collect()
+    picked = classes.orderBy(F.xxhash64("id"), "id").limit(queries).select("id", "d", "v").collect()
     if not picked:
         return 1.0
-    q = normalise(np.array([r["v"] for r in picked]))
-    own = np.array([r["id"] for r in picked])
-    shared = classes.sparkSession.sparkContext.broadcast((own, q))
+    by_length = {}
+    for r in picked:
+        by_length.setdefault(r["d"], []).append(r)
+    shared = classes.sparkSession.sparkContext.broadcast(
+        {d: (np.array([r["id"] for r in rows]), normalise(np.array([r["v"] for r in rows]))) for d, rows in by_length.items()})
 
     def count(batches):
-        own, q = shared.value
-        total = np.zeros(len(own), np.int64)
+        total = {d: np.zeros(len(own), np.int64) for d, (own, _) in shared.value.items()}
         for b in batches:
-            ids, n = b.column(0).to_numpy(), b.column(2).to_numpy()
-            for at in range(0, b.num_rows, 2048):
-                hit = (q @ _matrix(b.column(1).slice(at, 2048)).T >= least) & (own[:, None] != ids[None, at: at + 2048])
-                total += (hit * n[None, at: at + 2048]).sum(1)
-        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total)], ["id", "true"])
-
-    true = classes.select("id", "v", "n").mapInArrow(count, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
+            dims = b.column(3).to_numpy()
+            for d in set(dims.tolist()) & set(total):
+                own, q = shared.value[d]
+                part = b.filter(pa.array(dims == d))
+                ids, n = part.column(0).to_numpy(), part.column(2).to_numpy()
+                for at in range(0, part.num_rows, 2048):
+                    hit = (q @ _matrix(part.column(1).slice(at, 2048)).T >= least) & (own[:, None] != ids[None, at: at + 2048])
+                    total[d] += (hit * n[None, at: at + 2048]).sum(1)
+        for d, (own, _) in shared.value.items():
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[d])], ["id", "true"])
+
+    true = classes.select("id", "v", "n", "d").mapInArrow(count, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
     both = true.join(found.select("id", "links"), "id").agg(F.sum(F.least("true", "links")).alias("got"), F.sum("true").alias("all")).first()
     return 1.0 if not both["all"] else both["got"] / both["all"]
 
