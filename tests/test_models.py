@@ -58,3 +58,50 @@ def test_noise_factor_seeded(spark):
     a = df.select(noise_factor("token", {"BTC": 0.025}, 0.05, seed=1).alias("f")).collect()
     b = df.select(noise_factor("token", {"BTC": 0.025}, 0.05, seed=1).alias("f")).collect()
     assert a == b and all(0.5 < r["f"] < 1.5 for r in a)
+
+
+def test_ml_weights_are_those_of_tfidf(spark):
+    from tidemark.operators.textml import fit_text_model, tfidf
+    rows = [(1, "alpha beta beta common", 1.0), (2, "alpha gamma common", 0.0), (3, "delta delta common", 1.0), (4, "epsilon common", 0.0)]
+    df = spark.createDataFrame(rows, "id int, text string, label double")
+    model = fit_text_model(df, classifier="logistic", max_iter=2)
+    vocabulary = model.stages[1].vocabulary
+    want = {(r["id"], r["term"]): r["tfidf"] for r in tfidf(df, "id", "text").collect()}
+    got = {(r["id"], vocabulary[i]): v for r in model.transform(df).collect() for i, v in zip(r["features"].indices.tolist(), r["features"].values.tolist())}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_trees_take_any_number_of_keys_and_no_late_label(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators.forecast import gbt_forecast
+    df = spark.range(40 * 30).select(F.concat(F.lit("k"), F.col("id") % 40).alias("k"), F.floor(F.col("id") / 40).alias("i"))
+    df = df.select("k", F.timestamp_seconds(F.col("i") * 3600).alias("t"), (F.when(F.col("i") >= 20, 1e6).otherwise(F.col("i") % 3) * 1.0).alias("v"))
+    out = gbt_forecast(df, "k", "t", "v", 3, split_ts="1970-01-01 20:00:00", params={"max_depth": 2, "n_estimators": 2})
+    got = out.agg(F.count("*"), F.countDistinct("k"), F.max("prediction")).first()
+    assert got[0] == 400 and got[1] == 40 and got[2] < 100     # no training label from after the split
+
+
+def test_ar_fit_with_many_lags(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+    from tidemark.operators.forecast import ar_fit
+    rng = np.random.default_rng(1)
+    v = np.zeros(600)
+    for i in range(2, 600):
+        v[i] = 1.0 + 0.5 * v[i - 1] - 0.2 * v[i - 2] + rng.normal()
+    df = spark.createDataFrame([("a", i, float(x)) for i, x in enumerate(v)], "k string, s long, v double").select("k", F.timestamp_seconds("s").alias("t"), "v")
+    got = ar_fit(df, "k", "t", "v", 2).first()
+    x = np.column_stack([np.ones(598), v[1:-1], v[:-2]])
+    assert np.allclose(got["coef"], np.linalg.lstsq(x, v[2:], rcond=None)[0], atol=1e-3) and got["n_train"] == 598
+    assert len(ar_fit(df, "k", "t", "v", 120).first()["coef"]) == 121
+
+
+def test_stored_table_follows_its_input(spark, tmpdir_fresh):
+    from tidemark import session
+    path = tmpdir_fresh + "/in.parquet"
+    read = lambda: session.stored(spark, "t", tmpdir_fresh, lambda: spark.read.parquet(path), [path]).count()
+    spark.range(500).write.parquet(path)
+    assert read() == read() == 500
+    spark.range(500).write.mode("append").parquet(path)
+    assert read() == 1000
+    assert session.input_state(spark, [path]) == session.input_state(spark, [path])

@@ -2,8 +2,11 @@
 and autoregressive recursion evaluated inside one SQL expression.
 
 Nothing loops over tokens on the driver: models are fitted on all tokens at
-once (the token is a feature for trees; AR normal equations are grouped sums
-per token), and the recursion runs per token inside ``aggregate``."""
+once (the token's mean target is a feature for trees; AR normal equations are
+partial Gram matrices per task, summed per token), and the recursion runs per
+token inside ``aggregate``. Every model's output fits one prediction table
+(token, ts, model, prediction, actual), which ``ensemble`` and
+``error_metrics`` take."""
 
 from __future__ import annotations
 
@@ -11,6 +14,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .series import lag_array, last_n, leads
@@ -61,61 +66,110 @@ def gbt_forecast(df: DataFrame, key: str, ts: str, target: str, n_lags: int,
                  exog: Sequence[str] = (), horizons: Sequence[int] = (1,),
                  split_ts=None, params: dict | None = None, seed: int = 42) -> DataFrame:
     """Gradient-boosted trees, direct horizon: for each h the label is the
-    target h rows ahead, features are the last ``n_lags`` targets, the
-    exogenous columns and the token (indexed, so trees can split per token).
-    Trains on rows before ``split_ts`` (all rows when None) and returns
-    (key, ts, horizon, actual, prediction) for rows at or after it."""
-    from pyspark.ml.feature import StringIndexer
+    target h rows ahead, features are the current target, the last ``n_lags``
+    before it, the exogenous columns and the key's mean target over the training
+    rows (any number of keys; unseen ones take the overall mean). Trains on rows
+    whose label lies before ``split_ts`` (all rows when None) and returns (key,
+    ts, horizon, label_ts, actual, prediction) for rows at or after it."""
     from pyspark.ml.regression import GBTRegressor
-    base = lag_array(df, key, ts, target, n_lags, out="_lags")
-    base = leads(base, key, ts, target, list(horizons), prefix="_lead")
-    base = StringIndexer(inputCol=key, outputCol="_tok").fit(base.select(key)).transform(base)
+    base = lag_array(df, key, ts, target, n_lags, out="_lags").withColumn("_now", F.struct(F.col(ts).alias("t"), F.col(target).alias("v")))
+    base = leads(base, key, ts, "_now", list(horizons), prefix="_lead")
+    split = None if split_ts is None else F.lit(split_ts).cast("timestamp")
+    past = df if split is None else df.filter(F.col(ts) < split)
+    means = past.groupBy(F.col(key).alias("_mean_key")).agg(F.avg(target).alias("_key_mean"))
+    overall = past.select(F.avg(target)).scalar()
+    base = (base.join(means, F.col(key).eqNullSafe(F.col("_mean_key")), "left")
+            .withColumn("_key_mean", F.coalesce("_key_mean", overall)).drop("_mean_key"))
     outs = []
     for h in horizons:
-        d = base.withColumn("_label", F.col(f"_lead{h}"))
-        d = assemble(d, "_lags", list(exog) + ["_tok"], n_lags=n_lags)
-        train = d.filter(F.col("_label").isNotNull())
-        test = d
-        if split_ts is not None:
-            train = train.filter(F.col(ts) < F.lit(split_ts))
-            test = d.filter(F.col(ts) >= F.lit(split_ts))
+        d = base.withColumns({"_label": F.col(f"_lead{h}.v"), "_label_ts": F.col(f"_lead{h}.t")})
+        d = assemble(d, "_lags", [target, *exog, "_key_mean"], n_lags=n_lags)
+        train, test = d.filter(F.col("_label").isNotNull()), d
+        if split is not None:
+            train = train.filter(F.col("_label_ts") < split)
+            test = d.filter(F.col(ts) >= split)
         gbt = GBTRegressor(featuresCol="features", labelCol="_label", seed=seed,
                            **gbt_params(params or {"max_depth": 4, "n_estimators": 20}))
         model = gbt.fit(train)
         outs.append(model.transform(test).select(
-            key, ts, F.lit(h).alias("horizon"), F.col("_label").alias("actual"), "prediction"))
+            key, ts, F.lit(h).alias("horizon"), F.col("_label_ts").alias("label_ts"), F.col("_label").alias("actual"), "prediction"))
     res = outs[0]
     for o in outs[1:]:
         res = res.unionByName(o)
     return res
 
 
+def gbt_predictions(forecast: DataFrame, horizon: int, key: str, ts: str, model: str = "gbt") -> DataFrame:
+    """Rows of :func:`gbt_forecast` as the prediction table, at the time they speak of."""
+    f = forecast.filter((F.col("horizon") == horizon) & F.col("label_ts").isNotNull())
+    return f.select(key, F.col("label_ts").alias(ts), F.lit(model).alias("model"), "prediction", "actual")
+
+
+def step_predictions(forecast: DataFrame, actuals: DataFrame, key: str, ts: str, target: str, model: str = "ar") -> DataFrame:
+    """Rows of :func:`ar_forecast` as the prediction table, with the known target of that time."""
+    a = actuals.select(key, F.col(ts), F.col(target).alias("actual"))
+    return forecast.join(a, [key, ts]).select(key, ts, F.lit(model).alias("model"), "prediction", "actual")
+
+
 def ar_fit(df: DataFrame, key: str, ts: str, c: str, p: int, ridge: float = 1e-6) -> DataFrame:
-    """AR(p) per key by least squares: x = [1, lag1..lagp], y = c. The normal
-    equations X'X and X'y are grouped sums (partial aggregation, skew-safe);
-    each key's (p+1)x(p+1) system is solved in a grouped pandas function
-    whose groups are one row each. Returns (key, coef ARRAY<DOUBLE>) with
-    coef[0] the intercept and coef[i] the weight of lag i."""
-    lagged = lag_array(df.select(key, ts, c), key, ts, c, p, out="_l").filter(F.col("_l").isNotNull())
-    x = [F.lit(1.0)] + [F.col("_l")[i] for i in range(p)]
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i in range(p + 1):
-        for j in range(i, p + 1):
-            aggs.append(F.sum(x[i] * x[j]).alias(f"a_{i}_{j}"))
-        aggs.append(F.sum(x[i] * F.col(c)).alias(f"b_{i}"))
-    sums = lagged.groupBy(key).agg(*aggs)
+    """AR(p) per key by least squares: x = [1, lag1..lagp], y = c.
+
+    Each task adds up the Gram matrix of [x, y] per key over its rows (one array
+    per key and task), partial sums meet in salted groups and then per key, where
+    the (p+1)x(p+1) system is solved: p may be hundreds. Returns (key, coef
+    ARRAY<DOUBLE>, n_train) with coef[0] the intercept and coef[i] the weight of
+    lag i."""
+    lagged = lag_array(df.select(key, ts, c), key, ts, c, p, out="_l").filter(F.col("_l").isNotNull() & F.col(c).isNotNull())
+    lagged = lagged.select(key, F.concat(F.array(F.lit(1.0)), F.col("_l").cast("array<double>"), F.array(F.col(c).cast("double"))).alias("_x"))
+    m, key_type = p + 2, df.schema[key].dataType.simpleString()
+    held = max(1, (64 << 20) // (8 * m * m))         # keys a task holds at a time
+
+    def grams(batches):
+        sums: dict = {}
+
+        def out():
+            salt = TaskContext.get().partitionId() % 16
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), key_arrow), pa.array([salt] * len(sums), pa.int32()),
+                 pa.array([g.ravel() for g, _ in sums.values()], pa.list_(pa.float64())), pa.array([n for _, n in sums.values()], pa.int64())],
+                ["_k", "salt", "gram", "n"])
+
+        for b in batches:
+            key_arrow = b.column(0).type
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, m)
+            codes = b.column(0).dictionary_encode()
+            where = codes.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            for code in np.unique(where).tolist():
+                k = None if code < 0 else codes.dictionary[code].as_py()
+                part = x[where == code]
+                g, n = sums.get(k, (0.0, 0))
+                sums[k] = (g + part.T @ part, n + len(part))
+                if len(sums) >= held:
+                    yield out()
+                    sums.clear()
+        if sums:
+            yield out()
+
+    def added(pdf: pd.DataFrame):
+        total = np.zeros(m * m)
+        for g in pdf["gram"]:
+            total += np.asarray(g)
+        return total, int(pdf["n"].sum())
+
+    def part_sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        g, n = added(pdf)
+        return pd.DataFrame({"_k": [pdf["_k"].iloc[0]], "gram": [g.tolist()], "n": [n]})
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf.iloc[0]
-        a = np.zeros((p + 1, p + 1))
-        for i in range(p + 1):
-            for j in range(i, p + 1):
-                a[i, j] = a[j, i] = r[f"a_{i}_{j}"]
-        b = np.array([r[f"b_{i}"] for i in range(p + 1)])
+        g, n = added(pdf)
+        g = g.reshape(m, m)
+        a, b = g[:-1, :-1].copy(), g[:-1, -1]
         a += ridge * np.eye(p + 1) * max(1.0, float(np.trace(a)) / (p + 1))
-        coef = np.linalg.solve(a, b)
-        return pd.DataFrame({key: [r[key]], "coef": [coef.tolist()], "n_train": [int(r["_n"])]})
-    return sums.groupBy(key).applyInPandas(solve, f"{key} string, coef array<double>, n_train long")
+        return pd.DataFrame({key: [pdf["_k"].iloc[0]], "coef": [np.linalg.solve(a, b).tolist()], "n_train": [n]})
+
+    parts = lagged.mapInArrow(grams, f"_k {key_type}, salt int, gram array<double>, n long")
+    parts = parts.groupBy("_k", "salt").applyInPandas(part_sums, f"_k {key_type}, gram array<double>, n long")
+    return parts.groupBy("_k").applyInPandas(solve, f"`{key}` {key_type}, coef array<double>, n_train long")
 
 
 def ar_recursion(coef: Column, lags: Column, steps: int) -> Column:

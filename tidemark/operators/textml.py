@@ -45,8 +45,11 @@ def tfidf(df: DataFrame, id_col: str, c: str) -> DataFrame:
 def hash_split(df: DataFrame, id_col: str, seed: int = 42, train_tenths: int = 8,
                out: str = "is_train") -> DataFrame:
     """H6: deterministic 80/20 split by a hash of the id (stable under
-    repartitioning and recomputation, unlike randomSplit)."""
-    return df.withColumn(out, F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(10)) < train_tenths)
+    repartitioning and recomputation, unlike randomSplit): the first eight hex
+    digits of md5("id|seed"), so any engine can repeat it. A null id counts as ''."""
+    text = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f"|{seed}"))
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.withColumn(out, number % 10 < train_tenths)
 
 
 def labelled_corpus(pos: DataFrame, neg: DataFrame, text: str = "text", label: str = "label",
@@ -57,28 +60,45 @@ def labelled_corpus(pos: DataFrame, neg: DataFrame, text: str = "text", label: s
     return a.unionByName(b, allowMissingColumns=True).na.drop(subset=[text])
 
 
-def text_pipeline(text: str = "text", label: str = "label", classifier: str = "svm",
-                  vocab_size: int = 1 << 18, max_iter: int = 50):
-    """H4 + H5 as a Spark ML pipeline: tokens -> counts -> IDF -> L2 norm ->
-    LinearSVC (or LogisticRegression when a probability is needed)."""
-    from pyspark.ml import Pipeline
+def fit_text_model(train: DataFrame, text: str = "text", label: str = "label", classifier: str = "svm",
+                   max_iter: int = 50):
+    """H4 + H5 as Spark ML stages: tokens -> counts -> weights -> L2 norm ->
+    LinearSVC (or LogisticRegression when a probability is needed), fitted.
+
+    The weights are those of :func:`tfidf`: Spark's IDF leaves out the ``+ 1`` of
+    ln((1+N)/(1+df)) + 1, so its fitted vector is raised by one. The vocabulary is
+    every term of ``train``, none is cut; like the coefficients of any linear
+    model it is held by the driver."""
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LinearSVC, LogisticRegression
-    from pyspark.ml.feature import CountVectorizer, IDF, Normalizer, RegexTokenizer
+    from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer
+    from pyspark.ml.linalg import Vectors
     tok = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=TERM_PATTERN, gaps=False,
                          toLowercase=True)
-    cv = CountVectorizer(inputCol="_tok", outputCol="_tf", vocabSize=vocab_size)
-    idf = IDF(inputCol="_tf", outputCol="_idf")
+    cv = CountVectorizer(inputCol="_tok", outputCol="_tf", vocabSize=(1 << 31) - 1)
+    counts = Pipeline(stages=[tok, cv]).fit(train)
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counts.transform(train)).idf
+    weigh = ElementwiseProduct(scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="_tf", outputCol="_idf")
     nrm = Normalizer(inputCol="_idf", outputCol="features", p=2.0)
-    if classifier == "svm":
-        clf = LinearSVC(featuresCol="features", labelCol=label, maxIter=max_iter)
-    else:
-        clf = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter)
-    return Pipeline(stages=[tok, cv, idf, nrm, clf])
+    make = LinearSVC if classifier == "svm" else LogisticRegression
+    weighted = PipelineModel([*counts.stages, weigh, nrm])
+    clf = make(featuresCol="features", labelCol=label, maxIter=max_iter).fit(weighted.transform(train))
+    return PipelineModel([*weighted.stages, clf])
+
+
+class text_pipeline:
+    """The same stages as an estimator: ``text_pipeline(...).fit(train)``."""
+
+    def __init__(self, text: str = "text", label: str = "label", classifier: str = "svm", max_iter: int = 50):
+        self.options = dict(text=text, label=label, classifier=classifier, max_iter=max_iter)
+
+    def fit(self, train: DataFrame):
+        return fit_text_model(train, **self.options)
 
 
 def relevance_fit(train: DataFrame, text: str = "text", label: str = "label", classifier: str = "svm"):
-    """H5: fit the pipeline on labelled text."""
-    return text_pipeline(text, label, classifier).fit(train)
+    """H5: fit the stages on labelled text."""
+    return fit_text_model(train, text, label, classifier)
 
 
 def relevance_filter(model, df: DataFrame, keep: int = 1, pred: str = "prediction") -> DataFrame:

@@ -57,14 +57,18 @@ def mkt(spark, sf_dir, base: DataFrame | None = None) -> DataFrame:
                     (F.col("_c").cast("double") / F.lit(100.0)).alias("volume"), "n")
 
 
+def _events(sf_dir) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/events.parquet"]
+
+
 def base_table(spark, sf_dir) -> DataFrame:
     """The events rollup as a stored table: the only pass over raw events."""
-    return stored(spark, "events_base", sf_dir, lambda: events_base(spark, sf_dir))
+    return stored(spark, "events_base", sf_dir, lambda: events_base(spark, sf_dir), _events(sf_dir))
 
 
 def mkt_table(spark, sf_dir) -> DataFrame:
     """MKT as a stored table (built from the stored rollup; see session.stored)."""
-    return stored(spark, "mkt", sf_dir, lambda: mkt(spark, sf_dir, base_table(spark, sf_dir)))
+    return stored(spark, "mkt", sf_dir, lambda: mkt(spark, sf_dir, base_table(spark, sf_dir)), _events(sf_dir))
 
 
 # ---------------------------------------------------------------- DAY ---------
@@ -78,7 +82,7 @@ def day(spark, sf_dir, base: DataFrame | None = None) -> DataFrame:
 
 def day_table(spark, sf_dir) -> DataFrame:
     """DAY as a stored table."""
-    return stored(spark, "day", sf_dir, lambda: day(spark, sf_dir, base_table(spark, sf_dir)))
+    return stored(spark, "day", sf_dir, lambda: day(spark, sf_dir, base_table(spark, sf_dir)), _events(sf_dir))
 
 
 def sent_counts(base: DataFrame) -> DataFrame:

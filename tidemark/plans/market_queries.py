@@ -274,7 +274,13 @@ def q_future_grid(spark, sf):
     return S.hourly_grid(b, "token", "start", "end", "ts")
 
 
-@register("sequences")
+@register("sequences", with_ctes(["mkt"], """SELECT r.token, r.ts, r.price AS y, l.seq_len,
+    [f.price, f.volume, CAST(f.n AS DOUBLE)] AS first_row, [p.price, p.volume, CAST(p.n AS DOUBLE)] AS last_row
+  FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY ts) AS i FROM mkt) r
+  JOIN (SELECT unnest(['T0', 'T1', 'T2', 'T3', 'T4', 'T5', 'T6', 'T7']) AS token, unnest([24, 48, 72, 24, 48, 72, 24, 48]) AS seq_len) l
+    ON l.token = r.token
+  JOIN (SELECT *, row_number() OVER (PARTITION BY token ORDER BY ts) AS i FROM mkt) f ON f.token = r.token AND f.i = r.i - l.seq_len
+  JOIN (SELECT *, row_number() OVER (PARTITION BY token ORDER BY ts) AS i FROM mkt) p ON p.token = r.token AND p.i = r.i - 1"""))
 def q_sequences(spark, sf):
     m = B.mkt_table(spark, sf).select("token", "ts", "price", "volume", "n")
     lengths = spark.createDataFrame([(f"T{i}", L) for i, L in enumerate([24, 48, 72, 24, 48, 72, 24, 48])],

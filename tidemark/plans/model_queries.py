@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import bindings as B
+from .bindings import with_ctes
 from .registry import register
 from ..functions.text import clean_text
 from ..operators import series as S
 from ..operators.forecast import ar_forecast, assemble, gbt_forecast
-from ..operators.textml import hash_split, relevance_fit, relevance_filter, score_text, text_pipeline
+from ..operators.textml import hash_split, relevance_fit, relevance_filter, fit_text_model, score_text
 
 
 def _labelled_docs(spark, sf):
@@ -19,7 +20,8 @@ def _labelled_docs(spark, sf):
     return d.join(lb, "doc_id")
 
 
-@register("hash_split")
+@register("hash_split", """SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '|42'), 1, 8) AS BIGINT) % 10 < 8 AS is_train
+    FROM documents""")
 def q_hash_split(spark, sf):
     return hash_split(B.read(spark, sf, "documents").select("doc_id"), "doc_id")
 
@@ -42,18 +44,22 @@ def q_relevance_filter(spark, sf):
 @register("sentiment_score")
 def q_sentiment_score(spark, sf):
     lab = _labelled_docs(spark, sf).withColumn("text", clean_text("text"))
-    model = text_pipeline("text", "label", "logistic").fit(lab)
+    model = fit_text_model(lab, "text", "label", "logistic")
     docs = B.read(spark, sf, "documents").select("doc_id", clean_text("text").alias("text"))
     return score_text(docs, "text", model).select("doc_id", "label", "score")
 
 
-@register("assemble")
+@register("assemble", with_ctes(["mkt"], """SELECT token, ts, 26 AS n_features, first_value, last_value FROM (
+    SELECT token, ts, lag(price) OVER o AS first_value, CAST(n AS DOUBLE) AS last_value, count(price) OVER w AS c, volume, n
+    FROM mkt WINDOW o AS (PARTITION BY token ORDER BY ts), w AS (PARTITION BY token ORDER BY ts ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
+    WHERE c = 24 AND volume IS NOT NULL AND n IS NOT NULL"""))
 def q_assemble(spark, sf):
     m = B.mkt_table(spark, sf)
     lagged = S.lag_array(m, "token", "ts", "price", 24, out="lags")
     out = assemble(lagged, "lags", ["volume", "n", "active_addresses"], n_lags=24)
     from pyspark.ml.functions import vector_to_array
-    return out.select("token", "ts", F.size(vector_to_array("features")).alias("n_features"))
+    x = vector_to_array("features")
+    return out.select("token", "ts", F.size(x).alias("n_features"), F.element_at(x, 1).alias("first_value"), F.element_at(x, -1).alias("last_value"))
 
 
 @register("gbt_forecast")
@@ -75,3 +81,42 @@ def q_ar_scaled(spark, sf):
     from ..operators.forecast import ar_forecast_scaled
     m = B.mkt_table(spark, sf).select("token", "ts", "price")
     return ar_forecast_scaled(m, "token", "ts", "price", 24, 720)
+
+
+@register("ar_forecast_500")
+def q_ar_500(spark, sf):
+    """E2 with the lags of the original: 500 per token."""
+    m = B.mkt_table(spark, sf).select("token", "ts", "price")
+    return ar_forecast(m, "token", "ts", "price", 500, 31)
+
+
+FIXED_COEF = [2.0, 0.5, 0.3, 0.1]
+
+
+@register("ar_recursion", with_ctes(["mkt"], """, last AS (SELECT token, list(price ORDER BY ts DESC)[1:3] AS l, max(ts) AS origin FROM mkt
+    GROUP BY token HAVING count(*) >= 3),
+  r AS (SELECT token, 0 AS step, l, origin, CAST(NULL AS DOUBLE) AS p FROM last
+    UNION ALL SELECT token, step + 1, list_concat([2.0 + 0.5 * l[1] + 0.3 * l[2] + 0.1 * l[3]], l[1:2]), origin,
+      2.0 + 0.5 * l[1] + 0.3 * l[2] + 0.1 * l[3] FROM r WHERE step < 48)
+  SELECT token, step, origin + to_hours(step) AS ts, round(p, 6) AS prediction FROM r WHERE step > 0""")
+    .replace("WITH ", "WITH RECURSIVE ", 1).replace("\n, last", ",\nlast"))
+def q_ar_recursion(spark, sf):
+    """E2's recursion with given coefficients."""
+    m = B.mkt_table(spark, sf).select("token", "ts", "price")
+    coef = m.select("token").distinct().withColumn("coef", F.array(*[F.lit(c) for c in FIXED_COEF]))
+    out = ar_forecast(m, "token", "ts", "price", 3, 48, coef=coef)
+    return out.withColumn("prediction", F.round("prediction", 6))
+
+
+@register("forecast_metrics")
+def q_forecast_metrics(spark, sf):
+    """Trees and autoregression into one prediction table, their ensemble, the errors of all three."""
+    from ..operators.evaluate import ensemble, error_metrics, to_long
+    from ..operators.forecast import gbt_predictions, step_predictions
+    m, split = B.mkt_table(spark, sf), "2024-01-24 00:00:00"
+    trees = gbt_forecast(m, "token", "ts", "price", 24, exog=["volume", "n"], split_ts=split, params={"max_depth": 4, "n_estimators": 5})
+    known = m.filter(F.col("ts") < F.lit(split).cast("timestamp"))
+    steps = ar_forecast(known.select("token", "ts", "price"), "token", "ts", "price", 24, 168)
+    table = gbt_predictions(trees, 1, "token", "ts").unionByName(step_predictions(steps, m, "token", "ts", "price"))
+    wide = ensemble(table, ["gbt", "ar"])
+    return error_metrics(to_long(wide, ["token", "ts"], ["gbt", "ar", "ensemble"]))

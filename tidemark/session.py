@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every plan in this package assumes.
 SESSION_CONF = {
@@ -74,37 +76,80 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_TABLES: list[str] = []   # tables this process has written under the checkpoint folder
+
+
+def _write(df: DataFrame, folder: str, name: str) -> str:
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/{folder}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    _TABLES.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder
     and reading it back. Survives executor loss (the table is on shared storage)."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(_write(df, "tables", name))
+
+
+def release() -> int:
+    """Delete every table this process has written with :func:`materialize` and
+    :func:`stored`; returns how many went. Runs by itself when the process ends;
+    call it earlier where results that read them are done with."""
+    from pyarrow import fs
+    n = 0
+    with _STORED_LOCK:
+        _STORED.clear()
+        while _TABLES:
+            path = _TABLES.pop()
+            try:
+                where, inner = fs.FileSystem.from_uri(path)
+                where.delete_dir(inner)
+                n += 1
+            except (OSError, ValueError):  # gone already, or a store that pyarrow cannot reach
+                pass
+    return n
+
 
+atexit.register(release)
 
 _STORED: dict[tuple, str] = {}
 _STORED_LOCK = threading.RLock()  # builders may call stored() again
 
 
-def stored(spark: SparkSession, name: str, source: str, build) -> DataFrame:
-    """A derived table written once per session to the shared checkpoint folder
-    and read back by every later caller (keyed by name and source location).
-
-    Series operators read their input twice (a small count pass and the row
-    pass); reading a stored hourly table twice is cheap, recomputing it from
-    raw data twice is not. Also a recovery point if executors are lost."""
+def input_state(spark: SparkSession, paths) -> str:
+    """What the files under ``paths`` look like now (names, sizes, times), as one
+    short text. Local paths are listed here; others by one Spark job that reads
+    listings only and returns one row."""
+    local = [p.removeprefix("file://") for p in paths]
+    if all(p.startswith("/") and os.path.exists(p) for p in local):
+        found = []
+        for p in local:
+            files = [p] if os.path.isfile(p) else [os.path.join(d, f) for d, _, names in os.walk(p) for f in names]
+            found += [(f, os.stat(f).st_size, os.stat(f).st_mtime_ns) for f in files]
+        return str(hash(tuple(sorted(found))))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    row = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime"),
+                    F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return str(tuple(row))
+
+
+def stored(spark: SparkSession, name: str, source: str, build, inputs=()) -> DataFrame:
+    """A derived table written once to the shared checkpoint folder and read back
+    by every later caller (keyed by name, source location and the present state
+    of the ``inputs`` files: a table whose inputs have changed is built anew).
+
+    Series operators read their input several times (small count passes and the
+    row pass); reading a stored hourly table again is cheap, recomputing it from
+    raw data is not. Also a recovery point if executors are lost."""
     try:
         app = spark.sparkContext.applicationId
     except Exception:
         app = spark.conf.get("spark.app.id", "") or id(spark)
-    k = (name, source, app)
+    k = (name, source, app, input_state(spark, inputs) if inputs else "")
     with _STORED_LOCK:
         path = _STORED.get(k)
         if path is None:
-            base = ensure_checkpoint_dir(spark).rstrip("/")
-            path = f"{base}/stored/{name}-{uuid.uuid4().hex[:12]}"
-            build().write.mode("overwrite").parquet(path)
-            _STORED[k] = path
+            path = _STORED[k] = _write(build(), "stored", name)
     return spark.read.parquet(path)
