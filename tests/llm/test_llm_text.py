@@ -159,8 +159,8 @@ def edit_distance(a, b):
 
 def edited(r, text, edits):
     b = list(text)
-    for _ in range(edits):
-        i, kind = r.randrange(len(b)), r.randrange(3)
+    for _ in range(edits if b else 0):
+        i, kind = r.randrange(len(b)), r.randrange(1 if len(b) == 1 else 0, 3)
         b[i:i + 1] = {0: [], 1: [b[i], r.choice("xyzé")], 2: [r.choice("xyzé")]}[kind]
     return "".join(b)
 
@@ -246,7 +246,7 @@ def test_quality_rules_lines_per_host(spark):
     assert all(not got[i]["kept"] for i in range(5)) and all(got[i]["kept"] for i in range(5, 40))
     assert all(got[100 + i]["n_line_words_removed"] == 0 for i in range(5))
     twice = {r["doc_id"]: r["n_line_words_removed"] for r in quality_rules.judge(df.union(df.where("doc_id = 7")), min_words=5).collect()}
-    assert twice[7] == got[7]["n_line_words_removed"] == 16
+    assert twice[7] == got[7]["n_line_words_removed"] == 17
 
 
 def test_classifier_learns_and_scores_every_row(spark):
@@ -324,7 +324,8 @@ def test_unigram_finds_the_best_segmentation():
             else:
                 total += score[names[i]]
         assert abs(total - want) < 1e-6
-        assert np.frombuffer(m.encode([t])[0], "<i4").tolist() == m._one((" " + t).replace(" ", MARK).encode()) or not m.cuts
+        raw = (MARK + t.split("\n")[0].split(" ")[0]).encode()
+        assert np.frombuffer(m._many([raw])[0], "<i4").tolist() == m._one(raw)
 
 
 def test_unigram_round_trip_and_public_vocabulary(docs, texts):

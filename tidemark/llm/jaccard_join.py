@@ -131,11 +131,49 @@ def _index(k: int, percent: int, frequent):
     return run
 
 
-def _sizes(k: int):
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """A bit vector of a power of two of bits, about one per token: each token flips one bit.
+    Bits that differ between two sets each need a token that only one of them has."""
+    width = max(512, 1 << int(len(tokens)).bit_length())
+    odd = np.bincount((mix(tokens) & _U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """At least so many tokens stand in one of two sets only (the longer vector is folded)."""
+    a, b = np.frombuffer(x, _U), np.frombuffer(y, _U)
+    if len(a) < len(b):
+        a, b = b, a
+    a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _profile(k: int):
+    """Set size, a 128-bit signature of the set and its parity bits."""
     def run(batches):
         for b in blocks(batches, "__t"):
-            _, bounds = shingle_sets(b.column("__t"), k)
-            yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(np.diff(bounds).astype(np.int64))], ["__id", "n_shingles"])
+            tokens, bounds = shingle_sets(b.column("__t"), k)
+            sums = [np.concatenate([np.zeros(1, _U), np.cumsum(mix(tokens ^ s))]) for s in (_U(0x51), _U(0xC3A5))]
+            s1, s2 = (signed(x[bounds[1:]] - x[bounds[:-1]]) for x in sums)
+            at = bounds.tolist()
+            bits = [parity_bits(tokens[x:y]) if y > x else b"" for x, y in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(s1), pa.array(s2), pa.array(bits, pa.binary())],
+                                             ["doc", "n", "s1", "s2", "bits"])
+    return run
+
+
+def _may_link(percent: int):
+    """Drop pairs whose sizes or parity bits rule the threshold out."""
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
+                n = part.column("n").to_numpy() + part.column("m").to_numpy()
+                keep = np.zeros(part.num_rows, bool)
+                for i, (x, y) in enumerate(zip(part.column("x"), part.column("y"))):
+                    # intersection >= p/100 union  <=>  difference <= total * (100 - p) / (100 + p)
+                    keep[i] = least_difference(x.as_buffer(), y.as_buffer()) * (100 + percent) <= int(n[i]) * (100 - percent)
+                yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(keep)) for c in ("a", "b")], ["a", "b"])
     return run
 
 
@@ -162,38 +200,57 @@ def _verify(percent: int):
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sets reach the threshold."""
+def verified(pairs: DataFrame, d: DataFrame, profile: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sets reach the threshold, stored: sizes and parity bits
+    rule most others out, the rest are compared on the whole sets."""
+    p = profile.where("n > 0")
+    x = p.select(F.col("doc").alias("a"), F.col("n"), F.col("bits").alias("x"))
+    y = p.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    near = (pairs.join(x, "a").join(y, "b").where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+            .select("a", "b", "n", "m", "x", "y").mapInArrow(_may_link(percent), "a long, b long"))
+    near = store(near.distinct(), "near-pairs")
+    named = near.select(F.col("a").alias("__id")).union(near.select(F.col("b").alias("__id"))).distinct()
+    sets = store(maybe_in(d, named, "__id").mapInArrow(_sets(k), "doc long, tokens binary"), "sets")
     x = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y"))
-    return (pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y")
-            .mapInArrow(_verify(percent), "a long, b long"))
-
+    links = (near.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"))
+    return store(links.distinct(), "links")
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
-         percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(links, component of each linked document): ``links(a, b)`` are verified pairs that
-    span every component (not all pairs within one), ``components(node, component)``.
 
-    Null, empty and blank texts have an empty set and link with nothing, nor do rows with a
-    null id. Rows with one id are one node; equal texts are equal sets (Jaccard 1). Very long
-    texts are read whole, a block at a time. No rows: no links. Other columns are ignored."""
+def profiles(docs: DataFrame, id_col: str, text_col: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """(documents as (__id, __t), stored profile (doc, n, s1, s2, bits) of every row)."""
     d = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__t"))
+    return d, store(d.mapInArrow(_profile(k), "doc long, n long, s1 long, s2 long, bits binary"), "profile")
+
+
+def join(d: DataFrame, profile: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(links, component of each linked document): ``links(a, b)`` are pairs that reach the
+    threshold and span every component (not all pairs within one), ``components(node, component)``.
+
+    ``d`` and ``profile`` as :func:`profiles` gives them. Null, empty and blank texts have an
+    empty set and link with nothing, nor do rows with a null id. Rows with one id are one node;
+    equal sets are settled by their signature, and only the smallest id of them goes on. Very
+    long texts are read whole, a block at a time. No rows: no links."""
     d = d.where(F.col("__id").isNotNull() & F.col("__t").isNotNull())
+    profile = profile.where(F.col("doc").isNotNull() & (F.col("n") > 0))
+    firsts = profile.groupBy("n", "s1", "s2").agg(F.min("doc").alias("first"))
+    copies = store(profile.select("doc", "n", "s1", "s2").join(firsts, ["n", "s1", "s2"]).where("doc > first").select("doc", "first").distinct(), "copies")
     hot = d.sparkSession.sparkContext.broadcast(frequent_tokens(d, k))
     entries = d.mapInArrow(_index(k, percent, hot), "key long, salt byte, doc long, n int")
     group = Window.partitionBy("key", "salt")
     seen = entries.withColumns({"low": F.min("doc").over(group), "high": F.max("doc").over(group)})
-    seen = store(seen.where("low < high or salt > 0").select("key", "salt", "doc", "n", "low"), "index")
+    seen = seen.where("low < high or salt > 0").select("key", F.col("salt") > 0, "doc", "n").toDF("key", "often", "doc", "n")
+    first = F.coalesce("first", "doc")
+    seen = seen.join(copies, "doc", "left").select("key", F.when(F.col("often"), 1 + F.pmod(F.xxhash64(first), F.lit(SALTS))).otherwise(0).alias("salt"),
+                                                   first.alias("doc"), "n").distinct()
+    seen = store(seen.withColumn("low", F.min("doc").over(group)), "index")
     # salted keys: the salts' smallest documents meet once more
     tops = seen.where("salt > 0 and doc = low").select("key", "doc").distinct()
     tops = tops.withColumn("low", F.min("doc").over(Window.partitionBy("key")))
     stars = (seen.where("doc > low").select(F.col("low").alias("a"), F.col("doc").alias("b"))
              .union(tops.where("doc > low").select(F.col("low").alias("a"), F.col("doc").alias("b"))).distinct())
     stars = store(stars, "stars")
-    sets = maybe_in(d.withColumnRenamed("__id", "doc"), seen.select("doc"), "doc").select(F.col("doc").alias("__id"), "__t")
-    sets = store(sets.mapInArrow(_sets(k), "doc long, tokens binary"), "sets")
-    links = store(verified(stars, sets, percent), "links")
+    links = verified(stars, d, profile, k, percent)
     now = components(links)
     # documents of one key that are still apart
     placed = seen.join(now.withColumnRenamed("node", "doc"), "doc", "left").select(
@@ -205,10 +262,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
             .where((100 * F.least("n_x", "n_y")) >= percent * F.greatest("n_x", "n_y"))
             .select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")).distinct())
     left = store(left.join(stars, ["a", "b"], "left_anti"), "rest")
-    more = store(verified(left, sets, percent), "more")
-    links = links.union(more).distinct()
-    if more.isEmpty():
-        return links, now
+    more = verified(left, d, profile, k, percent)
+    links = links.union(more).union(copies.select(F.col("first").alias("a"), F.col("doc").alias("b"))).distinct()
     return links, components(links)
 
 
@@ -216,15 +271,14 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
            percent: int = PERCENT) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable by links, itself included; null for
     a null id), one row per row of ``docs``."""
-    _, found = join(docs, id_col, text_col, k, percent)
-    d = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__t"))
-    sizes = d.mapInArrow(_sizes(k), "__id long, n_shingles long")
-    out = sizes.join(found.select(F.col("node").alias("__id"), "component"), "__id", "left")
-    return out.select(F.col("__id").alias(id_col), "n_shingles", F.coalesce("component", "__id").alias("component_id"))
+    d, profile = profiles(docs, id_col, text_col, k)
+    _, found = join(d, profile, k, percent)
+    out = profile.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left")
+    return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group left, that with the smallest id."""
-    _, found = join(docs, id_col, text_col, **options)
+    _, found = join(*profiles(docs, id_col, text_col, options.get("k", SHINGLE)), **options)
     gone = found.where("component < node").select(F.col("node").alias("__gone"))
     return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")

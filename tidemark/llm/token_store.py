@@ -18,6 +18,9 @@ from __future__ import annotations
 import functools
 import io
 import math
+import re
+import struct
+import unicodedata
 import uuid
 import zlib
 
@@ -38,53 +41,57 @@ _U = np.uint64
 # ---- encoding ------------------------------------------------------------------------------
 
 class WordTokenizer:
-    """Ids of whole texts by a tokenizers file that drops white space: chunks between blanks
-    are independent, so each distinct one is encoded once and looked up after. Plain ASCII
-    chunks go through the library's model piece by piece, all others through its whole chain."""
+    """Ids of whole texts by a tokenizers file that lower-cases, drops white space and splits
+    into letters, single digits, other signs and a few endings. Texts in Latin letters are
+    split here and each distinct piece goes through the library's model once; all others go through its whole chain, each
+    distinct chunk between blanks once. Both give the library's ids; where a trial shows that
+    they do not (another kind of file), every text takes the whole chain."""
+
+    #: Blanks, printable ASCII and Latin letters: composed as they stand, lower-cased one by one.
+    LATIN = r"[\t\n\x0b\x0c\r\x20-\x7e\xa0-\u024f]*"
+    TRIES = ("Word", "don't Don'T", "a1b22,c", "(x) we'll...", "ABC!! $%&", "it's_ \n\t été Ärger \xa0 x² ªº ß", "Straße İstanbul ǅ ŉ", "a\xadb «c»")
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.known: dict[str, bytes] = {}
-        self.plain = self._is_plain()
-        self.cache = ChunkCache(self._encode, 400_000)
-
-    def _is_plain(self) -> bool:
-        """Whether the short way gives the library's ids for this file (tried on a few chunks)."""
-        tries = ["Word", "don't", "a1b22,c", "(x)", "we'll...", "ABC!!", "$%&", "it's_"]
-        return all(self._short(x) == self._ids(self.tokenizer.encode(x, add_special_tokens=False).ids) for x in tries)
+        # lower-casing can leave the range by U+0307 only, which is neither letter nor digit
+        letters, digits = ("".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind) for kind in "LN")
+        self.split = re.compile(f"[{letters}]+|[{digits}]|'(?:s|t|re|ve|m|ll|d)|[^\\s{letters}{digits}]+").findall
+        self.latin = re.compile(self.LATIN).fullmatch
+        # bytes as the letters that byte-level vocabularies write them with
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.letters = {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+        self.pieces = ChunkCache(self._pieces, 400_000)
+        self.chunks = ChunkCache(self._chunks, 100_000)
+        self.plain = all(self._whole([t]) == self.pieces.all([self.split(t.lower())]) for t in self.TRIES)
 
     def _ids(self, ids: list[int]) -> bytes:
-        return np.asarray(ids, self.dtype).tobytes()
-
-    def _short(self, chunk: str) -> bytes:
-        out = []
-        for piece in self.pieces.findall(chunk.lower()):
-            ids = self.known.get(piece)
-            if ids is None:
-                if len(self.known) > 400_000:
-                    self.known.clear()
-                ids = self.known[piece] = self._ids([t.id for t in self.tokenizer.model.tokenize(piece)])
-            out.append(ids)
-        return b"".join(out)
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        short = [self.plain and c.isascii() and c.isprintable() and "<|" not in c for c in chunks]
-        rest = [c for c, s in zip(chunks, short) if not s]
-        others = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [])
-        return [self._short(c) if s else self._ids(next(others).ids) for c, s in zip(chunks, short)]
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = []
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        as_letters = (p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in pieces)
+        return [self._ids([t.id for t in self.model.tokenize(p)]) for p in as_letters]
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        return [self._ids(e.ids) for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        lists = []
         for t in texts:
             for blank in "\n\t\r\x0b\x0c":
                 if blank in t:
                     t = t.replace(blank, " ")
-            chunks.append(t.split(" "))
-        return self.cache.all(chunks)
+            lists.append(t.split(" "))
+        return self.chunks.all(lists)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        short = [self.plain and "<|" not in t and self.latin(t) is not None for t in texts]
+        by_piece = iter(self.pieces.all([self.split(t.lower()) for t, s in zip(texts, short) if s]))
+        whole = iter(self._whole([t for t, s in zip(texts, short) if not s]))
+        return [next(by_piece if s else whole) for s in short]
 
 
 @functools.lru_cache(2)
@@ -277,7 +284,7 @@ def read(spark: SparkSession, folder: str, keys: DataFrame, key_col: str = "doc_
         same = np.zeros(len(key), bool)
         same[1:] = (key[1:] == key[:-1]) & (null[1:] == null[:-1])
         run = np.arange(len(key)) - np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
-        if len(key) and served["turn"].get("key") == batch_ids[0]:
+        if len(key) and served["turn"] and served["turn"]["key"] == batch_ids[0]:
             head = np.cumsum(~same) == 1
             run[head] += served["turn"]["next"]
         if len(key):
