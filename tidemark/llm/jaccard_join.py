@@ -12,9 +12,12 @@ frequent last, each by hash. Two sets with Jaccard >= t share so much that
 
 Rows of a key are linked to the key's smallest document only (a star, linear in the key's
 rows; keys of frequent tokens are salted and their star has two levels), each such pair is
-verified on the whole sets, and components are formed. Then, per key, only documents of
-different components still have to meet: those pairs are verified too, which makes the
-components exact. Which tokens count as frequent changes the work, never the result."""
+verified on the whole sets, and components are formed; further rounds do the same with another
+centre per key, for the keys that still hold several components. At last the documents of one
+key that are still in different components meet pairwise: the join itself drops pairs whose
+sizes or parity sketches rule the threshold out, the rest are verified, which makes the
+components exact. Which tokens count as frequent and how many rounds run changes the work,
+never the result."""
 
 from __future__ import annotations
 
@@ -32,6 +35,8 @@ FREQUENT = 16
 #: At most this many frequent tokens are told to the tasks (2 MB); others are treated as rare.
 MOST_FREQUENT = 1 << 18
 SALTS = 8
+#: Rounds with another centre per key, and longs of a parity sketch.
+ROUNDS, SKETCH = 2, 8
 _SHINGLES = {n: Rolling(0x9E3779B97F4A7C15 + 2 * n) for n in range(1, 65)}
 _PAIR = np.uint64(0x2127599BF4325C37)
 _U = np.uint64
@@ -157,8 +162,11 @@ def _profile(k: int):
             s1, s2 = (signed(x[bounds[1:]] - x[bounds[:-1]]) for x in sums)
             at = bounds.tolist()
             bits = [parity_bits(tokens[x:y]) if y > x else b"" for x, y in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(s1), pa.array(s2), pa.array(bits, pa.binary())],
-                                             ["doc", "n", "s1", "s2", "bits"])
+            short = [np.bitwise_xor.reduce(np.frombuffer(x, np.int64).reshape(-1, SKETCH), axis=0) if x else np.zeros(SKETCH, np.int64) for x in bits]
+            flat = pa.array(np.concatenate(short) if short else np.empty(0, np.int64))
+            sketch = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, SKETCH, dtype=np.int32)), flat)
+            yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(s1), pa.array(s2), pa.array(bits, pa.binary()), sketch],
+                                             ["doc", "n", "s1", "s2", "bits", "sketch"])
     return run
 
 
@@ -218,9 +226,9 @@ def verified(pairs: DataFrame, d: DataFrame, profile: DataFrame, k: int, percent
 
 
 def profiles(docs: DataFrame, id_col: str, text_col: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """(documents as (__id, __t), stored profile (doc, n, s1, s2, bits) of every row)."""
+    """(documents as (__id, __t), stored profile (doc, n, s1, s2, bits, sketch) of every row)."""
     d = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__t"))
-    return d, store(d.mapInArrow(_profile(k), "doc long, n long, s1 long, s2 long, bits binary"), "profile")
+    return d, store(d.mapInArrow(_profile(k), "doc long, n long, s1 long, s2 long, bits binary, sketch array<long>"), "profile")
 
 
 def join(d: DataFrame, profile: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -251,22 +259,38 @@ def join(d: DataFrame, profile: DataFrame, k: int = SHINGLE, percent: int = PERC
              .union(tops.where("doc > low").select(F.col("low").alias("a"), F.col("doc").alias("b"))).distinct())
     stars = store(stars, "stars")
     links = verified(stars, d, profile, k, percent)
-    now = components(links)
-    # documents of one key that are still apart
-    placed = seen.join(now.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "doc", "n", F.coalesce("component", "doc").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("key")
-    apart = store(placed.join(open_keys, "key").distinct(), "apart")
-    x, y = (apart.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "component")]) for s in "xy")
-    left = (x.join(y, "key").where("component_x < component_y")
-            .where((100 * F.least("n_x", "n_y")) >= percent * F.greatest("n_x", "n_y"))
-            .select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")).distinct())
-    left = store(left.join(stars, ["a", "b"], "left_anti"), "rest")
+    tested = stars
+    for r in range(ROUNDS):
+        apart = still_apart(seen, components(links))
+        at = F.struct(F.xxhash64("doc", F.lit(r)).alias("h"), F.col("doc").alias("d"), F.col("component").alias("c"))
+        centres = apart.groupBy("key").agg(F.min(at).alias("m"))
+        pairs = apart.join(centres, "key").where("component <> m.c").select(F.least("doc", "m.d").alias("a"), F.greatest("doc", "m.d").alias("b"))
+        pairs = store(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        links = store(links.union(verified(pairs, d, profile, k, percent)), "links")
+        tested = tested.union(pairs)
+    # documents of one key that are still apart meet
+    sketch = profile.select("doc", "n", *[F.get("sketch", i).alias(f"k{i}") for i in range(SKETCH)])
+    apart = still_apart(seen, components(links)).join(sketch, ["doc", "n"])
+    x, y = (apart.select("key", *[F.col(c).alias(f"{c}_{s}") for c in apart.columns if c != "key"]) for s in "xy")
+    total, differ = F.col("n_x") + F.col("n_y"), sum(F.bit_count(F.col(f"k{i}_x").bitwiseXOR(F.col(f"k{i}_y"))) for i in range(SKETCH))
+    may = ((F.col("component_x") < F.col("component_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+           & (differ * (100 + percent) <= total * (100 - percent)))
+    left = x.join(y.withColumnRenamed("key", "key_y"), (F.col("key") == F.col("key_y")) & may).select(
+        F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")).distinct()
+    left = store(left.join(tested, ["a", "b"], "left_anti"), "rest")
     more = verified(left, d, profile, k, percent)
     links = links.union(more).union(copies.select(F.col("first").alias("a"), F.col("doc").alias("b"))).distinct()
     return links, components(links)
 
 
+def still_apart(seen: DataFrame, now: DataFrame) -> DataFrame:
+    """(key, doc, n, component) of the keys that hold several components, stored."""
+    placed = seen.join(now.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "key", "doc", F.col("n").cast("long").alias("n"), F.coalesce("component", "doc").alias("component"))
+    open_keys = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("key")
+    return store(placed.join(open_keys, "key").distinct(), "apart")
+
+
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
            percent: int = PERCENT) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable by links, itself included; null for
