@@ -226,3 +226,19 @@ def test_write_by_token_splits_a_hot_token(spark, tmpdir_fresh):
     df = spark.range(20_000).select(F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 5)).alias("token"), "id")
     write_by_token(df, tmpdir_fresh + "/w")
     assert spark.read.parquet(tmpdir_fresh + "/w").groupBy("token").count().count() == 3
+
+
+def test_tweet_days_are_pruned_by_path(spark, tmpdir_fresh):
+    import gzip
+    import os
+    from tidemark.sources.readers import read_tweets
+    for d in ("2021/05/01", "2021/05/02", "2021/05/03"):
+        os.makedirs(f"{tmpdir_fresh}/in/{d}")
+        with gzip.open(f"{tmpdir_fresh}/in/{d}/a.json.gz", "wt") as f:
+            f.write('{"id": "%s", "text": "x"}\n' % d)
+    tweets, _ = read_tweets(spark, tmpdir_fresh + "/in", days=("2021-05-02", "2021-05-03"))
+    got = {(r["tweet_id"], str(r["day"])) for r in tweets.collect()}
+    assert got == {("2021/05/02", "2021-05-02"), ("2021/05/03", "2021-05-03")}
+    assert len(read_tweets(spark, tmpdir_fresh + "/in")[0].collect()) == 3
+    node = [x for x in tweets._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
+    assert node and "file_path" in node[0]

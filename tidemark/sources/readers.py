@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import TWEET_ANY, METRIC_FILE, PRICE_HISTORY
 
@@ -45,24 +45,41 @@ def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None
     return df
 
 
-def read_tweets(spark: SparkSession, path: str, recursive: bool = True,
-                glob: str | None = None) -> tuple[DataFrame, DataFrame]:
+# year, month and day in a path, as directories (2021/05/03) or in one name (2021-05-03)
+DAY_IN_PATH = r"(\d{4})[-/_]?(\d{2})[-/_]?(\d{2})"
+
+
+def day_of_path(path_col) -> Column:
+    """The first date in a file's path, null where there is none."""
+    part = [F.regexp_extract(path_col, DAY_IN_PATH, i) for i in (1, 2, 3)]
+    return F.try_to_date(F.concat_ws("-", *part), "yyyy-MM-dd")
+
+
+def read_tweets(spark: SparkSession, path: str, recursive: bool = True, glob: str | None = None,
+                days: tuple[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """JSON-lines tweets of both layouts (compressed or not; bz2 splits,
-    gz does not and is repartitioned by the caller if needed).
+    gz does not: where that leaves fewer partitions than cores, lines are spread
+    over the cores before anything else is done with them).
 
     Returns ``(tweets, rejects)``: tweets = (tweet_id, author_id, created_at,
-    text, source_file) for lines with an id (v2 ``data.id`` or v1 ``id``; a
+    text, source_file, day) for lines with an id (v2 ``data.id`` or v1 ``id``; a
     missing v1 ``user`` gives a null author); rejects = (line, source_file)
-    for lines that are not JSON."""
+    for lines that are not JSON. ``day`` is the date in the file's path;
+    ``days`` = (first, last) reads only files of those days: the filter is on
+    file metadata, so other files are left out before they are opened."""
     r = (spark.read.schema(TWEET_ANY).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if recursive:
         r = r.option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    raw = r.json(path).withColumn("source_file", F.col("_metadata.file_path"))
+    raw = r.json(path)
+    if days is not None:
+        raw = raw.filter(day_of_path(F.col("_metadata.file_path")).between(*[F.lit(d).cast("date") for d in days]))
+    raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
     # a corrupt-record column must be materialised before it is filtered on
     raw = raw.select("data", "id", "created_at", "text", "user", "_corrupt_record", "source_file")
+    raw = spread(raw)
     bad = F.col("_corrupt_record").isNotNull()
     # a broken line has every data field null; testing one keeps the scan from
     # asking for the corrupt-record column alone (which Spark refuses)
@@ -73,7 +90,7 @@ def read_tweets(spark: SparkSession, path: str, recursive: bool = True,
         F.coalesce(F.col("data.author_id"), F.col("user.id")).alias("author_id"),
         F.coalesce(F.col("data.created_at"), F.col("created_at")).alias("created_at"),
         F.coalesce(F.col("data.text"), F.col("text")).alias("text"),
-        "source_file").filter(F.col("tweet_id").isNotNull())
+        "source_file", day_of_path(F.col("source_file")).alias("day")).filter(F.col("tweet_id").isNotNull())
     return good, rejects
 
 
