@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import TEST_KEYWORDS, TEST_GENERAL, TEST_LEXICON, STOPWORDS_EN
+from ..functions.dates import floor_hour
 from ..session import configure, stored
 
 N_TOKENS = 8
@@ -30,7 +31,7 @@ def events_base(spark, sf_dir) -> DataFrame:
     per (token, hour, label) the exact sum of values in cents and the count.
     A hot token costs one partial row per task (map-side aggregation)."""
     ev = read(spark, sf_dir, "events")
-    return (ev.select(_token_of_user().alias("token"), F.date_trunc("hour", "ts").alias("ts"),
+    return (ev.select(_token_of_user().alias("token"), floor_hour("ts").alias("ts"),
                       _label().alias("label"),
                       F.round(F.col("value") * F.lit(100.0)).cast("long").alias("_c"))
             .groupBy("token", "ts", "label")
@@ -143,14 +144,6 @@ def pred(spark, sf_dir) -> DataFrame:
         "stack(2, 'model_a', model_a, 'model_b', model_b) AS (model, prediction)"))
 
 
-# ---------------------------------------------------------------- KW ----------
-def kw_table(spark) -> DataFrame:
-    """(tag, keyword) rows of the test dictionary; general words tag themselves."""
-    rows = [(sym, w) for sym, ws in TEST_KEYWORDS.items() for w in ws]
-    rows += [(w, w) for w in TEST_GENERAL]
-    return spark.createDataFrame(rows, "tag string, keyword string")
-
-
 # ============================================================ SQL twins =======
 def _sql_list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"

@@ -17,7 +17,8 @@ from ..functions.text import map_label, label_word, token_upper
 from ..operators import series as S
 from ..operators.correlate import base_price, corr_base
 from ..operators.evaluate import ensemble, error_metrics, to_long
-from ..operators.joins import left_fill, metrics_wide, mixed_grain_join, semi, anti
+from ..functions.arrays import any_in_range_arr, sum_arr
+from ..operators.joins import any_in_range, left_fill, metrics_wide, mixed_grain_join, semi, anti
 from ..operators.profile import (corr_vector, feature_select, null_profile, rows_with_null,
                                  distinct_values)
 from ..operators.rollup import label_pivot, sentiment_daily, sentiment_hourly
@@ -485,10 +486,17 @@ B.add_cte("vol_flag", """SELECT supplier, round(sum(volume), 2) AS total_volume,
 
 @register("any_in_range", with_ctes(["vol_flag"], "SELECT supplier, total_volume, n_days, in_range FROM vol_flag"))
 def q_any_in_range(spark, sf):
-    v = B.vol(spark, sf)
-    return v.groupBy("supplier").agg(
-        F.round(F.sum("volume"), 2).alias("total_volume"), F.count(F.lit(1)).alias("n_days"),
-        F.max(F.col("volume").between(B.VOL_LO, B.VOL_HI)).alias("in_range"))
+    out = any_in_range(B.vol(spark, sf), "supplier", "volume", B.VOL_LO, B.VOL_HI)
+    return out.select("supplier", F.round("total_volume", 2).alias("total_volume"), F.col("n_rows").alias("n_days"), "in_range")
+
+
+@register("array_range", with_ctes(["vol"], f"""SELECT supplier, round(sum(volume), 2) AS total_volume,
+    bool_or(volume BETWEEN {B.VOL_LO} AND {B.VOL_HI}) AS in_range FROM vol GROUP BY supplier"""))
+def q_array_range(spark, sf):
+    """R3 on arrays: one array of daily volumes per supplier."""
+    a = B.vol(spark, sf).groupBy("supplier").agg(F.collect_list("volume").alias("volumes"))
+    return a.select("supplier", F.round(sum_arr("volumes"), 2).alias("total_volume"),
+                    any_in_range_arr("volumes", B.VOL_LO, B.VOL_HI).alias("in_range"))
 
 
 def _listed(spark, sf):
