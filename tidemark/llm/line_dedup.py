@@ -4,7 +4,8 @@ A line of length l is cut into ``max_edits`` + 1 segments; a line within ``max_e
 of it holds one of them unchanged, and only near its place. So each distinct line indexes its
 segments under (length, number, hash), and probes, for every length it may match, the few
 substrings that such a segment can be (multi-match-aware positions). Lines that meet under a
-key are verified with a banded bit-parallel edit distance on the whole lines. Lines shorter
+key, and whose character pairs differ no more than the edits allow, are verified with a banded
+bit-parallel edit distance on the whole lines. Lines shorter
 than ``min_chars`` are never touched: they repeat by nature."""
 
 from __future__ import annotations
@@ -40,7 +41,17 @@ class Lines:
         self.length = np.array([len(x) for x in text], np.int64)
         self.start = np.cumsum(self.length) - self.length
         points = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.prefix = _CHARS.prefix(mix(points.astype(_U) + _U(1)))
+        self.values = mix(points.astype(_U) + _U(1))
+        self.prefix = _CHARS.prefix(self.values)
+
+    def sketches(self) -> np.ndarray:
+        """Parity of each line's hashed pairs of neighbouring characters, 64 bits as a long.
+        An edit removes two pairs and adds two at most, so it flips four bits at most."""
+        line = np.repeat(np.arange(len(self.length)), self.length)
+        same = line[1:] == line[:-1]
+        bit = (mix(self.values[:-1] * _U(3) + self.values[1:]) & _U(63)).astype(np.int64)
+        odd = np.bincount((line[1:] * 64 + bit)[same], minlength=64 * len(self.length)) & 1
+        return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
 
     def hashes(self, rows: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
         s = self.start[rows] + at
@@ -74,8 +85,9 @@ def _entries(kind: str, max_edits: int, min_chars: int):
             ids, first = np.unique(b.column("lid").to_numpy(zero_copy_only=False), return_index=True)
             lines = Lines(b.column("line").take(pa.array(first)))
             found = lines.index(max_edits) if kind == "index" else lines.probes(max_edits, min_chars)
+            sketch = lines.sketches()
             for rows, key in found:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(ids[rows])], ["key", "lid"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(ids[rows]), pa.array(sketch[rows])], ["key", "lid", "sketch"])
     return run
 
 
@@ -150,9 +162,13 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     lines = (d.select("__id", "__row", F.posexplode(F.split("__t", "\n")).alias("at", "line"))
              .where(F.length("line") >= min_chars).withColumn("lid", F.xxhash64("line")))
     text = lines.select("lid", "line")
-    index, probe = (text.mapInArrow(_entries(k, max_edits, min_chars), "key long, lid long").distinct() for k in ("index", "probe"))
-    a, b = index.withColumnRenamed("lid", "a"), probe.withColumnRenamed("lid", "b")
-    pairs = store(a.join(b, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    # dealt by key once: repeated lines are dropped and keys joined where they are
+    index, probe = (text.mapInArrow(_entries(k, max_edits, min_chars), "key long, lid long, sketch long").repartition("key").distinct()
+                    for k in ("index", "probe"))
+    a, b = index.toDF("key_a", "a", "sketch_a"), probe.toDF("key_b", "b", "sketch_b")
+    differ = F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b")))
+    may = (F.col("key_a") == F.col("key_b")) & (F.col("a") != F.col("b")) & (differ <= 4 * max_edits)
+    pairs = store(a.join(b, may).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     named = pairs.select(F.col("a").alias("lid")).union(pairs.select(F.col("b").alias("lid")))
     texts = maybe_in(text, named, "lid").dropDuplicates(["lid"])
     x, y = (texts.select(F.col("lid").alias(p), F.col("line").alias(t)) for p, t in (("a", "x"), ("b", "y")))
