@@ -162,6 +162,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     lines = (d.select("__id", "__row", F.posexplode(F.split("__t", "\n")).alias("at", "line"))
              .where(F.length("line") >= min_chars).withColumn("lid", F.xxhash64("line")))
     text = lines.select("lid", "line")
+    places = store(lines.select("__id", "__row", "at", "lid"), "line-places")
     # dealt by key once: repeated lines are dropped and keys joined where they are
     index, probe = (text.mapInArrow(_entries(k, max_edits, min_chars), "key long, lid long, sketch long").repartition("key").distinct()
                     for k in ("index", "probe"))
@@ -174,12 +175,12 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     x, y = (texts.select(F.col("lid").alias(p), F.col("line").alias(t)) for p, t in (("a", "x"), ("b", "y")))
     links = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(max_edits), "a long, b long")
     links = store(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "line-links")
-    firsts = lines.groupBy("lid").agg(F.min(_order(F.col("__id"))).alias("first"), F.count("*").alias("n"))
+    firsts = places.groupBy("lid").agg(F.min(_order(F.col("__id"))).alias("first"), F.count("*").alias("n"))
     firsts = store(firsts.join(links.select(F.col("a").alias("lid")).distinct().withColumn("linked", F.lit(True)), "lid", "left")
                    .where("n > 1 or linked").select("lid", "first"), "line-firsts")
     near = links.join(firsts.select(F.col("lid").alias("b"), "first"), "b").select(F.col("a").alias("lid"), "first")
     before = firsts.union(near).groupBy("lid").agg(F.min("first").alias("first"))
-    gone = lines.drop("line").join(before, "lid").where(_order(F.col("__id")) > F.col("first"))
+    gone = places.join(before, "lid").where(_order(F.col("__id")) > F.col("first"))
     return gone.groupBy("__row", "__id").agg(F.sort_array(F.collect_set("at")).alias("removed"))
 
 
