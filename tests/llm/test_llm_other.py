@@ -114,6 +114,28 @@ def test_vector_dedup_matches_brute_force(spark):
     assert vector_dedup.dedup(df.where("vec_id < 0")).count() == 0
 
 
+def test_vector_dedup_counts_groups_larger_than_shards(spark):
+    from tidemark.llm import vector_dedup
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(3, 16))
+    group = base[0] + rng.normal(size=(600, 16)) * 0.17 * np.linalg.norm(base[0]) / 4
+    scaled = base[1] * rng.uniform(1, 2, size=(500, 1))         # one direction: all in one shard
+    x = np.concatenate([rng.normal(size=(300, 16)), group, scaled])
+    x = x[rng.permutation(len(x))]
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    linked = (u @ u.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    df = spark.createDataFrame([(i - 5, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"] + 5: r for r in vector_dedup.dedup(df, per_shard=50).collect()}
+    many = linked.sum(1) >= 100
+    assert many.sum() > 900 and len(got) == len(x)
+    assert [got[i]["n_links"] for i in np.flatnonzero(many)] == linked.sum(1)[many].tolist()
+    low = np.arange(len(x))
+    for _ in range(20):
+        low = np.minimum(low, np.where(linked, low[None], len(x)).min(1))
+    assert all(got[i]["component_id"] == low[i] - 5 for i in np.flatnonzero(many))
+    assert got[0]["audit_recall"] >= 0.99
+
+
 def test_maybe_in_loses_nothing(spark):
     from tidemark.llm.common import maybe_in
     df, keys = spark.range(5000).withColumnRenamed("id", "k"), spark.range(0, 5000, 13).withColumnRenamed("id", "k")

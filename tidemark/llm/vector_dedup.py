@@ -4,8 +4,10 @@ Distinct vectors are dealt to overlapping cluster shards (each goes to its neare
 every shard builds a robust-pruned neighbour graph, the adjacency lists of a vector are united
 over its shards, and every vector then searches its home shard: greedily from the shard's
 medoid, and from the first hit on it expands whatever lies in range. Hits are verified by the
-cosine in double precision. An audit compares a bounded set of queries with brute force over
-all rows."""
+cosine in double precision. Every vector found linked then counts its links exactly, over all
+cells that a link can reach, in blocks; so do the vectors these turn up, and those of shards
+too large for a graph. Only links between two vectors that the search finds linked with nothing
+can be missed. An audit compares a bounded set of queries with brute force over all rows."""
 
 from __future__ import annotations
 
@@ -20,6 +22,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import components, store
 
 SAME = 0.9
+#: Numbers in a block of the exact count (rows x dimensions), and cells in a region.
+BLOCK_VALUES, REGION_CELLS = 1 << 19, 8
+ASKED, GIVEN, EDGE = 0, 1, 2
 
 
 def unit_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -136,42 +141,95 @@ def _shard_graph(degree: int, wide: int, alpha: float):
     return run
 
 
-def _forest(pairs_from: list[int], pairs_to: list[int], n: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the pairs."""
-    root = list(range(n))
-
-    def find(a):
-        while root[a] != a:
-            root[a] = root[root[a]]
-            a = root[a]
-        return a
-    out = []
-    for a, b in zip(pairs_from, pairs_to):
-        u, v = find(a), find(b)
-        if u != v:
-            root[max(u, v)] = min(u, v)
-            out.append((a, b))
-    return out
-
-
 def _shard_search(beam: int, least: float):
+    """Ids of the vectors that have a link in their shard."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
-        ids, home, n_copies = pdf["id"].to_numpy(), pdf["home"].to_numpy(bool), pdf["n"].to_numpy()
+        ids, home = pdf["id"].to_numpy(), pdf["home"].to_numpy(bool)
         x = normalise(np.stack(pdf["v"].to_numpy()))
         place = {int(i): p for p, i in enumerate(ids)}
         graph = [np.array(sorted({place[int(j)] for j in near if int(j) in place}), np.int64) for near in pdf["near"]]
         medoid = int((x @ x.mean(0)).argmax())
-        rows, a, b = [], [], []
+        linked = np.zeros(len(ids), bool)
         for p in np.flatnonzero(home).tolist():
+            if linked[p]:
+                continue
             found = range_search(x[p], x, graph, medoid, beam, least)
             found = found[found != p]
             found = found[(x[found] * x[p]).sum(1) >= least]
-            rows.append((int(ids[p]), -1, int(n_copies[found].sum())))
-            a += [p] * len(found)
-            b += found.tolist()
-        rows += [(int(ids[u]), int(ids[v]), 0) for u, v in _forest(a, b, len(ids))]
-        return pd.DataFrame(rows, columns=["a", "b", "n"])
+            linked[found] = True
+            linked[p] = len(found) > 0
+        return pd.DataFrame({"id": ids[linked]})
+    return run
+
+
+def _reach(shared, least: float):
+    """Adds to each vector the regions that may hold a vector with similarity >= ``least``: one
+    in cell j lies beyond the bisector of j and the vector's own cell, so the vector is no
+    farther from it than from the other vector."""
+    far = math.sqrt(max(0.0, 2 - 2 * least))
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                dims = part.column(3).to_numpy()
+                for d in np.unique(dims).tolist():
+                    rows = part.filter(pa.array(dims == d))
+                    c, region = shared.value[d]
+                    s, own = _matrix(rows.column(1)) @ c.T, rows.column(4).to_numpy()
+                    mine = c[own]
+                    gap = np.sqrt(np.maximum(0, (mine * mine).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * mine @ c.T))
+                    open_ = s[np.arange(len(s)), own][:, None] - s <= far * gap + 1e-6
+                    to = [np.unique(region[o]).tolist() for o in open_]
+                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(to, pa.list_(pa.int32()))], [*rows.schema.names, "to"])
+    return run
+
+
+def _block_counts(least: float):
+    """Of a block of asking vectors and one of others: how many each asking one links with
+    (ASKED), how many links it gives the others (GIVEN), and edges (a, b) that connect whatever
+    is linked (EDGE)."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        asks = t.column("asks").to_numpy()
+        def side(mask):
+            part = t.filter(pa.array(mask))
+            if not part.num_rows:
+                return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 1))
+            return part.column("id").to_numpy(), part.column("n").to_numpy(), _matrix(part.column("v").combine_chunks())
+        ids, n, x = side(asks)
+        others, m, y = side(~asks)
+        out = [(ids[:0], ids[:0], ids[:0], 0)]
+        given, label = np.zeros(len(others), np.int64), np.arange(len(others))
+        if len(ids) and len(others):
+            order = np.argsort(others)
+            others, m, y = others[order], m[order], y[order]
+            thin, slack = y.astype(np.float32).T, max(1e-5, 3e-7 * y.shape[1])
+            for at in range(0, len(ids), 512):
+                q = x[at: at + 512]
+                s = q.astype(np.float32) @ thin
+                hit = s >= least + slack
+                r, c = np.nonzero((s >= least - slack) & ~hit)
+                for low in range(0, len(r), 1 << 14):
+                    i, j = r[low: low + (1 << 14)], c[low: low + (1 << 14)]
+                    hit[i, j] = (q[i] * y[j]).sum(1) >= least
+                own = np.minimum(np.searchsorted(others, ids[at: at + 512]), len(others) - 1)
+                same = np.flatnonzero(others[own] == ids[at: at + 512])
+                hit[same, own[same]] = False
+                got = np.array([m[h].sum() for h in hit], np.int64)
+                out.append((ids[at: at + 512], got, got, ASKED))
+                for k in np.flatnonzero(got).tolist():
+                    found = np.flatnonzero(hit[k])
+                    given[found] += n[at + k]
+                    seen, first = np.unique(label[found], return_index=True)
+                    if len(seen) > 1:
+                        label[np.isin(label, seen)] = seen[0]
+                    out.append((np.full(len(first), ids[at + k]), others[found[first]], first, EDGE))
+            some = given > 0
+            out.append((others[some], given[some], given[some], GIVEN))
+        kind = np.repeat([o[3] for o in out], [len(o[0]) for o in out])
+        return pa.table({k: np.concatenate([o[i] for o in out]) for i, k in enumerate(("a", "b", "n"))} | {"kind": kind.astype(np.int32)})
     return run
 
 
@@ -206,16 +264,33 @@ def audit(classes: DataFrame, found: DataFrame, least: float, queries: int) -> f
     return 1.0 if not both["all"] else both["got"] / both["all"]
 
 
+def _exact(asking: DataFrame, homes: DataFrame, regions: DataFrame, shared, least: float, names: str) -> DataFrame:
+    """Counts of the ``asking`` vectors against all of ``homes`` that a link can reach, one task
+    for each pair of blocks (a region's parts)."""
+    wanted = store(asking.select("id", "v", "n", "d", "shard", "region", "part")
+                   .mapInArrow(_reach(shared, least), f"{names}, part int, to array<int>"), "reach")
+    of = [F.col("region").alias("qr"), F.col("part").alias("qp")]
+    key = ["d", "qr", "qp", "region", "part"]
+    spread = lambda q: (q.join(regions, ["d", "region"])
+                        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts"))
+    pairs = spread(wanted.select("d", *of, F.explode("to").alias("region")).distinct())
+    left = spread(wanted.select("d", *of, "id", "n", "v", F.explode("to").alias("region"))).select(*key, "id", "n", "v", F.lit(True).alias("asks"))
+    right = homes.join(pairs, ["d", "region", "part"]).select(*key, "id", "n", "v", F.lit(False).alias("asks"))
+    return left.union(right).groupBy(*key).applyInArrow(_block_counts(least), "a long, b long, n long, kind int")
+
+
 def dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", least: float = SAME, per_shard: int = 1000,
           overlap: int = 2, degree: int = 24, wide: int = 64, alpha: float = 1.2, beam: int = 32, sample_rows: int = 20_000,
           audit_queries: int = 200) -> DataFrame:
     """id, n_links, component_id, kept and audit_recall, one row per row of ``df``.
 
     n_links: other rows found with cosine >= ``least``; component_id: smallest id reachable by
-    links; kept: the row's id is that one. Equal vectors are one node of the graph (all their
-    links count). Null, zero and non-finite vectors and null ids link with nothing; vectors of
+    links; kept: the row's id is that one. All links of a vector that the graph search or
+    another vector's count finds linked are counted, however large its group. Equal vectors are
+    one node of the graph (all their links count). Null, zero and non-finite vectors and null ids link with nothing; vectors of
     different lengths never link. Repeated ids are rows of one node. Centroids are fitted on at
-    most ``sample_rows`` vectors; every vector is indexed and searched."""
+    most ``sample_rows`` vectors; every vector is indexed and searched, or counted without a
+    search where its shard has over 4 * ``overlap`` * ``per_shard`` vectors."""
     rows = store(unit_vectors(df, id_col, vec_col), "vectors")
     good = rows.where("ok").withColumn("d", F.size("v"))
     classes = store(good.groupBy("d", "h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("v").alias("v")), "classes")
@@ -225,7 +300,9 @@ def dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", lea
         k = max(1, math.ceil(n / per_shard))
         sample = classes.where(F.col("d") == d).orderBy(F.xxhash64("id"), "id").limit(min(sample_rows, 64 * k)).select("v").toPandas()
         x = normalise(np.stack(sample["v"].to_numpy()))
-        parts[d] = centroids(x, min(k, len(x)))
+        c = centroids(x, min(k, len(x)))
+        over = centroids(c, max(1, len(c) // REGION_CELLS))
+        parts[d] = c, (c @ over.T).argmax(1).astype(np.int32)
     shared = df.sparkSession.sparkContext.broadcast(parts)
 
     def place(batches):
@@ -233,19 +310,38 @@ def dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", lea
             dims = b.column(3).to_numpy()
             for d in np.unique(dims).tolist():
                 part = b.filter(pa.array(dims == d))
-                c = shared.value[d]
+                c, region = shared.value[d]
                 s = _matrix(part.column(1)) @ c.T
                 near = np.argsort(-s, axis=1, kind="stable")[:, : min(overlap, len(c))]
                 for rank in range(near.shape[1]):
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near[:, rank].astype(np.int32)), pa.array(np.full(len(near), rank == 0))],
-                                                     [*part.schema.names, "shard", "home"])
-
-    dealt = store(classes.select("id", "v", "n", "d").mapInArrow(place, "id long, v array<double>, n long, d int, shard int, home boolean"), "shards")
-    lists = dealt.groupBy("d", "shard").applyInPandas(_shard_graph(degree, wide, alpha), "id long, near array<long>")
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near[:, rank].astype(np.int32)), pa.array(region[near[:, rank]]),
+                                                      pa.array(np.full(len(near), rank == 0))], [*part.schema.names, "shard", "region", "home"])
+
+    names = "id long, v array<double>, n long, d int, shard int, region int"
+    dealt = store(classes.select("id", "v", "n", "d").mapInArrow(place, f"{names}, home boolean"), "shards")
+    large = store(dealt.groupBy("d", "shard").count().where(F.col("count") > 4 * overlap * per_shard).select("d", "shard"), "large-shards")
+    small = dealt.join(F.broadcast(large), ["d", "shard"], "left_anti")
+    lists = small.groupBy("d", "shard").applyInPandas(_shard_graph(degree, wide, alpha), "id long, near array<long>")
     graph = store(lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
-    found = store(dealt.join(graph, "id").groupBy("d", "shard").applyInPandas(_shard_search(beam, least), "a long, b long, n long"), "hits")
-    counts = found.where("b = -1 and n >= 0").select(F.col("a").alias("id"), F.col("n").alias("links"))
-    links = found.where("b <> -1").select("a", "b")
+    found = small.join(graph, "id").groupBy("d", "shard").applyInPandas(_shard_search(beam, least), "id long")
+
+    regions = (dealt.where("home").groupBy("d", "region").count()
+               .select("d", "region", F.ceil(F.col("count") * F.col("d") / F.lit(BLOCK_VALUES)).cast("int").alias("parts")))
+    regions = store(regions, "regions")
+    homes = dealt.where("home").join(regions, ["d", "region"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    ask = store(found.union(dealt.where("home").join(F.broadcast(large), ["d", "shard"]).select("id")).distinct(), "asking")
+    asked = counted = None
+    while not ask.isEmpty():
+        counted_now = store(_exact(homes.join(ask, "id"), homes, regions, shared, least, names), "counted")
+        counted = counted_now if counted is None else counted.union(counted_now)
+        asked = ask if asked is None else asked.union(ask)
+        ask = store(counted.where(F.col("kind") == GIVEN).select(F.col("a").alias("id")).distinct().join(asked, "id", "left_anti"), "asking")
+    if counted is None:
+        counted = df.sparkSession.createDataFrame([], "a long, b long, n long, kind int")
+    total = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")))
+    counts = counted.where(F.col("kind") != EDGE).groupBy(F.col("a").alias("id")).agg(F.coalesce(total(ASKED), total(GIVEN)).alias("links"))
+    counts = store(classes.select("id").join(counts, "id", "left").select("id", F.coalesce("links", F.lit(0)).cast("long").alias("links")), "link-counts")
+    links = counted.where(F.col("kind") == EDGE).select("a", "b")
     recall = audit(classes, counts, least, audit_queries)
     groups = components(links)
     node = (classes.select("d", "h1", "h2", "id", "n").join(counts, "id", "left")
