@@ -2,7 +2,7 @@
 predecessor kept.
 
 1. quality     rows that the quality classifier rejects go
-2. line_dedup  lines within two edits of an earlier line go
+2. line_dedup  lines within two edits of an earlier line go, short ones if equal to one
 3. near_dedup  of each group of near-duplicate documents one stays
 4. mix         sources are cut or repeated to their target weights
 5. tokens      texts become piece ids"""
@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.clean(docs)
+    out = line_dedup.clean(docs, short_repeats=True)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 

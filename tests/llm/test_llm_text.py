@@ -217,6 +217,17 @@ def test_line_dedup_null_and_repeated_ids(spark):
     assert got == [(3, []), (3, []), (4, [0, 1]), (None, [0])]
 
 
+def test_line_dedup_short_lines(spark):
+    from tidemark.llm import line_dedup
+    twin = "eighteen chars now"
+    rows = [(0, "short\n \n" + twin), (1, "short\nshorn\n \n" + twin + "!!"), (2, twin + "\n" + twin[:-1] + "\nshort"), (3, twin + "!!?")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.report(df).collect()}
+    assert got == {0: [], 1: [3], 2: [], 3: [0]}                   # twin: 18 characters, with !!: 20
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.report(df, short_repeats=True).collect()}
+    assert got == {0: [], 1: [0, 3], 2: [0, 2], 3: [0]}
+
+
 def test_quality_rules_base_counts(docs, texts):
     from tidemark.llm import quality_rules
     got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}

@@ -6,7 +6,8 @@ segments under (length, number, hash), and probes, for every length it may match
 substrings that such a segment can be (multi-match-aware positions). Lines that meet under a
 key, and whose character pairs differ no more than the edits allow, are verified with a banded
 bit-parallel edit distance on the whole lines. Lines shorter
-than ``min_chars`` are never touched: they repeat by nature."""
+than ``min_chars`` go as exact repeats only, and only where ``short_repeats`` asks for it; the
+longest of them still count as earlier partners of longer lines."""
 
 from __future__ import annotations
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Rolling, blocks, maybe_in, mix, signed, store
+from tidemark.llm.common import WORD, Rolling, blocks, maybe_in, mix, signed, store
 
 MAX_EDITS, MIN_CHARS = 2, 20
 _U = np.uint64
@@ -65,9 +66,10 @@ class Lines:
             yield rows, _keys(self.hashes(rows, at, size), self.length, i)
 
     def probes(self, max_edits: int, min_chars: int):
-        """(row, key) of every substring that may be a segment of a line no longer than this one."""
+        """(row, key) of every substring that may be a segment of a line no longer than this one,
+        for lines of ``min_chars`` or more; the other may be shorter than that."""
         for less in range(max_edits + 1):
-            rows = np.flatnonzero(self.length - less >= min_chars)
+            rows = np.flatnonzero((self.length >= min_chars) & (self.length > less))
             own, other = self.length[rows], self.length[rows] - less
             for i in range(max_edits + 1):
                 at, size = segments(other, max_edits + 1, i)
@@ -133,12 +135,15 @@ def edit_distances(left: list[str], right: list[str], most: int) -> np.ndarray:
     return out
 
 
-def _verify(most: int):
+def _verify(most: int, min_chars: int):
+    """(a, b) for each line a that may go because of b."""
     def run(batches):
         for b in blocks(batches, "x", 1 << 18):
             x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
             close = edit_distances(x, y, most) <= most
-            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(close)) for c in ("a", "b")], ["a", "b"])
+            for own, a, other in ((x, "a", "b"), (y, "b", "a")):
+                goes = pa.array(close & np.array([len(t) >= min_chars for t in own], bool))
+                yield pa.RecordBatch.from_arrays([b.column(c).filter(goes) for c in (a, other)], ["a", "b"])
     return run
 
 
@@ -147,12 +152,13 @@ def _order(id_col):
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
-             min_chars: int = MIN_CHARS) -> DataFrame:
+             min_chars: int = MIN_CHARS, short_repeats: bool = False) -> DataFrame:
     """(__row, __id, removed): numbers of the lines that go, for each row of ``docs`` that loses any.
 
     A line of ``min_chars`` characters or more goes if a line within ``max_edits`` edits of it
     (or equal) stands before it: in a document with a smaller id (null ids last), or earlier
-    in the same one. Judged on the input. Null and empty texts have no such line; equal rows
+    in the same one. The earlier line may be shorter than ``min_chars``. With ``short_repeats`` a
+    shorter line that holds a word goes if an equal one stands before it. Judged on the input. Null and empty texts have no such line; equal rows
     are one document; rows that share an id only are ordered by line number alone. Lines of any
     length are compared whole."""
     if min_chars <= max_edits + 1:
@@ -160,9 +166,11 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
     d = d.withColumn("__row", F.xxhash64("__id", "__t"))
     lines = (d.select("__id", "__row", F.posexplode(F.split("__t", "\n")).alias("at", "line"))
-             .where(F.length("line") >= min_chars).withColumn("lid", F.xxhash64("line")))
-    text = lines.select("lid", "line")
-    places = store(lines.select("__id", "__row", "at", "lid"), "line-places")
+             .withColumn("long", F.length("line") >= min_chars).withColumn("lid", F.xxhash64("line")))
+    partner = F.length("line") >= max(1, min_chars - max_edits)
+    text = lines.where(partner).select("lid", "line")
+    goes = F.col("long") | F.rlike("line", F.lit(WORD)) if short_repeats else F.col("long")
+    places = store(lines.where(partner | goes).select("__id", "__row", "at", "lid", goes.alias("goes")), "line-places")
     # dealt by key once: repeated lines are dropped and keys joined where they are
     index, probe = (text.mapInArrow(_entries(k, max_edits, min_chars), "key long, lid long, sketch long").repartition("key").distinct()
                     for k in ("index", "probe"))
@@ -173,14 +181,14 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     named = pairs.select(F.col("a").alias("lid")).union(pairs.select(F.col("b").alias("lid")))
     texts = maybe_in(text, named, "lid").dropDuplicates(["lid"])
     x, y = (texts.select(F.col("lid").alias(p), F.col("line").alias(t)) for p, t in (("a", "x"), ("b", "y")))
-    links = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(max_edits), "a long, b long")
-    links = store(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "line-links")
+    links = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(max_edits, min_chars), "a long, b long")
+    links = store(links, "line-links")
     firsts = places.groupBy("lid").agg(F.min(_order(F.col("__id"))).alias("first"), F.count("*").alias("n"))
-    firsts = store(firsts.join(links.select(F.col("a").alias("lid")).distinct().withColumn("linked", F.lit(True)), "lid", "left")
+    firsts = store(firsts.join(links.select(F.explode(F.array("a", "b")).alias("lid")).distinct().withColumn("linked", F.lit(True)), "lid", "left")
                    .where("n > 1 or linked").select("lid", "first"), "line-firsts")
     near = links.join(firsts.select(F.col("lid").alias("b"), "first"), "b").select(F.col("a").alias("lid"), "first")
     before = firsts.union(near).groupBy("lid").agg(F.min("first").alias("first"))
-    gone = places.join(before, "lid").where(_order(F.col("__id")) > F.col("first"))
+    gone = places.where("goes").join(before, "lid").where(_order(F.col("__id")) > F.col("first"))
     return gone.groupBy("__row", "__id").agg(F.sort_array(F.collect_set("at")).alias("removed"))
 
 

@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import line_dedup
-    return line_dedup.report(table(spark, sf_dir, "documents"))
+    return line_dedup.report(table(spark, sf_dir, "documents"), short_repeats=True)
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
