@@ -30,6 +30,14 @@ def test_url_rules_and_model(spark):
     assert {r["verdict"] for r in U.judge(pages.where("page_id = 12"), U.fit(labels.where("false"))).collect()} == {"allow"}
 
 
+def test_url_sample_counts_distinct_urls(spark):
+    from tidemark.llm import url_filters as U
+    urls = spark.createDataFrame([(f"http://h{i}.org/p/{i}",) for i in range(10)], "url string")
+    first = urls.orderBy(F.xxhash64(U.host_of(F.col("url")), U.path_of(F.col("url")))).first()["url"]
+    rows = [(r["url"], int(r["url"] == first)) for r in urls.collect()] + [(f"{first}?{i}", 1) for i in range(50)]
+    assert not isinstance(U.fit(spark.createDataFrame(rows, "url string, label int"), max_rows=5), float)
+
+
 def waterfill(sizes, weights, most):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + ([None] if None in sizes else [])
     w = {s: weights[i % len(weights)] for i, s in enumerate(names)}

@@ -69,12 +69,12 @@ def featurise(urls: DataFrame, features: int) -> DataFrame:
 def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", features: int = 1 << 12,
         max_rows: int = 2000, max_iter: int = 40, reg: float = 1e-3) -> LogisticRegressionModel | float:
     """Fit on a small labelled table (label 1 = block). The table may be large: training
-    takes the ``max_rows`` rows with the smallest URL hash (a documented bound). Without
+    takes the ``max_rows`` distinct (host, path, label) with the smallest URL hash (a documented bound). Without
     both labels the constant share of label 1 (0.0 for an empty table) is returned."""
     rows = (labelled.where(F.col(label_col).isNotNull())
             .select(host_of(F.col(url_col)).alias("__host"), path_of(F.col(url_col)).alias("__path"),
                     F.col(label_col).cast("double").alias("__y"))
-            .orderBy(F.xxhash64("__host", "__path"), "__host", "__path", "__y").limit(max_rows))
+            .distinct().orderBy(F.xxhash64("__host", "__path"), "__host", "__path", "__y").limit(max_rows))
     train = featurise(rows, features).select("__x", "__y").coalesce(1).cache()
     try:
         seen = train.groupBy("__y").count().collect()
