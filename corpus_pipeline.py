@@ -21,8 +21,11 @@ LEAST_QUALITY = 0.7
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Fit on the labelled rows of ``docs``, then keep the rows that score well."""
+    """Fit on the labelled rows of ``docs``, then keep the rows that score well. Without any
+    labelled row there is no model, and all rows stay."""
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    if not model.weights.any():
+        return docs
     names = docs.columns
     scored = quality_classifier.score(docs.withColumn("__text", F.col("text")), model, text_col="__text", score_col="__score")
     return scored.where(F.col("__score") >= LEAST_QUALITY).select(*names)

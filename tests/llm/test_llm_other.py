@@ -175,3 +175,11 @@ def test_pipeline_stages(spark, sf_dir):
     mixed = sorted(r["text"] for r in at.collect())
     out = P.STAGES[-1][1](spark, at, sf_dir).collect()
     assert sorted(m.decode(r["ids"]) for r in out) == mixed
+
+
+def test_pipeline_quality_without_labels(spark, tmp_path):
+    import corpus_pipeline as P
+    docs = spark.createDataFrame([(1, "some clean text"), (2, None)], "doc_id long, text string")
+    for i, rows in enumerate(([], [(1, None)], [(77, 1)])):
+        spark.createDataFrame(rows, "doc_id long, quality int").write.parquet(f"{tmp_path}/{i}/labels.parquet")
+        assert P.quality(spark, docs, f"{tmp_path}/{i}").count() == 2
