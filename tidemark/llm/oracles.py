@@ -68,4 +68,51 @@ select d.doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed,
 from d left join kept using (doc_id) left join lost using (doc_id)
 """
 
-ORACLE_SQL = {"op3_quality_rules": OP3, "op4_ngram_jaccard_join": OP4, "op5_vector_dedup": OP5, "op10_substring_dedup": OP10}
+OP12 = rf"""
+with recursive bits as (select b, 0 as k, b as v from (select unnest(range(256)) as b)
+    union all select b, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+step as (select b, v from bits where k = 8),
+words as (select 1 as kind, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+    union all select 2, null, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark),
+spots as (select kind, doc_id, w, unnest(range(1, len(w) + 1)) as i from words),
+feature as (select kind, doc_id, unnest([array_to_string(w[i:i], ' '), case when i + 1 <= len(w) then array_to_string(w[i:i + 1], ' ') end,
+                                        case when i + 2 <= len(w) then array_to_string(w[i:i + 2], ' ') end]) as f from spots),
+each as (select f, hex(f) as h, strlen(f) as n from (select distinct f from feature where f is not null)),
+far as (select max(n) as n from each),
+place as (select 0 as d, b, v from step union all
+    select d + 1, p.b, xor(p.v >> 8, s.v) from place p join step s on s.b = p.v & 255, far where d + 1 < far.n),
+empty as (select 0 as n, 4294967295 as v union all
+    select e.n + 1, xor(e.v >> 8, s.v) from empty e join step s on s.b = e.v & 255, far where e.n < far.n),
+byte as (select f, n, n - 1 - i as d, ('0x' || substr(h, 2 * i + 1, 2))::bigint as b from (select f, h, n, unnest(range(n)) as i from each)),
+bucket as (select f, xor(xor(bit_xor(p.v), any_value(e.v)), 4294967295) % 10000 as b
+           from byte join place p using (d, b) join empty e on e.n = byte.n group by f),
+counts as (select b, count(*) filter (kind = 1) as s, count(*) filter (kind = 2) as t from feature join bucket using (f) group by b),
+total as (select coalesce(sum(s), 0) as s, coalesce(sum(t), 0) as t from counts),
+gain as (select b, floor(1000 * ln((c.t + 1)::double * (total.s + 10000)::double / ((c.s + 1)::double * (total.t + 10000)::double)))::bigint as g from counts c, total),
+weigh as (select doc_id, count(*) as n, sum(g)::bigint as weight from feature join bucket using (f) join gain using (b) where kind = 1 group by doc_id),
+scored as (select w.doc_id, len(w.w) as n_words, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+                  coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || w.doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+           from words w left join weigh on w.doc_id = weigh.doc_id where kind = 1),
+ranked as (select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n from scored where n_words >= 20)
+select s.doc_id, s.n_words::bigint as n_words, n_features, weight, score, case when rank <= 5 * n // 100 then rank end as rank
+from scored s left join ranked using (doc_id)
+"""
+
+OP13 = r"""
+with d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u,
+                  sha256('42:' || doc_id) as x from documents),
+h as (select doc_id, t, u, len(u) as n, [('0x' || substr(x, i, 8))::bigint for i in [1, 9, 17, 25]] as h from d),
+cut as (select *, case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h[3] % 100 >= 50 then 'plain'
+                       when h[4] % 100 < 80 then 'spm' else 'psm' end as form,
+               least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as z from h),
+part as (select *, coalesce(array_to_string(u[1:a], ''), '') as p, coalesce(array_to_string(u[a + 1:z], ''), '') as m,
+                coalesce(array_to_string(u[z + 1:], ''), '') as s from cut)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p) end::bigint as prefix_chars,
+       case when form <> 'plain' then length(m) end::bigint as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from part
+"""
+
+ORACLE_SQL = {"op3_quality_rules": OP3, "op4_ngram_jaccard_join": OP4, "op5_vector_dedup": OP5, "op10_substring_dedup": OP10,
+              "op12_importance_resampling": OP12, "op13_fill_in_middle": OP13}

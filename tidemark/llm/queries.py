@@ -106,9 +106,33 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded bytes as digests."""
+    import public_tokenizers
+    from tidemark.llm import byte_bpe
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary, packed=True).drop("text")
+    out = byte_bpe.decode(ids, *vocabulary)
+    return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import importance
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import fim
+    from tidemark.llm.common import store
+    framed = store(fim.frames(table(spark, sf_dir, "documents")), "frames")
+    return fim.transform(framed).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_quality_classifier, op3_quality_rules, op4_ngram_jaccard_join, op5_vector_dedup,
                             op6_url_filters, op7_sentencepiece,
-                            op8_mixing, op9_token_store, op10_substring_dedup)
+                            op8_mixing, op9_token_store, op10_substring_dedup, op11_byte_bpe, op12_importance_resampling,
+                            op13_fill_in_middle)
 }
 
