@@ -50,6 +50,24 @@ def noise_factor(key_col, scales: dict, default_scale: float, seed: int = 42) ->
     return F.lit(1.0) + s * F.randn(seed)
 
 
+def noise_factors(key_col, scales: dict, default_scale: float, steps: int, seed: int = 42) -> Column:
+    """M4 for a recursion: ``steps`` factors 1 + s * N(0, 1) as an array, by key and step.
+
+    The normal values come from two numbers in (0, 1) each (Box-Muller), the first eight hex
+    digits of md5("key|seed|step|1") and of md5("key|seed|step|2"): a rerun, another
+    partitioning or another engine draws the same."""
+    key = F.coalesce(_col(key_col).cast("string"), F.lit(""))
+    s = F.lit(float(default_scale))
+    for k, v in scales.items():
+        s = F.when(key == F.lit(k), F.lit(float(v))).otherwise(s)
+
+    def u(step, n):
+        text = F.concat(key, F.lit(f"|{seed}|"), step.cast("string"), F.lit(f"|{n}"))
+        return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") + 0.5) / 4294967296.0
+    normal = lambda i: F.sqrt(-2.0 * F.log(u(i, 1))) * F.cos(2.0 * F.pi() * u(i, 2))
+    return F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: 1.0 + s * normal(i))
+
+
 def pearson(x, y) -> Column:
     """Pearson r over rows where both values exist, as an aggregate; null (not
     an error under ANSI mode) when a side is constant or has under 2 pairs."""

@@ -11,6 +11,7 @@ from .registry import register
 from ..functions.text import clean_text
 from ..operators import series as S
 from ..operators.forecast import ar_forecast, assemble, gbt_forecast
+from ..operators.trees import tree_forecast
 from ..operators.textml import hash_split, relevance_fit, relevance_filter, fit_text_model, score_text
 
 
@@ -90,6 +91,38 @@ def q_ar_500(spark, sf):
     return ar_forecast(m, "token", "ts", "price", 500, 31)
 
 
+@register("arx_forecast")
+def q_arx(spark, sf):
+    """E2 with exogenous columns frozen at the last row, fitted per token."""
+    m = B.mkt_table(spark, sf).select("token", "ts", "price", "volume", "n")
+    return ar_forecast(m, "token", "ts", "price", 24, 744, exog=["volume", "n"])
+
+
+@register("gbt_forecast_500")
+def q_gbt_500(spark, sf):
+    """E1 with 500 lags and the four horizons; a horizon that the data's span leaves without a
+    training row has null predictions."""
+    m = B.mkt_table(spark, sf)
+    return gbt_forecast(m, "token", "ts", "price", 500, exog=["volume", "n"], horizons=[1, 24, 168, 720],
+                        split_ts="2024-01-24 00:00:00", params={"max_depth": 4, "n_estimators": 5, "learning_rate": 0.1, "subsample": 0.8})
+
+
+@register("tree_forecast")
+def q_tree_forecast(spark, sf):
+    """E2 on fitted trees with 500 lags: 31 steps, volume and count frozen."""
+    m = B.mkt_table(spark, sf)
+    return tree_forecast(m, "token", "ts", "price", 500, 31, exog=["volume", "n"],
+                         params={"max_depth": 4, "n_estimators": 8, "learning_rate": 0.1}, step_interval="1 day", restart=True)
+
+
+@register("tree_forecast_hourly")
+def q_tree_forecast_hourly(spark, sf):
+    """E2 on fitted trees, 744 hourly steps with noise: 0.025 for one token, 0.05 for the others."""
+    m = B.mkt_table(spark, sf)
+    return tree_forecast(m, "token", "ts", "price", 24, 744, exog=["volume", "n"], noise={"T0": 0.025}, default_noise=0.05,
+                         params={"max_depth": 4, "n_estimators": 8, "learning_rate": 0.1})
+
+
 FIXED_COEF = [2.0, 0.5, 0.3, 0.1]
 
 
@@ -108,6 +141,50 @@ def q_ar_recursion(spark, sf):
     return out.withColumn("prediction", F.round("prediction", 6))
 
 
+# (tree, node, feature, threshold, left, right, value, weight): lags 1 to 3, then volume, then the key's mean
+FIXED_TREES = [(0, 0, 0, 45.0, 1, 2, 0.0, 1.0), (0, 1, -1, 0.0, -1, -1, 38.5, 1.0), (0, 2, 1, 80.0, 3, 4, 0.0, 1.0),
+               (0, 3, -1, 0.0, -1, -1, 61.25, 1.0), (0, 4, -1, 0.0, -1, -1, 95.0, 1.0),
+               (1, 0, 3, 60.0, 1, 2, 0.0, 0.5), (1, 1, 2, 50.0, 3, 4, 0.0, 0.5), (1, 2, -1, 0.0, -1, -1, 12.0, 0.5),
+               (1, 3, -1, 0.0, -1, -1, -4.5, 0.5), (1, 4, -1, 0.0, -1, -1, 7.75, 0.5)]
+
+
+@register("tree_recursion", with_ctes(["mkt"], """, last AS (SELECT token, list(price ORDER BY ts DESC)[1:3] AS l, max(ts) AS origin,
+      arg_max(volume, ts) FILTER (volume IS NOT NULL) AS x FROM mkt GROUP BY token HAVING count(*) >= 3),
+  r AS (SELECT token, 0 AS step, l, origin, x, CAST(NULL AS DOUBLE) AS p FROM last
+    UNION ALL SELECT token, step, list_concat([p], l[1:2]), origin, x, p FROM (
+      SELECT token, step + 1 AS step, l, origin, x,
+        (CASE WHEN l[1] <= 45 THEN 38.5 WHEN l[2] <= 80 THEN 61.25 ELSE 95.0 END
+         + 0.5 * CASE WHEN x > 60 THEN 12.0 WHEN l[3] <= 50 THEN -4.5 ELSE 7.75 END)
+        * (1 + (CASE token WHEN 'T0' THEN 0.2 ELSE 0.4 END)
+           * sqrt(-2 * ln((CAST('0x' || substr(md5(token || '|42|' || (step + 1) || '|1'), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))
+           * cos(2 * pi() * (CAST('0x' || substr(md5(token || '|42|' || (step + 1) || '|2'), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296)) AS p
+      FROM r WHERE step < 744))
+  SELECT token, step, origin + to_hours(step) AS ts, round(p, 6) AS prediction FROM r WHERE step > 0""")
+    .replace("WITH ", "WITH RECURSIVE ", 1).replace("\n, last", ",\nlast"))
+def q_tree_recursion(spark, sf):
+    """E2's recursion on a given two-tree ensemble, volume frozen, seeded noise fed back."""
+    from ..operators.trees import NODE_SCHEMA
+    m = B.mkt_table(spark, sf).select("token", "ts", "price", "volume")
+    nodes = spark.createDataFrame(FIXED_TREES, NODE_SCHEMA)
+    out = tree_forecast(m, "token", "ts", "price", 3, 744, exog=["volume"], nodes=nodes, noise={"T0": 0.2}, default_noise=0.4)
+    return out.withColumn("prediction", F.round("prediction", 6))
+
+
+@register("arx_recursion", with_ctes(["mkt"], """, last AS (SELECT token, list(price ORDER BY ts DESC)[1:3] AS l, max(ts) AS origin,
+      arg_max(volume, ts) FILTER (volume IS NOT NULL) AS x, arg_max(n, ts) FILTER (n IS NOT NULL) AS y FROM mkt GROUP BY token HAVING count(*) >= 3),
+  r AS (SELECT token, 0 AS step, l, origin, x, y, CAST(NULL AS DOUBLE) AS p FROM last
+    UNION ALL SELECT token, step + 1, list_concat([2.0 + 0.05 * x - 0.25 * y + 0.5 * l[1] + 0.3 * l[2] + 0.1 * l[3]], l[1:2]), origin, x, y,
+      2.0 + 0.05 * x - 0.25 * y + 0.5 * l[1] + 0.3 * l[2] + 0.1 * l[3] FROM r WHERE step < 48)
+  SELECT token, step, origin + to_hours(step) AS ts, round(p, 6) AS prediction FROM r WHERE step > 0""")
+    .replace("WITH ", "WITH RECURSIVE ", 1).replace("\n, last", ",\nlast"))
+def q_arx_recursion(spark, sf):
+    """E2 with exogenous columns and given coefficients."""
+    m = B.mkt_table(spark, sf).select("token", "ts", "price", "volume", "n")
+    coef = m.select("token").distinct().withColumn("coef", F.array(*[F.lit(c) for c in [*FIXED_COEF, 0.05, -0.25]]))
+    out = ar_forecast(m, "token", "ts", "price", 3, 48, coef=coef, exog=["volume", "n"])
+    return out.withColumn("prediction", F.round("prediction", 6))
+
+
 @register("forecast_metrics")
 def q_forecast_metrics(spark, sf):
     """Trees and autoregression into one prediction table, their ensemble, the errors of all three."""
