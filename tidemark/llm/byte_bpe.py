@@ -4,7 +4,8 @@ A rank file lists the vocabulary as bytes with their ranks (= ids). Here it beco
 the library: bytes are written as the letters that byte-level vocabularies use for them, and
 each token's merge is the pair that its own bytes come down to under the lower ranks. Texts are
 split by the file's pattern, each match is encoded by itself, and equal chunks (white space and
-the run after it; no match of the pattern crosses their edges) are encoded once per task.
+the run after it, cut once more where Latin letters end before another ASCII character; no match
+of the pattern crosses such an edge) are encoded once per task.
 
 Offsets come from the bytes of the ids: a token stands from the character that holds its first
 byte to that of its last, so tokens that split a character share it. Decoding reverses the byte
@@ -16,7 +17,9 @@ from __future__ import annotations
 import base64
 import codecs
 import functools
+import os
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,9 @@ from tidemark.llm.wordcache import ChunkCache
 #: Characters with the Unicode property White_Space (fixed values).
 BLANKS = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
+#: Latin letters: all of these are letters whatever the version of Unicode.
+LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+
 
 def byte_letters() -> dict[int, str]:
     """Each byte as the letter that byte-level vocabularies write it with: printable ones as
@@ -57,7 +63,7 @@ class ByteBPE:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         from tokenizers import Regex, Tokenizer, models, pre_tokenizers
-        letters = byte_letters()
+        self.letters = letters = byte_letters()
         write = lambda raw: "".join(letters[b] for b in raw)
         pairs = ((t, merge_of(t, ranks)) for t in sorted(ranks, key=ranks.__getitem__) if len(t) > 1)
         merges = [(write(p[0]), write(p[1])) for _, p in pairs if p]
@@ -69,7 +75,11 @@ class ByteBPE:
         for t, i in ranks.items():
             self.bytes[i] = t
         self.lengths = np.array([len(t) for t in self.bytes], np.int64)
-        self.split = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+").findall
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.split = re.compile(f"[{BLANKS}]*+(?:[{LETTERS}]++(?=[!-@\\[-`{{-~])|[^{BLANKS}]++|)").findall
+        self.match = re.compile(f" ?[{LETTERS}]+").fullmatch if self.tokenizer.pre_tokenizer.pre_tokenize_str(" \xe9A") == [(
+            "".join(letters[b] for b in " \xe9A".encode()), (0, 3))] else (lambda c: None)
         self.cache = ChunkCache(self._chunks, 300_000)
 
     @classmethod
@@ -78,7 +88,14 @@ class ByteBPE:
             return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, f))}, pattern)
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        """Ids of distinct chunks: a chunk that is one match goes to the model as its letters, the
+        others through the whole chain, one after another (a task has one core)."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        one = [self.match(c) is not None for c in chunks]
+        chain = iter(self.tokenizer.encode_batch_fast([c for c, o in zip(chunks, one) if not o], add_special_tokens=False))
+        merge = self.tokenizer.model.tokenize
+        ids = ([t.id for t in merge(c.encode().decode("latin-1").translate(self.letters))] if o else next(chain).ids for c, o in zip(chunks, one))
+        return [struct.pack(f"<{len(x)}I", *x) for x in ids]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -92,7 +109,18 @@ class ByteBPE:
         return seen[ends - self.lengths[ids]] - 1, seen[ends - 1]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
+        """The bytes of the ids, looked up some ten thousand at a time."""
+        if len(ids) and int(ids.max()) >= len(self.bytes):
+            raise ValueError("an id outside the vocabulary")
+        out = []
+        for at in range(0, len(ids), 1 << 16):
+            part = ids[at: at + (1 << 16)].astype(np.int64)
+            n = self.lengths[part]
+            end = np.cumsum(n)
+            place = np.arange(int(end[-1]))
+            place += np.repeat(self.starts[part] - (end - n), n)
+            out.append(self.flat[place].tobytes())
+        return b"".join(out)
 
     def texts(self, ids: np.ndarray) -> list[str]:
         """The characters that each token completes; bytes that are no UTF-8 become U+FFFD, an
@@ -126,15 +154,16 @@ def _arrays(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", packed: bool = False,
-           offsets: bool = False) -> DataFrame:
+           offsets: bool = False, decoded_col: str | None = None) -> DataFrame:
     """``docs`` with ``ids_col``: the ids of the whole text (array<int>; ``packed``: binary,
     little-endian unsigned 32-bit integers). ``offsets`` adds the arrays ``starts`` and ``ends``,
-    the characters of each token.
+    the characters of each token, ``decoded_col`` the bytes that the ids decode to, in the same
+    pass (as :func:`decode` would).
 
     Null and empty texts have no ids. Each row is encoded by itself: repeated rows agree, an
     empty table gives none, and texts of any length are encoded whole. Existing columns of the
     new names are replaced, all others pass through."""
-    new = [ids_col] + (["starts", "ends"] if offsets else [])
+    new = [ids_col] + (["starts", "ends"] if offsets else []) + ([decoded_col] if decoded_col else [])
     if text_col in new:
         raise ValueError("the text column cannot be replaced")
     d, names, fields = _inside(docs, new)
@@ -145,14 +174,17 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
         for b in blocks(batches, f"__in{at}"):
             texts = [t or "" for t in b.column(at).to_pylist()]
             raw = c.encode(texts)
-            ids = [np.frombuffer(x, "<u4") for x in raw] if offsets or not packed else []
+            ids = [np.frombuffer(x, "<u4") for x in raw]
             columns = [pa.array(raw, pa.binary()) if packed else _arrays(ids, pa.int32())]
             if offsets:
                 spans = [c.offsets(t, x) for t, x in zip(texts, ids)]
                 columns += [_arrays([s[k] for s in spans], pa.int32()) for k in (0, 1)]
+            if decoded_col:
+                columns.append(pa.array([c.decode(x) for x in ids], pa.binary()))
             yield pa.RecordBatch.from_arrays([*b.columns, *columns], [*b.schema.names, *[f"__new{i}" for i in range(len(new))]])
 
-    kinds = [T.BinaryType() if packed else T.ArrayType(T.IntegerType())] + [T.ArrayType(T.IntegerType())] * (len(new) - 1)
+    kinds = [T.BinaryType() if packed else T.ArrayType(T.IntegerType()), *[T.ArrayType(T.IntegerType())] * (2 * offsets),
+             *[T.BinaryType()] * bool(decoded_col)]
     schema = T.StructType(fields + [T.StructField(f"__new{i}", k) for i, k in enumerate(kinds)])
     return _named(d.mapInArrow(run, schema), names, new)
 

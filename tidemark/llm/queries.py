@@ -111,8 +111,7 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from tidemark.llm import byte_bpe
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary, packed=True).drop("text")
-    out = byte_bpe.decode(ids, *vocabulary)
+    out = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary, packed=True, decoded_col="decoded")
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.byte_bpe import byte_letters
 from tidemark.llm.common import blocks, mix
 from tidemark.llm.wordcache import ChunkCache
 
@@ -55,18 +56,19 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.latin = re.compile(self.LATIN).fullmatch
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        # lower-casing can leave the range by U+0307 only, which is neither letter nor digit
-        letters, digits = ("".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind) for kind in "LN")
+        # the small forms of some letters of the range lie beyond it
+        own = [c for c in map(chr, range(0x250)) if self.latin(c)]
+        known = sorted({x for c in own for x in c + c.lower()})
+        letters, digits = ("".join(c for c in known if unicodedata.category(c)[0] == kind) for kind in "LN")
         self.split = re.compile(f"[{letters}]+|[{digits}]|'(?:s|t|re|ve|m|ll|d)|[^\\s{letters}{digits}]+").findall
-        self.latin = re.compile(self.LATIN).fullmatch
-        # bytes as the letters that byte-level vocabularies write them with
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in plain]
-        self.letters = {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+        self.letters = byte_letters()
         self.pieces = ChunkCache(self._pieces, 400_000)
         self.chunks = ChunkCache(self._chunks, 100_000)
-        self.plain = all(self._whole([t]) == self.pieces.all([self.split(t.lower())]) for t in self.TRIES)
+        # every character of the range, alone, inside a word, beside a digit and doubled
+        tries = [*self.TRIES, *(f"{c} a{c}b 1{c}2 {c}{c}" for c in own)]
+        self.plain = self._whole(tries) == self.pieces.all([self.split(t.lower()) for t in tries])
 
     def _ids(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
