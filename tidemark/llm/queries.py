@@ -77,7 +77,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import unigram
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = unigram.decode(unigram.encode(docs, path), path)
+    both = unigram.encode(docs, path, decoded_col="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
                        F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))

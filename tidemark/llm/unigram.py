@@ -172,17 +172,34 @@ class Unigram:
             better = got > best[r, to]
             r, to = r[better], to[better]
             best[r, to], start[r, to], piece[r, to] = got[better], s, -1
-        out: list[list[list[int]]] = [[] for _ in raws]
-        at, live = length.copy(), np.flatnonzero(length > 0)
-        ids = self.ids
+        # back from the ends, all chunks a step at a time: (chunk, place from its end, id) of every
+        # piece, sorted once into reading order
+        at, live, back = length.copy(), np.flatnonzero(length > 0), 0
+        rows, places, found = [], [], []
         while len(live):
             e = at[live]
             s, p = start[live, e], piece[live, e]
-            for i, a, z, x in zip(live.tolist(), s.tolist(), e.tolist(), p.tolist()):
-                out[i].append(self._spell(raws[i][a:z]) if x < 0 else [int(ids[x])])
+            known = p >= 0
+            rows.append(live[known])
+            places.append(np.full(int(known.sum()), back, np.int64))
+            found.append(self.ids[p[known]])
+            back += 1
+            if not known.all():
+                for i, a, z in zip(live[~known].tolist(), s[~known].tolist(), e[~known].tolist()):
+                    spelt = self._spell(raws[i][a:z])
+                    rows.append(np.full(len(spelt), i))
+                    places.append(back + np.arange(len(spelt))[::-1])
+                    found.append(np.array(spelt, np.int32))
+                back += 4 * max(1, len(self.byte_ids) > 0)
             at[live] = s
             live = live[s > 0]
-        return [np.array([i for part in reversed(parts) for i in part], "<i4").tobytes() for parts in out]
+        if not rows:
+            return [b""] * n
+        row, place = np.concatenate(rows), np.concatenate(places)
+        order = np.lexsort((-place, row))
+        flat = np.concatenate(found)[order].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(row, minlength=n))).tolist()
+        return [flat[a:z] for a, z in zip([0, *ends[:-1]], ends)]
 
     def _solve(self, chunks: list[str], together: int = 4096, short: int = 48) -> list[bytes]:
         raw = [c.replace(" ", MARK).encode("utf-8", "replace") for c in chunks]
@@ -212,7 +229,7 @@ class Unigram:
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids, without the marker before it."""
-        raw = b"".join([self.text[i] for i in ids])
+        raw = b"".join(map(self.text.__getitem__, ids))
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
@@ -221,12 +238,14 @@ def model(path: str) -> Unigram:
     return Unigram.load(path)
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with ``ids_col`` (array<int>): the pieces of the whole text, null text as empty.
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with ``ids_col`` (array<int>): the pieces of the whole text, null text as empty;
+    with ``decoded_col`` also the text that the ids decode to, in the same pass (as
+    :func:`decode` would give it).
 
     Every row is encoded by itself, so repeated rows agree and an empty table gives none; an
     existing column of that name is replaced. U+2581 in a text counts as a blank."""
-    names = [c for c in docs.columns if c != ids_col]
+    names = [c for c in docs.columns if c not in (ids_col, decoded_col)]
     d = docs.select(*[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(names)])
     at = names.index(text_col)
 
@@ -236,11 +255,15 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
             got = m.encode([t or "" for t in b.column(at).to_pylist()])
             ends = np.cumsum([0] + [len(x) // 4 for x in got]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), "<i4")))
-            yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, "__new"])
+            new = [ids]
+            if decoded_col:
+                new.append(pa.array([m.decode(np.frombuffer(x, "<i4").tolist()) for x in got], pa.string()))
+            yield pa.RecordBatch.from_arrays([*b.columns, *new], [*b.schema.names, "__new", "__text"][: b.num_columns + len(new)])
 
     schema = ", ".join(f"__in{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
-    out = d.mapInArrow(run, f"{schema}, __new array<int>")
-    return out.select(*[F.col(f"__in{i}").alias(c) for i, c in enumerate(names)], F.col("__new").alias(ids_col))
+    out = d.mapInArrow(run, f"{schema}, __new array<int>" + (", __text string" if decoded_col else ""))
+    more = [F.col("__text").alias(decoded_col)] if decoded_col else []
+    return out.select(*[F.col(f"__in{i}").alias(c) for i, c in enumerate(names)], F.col("__new").alias(ids_col), *more)
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
