@@ -35,8 +35,9 @@ FREQUENT = 16
 #: At most this many frequent tokens are told to the tasks (2 MB); others are treated as rare.
 MOST_FREQUENT = 1 << 18
 SALTS = 8
-#: Rounds with another centre per key, and longs of a parity sketch.
-ROUNDS, SKETCH = 2, 8
+#: Rounds with another centre per key, and longs of a parity sketch: unlike sets differ in about
+#: half its bits, which rules them out up to some 3,500 tokens each.
+ROUNDS, SKETCH = 2, 32
 _SHINGLES = {n: Rolling(0x9E3779B97F4A7C15 + 2 * n) for n in range(1, 65)}
 _PAIR = np.uint64(0x2127599BF4325C37)
 _U = np.uint64
@@ -67,7 +68,7 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out, np.searchsorted(row, np.arange(len(n) + 1))
 
 
-def _count_tokens(k: int, block_tokens: int = 4_000_000):
+def _count_tokens(k: int, block_tokens: int = 1_000_000):
     """Tokens that several texts of a task's block hold, with their count there."""
     def told(parts):
         token, count = np.unique(np.concatenate(parts), return_counts=True)
@@ -139,7 +140,7 @@ def _index(k: int, percent: int, frequent):
 def parity_bits(tokens: np.ndarray) -> bytes:
     """A bit vector of a power of two of bits, about one per token: each token flips one bit.
     Bits that differ between two sets each need a token that only one of them has."""
-    width = max(512, 1 << int(len(tokens)).bit_length())
+    width = max(64 * SKETCH, 1 << int(len(tokens)).bit_length())
     odd = np.bincount((mix(tokens) & _U(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
