@@ -128,13 +128,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "quality", options: Options = Options()) -> Model:
     """Fit on labelled rows (label not null): those ``max_rows`` with the smallest hash of their
     id, texts up to ``max_chars``. A null text counts as empty; labels without a document are
-    passed over, repeated ones count as often as they stand."""
+    passed over, repeated ones count as often as they stand, up to ``2 * max_rows`` labelled
+    texts in the order of the hash, then id, label and hash of the text, so reruns agree."""
     picked = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .select(F.col(id_col).alias("__id"), (F.col(label_col) > 0).cast("int").alias("__y"))
               .orderBy(F.xxhash64("__id"), "__id", "__y").limit(options.max_rows))
     d = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
     rows = (d.where(F.length("__t") <= options.max_chars).join(F.broadcast(picked), "__id")
-            .limit(2 * options.max_rows).select("__id", "__t", "__y").toPandas())
+            .orderBy(F.xxhash64("__id"), "__id", "__y", F.xxhash64("__t")).limit(2 * options.max_rows)
+            .select("__id", "__t", "__y").toPandas())
     rows = rows.sort_values(["__id", "__y", "__t"])
     return train(rows["__t"].tolist(), rows["__y"].to_numpy(), options)
 
@@ -150,7 +152,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 
     def run(batches):
         m = shared.value
-        for b in blocks(batches, "__t"):
+        for b in blocks(batches, "__t", 1 << 19):
             out = [b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*out, pa.array(m.scores(b.column(b.num_columns - 1)))], [*b.schema.names[:-1], "__score"])
 
