@@ -97,25 +97,36 @@ class text_pipeline:
 
 
 def relevance_fit(train: DataFrame, text: str = "text", label: str = "label", classifier: str = "svm"):
-    """H5: fit the stages on labelled text."""
-    return fit_text_model(train, text, label, classifier)
+    """H5: a linear model on labelled text as a table of terms and weights (``textmodel``): a
+    support vector machine; ``classifier="logistic"`` calibrates it to probabilities."""
+    from .textmodel import linear_fit
+    return linear_fit(train, text, label, calibrate=classifier == "logistic")
 
 
-def relevance_filter(model, df: DataFrame, keep: int = 1, pred: str = "prediction") -> DataFrame:
-    """H7: score rows and keep those predicted ``keep``."""
-    return model.transform(df).filter(F.col(pred) == keep)
+def relevance_filter(model, df: DataFrame, keep: int = 1, pred: str = "prediction", id_col: str | None = None) -> DataFrame:
+    """H7: score rows and keep those predicted ``keep``. ``id_col`` names the id of a table with
+    one text per id, so that only ids travel back to the rows."""
+    scored = model.transform(df, id_col) if id_col else model.transform(df)
+    return scored.filter(F.col(pred) == keep)
 
 
 def score_text(df: DataFrame, c: str, scorer, out_label: str = "label",
                out_score: str = "score", batch_fn: Callable | None = None,
-               schema: str | None = None) -> DataFrame:
+               schema: str | None = None, id_col: str | None = None) -> DataFrame:
     """H1: (label, score) per text.
 
-    ``scorer`` is a fitted Spark ML PipelineModel whose last stage gives a
-    ``probability`` (label = argmax mapped to -1/1, score = its probability),
+    ``scorer`` is a calibrated ``textmodel.TextModel``, or a fitted Spark ML
+    PipelineModel whose last stage gives a ``probability`` (label = the likelier
+    class mapped to -1/1, score = its probability),
     or ``None`` with ``batch_fn``: a function of a pandas Series of texts that
     returns a DataFrame with ``label`` and ``score``; it runs in
     ``mapInPandas`` on Arrow batches, loaded once per task."""
+    from .textmodel import TextModel
+    if isinstance(scorer, TextModel):
+        scored = TextModel(scorer.weights, c, scorer.scale).transform(df, id_col)
+        p = F.col("probability")
+        out = scored.withColumn(out_label, F.when(p > 0.5, F.lit(1)).otherwise(F.lit(-1))).withColumn(out_score, F.greatest(p, 1.0 - p))
+        return out.drop(*[x for x in ("margin", "prediction", "probability") if x not in df.columns])
     if scorer is not None:
         scored = scorer.transform(df)
         prob = F.col("probability")

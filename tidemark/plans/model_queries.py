@@ -12,7 +12,8 @@ from ..functions.text import clean_text
 from ..operators import series as S
 from ..operators.forecast import ar_forecast, assemble, gbt_forecast
 from ..operators.trees import tree_forecast
-from ..operators.textml import hash_split, relevance_fit, relevance_filter, fit_text_model, score_text
+from ..constants import WORD_CLASS
+from ..operators.textml import hash_split, relevance_fit, relevance_filter, score_text
 
 
 def _labelled_docs(spark, sf):
@@ -31,7 +32,7 @@ def q_hash_split(spark, sf):
 def q_relevance_fit(spark, sf):
     lab = hash_split(_labelled_docs(spark, sf), "doc_id")
     model = relevance_fit(lab.filter("is_train"), "text", "label", "svm")
-    return model.transform(lab.filter(~F.col("is_train"))).select(
+    return model.transform(lab.filter(~F.col("is_train")), "doc_id").select(
         "doc_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -39,15 +40,34 @@ def q_relevance_fit(spark, sf):
 def q_relevance_filter(spark, sf):
     model = relevance_fit(_labelled_docs(spark, sf), "text", "label", "svm")
     docs = B.read(spark, sf, "documents").select("doc_id", "text")
-    return relevance_filter(model, docs).select("doc_id")
+    return relevance_filter(model, docs, id_col="doc_id").select("doc_id")
 
 
 @register("sentiment_score")
 def q_sentiment_score(spark, sf):
     lab = _labelled_docs(spark, sf).withColumn("text", clean_text("text"))
-    model = fit_text_model(lab, "text", "label", "logistic")
+    model = relevance_fit(lab, "text", "label", "logistic")
     docs = B.read(spark, sf, "documents").select("doc_id", clean_text("text").alias("text"))
-    return score_text(docs, "text", model).select("doc_id", "label", "score")
+    return score_text(docs, "text", model, id_col="doc_id").select("doc_id", "label", "score")
+
+
+# (term, idf, weight) of a given model; '' is the intercept
+FIXED_WEIGHTS = [("", 1.0, -0.05), ("the", 1.0, 0.5), ("of", 1.25, -0.25), ("and", 1.5, 0.75), ("de", 1.75, -0.5), ("to", 2.0, 0.125),
+                 ("in", 2.25, -1.0), ("click", 3.0, -2.0), ("here", 2.5, -1.5), ("der", 2.0, 0.375), ("que", 2.25, 0.625), ("und", 2.5, -0.875)]
+
+
+@register("relevance_score", f"""
+  WITH m(term, idf, weight) AS (VALUES {", ".join(f"('{t}', {i}::DOUBLE, {w}::DOUBLE)" for t, i, w in FIXED_WEIGHTS)}),
+  tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[{WORD_CLASS}]{{{{2,}}}}')) AS term FROM documents) GROUP BY ALL),
+  s AS (SELECT doc_id, sum(tf * idf * weight) / sqrt(sum(tf * idf * tf * idf)) AS m FROM tf JOIN m USING (term) GROUP BY doc_id)
+  SELECT d.doc_id, round(coalesce(m, 0) - 0.05, 9) AS margin, CAST(coalesce(m, 0) - 0.05 > 0 AS INT) AS prediction FROM documents d LEFT JOIN s USING (doc_id)
+""".replace("{{", "{").replace("}}", "}"))
+def q_relevance_score(spark, sf):
+    """H7's scoring with a given table of weights, on every document."""
+    from ..operators.textmodel import TextModel
+    model = TextModel(spark.createDataFrame(FIXED_WEIGHTS, "term string, idf double, weight double"))
+    out = model.transform(B.read(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return out.select("doc_id", F.round("margin", 9).alias("margin"), F.col("prediction").cast("int").alias("prediction"))
 
 
 @register("assemble", with_ctes(["mkt"], """SELECT token, ts, 26 AS n_features, first_value, last_value FROM (
