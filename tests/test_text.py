@@ -206,3 +206,43 @@ def test_large_dictionary_gives_what_a_small_one_gives(spark, monkeypatch):
     assert sorted((str((r["id"], r["t"], r["tokens"])) for r in K.extract_tokens(df, "t", words).collect())) == tags
     assert (3, "buy the very big red dip now", ["buy the very big red", "dip"]) in small
     assert (1, "btc up", ["btc"]) in small
+
+
+def _plain_search(text, keywords):
+    import unicodedata
+    inside = lambda c: c == "_" or unicodedata.category(c)[0] in "LN"
+    low, found = text.lower(), set()
+    for k in keywords:
+        at = low.find(k)
+        while at >= 0 and k:
+            z = at + len(k)
+            if inside(k[0]) and inside(k[-1]) and (at == 0 or not inside(low[at - 1])) and (z == len(low) or not inside(low[z])):
+                found.add(k)
+            at = low.find(k, at + 1)
+    return sorted(found)
+
+
+def test_trie_walk_equals_plain_search(spark):
+    import random
+    r = random.Random(7)
+    words, seps = ["a", "b", "ab", "été", "x_1", "42", "o'b"], [" ", "  ", "-", ", ", "'"]
+    phrase = lambda n: "".join(r.choice(words) + r.choice(seps) for _ in range(n)).rstrip(" -,'")
+    kws = sorted({phrase(r.randrange(1, 7)) for _ in range(60)} | {"a", "#a", "a.", "b a b a b a b a b", "it's \\d", "b'"})
+    rows = [(i, r.choice(["", " ", "#"]) + phrase(r.randrange(0, 40)).title() + r.choice(["", ".", " "])) for i in range(200)]
+    rows += [(900, None), (901, ""), (902, "..."), (903, "b a b a b a b a b a b"), (904, "It's \\d")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    got = {x["id"]: x["words_found"] for x in K.find_keywords(df, "t", kws).collect()}
+    assert got[900] is None
+    assert {i: _plain_search(t, kws) for i, t in rows if t is not None} == {i: w for i, w in got.items() if i != 900}
+    singles = {x["id"]: x["words_found"] for x in K.find_keywords(df, "t", ["a", "42", "#b"]).collect()}
+    assert {i: _plain_search(t, ["a", "42"]) for i, t in rows if t is not None} == {i: w for i, w in singles.items() if i != 900}
+
+
+def test_a_stream_refuses_a_dictionary_beyond_the_bound(spark, monkeypatch, tmpdir_fresh):
+    import pytest
+    stream = spark.readStream.schema("t string").json(tmpdir_fresh)
+    table = spark.createDataFrame([("x", "btc"), ("x", "eth")], "tag string, keyword string")
+    assert K.find_keywords(stream, "t", table).isStreaming
+    monkeypatch.setattr(K, "MAX_LITERAL_ENTRIES", 1)
+    with pytest.raises(ValueError):
+        K.find_keywords(stream, "t", table)

@@ -5,21 +5,30 @@ rows or on ids. A dictionary that is small enough is a constant of the plan,
 applied with higher-order functions: no shuffle, no Python. A larger one is
 joined: the words (or word n-grams) of each distinct text with the dictionary,
 the hits grouped by the text's 128-bit hash and joined back. Both ways give the
-same result; the number of words in a keyword is taken from the dictionary."""
+same result; the number of words in a keyword is taken from the dictionary.
+
+The keyword search of a constant dictionary is a walk through its word trie: a
+state is the keyword prefix read so far (words and exact separators), and the
+next word is read only while the longer prefix is one of the trie's. Texts are
+cut into words once, whatever the longest keyword, only the words that start a
+keyword begin a walk, and only texts with such a word are cut into separators.
+All tests are hash-set lookups (InSet)."""
 
 from __future__ import annotations
 
+import itertools
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-import re
-
 from ..constants import WORD_CLASS
-from ..functions.text import _word_count, word_ngrams, words as clean_words
+from ..functions.text import word_ngrams, words as clean_words
 
 # Dictionaries up to this many entries become plan constants.
 MAX_LITERAL_ENTRIES = 5000
+# ... if they have at most this many bytes.
+MAX_LITERAL_BYTES = 1 << 20
 # A dictionary table up to this many bytes is broadcast on the join path.
 MAX_BROADCAST_BYTES = 32 << 20
 
@@ -33,20 +42,24 @@ def dictionary_rows(d) -> list[tuple[str, str]]:
 
 def _as_rows(dictionary, df: DataFrame):
     """(rows, None) for a dictionary that becomes a plan constant, else (None, table),
-    keywords lower-cased. A stream cannot be grouped and joined back, so its
-    dictionary is a constant whatever its size."""
-    any_size = df.isStreaming
+    keywords lower-cased. A stream cannot be grouped and joined back, so its dictionary has to
+    be a constant: one beyond the bounds fails."""
+    most, most_bytes = MAX_LITERAL_ENTRIES, MAX_LITERAL_BYTES
     if isinstance(dictionary, DataFrame):
         table = dictionary.select("tag", F.lower("keyword").alias("keyword")).where(F.col("keyword").isNotNull())
-        # one job, at most MAX_LITERAL_ENTRIES + 1 rows reach the driver (for a stream: all)
-        got = (table if any_size else table.limit(MAX_LITERAL_ENTRIES + 1)).collect()
-        if len(got) > MAX_LITERAL_ENTRIES and not any_size:
-            return None, table
-        return [(r[0], r[1]) for r in got], None
-    rows = [(t, k.lower()) for t, k in dictionary_rows(dictionary)]
-    if len(rows) > MAX_LITERAL_ENTRIES and not any_size:
-        return None, df.sparkSession.createDataFrame(rows, "tag string, keyword string")
-    return rows, None
+        # one job, at most most + 1 short rows reach the driver; the bytes are summed there first
+        got = None
+        if (table.limit(most + 1).agg(F.sum(F.octet_length("keyword"))).first()[0] or 0) <= most_bytes:
+            got = table.limit(most + 1).collect()
+        rows = None if got is None or len(got) > most else [(r[0], r[1]) for r in got]
+    else:
+        table = None
+        rows = [(t, k.lower()) for t, k in dictionary_rows(dictionary)]
+        if len(rows) > most or sum(len(k.encode()) for _, k in rows) > most_bytes:
+            table, rows = df.sparkSession.createDataFrame(rows, "tag string, keyword string"), None
+    if rows is None and df.isStreaming:
+        raise ValueError(f"a stream's dictionary may have {most} entries and {most_bytes} bytes")
+    return rows, table
 
 
 def _tag_map(rows) -> Column:
@@ -65,7 +78,7 @@ def _join_path(df: DataFrame, c: str, items: Column, table: DataFrame, out: str)
     the tags per text. Only hits are grouped. The table is broadcast where its
     bytes, summed first, allow; beyond that both sides are shuffled."""
     h1, h2 = F.xxhash64(F.col(c)), F.xxhash64(F.lit(1), F.col(c))
-    ex = df.select(h1.alias("_h1"), h2.alias("_h2"), F.explode(items).alias("_item"))
+    ex = df.select(h1.alias("_h1"), h2.alias("_h2"), F.explode(F.array_distinct(items)).alias("_item"))
     tb = table.select(F.col("keyword").alias("_item"), "tag").distinct()
     size = table.agg(F.sum(F.octet_length("keyword") + F.octet_length("tag") + F.lit(64))).first()[0] or 0
     tb = F.broadcast(tb) if size <= MAX_BROADCAST_BYTES else tb
@@ -101,6 +114,49 @@ def extract_tokens(df: DataFrame, c: str, dictionary, out: str = "tokens",
     return _join_path(df, c, wa, table, out)
 
 
+def keyword_parts(k: str) -> list[str] | None:
+    """[word, separator, word, ..] of a keyword, None if it does not begin and end with a word
+    (then it never stands between word bounds)."""
+    inside = lambda c: c == "_" or unicodedata.category(c)[0] in "LN"
+    parts = ["".join(g) for _, g in itertools.groupby(k, inside)]
+    return parts if k and inside(k[0]) and inside(k[-1]) else None
+
+
+def _among(x: str, values) -> str:
+    """SQL: is ``x`` one of the values? Written as text: one call whatever their number."""
+    quoted = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in sorted(values))
+    return f"({x} IN ({quoted}))" if quoted else "false"
+
+
+def trie_search(df: DataFrame, c: str, keywords) -> DataFrame:
+    """``df`` with ``_found``: the keywords that stand in the text between word bounds, repeats
+    included (see the module's head for the walk)."""
+    paths = [p for k in sorted(set(keywords)) if (p := keyword_parts(k))]
+    whole = {"".join(p) for p in paths}
+    firsts = {p[0] for p in paths}
+    inner = {"".join(p[:n]) for p in paths for n in range(3, len(p) + 1, 2)}    # states after two words or more
+    low = F.lower(F.col(c))
+    words = F.regexp_extract_all(low, F.lit(f"[{WORD_CLASS}]+"), 0)
+    if not inner:
+        return df.withColumn("_cut", words).withColumn("_found", F.expr(f"filter(_cut, x -> {_among('x', firsts)})")).drop("_cut")
+    # separators[i + 1] stands between words i and i + 1; array(..) and transform hold a value
+    # that is used several times
+    quoted = f"`{c}`"
+    walk = f"""transform(array(_cut), w -> transform(
+        array(filter(sequence(0, size(w)), i -> {_among('get(w, i)', firsts)})),
+        starts -> if(size(starts) = 0, cast(array() as array<string>), transform(
+            array(split(lower({quoted}), r'[{WORD_CLASS}]+', -1)),
+            separators -> flatten(transform(starts, i -> aggregate(
+                sequence(1, {max(len(p) // 2 for p in paths)}),
+                named_struct('p', get(w, i), 'found', filter(array(get(w, i)), x -> {_among('x', whole & firsts)})),
+                (state, k) -> if(state.p is null, state, transform(
+                    array(concat(state.p, get(separators, i + k), get(w, i + k))),
+                    n -> named_struct('p', if({_among('n', inner)}, n, null),
+                                      'found', if({_among('n', whole & inner)}, concat(state.found, array(n)), state.found)))[0]),
+                state -> state.found))))[0]))[0])[0]"""
+    return df.withColumn("_cut", words).withColumn("_found", F.expr(walk)).drop("_cut")
+
+
 def find_keywords(df: DataFrame, c: str, keywords, out: str = "words_found",
                   one: str = "word_found", id_col: str | None = None) -> DataFrame:
     """Every keyword that occurs in the raw text as whole words (word
@@ -110,12 +166,8 @@ def find_keywords(df: DataFrame, c: str, keywords, out: str = "words_found",
     accepted for older callers; the result does not depend on ids."""
     rows, table = _as_rows(keywords, df)
     if rows is not None:
-        kws = sorted({k for _, k in rows if re.search(r"\w", k)})
-        n_max = max((_word_count(k) for k in kws), default=1)
-        firsts = {re.findall(r"\w+", k)[0] for k in kws if _word_count(k) > 1}
-        grams = word_ngrams(F.col(c), n_max, firsts if 0 < len(firsts) <= 200 else None)
-        found = F.array_sort(F.array_distinct(F.filter(grams, lambda g: g.isin(kws))))
-        out_df = df.withColumn(out, F.when(F.col(c).isNotNull(), found))
+        found = trie_search(df, c, {k for _, k in rows})
+        out_df = found.withColumn(out, F.when(F.col(c).isNotNull(), F.array_sort(F.array_distinct("_found")))).drop("_found")
     else:
         t = table.select("keyword").distinct().withColumn("tag", F.col("keyword"))
         # words of the longest keyword: one row reaches the driver
