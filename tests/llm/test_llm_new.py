@@ -187,3 +187,17 @@ def test_importance_of_nothing(spark):
     assert I.resample(docs, some).count() == 0
     row = I.resample(some, docs).first()
     assert row["n_words"] == 40 and row["n_features"] == 117 and row["rank"] is None      # 5 % of one document: none
+
+
+def test_cleaned_tables_keep_columns_of_any_name(spark):
+    from tidemark.llm import jaccard_join, line_dedup, mixing, substring_dedup
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"a line that repeats here\n{long}", "s"), (2, f"a line that repeats here\nown {long}", "s"), (3, None, "t"), (None, "", None), (2, "x y", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    names = ["removed", "__row", "kept_text", "__gone", "size", "taken", "__times", "__r", "__id", "n_words", "a.b"]
+    docs = docs.withColumns({n: F.lit(f"my {n}") for n in names})
+    for out in (line_dedup.clean(docs), substring_dedup.clean(docs), jaccard_join.dedup(docs), mixing.mix(docs)):
+        got = out.collect()
+        assert out.columns == docs.columns and got and all(r[n] == f"my {n}" for r in got for n in names)
+    assert {(r["doc_id"], r["text"]) for r in line_dedup.clean(docs).collect()} >= {(3, None), (None, "")}
+    assert len(jaccard_join.dedup(docs).collect()) == 3         # both rows of document 2 go with the copy of document 1

@@ -32,6 +32,18 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def set_aside(docs: DataFrame, *columns: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its columns named __in0, __in1, .. so that no name of an operator's own can
+    clash with them, and the new names of ``columns``."""
+    at = docs.columns.index
+    return docs.toDF(*[f"__in{i}" for i in range(len(docs.columns))]), [f"__in{at(c)}" for c in columns]
+
+
+def named_back(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, under their own names, of a table that :func:`set_aside` renamed."""
+    return df.select(*[F.col(f"__in{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 # ---- hashing -------------------------------------------------------------------------------
 
 def mix(x: np.ndarray) -> np.ndarray:

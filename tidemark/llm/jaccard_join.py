@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import Rolling, Words, blocks, components, maybe_in, mix, signed, store
+from tidemark.llm.common import Rolling, Words, blocks, components, maybe_in, mix, named_back, set_aside, signed, store
 
 SHINGLE, PERCENT = 5, 75
 #: A token in this many documents or more is frequent (as far as blocks of a task show it).
@@ -303,7 +303,10 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group left, that with the smallest id."""
+    """``docs`` with one document of each group left, that with the smallest id (all rows of it).
+    Rows without an id, and null, empty or blank texts, all stay; other columns pass through,
+    whatever their names."""
+    given, (docs, (id_col, text_col)) = docs, set_aside(docs, id_col, text_col)
     _, found = join(*profiles(docs, id_col, text_col, options.get("k", SHINGLE)), **options)
     gone = found.where("component < node").select(F.col("node").alias("__gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    return named_back(docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti"), given)

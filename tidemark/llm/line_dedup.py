@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, Rolling, blocks, maybe_in, mix, signed, store
+from tidemark.llm.common import Rolling, WORD, blocks, maybe_in, mix, named_back, set_aside, signed, store
 
 MAX_EDITS, MIN_CHARS = 2, 20
 _U = np.uint64
@@ -204,11 +204,13 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without those lines; a document that had text and loses all of it goes, all
-    others stay, and texts that lose nothing are unchanged."""
+    others stay, and texts that lose nothing are unchanged. All other columns pass through,
+    whatever their names. Null and empty texts stay; equal rows lose the same lines."""
+    given, (docs, (id_col, text_col)) = docs, set_aside(docs, id_col, text_col)
     gone = store(removals(docs, id_col, text_col, **options), "line-removals")
     gone = gone.select(F.col("__row").alias("__r"), F.col("__id").alias("__i"), "removed")
     d = docs.withColumn("__row", F.xxhash64(id_col, text_col))
     out = d.join(gone, (F.col("__row") == F.col("__r")) & F.col(id_col).eqNullSafe(F.col("__i")), "left")
     left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
     out = out.withColumn(text_col, F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(left))
-    return out.where(F.col("removed").isNull() | F.rlike(text_col, F.lit(r"[^\x20\x09-\x0D]"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return named_back(out.where(F.col("removed").isNull() | F.rlike(text_col, F.lit(r"[^\x20\x09-\x0D]"))), given)

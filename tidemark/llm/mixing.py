@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, WORD, store
+from tidemark.llm.common import SPACE, WORD, named_back, set_aside, store
 
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -128,13 +128,15 @@ def cut_text(text: Column, n_words: Column) -> Column:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as it takes them, the document at a source's
-    cut shortened to the words taken; documents of which no word is taken are absent."""
-    text_col = options.get("text_col", "text")
-    m = mix_sizes(docs, **options)
+    cut shortened to the words taken; documents of which no word is taken are absent. All other
+    columns pass through, whatever their names."""
+    names = [options.get(f"{c}_col", d) for c, d in (("id", "doc_id"), ("source", "source"), ("text", "text"))]
+    given, (docs, (id_col, source_col, text_col)) = docs, set_aside(docs, *names)
+    m = mix_sizes(docs, **{**options, "id_col": id_col, "source_col": source_col, "text_col": text_col})
     whole = F.col("taken").cast("long")
     times = F.when(F.col("size") > 0, F.ceil(whole / F.col("size"))).otherwise(F.lit(0)).cast("int")
     m = m.withColumn("__times", times).where(F.col("__times") > 0)
     m = m.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
     rest = F.col("taken") - (F.col("__copy") - 1) * F.col("size")
     text = F.when(rest >= F.col("size"), F.col(text_col)).otherwise(cut_text(F.col(text_col), rest))
-    return m.withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return named_back(m.withColumn(text_col, text), given)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Rolling, Words, blocks, maybe_in, mix, signed, store
+from tidemark.llm.common import Rolling, Words, blocks, maybe_in, mix, named_back, set_aside, signed, store
 
 WINDOW, GRAM = 50, 10
 _GRAM_HASH, _FIRST, _SECOND = (Rolling(b) for b in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5))
@@ -180,9 +180,11 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with repeated passages taken out of the text; texts that lose nothing stay as they are."""
+    """``docs`` with repeated passages taken out of the text; texts that lose nothing stay as they are.
+    All other columns pass through, whatever their names."""
+    given, (docs, (id_col, text_col)) = docs, set_aside(docs, id_col, text_col)
     _, removed = find(docs, id_col, text_col, **options)
     r = removed.select(F.col("__row").alias("__r"), F.col("__id").alias("__i"), "kept_text")
     d = docs.withColumn("__row", F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)))
     out = d.join(r, (F.col("__row") == F.col("__r")) & F.col(id_col).cast("long").eqNullSafe(F.col("__i")), "left")
-    return out.withColumn(text_col, F.coalesce("kept_text", text_col)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return named_back(out.withColumn(text_col, F.coalesce("kept_text", text_col)), given)
