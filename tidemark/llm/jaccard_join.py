@@ -35,9 +35,10 @@ FREQUENT = 16
 #: At most this many frequent tokens are told to the tasks (2 MB); others are treated as rare.
 MOST_FREQUENT = 1 << 18
 SALTS = 8
-#: Rounds with another centre per key, and longs of a parity sketch: unlike sets differ in about
-#: half its bits, which rules them out up to some 3,500 tokens each.
-ROUNDS, SKETCH = 2, 32
+#: Rounds with another centre per key, and longs of a parity sketch. Unlike sets differ in about
+#: half its bits, which rules them out up to some 900 tokens each; sets of LARGE tokens or more
+#: carry a second one of WIDE longs, good for some 3,500.
+ROUNDS, SKETCH, WIDE, LARGE = 2, 8, 32, 600
 _SHINGLES = {n: Rolling(0x9E3779B97F4A7C15 + 2 * n) for n in range(1, 65)}
 _PAIR = np.uint64(0x2127599BF4325C37)
 _U = np.uint64
@@ -140,7 +141,7 @@ def _index(k: int, percent: int, frequent):
 def parity_bits(tokens: np.ndarray) -> bytes:
     """A bit vector of a power of two of bits, about one per token: each token flips one bit.
     Bits that differ between two sets each need a token that only one of them has."""
-    width = max(64 * SKETCH, 1 << int(len(tokens)).bit_length())
+    width = max(64 * (WIDE if len(tokens) >= LARGE else SKETCH), 1 << int(len(tokens)).bit_length())
     odd = np.bincount((mix(tokens) & _U(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -163,11 +164,13 @@ def _profile(k: int):
             s1, s2 = (signed(x[bounds[1:]] - x[bounds[:-1]]) for x in sums)
             at = bounds.tolist()
             bits = [parity_bits(tokens[x:y]) if y > x else b"" for x, y in zip(at[:-1], at[1:])]
-            short = [np.bitwise_xor.reduce(np.frombuffer(x, np.int64).reshape(-1, SKETCH), axis=0) if x else np.zeros(SKETCH, np.int64) for x in bits]
+            fold = lambda x, longs: np.bitwise_xor.reduce(np.frombuffer(x, np.int64).reshape(-1, longs), axis=0)
+            short = [fold(x, SKETCH) if x else np.zeros(SKETCH, np.int64) for x in bits]
             flat = pa.array(np.concatenate(short) if short else np.empty(0, np.int64))
             sketch = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, SKETCH, dtype=np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(s1), pa.array(s2), pa.array(bits, pa.binary()), sketch],
-                                             ["doc", "n", "s1", "s2", "bits", "sketch"])
+            wide = pa.array([fold(x, WIDE) if m >= LARGE else None for x, m in zip(bits, np.diff(bounds).tolist())], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(s1), pa.array(s2), pa.array(bits, pa.binary()), sketch, wide],
+                                             ["doc", "n", "s1", "s2", "bits", "sketch", "wide"])
     return run
 
 
@@ -227,9 +230,9 @@ def verified(pairs: DataFrame, d: DataFrame, profile: DataFrame, k: int, percent
 
 
 def profiles(docs: DataFrame, id_col: str, text_col: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """(documents as (__id, __t), stored profile (doc, n, s1, s2, bits, sketch) of every row)."""
+    """(documents as (__id, __t), stored profile (doc, n, s1, s2, bits, sketch, wide) of every row)."""
     d = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__t"))
-    return d, store(d.mapInArrow(_profile(k), "doc long, n long, s1 long, s2 long, bits binary, sketch array<long>"), "profile")
+    return d, store(d.mapInArrow(_profile(k), "doc long, n long, s1 long, s2 long, bits binary, sketch array<long>, wide array<long>"), "profile")
 
 
 def join(d: DataFrame, profile: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -270,12 +273,14 @@ def join(d: DataFrame, profile: DataFrame, k: int = SHINGLE, percent: int = PERC
         links = store(links.union(verified(pairs, d, profile, k, percent)), "links")
         tested = tested.union(pairs)
     # documents of one key that are still apart meet
-    sketch = profile.select("doc", "n", *[F.get("sketch", i).alias(f"k{i}") for i in range(SKETCH)])
+    sketch = profile.select("doc", "n", "wide", *[F.get("sketch", i).alias(f"k{i}") for i in range(SKETCH)])
     apart = still_apart(seen, components(links)).join(sketch, ["doc", "n"])
     x, y = (apart.select("key", *[F.col(c).alias(f"{c}_{s}") for c in apart.columns if c != "key"]) for s in "xy")
     total, differ = F.col("n_x") + F.col("n_y"), sum(F.bit_count(F.col(f"k{i}_x").bitwiseXOR(F.col(f"k{i}_y"))) for i in range(SKETCH))
     may = ((F.col("component_x") < F.col("component_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
            & (differ * (100 + percent) <= total * (100 - percent)))
+    wide = F.aggregate(F.zip_with("wide_x", "wide_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
+    may = may & (F.col("wide_x").isNull() | F.col("wide_y").isNull() | (wide * (100 + percent) <= total * (100 - percent)))
     left = x.join(y.withColumnRenamed("key", "key_y"), (F.col("key") == F.col("key_y")) & may).select(
         F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")).distinct()
     left = store(left.join(tested, ["a", "b"], "left_anti"), "rest")
