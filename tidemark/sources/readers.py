@@ -106,11 +106,26 @@ def read_metrics(spark: SparkSession, path: str, ts_format: str | None = None) -
 
 
 def read_price_history(spark: SparkSession, path: str) -> DataFrame:
+    """The prices of :func:`read_price_histories`."""
+    return read_price_histories(spark, path)[0]
+
+
+def read_price_histories(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """One nested JSON document per symbol ``{"Data": {"Data": [..]}}`` ->
-    (symbol, ts, volume, close); the symbol is the file name."""
-    raw = (spark.read.schema(PRICE_HISTORY).option("multiLine", True).json(path)
-           .withColumn("_f", F.col("_metadata.file_name")))
-    sym = F.regexp_extract("_f", r"^([^.]+)", 1)
-    return raw.select(sym.alias("symbol"), F.explode("Data.Data").alias("r")).select(
-        "symbol", F.timestamp_seconds("r.time").alias("ts"), F.col("r.volumeto").alias("volume"),
-        F.col("r.close").alias("close"))
+    ``(prices, rejects)``: prices = (symbol, ts, volume, close), the symbol being the file
+    name; rejects = (source_file, reason, n) for files that are not JSON ('not json'), hold no
+    list of prices ('no data') or entries without a time ('no time', n of them). Files are read
+    as one text each (a document is bounded: one symbol's history) and parsed in the plan."""
+    schema = T.StructType([*PRICE_HISTORY.fields, T.StructField("_corrupt_record", T.StringType())])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"),
+                                                       F.col("_metadata.file_name").alias("_f"), parsed.alias("j"))
+    data = F.col("j.Data.Data")
+    bad = F.col("j").isNull() | F.col("j._corrupt_record").isNotNull()
+    entries = raw.where(~bad).select(F.regexp_extract("_f", r"^([^.]+)", 1).alias("symbol"), F.explode(data).alias("r"))
+    prices = entries.where(F.col("r.time").isNotNull()).select(
+        "symbol", F.timestamp_seconds("r.time").alias("ts"), F.col("r.volumeto").alias("volume"), F.col("r.close").alias("close"))
+    untimed = F.size(F.filter(data, lambda r: r["time"].isNull())).cast("long")
+    reason = F.when(bad, "not json").when(data.isNull(), "no data").when(untimed > 0, "no time")
+    rejects = raw.select("source_file", reason.alias("reason"), F.when(reason == "no time", untimed).otherwise(F.lit(1)).cast("long").alias("n"))
+    return prices, rejects.where(F.col("reason").isNotNull())

@@ -2,3 +2,4 @@
 
 from .streams import (keyword_filter_stream, dedup_stream, hourly_label_counts,  # noqa: F401
                       run_available_now, tweet_stream)
+from .once import read_once, run_once, store_once  # noqa: F401
