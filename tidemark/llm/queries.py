@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
+#: Arrow batches of whole texts, token sets and the like stay this small on both sides of a Python
+#: task (Spark's own bounds, 10,000 rows and 64 MB, are set for narrow rows).
+ARROW_BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.execution.arrow.maxRecordsPerBatch": "2048"}
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors once per application (as ``--py-files`` would), so
-    that tasks can import it wherever the driver found it."""
+    that tasks can import it wherever the driver found it, and bound the session's Arrow batches."""
     import shutil
     import tempfile
     from pathlib import Path
@@ -23,6 +27,8 @@ def ship(spark: SparkSession) -> None:
     import tidemark
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
+        for name, value in ARROW_BATCH.items():
+            spark.conf.set(name, value)
         root = Path(tidemark.__file__).parent
         if root.is_dir():
             archive = shutil.make_archive(f"{tempfile.mkdtemp()}/tidemark-package", "zip", root.parent, root.name)
