@@ -2,12 +2,14 @@
 
 Distinct vectors are dealt to overlapping cluster shards (each goes to its nearest centroids),
 every shard builds a robust-pruned neighbour graph, the adjacency lists of a vector are united
-over its shards, and every vector then searches its home shard: greedily from the shard's
-medoid, and from the first hit on it expands whatever lies in range. Hits are verified by the
+over its shards, and every vector then searches the shards it was dealt to: greedily from the
+shard's medoid, and from the first hit on it expands whatever lies in range. Vectors with an id
+divisible by 50 (a bounded number) are compared with all rows; where the search finds too few
+of their links, it is done again with more overlap. Hits are verified by the
 cosine in double precision. Every vector found linked then counts its links exactly, over all
 cells that a link can reach, in blocks; so do the vectors these turn up, and those of shards
 too large for a graph. Only links between two vectors that the search finds linked with nothing
-can be missed. An audit compares a bounded set of queries with brute force over all rows."""
+can be missed; the recall of what was counted is reported by the same audit."""
 
 from __future__ import annotations
 
@@ -142,16 +144,16 @@ def _shard_graph(degree: int, wide: int, alpha: float):
 
 
 def _shard_search(beam: int, least: float):
-    """Ids of the vectors that have a link in their shard."""
+    """Ids of the vectors that have a link in a shard: each searches every shard that it is dealt to."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
-        ids, home = pdf["id"].to_numpy(), pdf["home"].to_numpy(bool)
+        ids = pdf["id"].to_numpy()
         x = normalise(np.stack(pdf["v"].to_numpy()))
         place = {int(i): p for p, i in enumerate(ids)}
         graph = [np.array(sorted({place[int(j)] for j in near if int(j) in place}), np.int64) for near in pdf["near"]]
         medoid = int((x @ x.mean(0)).argmax())
         linked = np.zeros(len(ids), bool)
-        for p in np.flatnonzero(home).tolist():
+        for p in range(len(ids)):
             if linked[p]:
                 continue
             found = range_search(x[p], x, graph, medoid, beam, least)
@@ -163,6 +165,22 @@ def _shard_search(beam: int, least: float):
     return run
 
 
+def _place(shared, overlap: int):
+    """Deals each vector to the shards of its ``overlap`` nearest centroids; the nearest is its home."""
+    def run(batches):
+        for b in batches:
+            dims = b.column(3).to_numpy()
+            for d in np.unique(dims).tolist():
+                part = b.filter(pa.array(dims == d))
+                c, region = shared.value[d]
+                s = _matrix(part.column(1)) @ c.T
+                near = np.argsort(-s, axis=1, kind="stable")[:, : min(overlap, len(c))]
+                for rank in range(near.shape[1]):
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near[:, rank].astype(np.int32)), pa.array(region[near[:, rank]]),
+                                                      pa.array(np.full(len(near), rank == 0))], [*part.schema.names, "shard", "region", "home"])
+    return run
+
+
 def _reach(shared, least: float):
     """Adds to each vector the regions that may hold a vector with similarity >= ``least``: one
     in cell j lies beyond the bisector of j and the vector's own cell, so the vector is no
@@ -233,12 +251,13 @@ def _block_counts(least: float):
     return run
 
 
-def audit(classes: DataFrame, found: DataFrame, least: float, queries: int) -> float:
-    """Recall: of the links of at most ``queries`` vectors (those with the smallest hash), by
-    brute force against all rows in blocks, the share that the search counted."""
-    picked = classes.orderBy(F.xxhash64("id"), "id").limit(queries).select("id", "d", "v").collect()
+def true_links(classes: DataFrame, least: float, queries: int) -> DataFrame:
+    """(id, n_true), stored: the links of at most ``queries`` vectors whose id is divisible by 50, by brute force
+    against all rows in blocks. They are picked by another hash than the sample that the centroids are fitted on."""
+    picked = (classes.where(F.pmod(F.col("id"), F.lit(50)) == 0).orderBy(F.xxhash64("id", F.lit(50)), "id").limit(queries)
+              .select("id", "d", "v").collect())
     if not picked:
-        return 1.0
+        return classes.sparkSession.createDataFrame([], "id long, n_true long")
     by_length = {}
     for r in picked:
         by_length.setdefault(r["d"], []).append(r)
@@ -257,10 +276,21 @@ def audit(classes: DataFrame, found: DataFrame, least: float, queries: int) -> f
                     hit = (q @ _matrix(part.column(1).slice(at, 2048)).T >= least) & (own[:, None] != ids[None, at: at + 2048])
                     total[d] += (hit * n[None, at: at + 2048]).sum(1)
         for d, (own, _) in shared.value.items():
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[d])], ["id", "true"])
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[d])], ["id", "n_true"])
+
+    return store(classes.select("id", "v", "n", "d").mapInArrow(count, "id long, n_true long").groupBy("id").agg(F.sum("n_true").alias("n_true")), "audit")
 
-    true = classes.select("id", "v", "n", "d").mapInArrow(count, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-    both = true.join(found.select("id", "links"), "id").agg(F.sum(F.least("true", "links")).alias("got"), F.sum("true").alias("all")).first()
+
+def share_found(true: DataFrame, found: DataFrame) -> float:
+    """Of the audited vectors that have links, the share among ``found(id)``."""
+    both = (true.where("n_true > 0").join(found.select("id").distinct().withColumn("hit", F.lit(1)), "id", "left")
+            .agg(F.sum("hit").alias("got"), F.count("*").alias("all")).first())
+    return (both["got"] or 0) / both["all"] if both["all"] else 1.0
+
+
+def audit(true: DataFrame, counts: DataFrame) -> float:
+    """Recall: of the links of the audited vectors, the share that ``counts(id, links)`` has."""
+    both = true.join(counts.select("id", "links"), "id").agg(F.sum(F.least("n_true", "links")).alias("got"), F.sum("n_true").alias("all")).first()
     return 1.0 if not both["all"] else both["got"] / both["all"]
 
 
@@ -280,8 +310,8 @@ def _exact(asking: DataFrame, homes: DataFrame, regions: DataFrame, shared, leas
 
 
 def dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", least: float = SAME, per_shard: int = 1000,
-          overlap: int = 2, degree: int = 24, wide: int = 64, alpha: float = 1.2, beam: int = 32, sample_rows: int = 20_000,
-          audit_queries: int = 200) -> DataFrame:
+          overlap: int = 4, degree: int = 24, wide: int = 64, alpha: float = 1.2, beam: int = 32, sample_rows: int = 20_000,
+          audit_queries: int = 1000, aim: float = 0.95, most_overlap: int = 32) -> DataFrame:
     """id, n_links, component_id, kept and audit_recall, one row per row of ``df``.
 
     n_links: other rows found with cosine >= ``least``; component_id: smallest id reachable by
@@ -290,7 +320,10 @@ def dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", lea
     one node of the graph (all their links count). Null, zero and non-finite vectors and null ids link with nothing; vectors of
     different lengths never link. Repeated ids are rows of one node. Centroids are fitted on at
     most ``sample_rows`` vectors; every vector is indexed and searched, or counted without a
-    search where its shard has over 4 * ``overlap`` * ``per_shard`` vectors."""
+    search where its shard has over 4 * ``overlap`` * ``per_shard`` vectors. Where the search finds
+    fewer than ``aim`` of the audited vectors that have links (at most ``audit_queries`` with an id
+    divisible by 50), it is done again with twice the overlap, up to ``most_overlap``; if the audit
+    of all counted links stays under 0.9, RuntimeError."""
     rows = store(unit_vectors(df, id_col, vec_col), "vectors")
     good = rows.where("ok").withColumn("d", F.size("v"))
     classes = store(good.groupBy("d", "h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("v").alias("v")), "classes")
@@ -305,31 +338,25 @@ def dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", lea
         parts[d] = c, (c @ over.T).argmax(1).astype(np.int32)
     shared = df.sparkSession.sparkContext.broadcast(parts)
 
-    def place(batches):
-        for b in batches:
-            dims = b.column(3).to_numpy()
-            for d in np.unique(dims).tolist():
-                part = b.filter(pa.array(dims == d))
-                c, region = shared.value[d]
-                s = _matrix(part.column(1)) @ c.T
-                near = np.argsort(-s, axis=1, kind="stable")[:, : min(overlap, len(c))]
-                for rank in range(near.shape[1]):
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near[:, rank].astype(np.int32)), pa.array(region[near[:, rank]]),
-                                                      pa.array(np.full(len(near), rank == 0))], [*part.schema.names, "shard", "region", "home"])
-
     names = "id long, v array<double>, n long, d int, shard int, region int"
-    dealt = store(classes.select("id", "v", "n", "d").mapInArrow(place, f"{names}, home boolean"), "shards")
-    large = store(dealt.groupBy("d", "shard").count().where(F.col("count") > 4 * overlap * per_shard).select("d", "shard"), "large-shards")
-    small = dealt.join(F.broadcast(large), ["d", "shard"], "left_anti")
-    lists = small.groupBy("d", "shard").applyInPandas(_shard_graph(degree, wide, alpha), "id long, near array<long>")
-    graph = store(lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
-    found = small.join(graph, "id").groupBy("d", "shard").applyInPandas(_shard_search(beam, least), "id long")
+    true = true_links(classes, least, audit_queries)
+    while True:
+        dealt = store(classes.select("id", "v", "n", "d").mapInArrow(_place(shared, overlap), f"{names}, home boolean"), "shards")
+        large = store(dealt.groupBy("d", "shard").count().where(F.col("count") > 4 * overlap * per_shard).select("d", "shard"), "large-shards")
+        small = dealt.join(F.broadcast(large), ["d", "shard"], "left_anti")
+        lists = small.groupBy("d", "shard").applyInPandas(_shard_graph(degree, wide, alpha), "id long, near array<long>")
+        graph = store(lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
+        found = small.join(graph, "id").groupBy("d", "shard").applyInPandas(_shard_search(beam, least), "id long")
+        unsearched = dealt.where("home").join(F.broadcast(large), ["d", "shard"]).select("id")
+        ask = store(found.union(unsearched).distinct(), "asking")
+        if share_found(true, ask) >= aim or overlap >= min(most_overlap, max((len(c) for c, _ in parts.values()), default=1)):
+            break
+        overlap *= 2
 
     regions = (dealt.where("home").groupBy("d", "region").count()
                .select("d", "region", F.ceil(F.col("count") * F.col("d") / F.lit(BLOCK_VALUES)).cast("int").alias("parts")))
     regions = store(regions, "regions")
     homes = dealt.where("home").join(regions, ["d", "region"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
-    ask = store(found.union(dealt.where("home").join(F.broadcast(large), ["d", "shard"]).select("id")).distinct(), "asking")
     asked = counted = None
     while not ask.isEmpty():
         counted_now = store(_exact(homes.join(ask, "id"), homes, regions, shared, least, names), "counted")
@@ -342,7 +369,9 @@ def dedup(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", lea
     counts = counted.where(F.col("kind") != EDGE).groupBy(F.col("a").alias("id")).agg(F.coalesce(total(ASKED), total(GIVEN)).alias("links"))
     counts = store(classes.select("id").join(counts, "id", "left").select("id", F.coalesce("links", F.lit(0)).cast("long").alias("links")), "link-counts")
     links = counted.where(F.col("kind") == EDGE).select("a", "b")
-    recall = audit(classes, counts, least, audit_queries)
+    recall = audit(true, counts)
+    if recall < 0.9:
+        raise RuntimeError(f"recall {recall:.3f} of the audited vectors' links: raise sample_rows, beam or most_overlap")
     groups = components(links)
     node = (classes.select("d", "h1", "h2", "id", "n").join(counts, "id", "left")
             .join(groups.withColumnRenamed("node", "id"), "id", "left")
