@@ -156,6 +156,34 @@ def test_sequences_shape(spark):
     assert out[0]["x"] == [[0.0, 0.0], [1.0, 2.0], [2.0, 4.0]] and out[0]["y"] == 3.0
 
 
+@pytest.mark.parametrize("seg_rows", [4, 1 << 12])
+def test_sequences_by_reference_equal_copies(spark, seg_rows):
+    import numpy as np
+    from tidemark.operators import sequences as Q
+    rows = hours([float(i) for i in range(40)]) + hours([None] + [3.0 * i for i in range(6)], key="A2")
+    df = spark.createDataFrame([(k, t, v, (v or 0.0) * 2) for k, t, v in rows], "token string, ts timestamp, a double, b double")
+    name = rows[0][0]
+    lengths = spark.createDataFrame([(name, 7)], "token string, L int")
+    blocks = Q.sequence_blocks(df, "token", "ts", ["a", "b"], "a", 7, seg_rows=seg_rows)
+    blocks = Q.with_lengths(blocks, "token", lengths, "L", 3)
+    want = S.sequences(df, "token", "ts", ["a", "b"], "a", "L", lengths=lengths.union(spark.createDataFrame([(name + "2", 3)], "token string, L int")),
+                       max_length=7, seg_rows=seg_rows).collect()
+    want = {(r["token"], r["ts"]): (r["x"], r["y"]) for r in want}
+    assert len(want) == 33 + 4
+
+    def flat(about, x, y):
+        return about.assign(y=y, x=[v.ravel().tolist() for v in x])
+
+    got = Q.read_sequences(blocks, "token", "L", flat, "token string, ts timestamp, y double, x array<double>", batch_rows=5).collect()
+    assert len(got) == len(want)
+    for r in got:
+        x, y = want[r["token"], r["ts"]]
+        assert np.array_equal(np.array(x, float).ravel(), np.array(r["x"], float), equal_nan=True) and r["y"] == y
+    ends = Q.sequence_rows(blocks, "token", "L", {"oldest": 0, "newest": -1}).collect()
+    assert {(r["token"], r["ts"]): (r["oldest"], r["newest"], r["y"]) for r in ends} == {k: (x[0], x[-1], y) for k, (x, y) in want.items()}
+    assert Q.sequence_blocks(df.where("a < -1"), "token", "ts", ["a"], "a", 7).count() == 0
+
+
 def test_plan_has_no_python_udf(spark):
     df = frame(spark, hours([1.0, None, 3.0]))
     plan = S.fill_both(df, "token", "ts", ["v"])._jdf.queryExecution().executedPlan().toString()

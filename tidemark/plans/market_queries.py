@@ -22,6 +22,7 @@ from ..operators.joins import any_in_range, left_fill, metrics_wide, mixed_grain
 from ..operators.profile import (corr_vector, feature_select, null_profile, rows_with_null,
                                  distinct_values)
 from ..operators.rollup import label_pivot, sentiment_daily, sentiment_hourly
+from ..operators.sequences import sequence_blocks, sequence_rows, with_lengths
 
 R6 = 6
 
@@ -292,6 +293,22 @@ def q_sequences(spark, sf):
                       F.element_at("x", 1).alias("first_row"), F.element_at("x", -1).alias("last_row"))
 
 
+@register("sequences_by_reference", with_ctes(["mkt"], """SELECT r.token, r.ts, r.price AS y, l.seq_len,
+    [f.price, f.volume, CAST(f.n AS DOUBLE)] AS first_row, [p.price, p.volume, CAST(p.n AS DOUBLE)] AS last_row
+  FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY ts) AS i FROM mkt) r
+  JOIN (SELECT unnest(['T0', 'T1', 'T2', 'T3', 'T4', 'T5', 'T6', 'T7']) AS token, unnest([240, 540, 720, 240, 540, 720, 240, 540]) AS seq_len) l
+    ON l.token = r.token
+  JOIN (SELECT *, row_number() OVER (PARTITION BY token ORDER BY ts) AS i FROM mkt) f ON f.token = r.token AND f.i = r.i - l.seq_len
+  JOIN (SELECT *, row_number() OVER (PARTITION BY token ORDER BY ts) AS i FROM mkt) p ON p.token = r.token AND p.i = r.i - 1"""))
+def q_sequences_by_reference(spark, sf):
+    """W9 at lengths 240, 540 and 720, from blocks of a few hundred rows (several a token)."""
+    m = B.mkt_table(spark, sf).select("token", "ts", "price", "volume", "n")
+    lengths = spark.createDataFrame([(f"T{i}", L) for i, L in enumerate([240, 540, 720, 240, 540, 720, 240, 540])],
+                                    "token string, seq_len int")
+    blocks = sequence_blocks(m, "token", "ts", ["price", "volume", "n"], "price", 720, seg_rows=256)
+    return sequence_rows(with_lengths(blocks, "token", lengths, "seq_len", 720), "token", "seq_len", {"first_row": 0, "last_row": -1})
+
+
 # ------------------------------------------------------------- correlation
 @register("corr_base", with_ctes(["mkt"], """SELECT token, base, r, best FROM (
     SELECT token, base, r, arg_max(base, (r IS NOT NULL, coalesce(r, 0.0), -bi)) OVER (PARTITION BY token) AS best
