@@ -105,3 +105,32 @@ def test_stored_table_follows_its_input(spark, tmpdir_fresh):
     spark.range(500).write.mode("append").parquet(path)
     assert read() == 1000
     assert session.input_state(spark, [path]) == session.input_state(spark, [path])
+
+
+@pytest.mark.parametrize("most", [1 << 20, 150, 0])
+def test_tfidf_of_repeated_and_null_ids(spark, monkeypatch, most):
+    """Whatever part of the vocabulary is broadcast, rows of one id (null is one) are one document."""
+    import math
+    from collections import Counter
+    from tidemark.operators import textml
+    monkeypatch.setattr(textml, "MAX_BROADCAST_BYTES", most)
+    rows = [(1, "aa bb bb"), (1, "aa cc"), (2, "aa bb"), (2, "aa bb"), (3, ""), (4, None), (None, "aa dd"), (None, "dd ee"), (5, "aa bb")]
+    docs = {}
+    for i, t in rows:
+        docs.setdefault(i, Counter()).update((t or "").split())
+    df = Counter(t for d in docs.values() for t in d)
+    idf = {t: math.log((1 + 5) / (1 + k)) + 1 for t, k in df.items()}      # a null id is not counted
+    norm = {i: math.sqrt(sum((k * idf[t]) ** 2 for t, k in d.items())) for i, d in docs.items()}
+    want = {(i, t): (k, df[t], pytest.approx(k * idf[t] / norm[i])) for i, d in docs.items() for t, k in d.items()}
+    for part in (rows, [r for r in rows if r[0] == 5]):
+        out = tfidf(spark.createDataFrame(part, "id long, text string"), "id", "text").collect()
+        assert len(out) == len({(r["id"], r["term"]) for r in out})
+        if part is rows:
+            assert {(r["id"], r["term"]): (r["tf"], r["df"], r["tfidf"]) for r in out} == want
+
+
+def test_tfidf_shuffles_texts_not_terms(spark):
+    """Terms are counted, weighed and normed where the texts of their id are: one exchange by id."""
+    df = spark.createDataFrame([(i, f"common word{i} word{i % 7}") for i in range(50)], "id long, text string")
+    plan = tfidf(df, "id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_k") == 1 and "Window" not in plan and plan.count("hashpartitioning(term") == 0

@@ -6,13 +6,19 @@ L2 row norm. The ML form feeds Spark ML estimators."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import WORD_CLASS
+from ..session import materialize
 
 TERM_PATTERN = f"[{WORD_CLASS}]{{2,}}"
+#: Text bytes of a part that is cut into words.
+PART_BYTES = 8 << 20
+#: A table of terms up to this many bytes is broadcast, of a larger one its most frequent terms.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def terms(c) -> Column:
@@ -21,25 +27,86 @@ def terms(c) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit(TERM_PATTERN), 0)
 
 
-def tfidf(df: DataFrame, id_col: str, c: str) -> DataFrame:
-    """H4: long (id, term, tf, df, tfidf) with the L2 norm per id.
-
-    Term counts are a grouped aggregate (partial aggregation first); document
-    frequencies another over the same counts (it also reads ``tf``, for the
-    collection frequency, so both branches share one exchange instead of
-    recomputing the counts); the (term) join of the two is skewed on common
-    terms and is left to AQE (broadcast when the vocabulary is small, else a
-    skew-split join). The L2 norm is a window per document: a document is
-    bounded, and the joined rows are read once."""
-    t = df.select(id_col, F.explode(terms(c)).alias("term"))
-    tf = t.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+def dealt(df: DataFrame, c: str, *keys) -> DataFrame:
+    """``df`` dealt out by ``keys`` into parts of about PART_BYTES of the text ``c`` (its rows
+    times the mean length of the first of them), so that what a part's words need stays in
+    memory whatever the input, and all later grouping by the keys happens where the rows are."""
+    mean = df.limit(1000).agg(F.avg(F.octet_length(c))).first()[0] or 0.0
+    # with fewer parts than shuffles have, a join by the keys would deal all rows out again
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() * mean / PART_BYTES))
+    return df.repartition(parts, *keys)
+
+
+def word_counts(df: DataFrame, key: str, c: str) -> DataFrame:
+    """(key, term, tf) of rows that :func:`dealt` has dealt out by ``key``: counted in place. A
+    text without a term gives a row with a null one."""
+    # explode_outer: a plain explode has the terms cut twice, once for an inferred filter
+    t = df.select(key, F.explode_outer(terms(c)).alias("term"))
+    return t.groupBy(key, "term").agg(F.count("term").alias("tf"))
+
+
+def row_counts(c) -> Column:
+    """The (term, tf) of one text as an array: its terms in order, each with the length of its run."""
+    # array(..) and transform hold a value that is used several times
+    ends = lambda w: F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: (i == F.size(w)) | (F.get(w, i - 1) != F.get(w, i)))
+    runs = lambda w: F.transform(F.array(ends(w)), lambda e: F.transform(e, lambda i, k: F.struct(
+        F.get(w, i - 1).alias("term"), (i - F.coalesce(F.get(e, k - 1), F.lit(0))).cast("long").alias("tf"))))[0]
+    return F.transform(F.array(F.array_sort(terms(c))), lambda w: F.when(F.size(w) > 0, runs(w)))[0]
+
+
+def one_each(df: DataFrame, *keys) -> bool:
+    """Whether no two rows share their keys (nulls are equal)."""
+    n, distinct = df.select(F.struct(*keys).alias("_k")).agg(F.count(F.lit(1)), F.count_distinct("_k")).first()
+    return n == distinct
+
+
+def by_frequency(table: DataFrame, step, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """A table with a ``term`` cut in two by ``step``, a whole number that grows with a term's
+    frequency: the rows of the highest steps that together have ``most`` bytes at most, and the rest
+    (None if there is none). Few terms make most of any text, so most words find theirs
+    in a broadcast, and only the others are shuffled. One sum a step reaches the driver."""
+    sums = table.groupBy(step.alias("step")).agg(F.sum(F.octet_length("term") + F.lit(48)).alias("size")).collect()
+    size = 0
+    for r in sorted(sums, key=lambda r: -r["step"]):
+        size += r["size"]
+        if size > most:
+            return table.where(step > r["step"]), table.where(step <= r["step"])
+    return table, None
+
+
+def tfidf_rows(df: DataFrame, id_col: str, c: str) -> DataFrame:
+    """:func:`tfidf` with one row per id, also for ids without a term: (id, items, norm), items
+    being an array of (term, tf, df, raw) and tfidf = raw / norm.
+
+    Texts are shuffled once by id, and terms are counted where they are. Document frequencies are
+    stored: they are broadcast as far as :func:`by_frequency` allows, and only the rarer terms
+    of a document are shuffled to theirs and back."""
+    # one field, null or not: a null id is an id like the others, and joins with itself
+    texts = dealt(df.select(F.struct(F.col(id_col).alias("id")).alias("_k"), F.col(c).alias("_c")), "_c", "_k")
+    tf = word_counts(texts, "_k", "_c")
+    # of one text per id, the terms are known without the others of the id
+    once = df.select(F.explode(F.array_distinct(terms(c))).alias("term")) if one_each(df, id_col) else tf.where(F.col("term").isNotNull())
+    dfreq = materialize(once.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document-frequencies")
     # N as a scalar subquery: evaluated once, no join
     n_docs = df.select(F.count_distinct(id_col)).scalar()
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    w = tf.join(dfreq.withColumn("idf", idf), "term").withColumn("_raw", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(id_col)))
-    return w.withColumn("tfidf", F.col("_raw") / norm).select(id_col, "term", "tf", "df", "tfidf")
+    item = F.struct("term", "tf", "df", (F.col("tf") * idf).alias("raw"))
+    common, rare = by_frequency(dfreq, F.floor(F.log2("df") * 8), MAX_BROADCAST_BYTES)
+    found = tf.join(F.broadcast(common), "term", "left")
+    out = found.groupBy("_k").agg(F.collect_list(F.when(F.col("df").isNotNull(), item)).alias("items"))
+    if rare is not None:
+        left = found.where(F.col("df").isNull() & F.col("term").isNotNull()).select("_k", "term", "tf").join(rare, "term")
+        more = left.groupBy("_k").agg(F.collect_list(item).alias("more"))
+        out = out.join(more, "_k", "left").withColumn("items", F.when(F.col("more").isNull(), F.col("items")).otherwise(F.concat("items", "more")))
+    norm = F.sqrt(F.aggregate("items", F.lit(0.0), lambda a, x: a + x["raw"] * x["raw"]))
+    return out.select(F.col("_k.id").alias(id_col), "items", norm.alias("norm"))
+
+
+def tfidf(df: DataFrame, id_col: str, c: str) -> DataFrame:
+    """H4: long (id, term, tf, df, tfidf) with the L2 norm per id: the rows of
+    :func:`tfidf_rows`, an id's terms being bounded by its text."""
+    x = tfidf_rows(df, id_col, c).select(id_col, "norm", F.inline("items"))
+    return x.select(id_col, "term", "tf", "df", (F.col("raw") / F.col("norm")).alias("tfidf"))
 
 
 def hash_split(df: DataFrame, id_col: str, seed: int = 42, train_tenths: int = 8,
