@@ -110,3 +110,29 @@ def test_unknown_form_of_weights_is_joined(spark, monkeypatch):
     assert model.transform(df).first()["margin"] == pytest.approx(want)
     monkeypatch.setattr(textmodel, "MAX_BROADCAST_BYTES", 0)
     assert model.transform(df, "id").first()["margin"] == pytest.approx(want)
+
+
+def test_no_table_has_a_row_per_value(spark, monkeypatch):
+    """Documents are stored packed, and a round stores its dual values alone."""
+    from tidemark.operators import textmodel
+    kept, real = {}, textmodel.materialize
+    monkeypatch.setattr(textmodel, "materialize", lambda df, name: kept.setdefault((name, len(kept)), real(df, name)))
+    linear_fit(spark.createDataFrame(_corpus(), "id long, text string, label double"), rounds=3, shard_values=500, calibrate=True)
+    rows = {k: v.count() for k, v in kept.items()}
+    shards = max(n for (name, _), n in rows.items() if name == "alphas")
+    assert 1 < shards < 10 and sum(name == "alphas" for name, _ in rows) == 3
+    values = sum(len(set(re.findall(r"\w{2,}", t.lower()))) for _, t, _ in _corpus())
+    assert max(rows.values()) < values / 2
+
+
+@pytest.mark.parametrize("most", [1 << 20, 60, 0])
+def test_texts_of_one_id_are_scored_together(spark, monkeypatch, most):
+    from tidemark.operators import textmodel
+    monkeypatch.setattr(textmodel, "MAX_BROADCAST_BYTES", most)
+    model = TextModel(spark.createDataFrame([("", 1.0, 0.5), ("aa", 2.0, 1.0), ("bb", 1.0, -2.0)], "term string, idf double, weight double"))
+    rows = [(1, "Aa bb"), (1, "bb cc"), (2, "aa"), (None, "bb"), (3, None), (4, "cc")]
+    want = {1: 0.5 + (2 - 4) / math.sqrt(4 + 4), 2: 1.5, None: -1.5, 3: 0.5, 4: 0.5}
+    for part in (rows, rows[1:]):                      # with ids that repeat, and one row each
+        out = model.transform(spark.createDataFrame(part, "id long, text string"), "id").collect()
+        alone = {**want, 1: 0.5 - 2} if part is not rows else want
+        assert len(out) == len(part) and all(r["margin"] == pytest.approx(alone[r["id"]]) for r in out)

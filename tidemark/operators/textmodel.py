@@ -15,15 +15,15 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
-from .textml import terms, tfidf
+from .textml import MAX_BROADCAST_BYTES, by_frequency, dealt, one_each, row_counts, terms, tfidf_rows, word_counts
 
 #: (document, term) values a shard holds at most, if its documents are not longer than that.
 SHARD_VALUES = 1_000_000
-#: A table of weights up to this many bytes is broadcast when texts are scored.
-MAX_BROADCAST_BYTES = 32 << 20
 BIAS = ""
 
 
@@ -38,14 +38,26 @@ class TextModel:
         """One row per distinct text: its 128-bit hash (_h1, _h2), or ``keys``, and the margin.
         Terms the model does not know count for nothing; a text without any known term, or a null
         one, has the intercept as its margin."""
-        on = [F.col(k) for k in keys] if keys else [F.xxhash64(self.text).alias("_h1"), F.xxhash64(F.lit(1), self.text).alias("_h2")]
-        names = keys or ["_h1", "_h2"]
         known = self.weights.where(F.col("term") != BIAS).select("term", "idf", "weight")
-        size = known.agg(F.sum(F.octet_length("term") + F.lit(48))).first()[0] or 0
-        known = F.broadcast(known) if size <= MAX_BROADCAST_BYTES else known
-        found = df.select(*on, F.explode(terms(self.text)).alias("term")).groupBy(*names, "term").agg(F.count(F.lit(1)).alias("tf")).join(known, "term")
+        # one field, null or not, as in tfidf_rows
+        on = F.struct(*keys or [F.xxhash64(self.text).alias("_h1"), F.xxhash64(F.lit(1), self.text).alias("_h2")]).alias("_k")
+        rows = df.select(on, F.col(self.text).alias("_c"))
+        if not keys:
+            found = rows.select("_k", F.explode(terms("_c")).alias("term")).groupBy("_k", "term").agg(F.count(F.lit(1)).alias("tf"))
+        elif one_each(df, *keys):
+            found = rows.select("_k", F.inline_outer(row_counts("_c")))
+        else:
+            found = word_counts(dealt(rows, "_c", "_k"), "_k", "_c")
         raw = F.col("tf") * F.col("idf")
-        return found.groupBy(*names).agg((F.sum(raw * F.col("weight")) / F.sqrt(F.sum(raw * raw)) + self.bias()).alias("margin"))
+        sums = lambda x: x.groupBy("_k").agg(F.sum(raw * F.col("weight")).alias("p"), F.sum(raw * raw).alias("q"))
+        common, rare = by_frequency(known, F.floor(-F.col("idf") * 8), MAX_BROADCAST_BYTES)
+        out = found.join(F.broadcast(common), "term")
+        if rare is None:
+            out = sums(out)
+        else:
+            left = found.where(F.col("term").isNotNull()).join(F.broadcast(common.select("term")), "term", "left_anti").join(rare, "term")
+            out = sums(out).union(sums(left)).groupBy("_k").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+        return out.select("_k.*", (F.col("p") / F.sqrt("q") + self.bias()).alias("margin"))
 
     def bias(self) -> Column:
         return F.coalesce(self.weights.where(F.col("term") == BIAS).select(F.max("weight")).scalar(), F.lit(0.0))
@@ -68,84 +80,182 @@ class TextModel:
         return out.withColumn("probability", 1.0 / (1.0 + F.exp(-(F.col("margin") * a + b))))
 
 
-def _solve(cost: float, epochs: int, shards: int, seed: int):
-    """One shard's round: rows (shard, id, y, copies, term, value, w, alpha) to changes of the
-    terms' weights and new dual values."""
+DEALT = "shard int, at int, y double, copies double, norm double, cols array<int>, tfs array<int>, idfs array<double>, term string, idf double"
+#: Blocks of terms at most, whose parts from all shards are added up together.
+MAX_BLOCKS = 256
+
+
+def _number(n_docs: int):
+    """One shard's documents (id, y, copies, norm, terms, tfs, dfs) with its own numbers for its
+    terms: a row of the terms' idf (at -1), a row per document in the order of their ids, and a
+    row per term. The last term is the intercept's."""
     def run(table: pa.Table) -> pa.Table:
-        ids, words = table["id"].combine_chunks().dictionary_encode(), table["term"].combine_chunks().dictionary_encode()
-        doc, col = (np.asarray(x.indices) for x in (ids, words))
-        order = np.lexsort((col, doc))
-        doc, col = doc[order], col[order]
-        take = lambda name: np.asarray(table[name].combine_chunks().fill_null(0), float)[order]
-        value = take("value")
-        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        ends = np.append(first[1:], len(doc))
-        y, most, alpha = take("y")[first], cost * take("copies")[first], take("alpha")[first]
-        w = np.zeros(len(words.dictionary))
-        w[col] = take("w")
-        start, old = w.copy(), alpha.copy()
-        length = shards * np.add.reduceat(value * value, first)
+        shard = table["shard"][0].as_py()
         # an order of the documents that does not depend on how rows arrived
-        by_id = np.argsort(np.asarray(ids.dictionary.take(pa.array(doc[first])).to_pylist(), object))
+        table = table.take(pa.array(np.argsort(np.asarray(table["id"].to_pylist(), object))))
+        flat = lambda name: pc.list_flatten(table[name]).combine_chunks()
+        ends = np.cumsum(np.asarray(pc.list_value_length(table["tfs"])))
+        words = pc.list_flatten(pc.split_pattern(table["terms"].filter(pc.not_equal(table["terms"], "")), " ")).combine_chunks().dictionary_encode()
+        cols = np.asarray(words.indices)
+        df = np.zeros(len(words.dictionary))
+        df[cols] = np.asarray(flat("dfs"))
+        idfs = np.append(np.log((1.0 + n_docs) / (1.0 + df)) + 1.0, 1.0)
+        offsets = pa.array(np.append(0, ends).astype(np.int32))
+        n, m = table.num_rows, len(idfs)
+        parts = [{"at": pa.array([-1], pa.int32()), "idfs": pa.array([idfs], pa.list_(pa.float64()))},
+                 {"at": pa.array(np.arange(n, dtype=np.int32)), **{c: table[c] for c in ("y", "copies", "norm")},
+                  "cols": pa.ListArray.from_arrays(offsets, pa.array(cols, pa.int32())), "tfs": pa.ListArray.from_arrays(offsets, flat("tfs"))},
+                 {"at": pa.array(np.arange(m, dtype=np.int32)), "term": pa.concat_arrays([words.dictionary.cast(pa.string()), pa.array([BIAS])]), "idf": pa.array(idfs)}]
+        types = {"at": pa.int32(), **dict.fromkeys(("y", "copies", "norm"), pa.float64()), **dict.fromkeys(("cols", "tfs"), pa.list_(pa.int32())),
+                 "idfs": pa.list_(pa.float64()), "term": pa.string(), "idf": pa.float64()}
+        out = pa.concat_tables([pa.table({c: p.get(c, pa.nulls(len(p["at"]), t)) for c, t in types.items()}) for p in parts])
+        return out.add_column(0, "shard", pa.array(np.full(out.num_rows, shard, np.int32)))
+    return run
+
+
+class _Shard:
+    """A shard's documents as one sparse matrix (the intercept's 1 comes last in each), its terms'
+    places (block, tid) in the vocabulary, its dual values, and the weights that came for its terms."""
+
+    def __init__(self, docs: pa.Table, state: pa.Table):
+        docs = docs.sort_by("at")
+        places, idfs = docs.slice(0, 1), np.asarray(docs["idfs"][1].as_py())
+        self.shard, docs = docs["shard"][0].as_py(), docs.slice(2)
+        size = np.asarray(pc.list_value_length(docs["cols"])).astype(np.int64)
+        flat = lambda table, name: np.asarray(pc.list_flatten(table[name]).combine_chunks())
+        cols, tfs = flat(docs, "cols"), flat(docs, "tfs")
+        norm = np.repeat(np.asarray(docs["norm"]), size)
+        ends = np.cumsum(size)
+        self.col, self.value = np.insert(cols, ends, len(idfs) - 1), np.insert(tfs * idfs[cols] / norm, ends, 1.0)
+        self.first = ends - size + np.arange(len(size))
+        self.ends = ends + np.arange(len(size)) + 1
+        self.y, self.copies = np.asarray(docs["y"]), np.asarray(docs["copies"])
+        self.block, self.tid = flat(places, "cols"), flat(places, "tfs")
+        self.order = np.lexsort((self.tid, self.block))
+        old = state.filter(pc.is_null(state["block"])) if state.num_rows else state
+        self.alpha = np.array(old["w"][0].as_py()) if old.num_rows else np.zeros(len(size))
+        self.w = np.zeros(len(idfs))
+        sums = state.filter(pc.is_valid(state["block"])).sort_by("block") if state.num_rows else state
+        if sums.num_rows:
+            self.w[self.order] = flat(sums, "w")
+
+
+def _parts(number: pa.DataType):
+    """What a shard's dual values give its terms' weights (sum of alpha * y * value), one row a block."""
+    def run(docs: pa.Table, state: pa.Table) -> pa.Table:
+        x = _Shard(docs, state)
+        part = np.bincount(x.col, np.repeat(x.alpha * x.y, x.ends - x.first) * x.value, len(x.w))[x.order]
+        blocks, first = np.unique(x.block[x.order], return_index=True)
+        offsets = pa.array(np.append(first, len(part)).astype(np.int32))
+        return pa.table({"block": pa.array(blocks, pa.int32()), "shard": pa.array(np.full(len(blocks), x.shard, np.int32)),
+                         "tids": pa.ListArray.from_arrays(offsets, pa.array(x.tid[x.order], pa.int32())),
+                         "part": pa.ListArray.from_arrays(offsets, pa.array(part).cast(number, safe=False))})
+    return run
+
+
+def _sum(parts: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    parts = parts.sort_by("shard")
+    tids = np.asarray(pc.list_flatten(parts["tids"]).combine_chunks())
+    return tids, np.bincount(tids, np.asarray(pc.list_flatten(parts["part"]).combine_chunks(), float)), parts
+
+
+def _back(number: pa.DataType):
+    """The weights of a block's terms, to each shard those it sent a part of."""
+    def run(parts: pa.Table) -> pa.Table:
+        tids, w, parts = _sum(parts)
+        offsets = np.append(0, np.cumsum(np.asarray(pc.list_value_length(parts["tids"])))).astype(np.int32)
+        return pa.table({"shard": parts["shard"], "block": parts["block"], "w": pa.ListArray.from_arrays(pa.array(offsets), pa.array(w[tids]).cast(number, safe=False))})
+    return run
+
+
+def _weights(parts: pa.Table) -> pa.Table:
+    tids, w, parts = _sum(parts)
+    tids = np.unique(tids)
+    return pa.table({"block": pa.array(np.full(len(tids), parts["block"][0].as_py(), np.int32)), "tid": pa.array(tids, pa.int32()), "weight": w[tids]})
+
+
+def _solve(cost: float, epochs: int, shards: int, seed: int):
+    """One shard's round: its documents, weights and dual values to new dual values."""
+    def run(docs: pa.Table, state: pa.Table) -> pa.Table:
+        x = _Shard(docs, state)
+        w, old, y, most = x.w, x.alpha, x.y.tolist(), (cost * x.copies).tolist()
+        length = (shards * np.add.reduceat(x.value * x.value, x.first)).tolist()
+        rows = [(x.col[a:z], x.value[a:z]) for a, z in zip(x.first.tolist(), x.ends.tolist())]
+        now = old.tolist()
         rng = np.random.default_rng(seed)
         for _ in range(epochs):
             moved = 0.0
-            for i in by_id[rng.permutation(len(by_id))]:
-                a, z = first[i], ends[i]
-                c, v = col[a:z], value[a:z]
-                new = min(max(alpha[i] + (1 - y[i] * (w[c] @ v)) / length[i], 0.0), most[i])
-                if new != alpha[i]:
-                    w[c] += shards * (new - alpha[i]) * y[i] * v
-                    moved += abs(new - alpha[i])
-                    alpha[i] = new
-            if moved < 1e-6 * len(by_id):
+            for i in rng.permutation(len(rows)).tolist():
+                c, v = rows[i]
+                new = min(max(now[i] + (1 - y[i] * float(w[c] @ v)) / length[i], 0.0), most[i])
+                if new != now[i]:
+                    w[c] += shards * (new - now[i]) * y[i] * v
+                    moved += abs(new - now[i])
+                    now[i] = new
+            if moved < 1e-6 * len(rows):
                 break
-        n = len(words.dictionary)
-        return pa.table({"term": pa.chunked_array([pa.concat_arrays([words.dictionary, pa.nulls(len(first), pa.string())])]),
-                         "change": pa.array(np.concatenate([(w - start) / shards, np.zeros(len(first))])),
-                         "id": pa.chunked_array([pa.concat_arrays([pa.nulls(n, pa.string()), ids.dictionary.take(pa.array(doc[first]))])]),
-                         "change_alpha": pa.array(np.concatenate([np.zeros(n), alpha - old]))})
+        return pa.table({"shard": pa.array([x.shard], pa.int32()), "block": pa.nulls(1, pa.int32()), "w": pa.array([now], pa.list_(pa.float64()))})
     return run
 
 
+def _margins(docs: pa.Table, state: pa.Table) -> pa.Table:
+    x = _Shard(docs, state)
+    return pa.table({"y": x.y, "copies": x.copies, "m": np.add.reduceat(x.value * x.w[x.col], x.first)})
+
+
 def linear_fit(train: DataFrame, text: str = "text", label: str = "label", cost: float = 1.0, rounds: int = 8, epochs: int = 30,
                calibrate: bool = False, seed: int = 42, shard_values: int = SHARD_VALUES) -> TextModel:
     """Fit on rows with a text and a label (class 1 if positive, else 0). Equal texts of one
     label count as one row with that many copies; rows with a null text or label are left out,
     an empty text has the intercept only. Reruns agree whatever the partitioning, up to the
-    rounding of sums. Without any row the model is empty: every margin is 0."""
+    rounding of sums. Without any row the model is empty: every margin is 0.
+
+    Documents go to their shards once, packed as numbers of the shard's terms, and stay there. As
+    weights are sums over the dual values, only the latter are stored by a round; between rounds a
+    shard sends one number a term to the term's block and gets the sum of all shards back (in
+    single precision; the last sums, which are the model, in double)."""
     rows = train.where(F.col(text).isNotNull() & F.col(label).isNotNull())
     y = F.when(F.col(label) > 0, 1.0).otherwise(-1.0)
     row_id = F.concat_ws(":", F.xxhash64(text), F.xxhash64(F.lit(1), text), y.cast("int"))
     docs = rows.groupBy(row_id.alias("id"), y.alias("y")).agg(F.count(F.lit(1)).cast("double").alias("copies"), F.any_value(text).alias("_text"))
     docs = materialize(docs, "labelled")
-    x = materialize(tfidf(docs.select("id", "_text"), "id", "_text").select("id", "term", "df", F.col("tfidf").alias("value")), "tfidf")
-    few = docs.select("id", "y", "copies")
-    n = x.count() + few.count()
+    n_docs = docs.count()
+    x = tfidf_rows(docs.select(F.struct("id", "y", "copies").alias("doc"), "_text"), "doc", "_text")
+    # terms hold no space, so that they can travel as one string
+    x = materialize(x.select("doc.*", "norm", F.array_join("items.term", " ").alias("terms"), *[F.col(f"items.{a}").cast("array<int>").alias(f"{a}s") for a in ("tf", "df")]), "tfidf")
+    n = x.agg(F.sum(F.size("tfs") + 1)).first()[0] or 0
     shards = max(1, math.ceil(n / shard_values))
-    both = x.select("id", "term", "value").union(few.select("id", F.lit(BIAS), F.lit(1.0)))
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
-    values = materialize(both.join(few, "id").withColumn("shard", shard), "values")
-    weights = alphas = None
-    for r in range(rounds if shards > 1 else 1):
-        if weights is None:
-            given = values.withColumns({"w": F.lit(0.0), "alpha": F.lit(0.0)})
-        else:
-            given = values.join(weights, "term", "left").join(alphas, "id", "left")
-        out = given.groupBy("shard").applyInArrow(_solve(cost, epochs, shards, seed + r), "term string, change double, id string, change_alpha double")
-        out = materialize(out, "round")
-        gain = out.where("term is not null").groupBy("term").agg(F.sum("change").alias("w"))
-        gain_alpha = out.where("id is not null").groupBy("id").agg(F.sum("change_alpha").alias("alpha"))
-        weights = materialize(gain if weights is None else weights.union(gain).groupBy("term").agg(F.sum("w").alias("w")), "weights")
-        alphas = materialize(gain_alpha if alphas is None else alphas.union(gain_alpha).groupBy("id").agg(F.sum("alpha").alias("alpha")), "alphas")
-    n_docs = few.select(F.count_distinct("id")).scalar()
-    idf = x.groupBy("term").agg((F.log((1.0 + n_docs) / (1.0 + F.max("df"))) + 1.0).alias("idf"))
-    table = materialize(weights.join(idf, "term", "left").select("term", F.coalesce("idf", F.lit(1.0)).alias("idf"), F.col("w").alias("weight")), "text-model")
-    model = TextModel(table, text)
-    if calibrate:
-        margins = values.join(weights, "term").groupBy("id", "y", "copies").agg(F.sum(F.col("value") * F.col("w")).alias("m"))
-        model.scale = calibration(materialize(margins, "margins"))
-    return model
+    at_shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
+    both = materialize(x.withColumn("shard", at_shard).repartition(shards, "shard").groupBy("shard").applyInArrow(_number(n_docs), DEALT), "shards")
+    words = both.where(F.col("term").isNotNull()).select(F.col("shard").alias("shard"), F.col("at").alias("at"), "term", "idf")
+    block = F.pmod(F.xxhash64("term"), F.lit(min(shards, MAX_BLOCKS))).cast("int")
+    vocabulary = words.groupBy("term").agg(F.max("idf").alias("idf")).withColumn("block", block)
+    vocabulary = materialize(vocabulary.withColumn("tid", F.row_number().over(Window.partitionBy("block").orderBy("term")) - 1), "vocabulary")
+    places = words.select("shard", "at", "term").join(vocabulary.drop("idf"), "term").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("at", "block", "tid"))).alias("p"))
+    packed = both.where(F.col("term").isNull()).drop("term", "idf").unionByName(
+        places.select("shard", F.lit(-2).alias("at"), F.col("p.block").alias("cols"), F.col("p.tid").alias("tfs")), allowMissingColumns=True)
+    packed = packed.repartition(shards, "shard").sortWithinPartitions("shard").persist(StorageLevel.DISK_ONLY)
+    spark, at_shards = docs.sparkSession, packed.groupBy("shard")
+    state = alphas = spark.createDataFrame([], "shard int, block int, w array<double>")
+
+    def parts(number):
+        kind = "float" if number == pa.float32() else "double"
+        return kind, at_shards.cogroup(alphas.groupBy("shard")).applyInArrow(_parts(number), f"block int, shard int, tids array<int>, part array<{kind}>").groupBy("block")
+
+    def sums(number):
+        kind, sent = parts(number)
+        return sent.applyInArrow(_back(number), f"shard int, block int, w array<{kind}>").withColumn("w", F.col("w").cast("array<double>")).union(alphas)
+    try:
+        for r in range(rounds if shards > 1 else 1):
+            state = sums(pa.float32()) if r else alphas
+            alphas = materialize(at_shards.cogroup(state.groupBy("shard")).applyInArrow(_solve(cost, epochs, shards, seed + r), "shard int, block int, w array<double>"), "alphas")
+        weights = parts(pa.float64())[1].applyInArrow(_weights, "block int, tid int, weight double")
+        table = materialize(weights.join(vocabulary, ["block", "tid"]).select("term", "idf", "weight"), "text-model")
+        if calibrate:
+            margins = materialize(at_shards.cogroup(sums(pa.float64()).groupBy("shard")).applyInArrow(_margins, "y double, copies double, m double"), "margins")
+    finally:
+        packed.unpersist()
+    return TextModel(table, text, calibration(margins) if calibrate else None)
 
 
 def calibration(margins: DataFrame, steps: int = 25) -> tuple[float, float]:
