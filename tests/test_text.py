@@ -246,3 +246,21 @@ def test_a_stream_refuses_a_dictionary_beyond_the_bound(spark, monkeypatch, tmpd
     monkeypatch.setattr(K, "MAX_LITERAL_ENTRIES", 1)
     with pytest.raises(ValueError):
         K.find_keywords(stream, "t", table)
+
+
+@pytest.mark.parametrize("most", [1 << 20, 150, 0])
+def test_large_dictionary_shuffles_texts_not_hits(spark, monkeypatch, most):
+    """Hits are collected where their text is: nothing is dealt out between the search and the sets."""
+    from tidemark.operators import keywords
+    monkeypatch.setattr(keywords, "MAX_LITERAL_ENTRIES", 1)
+    monkeypatch.setattr(keywords, "MAX_BROADCAST_BYTES", most)
+    rows = [(1, "Alpha beta"), (1, "beta"), (2, "Alpha beta"), (None, None), (3, ""), (4, "other words")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    table = spark.createDataFrame([("alpha", "alpha"), ("beta", "beta"), ("zeta", "zeta")], "tag string, keyword string")
+    out = keywords.find_keywords(df, "text", table)
+    found = {"Alpha beta": ["alpha", "beta"], "beta": ["beta"], "": [], "other words": [], None: None}
+    assert sorted(map(str, out.select("id", "text", "words_found").collect())) == sorted(str(r) for r in spark.createDataFrame(
+        [(i, t, found[t]) for i, t in rows], "id long, text string, words_found array<string>").collect())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    searched = plan[plan.index("collect_set"):plan.index("Generate")]
+    assert "hashpartitioning" not in searched and "BroadcastHashJoin" in searched

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import WORD_CLASS
 from ..functions.text import word_ngrams, words as clean_words
+from ..session import materialize
+from .textml import by_frequency, dealt
 
 # Dictionaries up to this many entries become plan constants.
 MAX_LITERAL_ENTRIES = 5000
@@ -74,18 +76,32 @@ def _tag_map(rows) -> Column:
 
 
 def _join_path(df: DataFrame, c: str, items: Column, table: DataFrame, out: str) -> DataFrame:
-    """Explode ``items`` per row, keep those in the (tag, keyword) table, collect
-    the tags per text. Only hits are grouped. The table is broadcast where its
-    bytes, summed first, allow; beyond that both sides are shuffled."""
+    """Explode ``items`` per text, keep those in the (tag, keyword) table, collect the tags per
+    text. Rows are dealt out by their text once, and each distinct text is searched where it
+    is: no hit is shuffled where the table is broadcast, which its bytes, summed first, decide.
+    Of a larger table the entries that most texts have are broadcast; only the items not
+    among them, which are few in any text, are shuffled to the others."""
     h1, h2 = F.xxhash64(F.col(c)), F.xxhash64(F.lit(1), F.col(c))
-    ex = df.select(h1.alias("_h1"), h2.alias("_h2"), F.explode(F.array_distinct(items)).alias("_item"))
-    tb = table.select(F.col("keyword").alias("_item"), "tag").distinct()
+    rows = dealt(df.withColumns({"_h1": h1, "_h2": h2}), c, "_h1", "_h2")
+    texts = rows.groupBy("_h1", "_h2").agg(F.any_value(c).alias(c))
+    # explode_outer: a plain explode has the items made twice, once for an inferred filter
+    ex = texts.select("_h1", "_h2", F.explode_outer(F.array_distinct(items)).alias("term"))
+    tb = table.select(F.col("keyword").alias("term"), "tag").distinct()
     size = table.agg(F.sum(F.octet_length("keyword") + F.octet_length("tag") + F.lit(64))).first()[0] or 0
-    tb = F.broadcast(tb) if size <= MAX_BROADCAST_BYTES else tb
-    tags = ex.join(tb, "_item").groupBy("_h1", "_h2").agg(F.array_sort(F.collect_set("tag")).alias("_tags"))
+    rare = None
+    if size > MAX_BROADCAST_BYTES:
+        # repeated texts count each time: only the order of the entries hangs on it
+        found = df.select(F.explode_outer(F.array_distinct(items)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        tb = materialize(tb.join(found, "term"), "keywords")
+        tb, rare = by_frequency(tb, F.floor(F.log2("n") * 8), MAX_BROADCAST_BYTES // 2)
+    tags = lambda x: x.groupBy("_h1", "_h2").agg(F.collect_set("tag").alias("_tags"))
+    out_df = rows.join(tags(ex.join(F.broadcast(tb), "term")), ["_h1", "_h2"], "left")
     empty = F.array().cast("array<string>")
-    return (df.withColumns({"_h1": h1, "_h2": h2}).join(tags, ["_h1", "_h2"], "left")
-            .withColumn(out, F.when(F.col(c).isNotNull(), F.coalesce("_tags", empty)))
+    if rare is not None:
+        left = ex.where(F.col("term").isNotNull()).join(F.broadcast(tb.select("term").distinct()), "term", "left_anti")
+        more = tags(left.join(rare, "term")).withColumnRenamed("_tags", "_more")
+        out_df = out_df.join(more, ["_h1", "_h2"], "left").withColumn("_tags", F.array_union(F.coalesce("_tags", empty), F.coalesce("_more", empty))).drop("_more")
+    return (out_df.withColumn(out, F.when(F.col(c).isNotNull(), F.array_sort(F.coalesce("_tags", empty))))
             .drop("_h1", "_h2", "_tags"))
 
 
