@@ -100,6 +100,28 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    from tidemark.llm import common
+    names, store = [], common.store
+    monkeypatch.setattr(common, "store", lambda df, name: names.append(name) or store(df, name))
+    links = [(1, k) for k in range(2, 30)] + [(40, 41), (42, 40), (41, 40)]
+    got = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(1, 30), 1), 40: 40, 41: 40, 42: 40} and names == ["links"]
+
+
+def test_stored_tables_need_no_schema_job_and_can_be_discarded(spark):
+    from tidemark import session
+    sc = spark.sparkContext
+    ran = lambda: sc._jsc.sc().dagScheduler().numTotalJobs()
+    before = ran()
+    t = session.materialize(spark.range(5).selectExpr("id", "array(id) as ids"), "kept")
+    assert ran() - before == 1 and t.count() == 5
+    other = session.materialize(spark.range(3), "other")
+    n = len(session._TABLES)
+    session.discard(t)
+    assert len(session._TABLES) == n - 1 and other.count() == 3
+
+
 def test_vector_dedup_matches_brute_force(spark):
     from tidemark.llm import vector_dedup
     rng = np.random.default_rng(7)

@@ -89,26 +89,43 @@ def _write(df: DataFrame, folder: str, name: str) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder
-    and reading it back. Survives executor loss (the table is on shared storage)."""
-    return df.sparkSession.read.parquet(_write(df, "tables", name))
+    and reading it back. Survives executor loss (the table is on shared storage).
+    The schema is known, so no job has to look it up in the files."""
+    return df.sparkSession.read.schema(df.schema).parquet(_write(df, "tables", name))
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialize` gave and nothing reads any more, before
+    :func:`release` would at the end of the process."""
+    for df in tables:
+        folders = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in df.inputFiles()}
+        with _STORED_LOCK:
+            gone = [p for p in _TABLES if p.rsplit("/", 1)[-1] in folders]
+            for path in gone:
+                _TABLES.remove(path)
+        for path in gone:
+            _delete(path)
+
+
+def _delete(path: str) -> bool:
+    from pyarrow import fs
+    try:
+        where, inner = fs.FileSystem.from_uri(path)
+        where.delete_dir(inner)
+        return True
+    except (OSError, ValueError):  # gone already, or a store that pyarrow cannot reach
+        return False
 
 
 def release() -> int:
     """Delete every table this process has written with :func:`materialize` and
     :func:`stored`; returns how many went. Runs by itself when the process ends;
     call it earlier where results that read them are done with."""
-    from pyarrow import fs
     n = 0
     with _STORED_LOCK:
         _STORED.clear()
         while _TABLES:
-            path = _TABLES.pop()
-            try:
-                where, inner = fs.FileSystem.from_uri(path)
-                where.delete_dir(inner)
-                n += 1
-            except (OSError, ValueError):  # gone already, or a store that pyarrow cannot reach
-                pass
+            n += _delete(_TABLES.pop())
     return n
 
 
