@@ -139,6 +139,19 @@ def test_parity_bits_never_exceed_the_difference():
         assert J.least_difference(J.parity_bits(x), J.parity_bits(y)) <= len(np.setxor1d(x, y))
 
 
+def test_jaccard_keys_of_two_sets_end_after_the_star(spark, monkeypatch):
+    from tidemark.llm import jaccard_join
+    tables, store = {}, jaccard_join.store
+    monkeypatch.setattr(jaccard_join, "store", lambda df, name: tables.setdefault(name, []).append(store(df, name)) or tables[name][-1])
+    base = [prose(50 + i, 60).split() for i in range(6)]
+    # each text shares its first half with one other: every key has two sets, which do not link
+    texts = [" ".join(base[i // 2][:30] + base[(i + 1) % 6][30:] + [f"only{i}"] * 20) for i in range(6)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.report(df).collect()}
+    assert got == {i: i for i in range(6)}
+    assert tables["stars"][0].count() and not any(t.count() for t in tables["apart"])
+
+
 def test_jaccard_null_and_repeated_ids(spark):
     from tidemark.llm import jaccard_join
     t = prose(1, 60)

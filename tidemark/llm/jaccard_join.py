@@ -12,8 +12,9 @@ frequent last, each by hash. Two sets with Jaccard >= t share so much that
 
 Rows of a key are linked to the key's smallest document only (a star, linear in the key's
 rows; keys of frequent tokens are salted and their star has two levels), each such pair is
-verified on the whole sets, and components are formed; further rounds do the same with another
-centre per key, for the keys that still hold several components. At last the documents of one
+verified on the whole sets, and components are formed; a centre that has met all rows of its key
+is done there, and further rounds do the same with another centre among the rows left, for the
+keys that still hold several components. At last the documents of one
 key that are still in different components meet pairwise: the join itself drops pairs whose
 sizes or parity sketches rule the threshold out, the rest are verified, which makes the
 components exact. Which tokens count as frequent and how many rounds run changes the work,
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import Rolling, Words, blocks, components, maybe_in, mix, named_back, set_aside, signed, store
+from tidemark.session import discard
 
 SHINGLE, PERCENT = 5, 75
 #: A token in this many documents or more is frequent (as far as blocks of a task show it).
@@ -216,17 +218,19 @@ def verified(pairs: DataFrame, d: DataFrame, profile: DataFrame, k: int, percent
     """Those of ``pairs(a, b)`` whose sets reach the threshold, stored: sizes and parity bits
     rule most others out, the rest are compared on the whole sets."""
     p = profile.where("n > 0")
-    x = p.select(F.col("doc").alias("a"), F.col("n"), F.col("bits").alias("x"))
+    x = p.select(F.col("doc").alias("a"), F.col("n").alias("l"), F.col("bits").alias("x"))  # built as y, so one shuffle serves both
     y = p.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
-    near = (pairs.join(x, "a").join(y, "b").where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-            .select("a", "b", "n", "m", "x", "y").mapInArrow(_may_link(percent), "a long, b long"))
+    near = (pairs.join(x, "a").join(y, "b").where(sizes_allow("l", "m", percent))
+            .select("a", "b", F.col("l").alias("n"), "m", "x", "y").mapInArrow(_may_link(percent), "a long, b long"))
     near = store(near.distinct(), "near-pairs")
     named = near.select(F.col("a").alias("__id")).union(near.select(F.col("b").alias("__id"))).distinct()
     sets = store(maybe_in(d, named, "__id").mapInArrow(_sets(k), "doc long, tokens binary"), "sets")
     x = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y"))
     links = (near.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"))
-    return store(links.distinct(), "links")
+    links = store(links.distinct(), "links")
+    discard(near, sets)
+    return links
 
 
 def profiles(docs: DataFrame, id_col: str, text_col: str, k: int) -> tuple[DataFrame, DataFrame]:
@@ -255,46 +259,65 @@ def join(d: DataFrame, profile: DataFrame, k: int = SHINGLE, percent: int = PERC
     first = F.coalesce("first", "doc")
     seen = seen.join(copies, "doc", "left").select("key", F.when(F.col("often"), 1 + F.pmod(F.xxhash64(first), F.lit(SALTS))).otherwise(0).alias("salt"),
                                                    first.alias("doc"), "n").distinct()
-    seen = store(seen.withColumn("low", F.min("doc").over(group)), "index")
+    at = F.struct("doc", "n")
+    seen = store(seen.withColumns({"low": F.min(at).over(group), "rows": F.count("*").over(group)}), "index")
     # salted keys: the salts' smallest documents meet once more
-    tops = seen.where("salt > 0 and doc = low").select("key", "doc").distinct()
-    tops = tops.withColumn("low", F.min("doc").over(Window.partitionBy("key")))
-    stars = (seen.where("doc > low").select(F.col("low").alias("a"), F.col("doc").alias("b"))
-             .union(tops.where("doc > low").select(F.col("low").alias("a"), F.col("doc").alias("b"))).distinct())
+    tops = seen.where((F.col("salt") > 0) & (at == F.col("low"))).select("key", "doc", "n").distinct()
+    tops = tops.withColumn("low", F.min(at).over(Window.partitionBy("key")))
+    stars = seen.select("doc", "n", "low").union(tops.select("doc", "n", "low")).where("doc > low.doc")
+    stars = stars.where(sizes_allow("n", "low.n", percent)).select(F.col("low.doc").alias("a"), F.col("doc").alias("b")).distinct()
     stars = store(stars, "stars")
-    links = verified(stars, d, profile, k, percent)
-    tested = stars
+    links = verified(stars, d, profile, k, percent).union(copies.select(F.col("first").alias("a"), F.col("doc").alias("b")))
+    links = store(links.distinct(), "links")
+    now, tested = components(links), stars
+    # the centre of a key has met all its rows, and goes; so keys of two rows are done
+    rest = seen.where((F.col("salt") > 0) | ((F.col("rows") > 2) & (at != F.col("low")))).select("key", "doc", "n")
     for r in range(ROUNDS):
-        apart = still_apart(seen, components(links))
-        at = F.struct(F.xxhash64("doc", F.lit(r)).alias("h"), F.col("doc").alias("d"), F.col("component").alias("c"))
-        centres = apart.groupBy("key").agg(F.min(at).alias("m"))
-        pairs = apart.join(centres, "key").where("component <> m.c").select(F.least("doc", "m.d").alias("a"), F.greatest("doc", "m.d").alias("b"))
+        apart = still_apart(rest, now, r)
+        if not r:
+            discard(seen)
+        pairs = apart.where(F.col("component") != F.col("centre.component")).where(sizes_allow("n", "centre.n", percent))
+        pairs = pairs.select(F.least("doc", "centre.doc").alias("a"), F.greatest("doc", "centre.doc").alias("b"))
         pairs = store(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = store(links.union(verified(pairs, d, profile, k, percent)), "links")
+        links, now = extended(links, now, verified(pairs, d, profile, k, percent))
         tested = tested.union(pairs)
+        rest = apart.where((F.col("doc") != F.col("centre.doc")) | (F.col("n") != F.col("centre.n"))).select("key", "doc", "n")
     # documents of one key that are still apart meet
     sketch = profile.select("doc", "n", "wide", *[F.get("sketch", i).alias(f"k{i}") for i in range(SKETCH)])
-    apart = still_apart(seen, components(links)).join(sketch, ["doc", "n"])
-    x, y = (apart.select("key", *[F.col(c).alias(f"{c}_{s}") for c in apart.columns if c != "key"]) for s in "xy")
+    apart = still_apart(rest, now, ROUNDS).drop("centre").join(sketch, ["doc", "n"])
+    x, y = (apart.select(*[F.col(c).alias(f"{c}_{s}") for c in apart.columns]) for s in "xy")
     total, differ = F.col("n_x") + F.col("n_y"), sum(F.bit_count(F.col(f"k{i}_x").bitwiseXOR(F.col(f"k{i}_y"))) for i in range(SKETCH))
-    may = ((F.col("component_x") < F.col("component_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+    may = ((F.col("component_x") < F.col("component_y")) & sizes_allow("n_x", "n_y", percent)
            & (differ * (100 + percent) <= total * (100 - percent)))
     wide = F.aggregate(F.zip_with("wide_x", "wide_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
     may = may & (F.col("wide_x").isNull() | F.col("wide_y").isNull() | (wide * (100 + percent) <= total * (100 - percent)))
-    left = x.join(y.withColumnRenamed("key", "key_y"), (F.col("key") == F.col("key_y")) & may).select(
+    left = x.join(y, (F.col("key_x") == F.col("key_y")) & may).select(
         F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")).distinct()
     left = store(left.join(tested, ["a", "b"], "left_anti"), "rest")
-    more = verified(left, d, profile, k, percent)
-    links = links.union(more).union(copies.select(F.col("first").alias("a"), F.col("doc").alias("b"))).distinct()
-    return links, components(links)
+    return extended(links, now, verified(left, d, profile, k, percent))
 
 
-def still_apart(seen: DataFrame, now: DataFrame) -> DataFrame:
-    """(key, doc, n, component) of the keys that hold several components, stored."""
-    placed = seen.join(now.withColumnRenamed("node", "doc"), "doc", "left").select(
+def sizes_allow(n: str, m: str, percent: int):
+    """Sets of ``n`` and ``m`` tokens can reach the threshold."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def extended(links: DataFrame, now: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links with ``more`` of them, and their components: ``now`` if there are none."""
+    if more.isEmpty():
+        return links, now
+    merged = components(now.toDF("a", "b").union(more))
+    return links.union(more).distinct(), merged
+
+
+def still_apart(rest: DataFrame, now: DataFrame, r: int) -> DataFrame:
+    """(key, doc, n, component, centre) of the keys of ``rest`` that hold several components,
+    stored. ``centre`` (doc, n, component) is the row of the key that round ``r`` picks."""
+    placed = rest.join(now.withColumnRenamed("node", "doc"), "doc", "left").select(
         "key", "doc", F.col("n").cast("long").alias("n"), F.coalesce("component", "doc").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("key")
-    return store(placed.join(open_keys, "key").distinct(), "apart")
+    row = F.struct(F.xxhash64("doc", F.lit(r)).alias("h"), "doc", "n", "component")
+    keys = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min(row).alias("centre"))
+    return store(placed.join(keys.where("c1 < c2").select("key", "centre"), "key"), "apart")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
