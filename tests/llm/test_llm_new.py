@@ -201,3 +201,68 @@ def test_cleaned_tables_keep_columns_of_any_name(spark):
         assert out.columns == docs.columns and got and all(r[n] == f"my {n}" for r in got for n in names)
     assert {(r["doc_id"], r["text"]) for r in line_dedup.clean(docs).collect()} >= {(3, None), (None, "")}
     assert len(jaccard_join.dedup(docs).collect()) == 3         # both rows of document 2 go with the copy of document 1
+
+
+def _peak(run):
+    """MB that ``run()`` holds at most, as numpy and Python tell."""
+    import tracemalloc
+    tracemalloc.start()
+    run()
+    most = tracemalloc.get_traced_memory()[1] / 2**20
+    tracemalloc.stop()
+    return most
+
+
+def _batch(n_bytes):
+    r = random.Random(5)
+    texts, size = [], 0
+    while size < n_bytes:
+        texts.append(" ".join(f"w{r.randrange(40000)}" for _ in range(r.randrange(20, 400))))
+        size += len(texts[-1])
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["id", "t"])
+
+
+def test_memory_of_python_tasks_is_bounded():
+    import public_tokenizers
+    from tidemark.llm import jaccard_join, line_dedup, unigram
+    b = _batch(4 << 20)
+    docs, lines = b.rename_columns(["__id", "__t"]), b.rename_columns(["lid", "line"])
+    drain = lambda run, x: _peak(lambda: [None for _ in run([x])])
+    drain(jaccard_join._profile(5), docs)                            # tables of powers grow once
+    assert drain(jaccard_join._profile(5), docs) < 10
+    assert drain(line_dedup._entries("probe", 2, 20), lines) < 40
+    hot = type("Hot", (), {"value": np.arange(8, dtype=np.uint64)})
+    assert drain(jaccard_join._index(5, 75, hot), docs) < 10
+    m = unigram.model(public_tokenizers.path("piece_bpe_32k.model"))
+    assert m.cache.limit <= 50_000
+
+
+def test_edit_distance_of_one_long_pair_among_short_ones():
+    from tidemark.llm.line_dedup import edit_distances
+    left = ["a short line of text"] * 1500 + ["ab" * 4000]
+    right = ["a short lime of text"] * 1500 + ["ab" * 2000 + "c" + "ab" * 2000]
+    found = []
+    assert _peak(lambda: found.append(edit_distances(left, right, 2))) < 16
+    assert found[0].tolist() == [1] * 1501
+
+
+def test_count_tokens_counts_each_repeated_token():
+    from collections import Counter
+    from tidemark.llm import jaccard_join
+    docs = _batch(20_000).rename_columns(["__id", "__t"])
+    docs = pa.Table.from_batches([docs, docs, docs]).combine_chunks().to_batches()[0]
+    out = [(t, n) for x in jaccard_join._count_tokens(5)([docs]) for t, n in zip(x["token"].to_pylist(), x["n"].to_pylist())]
+    tokens, _ = jaccard_join.shingle_sets(docs["__t"], 5)
+    want = Counter(tokens.view(np.int64).tolist())
+    assert dict(out) == {t: n for t, n in want.items() if n > 1} and len(out) == len(dict(out))
+
+
+def test_line_entries_are_those_of_distinct_lines():
+    from tidemark.llm import line_dedup
+    lines = [f"line number {i % 700} of a text, {i % 700}" * (1 + i % 3) for i in range(4200)] + ["x" * 300_000]
+    ids = [zlib.crc32(x.encode()) for x in lines]
+    whole = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines)], ["lid", "line"])
+    for kind in ("index", "probe"):
+        rows = lambda x: [r for y in line_dedup._entries(kind, 2, 20)([x]) for r in zip(*[c.to_pylist() for c in y.columns])]
+        single = {r for i in {x: k for k, x in enumerate(ids)}.values() for r in rows(whole.slice(i, 1))}
+        assert set(rows(whole)) == single

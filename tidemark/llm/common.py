@@ -6,7 +6,9 @@ everywhere in this subpackage."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,9 @@ SPACE = r"[\x20\x09-\x0D]"
 
 #: Text bytes a Python task works on at once.
 BLOCK_BYTES = 2 << 20
+#: The same for the operators of the pipeline, whose workers live through all stages: numpy's arrays
+#: over a text take some 100 times its bytes.
+FINE_BLOCK = 1 << 18
 
 _U = np.uint64
 _IS_SPACE = np.zeros(256, bool)
@@ -131,6 +136,27 @@ def blocks(batches, column: str = "text", size: int = BLOCK_BYTES) -> Iterator[p
             at = to
 
 
+def give_back() -> None:
+    """Hand memory that Arrow and the allocator hold free back to the system (where the C library can)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def frugal(run: Callable) -> Callable:
+    """A task's ``run(batches)`` that gives its freed memory back at the end: Python workers are used
+    again, so what one stage's tasks have freed would count beside the next stage's."""
+    @functools.wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return whole
+
+
 class Words:
     """Words of a block of texts: byte ranges, 64-bit hashes, and the word range of each text."""
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import Rolling, Words, blocks, components, maybe_in, mix, named_back, set_aside, signed, store
+from tidemark.llm.common import FINE_BLOCK, Rolling, Words, blocks, components, frugal, maybe_in, mix, named_back, set_aside, signed, store
 from tidemark.session import discard
 
 SHINGLE, PERCENT = 5, 75
@@ -74,19 +74,24 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 def _count_tokens(k: int, block_tokens: int = 1_000_000):
     """Tokens that several texts of a task's block hold, with their count there."""
     def told(parts):
-        token, count = np.unique(np.concatenate(parts), return_counts=True)
-        many = count > 1
-        return pa.RecordBatch.from_arrays([pa.array(signed(token[many])), pa.array(count[many].astype(np.int64))], ["token", "n"])
-
+        token = np.concatenate(parts)
+        parts.clear()
+        token.sort()
+        again = np.zeros(len(token) + 1, bool)   # equal to the one before
+        again[1:-1] = token[1:] == token[:-1]
+        first, last = np.flatnonzero(again[1:] & ~again[:-1]), np.flatnonzero(again[:-1] & ~again[1:])
+        return pa.RecordBatch.from_arrays([pa.array(signed(token[first])), pa.array(last - first + 1)], ["token", "n"])
+
+    @frugal
     def run(batches):
         parts, held = [], 0
-        for b in blocks(batches, "__t"):
+        for b in blocks(batches, "__t", FINE_BLOCK):
             tokens, _ = shingle_sets(b.column("__t"), k)
             parts.append(tokens)
             held += len(tokens)
             if held >= block_tokens:
                 yield told(parts)
-                parts, held = [], 0
+                held = 0
         if parts:
             yield told(parts)
     return run
@@ -127,9 +132,10 @@ def prefix_keys(tokens: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, pe
 
 
 def _index(k: int, percent: int, frequent):
+    @frugal
     def run(batches):
         hot = frequent.value
-        for b in blocks(batches, "__t"):
+        for b in blocks(batches, "__t", FINE_BLOCK):
             tokens, bounds = shingle_sets(b.column("__t"), k)
             row, key, salted = prefix_keys(tokens, bounds, hot, percent)
             ids = b.column("__id").to_numpy(zero_copy_only=False)
@@ -159,8 +165,9 @@ def least_difference(x: bytes, y: bytes) -> int:
 
 def _profile(k: int):
     """Set size, a 128-bit signature of the set and its parity bits."""
+    @frugal
     def run(batches):
-        for b in blocks(batches, "__t"):
+        for b in blocks(batches, "__t", FINE_BLOCK):
             tokens, bounds = shingle_sets(b.column("__t"), k)
             sums = [np.concatenate([np.zeros(1, _U), np.cumsum(mix(tokens ^ s))]) for s in (_U(0x51), _U(0xC3A5))]
             s1, s2 = (signed(x[bounds[1:]] - x[bounds[:-1]]) for x in sums)
@@ -178,6 +185,7 @@ def _profile(k: int):
 
 def _may_link(percent: int):
     """Drop pairs whose sizes or parity bits rule the threshold out."""
+    @frugal
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 2048):
@@ -192,8 +200,9 @@ def _may_link(percent: int):
 
 
 def _sets(k: int):
+    @frugal
     def run(batches):
-        for b in blocks(batches, "__t"):
+        for b in blocks(batches, "__t", FINE_BLOCK):
             tokens, bounds = shingle_sets(b.column("__t"), k)
             raw, at = signed(tokens).tobytes(), (bounds * 8).tolist()
             yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array([raw[x:y] for x, y in zip(at[:-1], at[1:])], pa.binary())], ["doc", "tokens"])
@@ -201,6 +210,7 @@ def _sets(k: int):
 
 
 def _verify(percent: int):
+    @frugal
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 256):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Rolling, WORD, blocks, maybe_in, mix, named_back, set_aside, signed, store
+from tidemark.llm.common import FINE_BLOCK, Rolling, WORD, blocks, frugal, maybe_in, mix, named_back, set_aside, signed, store
 
 MAX_EDITS, MIN_CHARS = 2, 20
 _U = np.uint64
@@ -82,10 +82,15 @@ class Lines:
 
 
 def _entries(kind: str, max_edits: int, min_chars: int):
-    def run(batches):
-        for b in blocks(batches, "line"):
+    def distinct(batches):
+        for b in batches:
             ids, first = np.unique(b.column("lid").to_numpy(zero_copy_only=False), return_index=True)
-            lines = Lines(b.column("line").take(pa.array(first)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), b.column("line").take(pa.array(first))], ["lid", "line"])
+
+    @frugal
+    def run(batches):
+        for b in blocks(distinct(batches), "line", FINE_BLOCK):
+            ids, lines = b.column("lid").to_numpy(), Lines(b.column("line"))
             found = lines.index(max_edits) if kind == "index" else lines.probes(max_edits, min_chars)
             sketch = lines.sketches()
             for rows, key in found:
@@ -94,24 +99,32 @@ def _entries(kind: str, max_edits: int, min_chars: int):
 
 
 def edit_distances(left: list[str], right: list[str], most: int) -> np.ndarray:
-    """Edit distance of each pair, ``most`` + 1 where it is larger. One column of the banded
-    automaton of all pairs at a time: bit k of state e says that the pattern's first
-    (column + k - most) characters match the text so far with e edits at most."""
+    """Edit distance of each pair, ``most`` + 1 where it is larger. Pairs go together with those
+    of up to twice their length, so that a long one does not widen the arrays of all others."""
     out = np.full(len(left), most + 1)
-    m, n = np.array([len(x) for x in left]), np.array([len(x) for x in right])
+    m, n = (np.array([len(x) for x in texts], np.int64) for texts in (left, right))
     near = np.flatnonzero(np.abs(m - n) <= most)
-    if not len(near):
-        return out
+    width = np.frexp(np.maximum(m, n)[near])[1]
+    for w in np.unique(width):
+        part = near[width == w]
+        out[part] = _banded([left[i] for i in part], [right[i] for i in part], m[part], n[part], most)
+    return out
+
+
+def _banded(left: list[str], right: list[str], m: np.ndarray, n: np.ndarray, most: int) -> np.ndarray:
+    """Edit distances of pairs of lengths ``m`` and ``n`` that differ by ``most`` at most. One column
+    of the banded automaton of all pairs at a time: bit k of state e says that the pattern's first
+    (column + k - most) characters match the text so far with e edits at most."""
+    out = np.full(len(left), most + 1)
     def grid(texts, width, shift):
         g = np.zeros((len(texts), width), np.uint32)
         for r, t in enumerate(texts):
             p = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
             g[r, shift: shift + len(p)] = p + 1
         return g
-    m, n = m[near], n[near]
     columns, band = int(n.max()), 2 * most + 1
-    pattern = grid([left[i] for i in near], max(columns, int(m.max())) + 2 * band, most)  # zeros around match nothing
-    text = grid([right[i] for i in near], columns, 0)
+    pattern = grid(left, max(columns, int(m.max())) + 2 * band, most)  # zeros around match nothing
+    text = grid(right, columns, 0)
     bits = _U(1) << np.arange(band, dtype=_U)
     start = np.array([(bits[most: most + e + 1]).sum() for e in range(most + 1)], _U)
     offsets = np.arange(band) - most
@@ -131,14 +144,15 @@ def edit_distances(left: list[str], right: list[str], most: int) -> np.ndarray:
     end = (m - n + most).astype(_U)
     for e in range(most, -1, -1):
         hit = (state[e] >> end) & _U(1) == 1
-        out[near[hit]] = e
+        out[hit] = e
     return out
 
 
 def _verify(most: int, min_chars: int):
     """(a, b) for each line a that may go because of b."""
+    @frugal
     def run(batches):
-        for b in blocks(batches, "x", 1 << 18):
+        for b in blocks(batches, "x", FINE_BLOCK):
             x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
             close = edit_distances(x, y, most) <= most
             for own, a, other in ((x, "a", "b"), (y, "b", "a")):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BYTE_VALUES, Rolling, Words, blocks, mix
+from tidemark.llm.common import BYTE_VALUES, FINE_BLOCK, Rolling, Words, blocks, frugal, mix
 
 _U = np.uint64
 _BYTES = Rolling(0xC2B2AE3D27D4EB4F)
@@ -150,9 +150,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     d = docs.select(*[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").alias("__t"))
     shared = d.sparkSession.sparkContext.broadcast(model)
 
+    @frugal
     def run(batches):
         m = shared.value
-        for b in blocks(batches, "__t", 1 << 19):
+        for b in blocks(batches, "__t", FINE_BLOCK):
             out = [b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*out, pa.array(m.scores(b.column(b.num_columns - 1)))], [*b.schema.names[:-1], "__score"])
 

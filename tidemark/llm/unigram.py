@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks
+from tidemark.llm.common import FINE_BLOCK, blocks, frugal
 from tidemark.llm.wordcache import ChunkCache
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Solved chunks a worker remembers (some 300 bytes each).
+CACHED = 50_000
 
 
 class DoubleArray:
@@ -83,7 +85,7 @@ class Unigram:
         self.text = [p.replace(MARK, " ").encode() if n else b"" for p, n in zip(pieces, normal)]
         for value, i in enumerate(byte_ids):
             self.text[i] = bytes([value])
-        self.cache = ChunkCache(self._solve, 300_000)
+        self.cache = ChunkCache(self._solve, CACHED)
 
     @classmethod
     def load(cls, path: str) -> Unigram:
@@ -249,9 +251,10 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     d = docs.select(*[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(names)])
     at = names.index(text_col)
 
+    @frugal
     def run(batches):
         m = model(model_path)
-        for b in blocks(batches, f"__in{at}"):
+        for b in blocks(batches, f"__in{at}", FINE_BLOCK):
             got = m.encode([t or "" for t in b.column(at).to_pylist()])
             ends = np.cumsum([0] + [len(x) // 4 for x in got]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), "<i4")))
