@@ -266,3 +266,19 @@ def test_line_entries_are_those_of_distinct_lines():
         rows = lambda x: [r for y in line_dedup._entries(kind, 2, 20)([x]) for r in zip(*[c.to_pylist() for c in y.columns])]
         single = {r for i in {x: k for k, x in enumerate(ids)}.values() for r in rows(whole.slice(i, 1))}
         assert set(rows(whole)) == single
+
+
+def test_documents_of_one_key_meet_once_however_many_keys_they_share(spark):
+    from itertools import combinations
+
+    from tidemark.llm import jaccard_join
+    r = random.Random(9)
+    held = {doc: r.sample(range(60), 55) if doc < 30 else r.sample(range(1000, 1200), 6) for doc in range(60)}
+    held[60], held[61] = [5000], [5000, 5001]
+    rows = [(k, doc, 100 + doc % 2, doc) for doc, keys in held.items() for k in keys] + [(5000, 60, 100, 60)]  # a row twice
+    apart = spark.createDataFrame(rows, "key long, doc long, n long, component long")
+    profile = spark.createDataFrame([(doc, 100 + doc % 2, [0] * jaccard_join.SKETCH, None) for doc in held],
+                                    "doc long, n long, sketch array<long>, wide array<long>")
+    found = [tuple(x) for x in jaccard_join.meeting(apart, profile, 75).collect()]
+    assert set(found) == {(a, b) for a, b in combinations(held, 2) if set(held[a]) & set(held[b])}
+    assert len(found) <= 1.2 * len(set(found))

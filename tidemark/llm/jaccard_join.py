@@ -41,6 +41,8 @@ SALTS = 8
 #: half its bits, which rules them out up to some 900 tokens each; sets of LARGE tokens or more
 #: carry a second one of WIDE longs, good for some 3,500.
 ROUNDS, SKETCH, WIDE, LARGE = 2, 8, 32, 600
+#: Earlier keys of its set that a row carries into the last join.
+PASSED = 8
 _SHINGLES = {n: Rolling(0x9E3779B97F4A7C15 + 2 * n) for n in range(1, 65)}
 _PAIR = np.uint64(0x2127599BF4325C37)
 _U = np.uint64
@@ -293,18 +295,30 @@ def join(d: DataFrame, profile: DataFrame, k: int = SHINGLE, percent: int = PERC
         tested = tested.union(pairs)
         rest = apart.where((F.col("doc") != F.col("centre.doc")) | (F.col("n") != F.col("centre.n"))).select("key", "doc", "n")
     # documents of one key that are still apart meet
+    left = meeting(still_apart(rest, now, ROUNDS).drop("centre"), profile, percent).distinct()
+    left = store(left.join(tested, ["a", "b"], "left_anti"), "rest")
+    return extended(links, now, verified(left, d, profile, k, percent))
+
+
+def meeting(apart: DataFrame, profile: DataFrame, percent: int) -> DataFrame:
+    """(a, b): documents of different components that share a key of ``apart(key, doc, n,
+    component)`` and that neither sizes nor sketches keep from the threshold. Alike sets share
+    most of their keys, so a row carries the PASSED keys before its own among those of its set:
+    where two rows have one of these in common, the pair meets there already. At the least key
+    that two sets share none is, so no pair is lost."""
+    earlier = Window.partitionBy("doc", "n").orderBy("key").rowsBetween(-PASSED, -1)
+    apart = apart.withColumn("passed", F.array_remove(F.collect_list("key").over(earlier), F.col("key")))
     sketch = profile.select("doc", "n", "wide", *[F.get("sketch", i).alias(f"k{i}") for i in range(SKETCH)])
-    apart = still_apart(rest, now, ROUNDS).drop("centre").join(sketch, ["doc", "n"])
+    apart = apart.join(sketch, ["doc", "n"])
     x, y = (apart.select(*[F.col(c).alias(f"{c}_{s}") for c in apart.columns]) for s in "xy")
     total, differ = F.col("n_x") + F.col("n_y"), sum(F.bit_count(F.col(f"k{i}_x").bitwiseXOR(F.col(f"k{i}_y"))) for i in range(SKETCH))
     may = ((F.col("component_x") < F.col("component_y")) & sizes_allow("n_x", "n_y", percent)
            & (differ * (100 + percent) <= total * (100 - percent)))
     wide = F.aggregate(F.zip_with("wide_x", "wide_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
     may = may & (F.col("wide_x").isNull() | F.col("wide_y").isNull() | (wide * (100 + percent) <= total * (100 - percent)))
-    left = x.join(y, (F.col("key_x") == F.col("key_y")) & may).select(
-        F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")).distinct()
-    left = store(left.join(tested, ["a", "b"], "left_anti"), "rest")
-    return extended(links, now, verified(left, d, profile, k, percent))
+    may = may & ~F.arrays_overlap("passed_x", "passed_y")
+    return x.join(y, (F.col("key_x") == F.col("key_y")) & may).select(
+        F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b"))
 
 
 def sizes_allow(n: str, m: str, percent: int):
